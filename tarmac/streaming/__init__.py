@@ -1,0 +1 @@
+"""Streaming entry points (see incremental.py)."""
