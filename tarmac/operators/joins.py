@@ -26,6 +26,29 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def all_at_most(tables: dict[str, DataFrame], max_rows: int) -> dict[str, bool]:
+    """``has_at_most`` for several tables in ONE Spark job.
+
+    Each table contributes at most ``max_rows + 1`` tagged rows; the per-tag
+    counts come back as a handful of rows.
+    """
+    if not tables:
+        return {}
+    parts = [
+        df.select(F.lit(tag).alias("tag")).limit(max_rows + 1) for tag, df in tables.items()
+    ]
+    tagged = parts[0]
+    for part in parts[1:]:
+        tagged = tagged.unionByName(part)
+    counts = {row["tag"]: row["n"] for row in tagged.groupBy("tag").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {tag: counts.get(tag, 0) <= max_rows for tag in tables}
+
+
+def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
+    """Attach the broadcast hint only when a size check said ``small``."""
+    return F.broadcast(df) if small else df
+
+
 def bounded_broadcast(
     df: DataFrame,
     max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
@@ -37,9 +60,7 @@ def bounded_broadcast(
     aggregate, its input); the check runs on it instead of ``df``.
     """
     probe = df if bound_by is None else bound_by
-    if has_at_most(probe, max_rows):
-        return F.broadcast(df)
-    return df
+    return broadcast_if(df, has_at_most(probe, max_rows))
 
 
 def left_join(

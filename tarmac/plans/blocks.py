@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.operators.joins import bounded_broadcast
+from tarmac.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, all_at_most, broadcast_if, has_at_most
 from tarmac.operators.relational import conditional_counts
 
 # Fixed values -- the three fare classes reported, and the status that marks
@@ -36,7 +36,12 @@ def segments_by_departure(ticket_flights: DataFrame) -> DataFrame:
     )
 
 
-def seat_capacity(seats: DataFrame, aircrafts_data: DataFrame) -> DataFrame:
+def check_dimensions(airports_data: DataFrame, seats: DataFrame) -> dict[str, bool]:
+    """Broadcast licences for both dimensions from one size-check job."""
+    return all_at_most({"airports": airports_data, "seats": seats}, DEFAULT_BROADCAST_MAX_ROWS)
+
+
+def seat_capacity(seats: DataFrame, aircrafts_data: DataFrame, small: bool | None = None) -> DataFrame:
     """One row per aircraft_code found in ``seats``.
 
     ``seats`` counts every seat; ``seats_<class>`` counts a class only for
@@ -60,4 +65,6 @@ def seat_capacity(seats: DataFrame, aircrafts_data: DataFrame) -> DataFrame:
             for c in FARE_CLASSES
         ],
     )
-    return bounded_broadcast(capacity, bound_by=seats)
+    if small is None:
+        small = has_at_most(seats, DEFAULT_BROADCAST_MAX_ROWS)
+    return broadcast_if(capacity, small)

@@ -26,7 +26,7 @@ from tarmac.functions.arith import minutes_from_seconds, percent_of, round2, tru
 from tarmac.functions.timeparts import day_of, day_string, hour_of_day, seconds_between
 from tarmac.operators.joins import left_join
 from tarmac.plans.airports import airport_names
-from tarmac.plans.blocks import ARRIVED, FARE_CLASSES, seat_capacity, segments_by_departure
+from tarmac.plans.blocks import ARRIVED, FARE_CLASSES, check_dimensions, seat_capacity, segments_by_departure
 from tarmac.plans.metrics import (
     PERIOD_COLUMNS,
     bookings_by_day,
@@ -53,11 +53,13 @@ def departure_metrics(
     aircrafts_data: DataFrame,
     airports_data: DataFrame,
     lang: str | None = None,
+    small: dict[str, bool] | None = None,
 ) -> DataFrame:
     """All departure-based metrics per (day DATE, airport_name) in one pass."""
+    small = small or check_dimensions(airports_data, seats)
     per_flight = segments_by_departure(ticket_flights)
-    capacity = seat_capacity(seats, aircrafts_data)
-    names = airport_names(airports_data, lang)
+    capacity = seat_capacity(seats, aircrafts_data, small["seats"])
+    names = airport_names(airports_data, lang, small["airports"])
     deps = completed_departures(flights, require_id=False, require_arrived=False)
     ops = left_join(left_join(deps, per_flight, "flight_id"), capacity, "aircraft_code")
     ops = ops.join(names, ops["departure_airport"] == names["airport_code"], "left")
@@ -101,9 +103,10 @@ def daily_airport_mart(
     lang: str | None = None,
 ) -> DataFrame:
     """The 14-column mart, one row per (date, airport_name) of the spine."""
-    ops = departure_metrics(flights, ticket_flights, seats, aircrafts_data, airports_data, lang)
-    booked = bookings_by_day(bookings, tickets, ticket_flights, flights, airports_data)
-    grid = spine(airports_data, flights, bookings, lang)
+    small = check_dimensions(airports_data, seats)  # one job licenses every broadcast below
+    ops = departure_metrics(flights, ticket_flights, seats, aircrafts_data, airports_data, lang, small)
+    booked = bookings_by_day(bookings, tickets, ticket_flights, flights, airports_data, small["airports"])
+    grid = spine(airports_data, flights, bookings, lang, small["airports"])
     keys = ["day", "airport_name"]
     joined = left_join(left_join(grid, ops, keys), booked, keys)
     return _finish(joined.withColumn("date", day_string(F.col("day"))))

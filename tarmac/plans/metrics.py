@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.arith import minutes_from_seconds, percent_of, round2, truncate_to_long
 from tarmac.functions.timeparts import DAY_PERIODS, day_of, day_string, hour_of_day, seconds_between
-from tarmac.operators.joins import bounded_broadcast, left_join
+from tarmac.operators.joins import broadcast_if, left_join
 from tarmac.operators.relational import not_null, range_predicate
 from tarmac.plans.airports import airport_names
-from tarmac.plans.blocks import ARRIVED, FARE_CLASSES, seat_capacity, segments_by_departure
+from tarmac.plans.blocks import ARRIVED, FARE_CLASSES, check_dimensions, seat_capacity, segments_by_departure
 
 COMPLETED = ("actual_departure", "actual_arrival")
 
@@ -48,8 +48,8 @@ def completed_departures(flights: DataFrame, require_id: bool, require_arrived:
     return flights.filter(cond)
 
 
-def _named(departures: DataFrame, airports_data: DataFrame) -> DataFrame:
-    names = airport_names(airports_data)
+def _named(departures: DataFrame, airports_data: DataFrame, small: bool | None = None) -> DataFrame:
+    names = airport_names(airports_data, small=small)
     return departures.join(names, departures["departure_airport"] == names["airport_code"], "left")
 
 
@@ -105,6 +105,7 @@ def bookings_by_day(
     ticket_flights: DataFrame,
     flights: DataFrame,
     airports_data: DataFrame,
+    airports_small: bool | None = None,
 ) -> DataFrame:
     """(day DATE, airport_name, bookings) -- see ``daily_bookings``.
 
@@ -118,7 +119,7 @@ def bookings_by_day(
       3. tickets LEFT JOIN 2; no segment -> 1 NULL-name row; sum per (book_ref, name)
       4. bookings LEFT JOIN 3; no ticket -> 1 NULL-name row; sum per (day, name)
     """
-    names = airport_names(airports_data)
+    names = airport_names(airports_data, small=airports_small)
     seg = ticket_flights.select("ticket_no", "flight_id")
     dep = flights.select("flight_id", "departure_airport")
     seg_named = (
@@ -198,12 +199,14 @@ def daily_occupancy(
     """round(sum(passengers) / sum(seats) * 100, 2) over completed departures
     with an id -- a ratio of sums.  Output: (date, airport_name,
     avg_occupancy_percent), NULL -> 0."""
+    small = check_dimensions(airports_data, seats)
     deps = completed_departures(flights, require_id=True, require_arrived=False)
     pax = segments_by_departure(ticket_flights).select("flight_id", "passengers")
     cap = seats.groupBy("aircraft_code").agg(F.count(F.lit(1)).alias("seats"))
     joined = _named(
-        left_join(left_join(deps, pax, "flight_id"), bounded_broadcast(cap, bound_by=seats), "aircraft_code"),
+        left_join(left_join(deps, pax, "flight_id"), broadcast_if(cap, small["seats"]), "aircraft_code"),
         airports_data,
+        small["airports"],
     )
     agg = joined.groupBy(_day_key(), "airport_name").agg(
         F.coalesce(percent_of(F.sum("passengers"), F.sum("seats")), F.lit(0.0)).alias("avg_occupancy_percent")
@@ -227,8 +230,11 @@ def daily_occupancy_by_fare_class(
     pax = segments_by_departure(ticket_flights).select(
         "flight_id", *[f"passengers_{c.lower()}" for c in FARE_CLASSES]
     )
-    cap = seat_capacity(seats, aircrafts_data).select("aircraft_code", *[f"seats_{c.lower()}" for c in FARE_CLASSES])
-    joined = _named(left_join(left_join(deps, pax, "flight_id"), cap, "aircraft_code"), airports_data)
+    small = check_dimensions(airports_data, seats)
+    cap = seat_capacity(seats, aircrafts_data, small["seats"]).select(
+        "aircraft_code", *[f"seats_{c.lower()}" for c in FARE_CLASSES]
+    )
+    joined = _named(left_join(left_join(deps, pax, "flight_id"), cap, "aircraft_code"), airports_data, small["airports"])
     agg = joined.groupBy(_day_key(), "airport_name").agg(
         *class_occupancy(
             {c: F.sum(f"passengers_{c.lower()}") for c in FARE_CLASSES},

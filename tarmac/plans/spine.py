@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.timeparts import day_of, day_string
-from tarmac.operators.joins import bounded_broadcast
-from tarmac.plans.airports import clean_airports
+from tarmac.operators.joins import broadcast_if
+from tarmac.plans.airports import airports_are_small, clean_airports
 
 
 def spine_days(flights: DataFrame, bookings: DataFrame) -> DataFrame:
@@ -18,7 +18,13 @@ def spine_days(flights: DataFrame, bookings: DataFrame) -> DataFrame:
     return flight_days.union(book_days).distinct()
 
 
-def spine(airports_data: DataFrame, flights: DataFrame, bookings: DataFrame, lang: str | None = None) -> DataFrame:
+def spine(
+    airports_data: DataFrame,
+    flights: DataFrame,
+    bookings: DataFrame,
+    lang: str | None = None,
+    airports_small: bool | None = None,
+) -> DataFrame:
     """(day DATE, airport_name): every reporting day with every distinct name.
 
     This Cartesian product IS the output grid -- every pair becomes one mart
@@ -31,7 +37,8 @@ def spine(airports_data: DataFrame, flights: DataFrame, bookings: DataFrame, lan
     days = spine_days(flights, bookings)
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     days = days.repartition(n_parts, "day")
-    return days.crossJoin(bounded_broadcast(names, bound_by=airports_data))
+    small = airports_are_small(airports_data) if airports_small is None else airports_small
+    return days.crossJoin(broadcast_if(names, small))
 
 
 def date_airport_spine(

@@ -23,6 +23,8 @@ SESSION_DEFAULTS: dict[str, str] = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # No per-call Python call-site capture (several Py4J round trips per API call).
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
