@@ -72,7 +72,8 @@ flight_sched AS (
            AS scheduled_departure
   FROM flight_keys),
 flights AS (
-  SELECT flight_id, scheduled_departure,
+  SELECT flight_id, 'PG' || lpad(CAST(flight_id % 10000 AS VARCHAR), 4, '0') AS flight_no,
+         scheduled_departure, scheduled_departure + {_minutes('60 + flight_id * 7 % 400')} AS scheduled_arrival,
          'A' || CAST(s_nationkey AS VARCHAR) AS departure_airport,
          'A' || CAST((s_nationkey + 1 + flight_id % 23) % 25 AS VARCHAR) AS arrival_airport,
          CASE WHEN flight_id % 13 = 0 THEN 'Cancelled' WHEN flight_id % 17 = 0 THEN 'Departed'
