@@ -109,36 +109,41 @@ def bookings_by_day(
 ) -> DataFrame:
     """(day DATE, airport_name, bookings) -- see ``daily_bookings``.
 
-    The left-join chain is re-associated (valid because every join key is
-    null-rejecting on the inner side) so that each right side is first
-    reduced to at most one row per (key, airport name): a booking or ticket
-    holding a huge share of rows is collapsed by partial aggregation instead
-    of fanning out inside one join task.
-      1. segment -> departure airport name            (shuffle on flight_id)
-      2. count per (ticket_no, name)
-      3. tickets LEFT JOIN 2; no segment -> 1 NULL-name row; sum per (book_ref, name)
-      4. bookings LEFT JOIN 3; no ticket -> 1 NULL-name row; sum per (day, name)
+    The literal chain bookings LEFT JOIN tickets LEFT JOIN segments ... is
+    rewritten so no join can fan out on a hot key inside one task:
+
+    * a left join whose right side may repeat a key (a booking's tickets, a
+      ticket's segments) becomes an INNER join -- AQE splits a skewed key on
+      either side of an inner join -- plus a LEFT ANTI join against the
+      de-duplicated keys (partial aggregation collapses a hot key map-side)
+      for the rows that find no partner and count once under a NULL name;
+    * departures are unique per flight_id, so segments LEFT JOIN departures
+      stays a left join (a hot flight_id sits on the splittable left side).
+
+    Row for row the same count as the literal chain; about four stages deep
+    instead of one stage per join.
     """
     names = airport_names(airports_data, small=airports_small)
+    booked = bookings.select("book_ref", day_of(F.col("book_date")).alias("day"))
+    tk = tickets.select("ticket_no", "book_ref")
     seg = ticket_flights.select("ticket_no", "flight_id")
+
+    ticket_day = tk.join(booked, "book_ref", "inner").select("ticket_no", "day")
+    no_ticket = booked.join(tk.select("book_ref").distinct(), "book_ref", "left_anti")
+
     dep = flights.select("flight_id", "departure_airport")
-    seg_named = (
-        left_join(seg, dep, "flight_id")
-        .join(names, F.col("departure_airport") == names["airport_code"], "left")
-        .groupBy("ticket_no", "airport_name")
-        .agg(F.count(F.lit(1)).alias("n"))
+    seg_named = left_join(seg, dep, "flight_id")
+    seg_named = seg_named.join(names, seg_named["departure_airport"] == names["airport_code"], "left").select(
+        "ticket_no", "airport_name"
     )
-    per_booking = (
-        left_join(tickets.select("ticket_no", "book_ref"), seg_named, "ticket_no")
-        .groupBy("book_ref", "airport_name")
-        .agg(F.sum(F.coalesce(F.col("n"), F.lit(1))).alias("n"))
-    )
-    booked = bookings.select("book_ref", day_of(F.col("book_date")).alias("day"))
-    return (
-        left_join(booked, per_booking, "book_ref")
-        .groupBy("day", "airport_name")
-        .agg(F.sum(F.coalesce(F.col("n"), F.lit(1))).alias("bookings"))
+    with_segment = ticket_day.join(seg_named, "ticket_no", "inner").select("day", "airport_name")
+    no_segment = ticket_day.join(seg.select("ticket_no").distinct(), "ticket_no", "left_anti")
+
+    null_name = F.lit(None).cast("string").alias("airport_name")
+    rows = with_segment.unionByName(no_segment.select("day", null_name)).unionByName(
+        no_ticket.select("day", null_name)
     )
+    return rows.groupBy("day", "airport_name").agg(F.count(F.lit(1)).alias("bookings"))
 
 
 # --------------------------------------------------------------------- C4
