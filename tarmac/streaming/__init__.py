@@ -1 +1,5 @@
-"""Streaming entry points (see incremental.py)."""
+"""Streaming entry points.
+
+Intentionally empty: the batch job this package re-expresses has no streaming,
+watermark or stateful operator, so none is built (see README.md, "Not built").
+"""
