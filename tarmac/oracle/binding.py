@@ -66,7 +66,7 @@ ticket_flights AS (
          CAST(l_extendedprice AS DECIMAL(12,2)) AS amount
   FROM seg),
 flight_keys AS (
-  SELECT DISTINCT flight_id, s_nationkey, d5 FROM seg),
+  SELECT DISTINCT flight_id, s_nationkey, d5 FROM seg WHERE flight_id IS NOT NULL),
 flight_sched AS (
   SELECT *, TIMESTAMP '1995-01-01 00:00:00' + to_days(CAST(d5 AS INTEGER)) + {_minutes('flight_id * 37 % 1440')}
            AS scheduled_departure

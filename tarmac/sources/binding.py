@@ -173,8 +173,12 @@ def flights(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     # stay identical, so Spark derives the departures once per query and
     # reuses the stage -- and a bigint keeps the fast hash aggregate.
     packed = F.col("s_nationkey").cast("long") * _PACK + (F.col("d5") + _PACK // 2)
+    # A departure always has an id.  Stating it here also keeps every consumer's
+    # departures subtree identical (a join would otherwise add its own inferred
+    # IS NOT NULL below the aggregate), which is what lets Spark reuse the stage.
     dep = (
         _segments(lineitem, supplier)
+        .filter(F.col("flight_id").isNotNull())
         .groupBy("flight_id")
         .agg(F.min(packed).alias("k"))
         .select(
