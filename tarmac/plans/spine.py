@@ -30,13 +30,16 @@ def spine(
     This Cartesian product IS the output grid -- every pair becomes one mart
     row -- so its size is the result size.  The name side is one row per
     airport name, broadcast only behind a row-count check; the day side is
-    spread over the shuffle partitions so the grid is generated in parallel.
+    spread over the cores so the grid is generated in parallel.
     """
     spark = flights.sparkSession
     names = clean_airports(airports_data, lang).select("airport_name").distinct()
     days = spine_days(flights, bookings)
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    days = days.repartition(n_parts, "day")
+    # One generator task per core is enough (each emits days/cores x names
+    # rows); more would only schedule empty tasks for a few thousand days.
+    setting = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    n_parts = min(spark.sparkContext.defaultParallelism, int(setting) if str(setting).isdigit() else 200)
+    days = days.repartition(max(1, n_parts), "day")
     small = airports_are_small(airports_data) if airports_small is None else airports_small
     return days.crossJoin(broadcast_if(names, small))
 

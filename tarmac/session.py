@@ -28,6 +28,29 @@ SESSION_DEFAULTS: dict[str, str] = {
 }
 
 
+def large_scale_settings(input_bytes: int, largest_shuffle_fraction: float = 0.15) -> dict[str, str]:
+    """Starting configuration for a cluster run over ``input_bytes`` of parquet.
+
+    * scans: 256 MB splits (a few row groups per task);
+    * shuffles: start with enough partitions that the largest shuffle (the
+      segment rows keyed by ticket or flight, about ``largest_shuffle_fraction``
+      of the input once columns are pruned) lands at ~128 MB per partition;
+      AQE then coalesces small stages down to the same advisory size;
+    * skew: AQE splits any join partition above 256 MB and 5x the median.
+    """
+    mb = 1024 * 1024
+    shuffle_bytes = max(int(input_bytes * largest_shuffle_fraction), 1)
+    partitions = max(200, -(-shuffle_bytes // (128 * mb)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(256 * mb),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * mb),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * mb),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "tarmac",

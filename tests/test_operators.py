@@ -14,7 +14,13 @@ def test_all_at_most_one_job(spark):
 
 
 def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    import io
+    from contextlib import redirect_stdout
+
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
 
 
 def test_bounded_broadcast_hint_only_when_small(spark):
