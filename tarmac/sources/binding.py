@@ -19,6 +19,8 @@ which is what lets the oracle check whole-table results.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -212,20 +214,47 @@ def flights(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     )
 
 
-def bind_domain_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The seven airline tables as lazy DataFrames over the driver parquet."""
+class _BoundTables(Mapping):
+    """The seven airline tables, each planned on first access.
 
-    # Each driver table is opened once (one file listing / footer read).
-    t = {
-        name: read_driver_table(spark, sf_dir, name)
-        for name in ("nation", "region", "part", "orders", "lineitem", "supplier")
-    }
-    return {
-        "aircrafts_data": aircrafts_data(t["part"]),
-        "airports_data": airports_data(t["nation"], t["region"]),
-        "bookings": bookings(t["orders"]),
-        "flights": flights(t["lineitem"], t["supplier"]),
-        "seats": seats(t["part"]),
-        "ticket_flights": ticket_flights(t["lineitem"], t["supplier"]),
-        "tickets": tickets(t["orders"]),
+    A query that needs two tables plans two; each driver table is opened
+    (file listing) once and shared by the tables built from it.
+    """
+
+    _BUILDERS = {
+        "aircrafts_data": (aircrafts_data, ("part",)),
+        "airports_data": (airports_data, ("nation", "region")),
+        "bookings": (bookings, ("orders",)),
+        "flights": (flights, ("lineitem", "supplier")),
+        "seats": (seats, ("part",)),
+        "ticket_flights": (ticket_flights, ("lineitem", "supplier")),
+        "tickets": (tickets, ("orders",)),
     }
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark = spark
+        self._sf_dir = sf_dir
+        self._driver: dict[str, DataFrame] = {}
+        self._built: dict[str, DataFrame] = {}
+
+    def _driver_table(self, name: str) -> DataFrame:
+        if name not in self._driver:
+            self._driver[name] = read_driver_table(self._spark, self._sf_dir, name)
+        return self._driver[name]
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            build, inputs = self._BUILDERS[name]
+            self._built[name] = build(*(self._driver_table(i) for i in inputs))
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(DOMAIN_TABLES)
+
+    def __len__(self) -> int:
+        return len(DOMAIN_TABLES)
+
+
+def bind_domain_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    """The seven airline tables as lazy DataFrames over the driver parquet."""
+    return _BoundTables(spark, sf_dir)
