@@ -105,7 +105,7 @@ def daily_airport_mart(
     """The 14-column mart, one row per (date, airport_name) of the spine."""
     small = check_dimensions(airports_data, seats)  # one job licenses every broadcast below
     ops = departure_metrics(flights, ticket_flights, seats, aircrafts_data, airports_data, lang, small)
-    booked = bookings_by_day(bookings, tickets, ticket_flights, flights, airports_data, small["airports"])
+    booked = bookings_by_day(bookings, tickets, ticket_flights, flights, airports_data, small["airports"], lang)
     grid = spine(airports_data, flights, bookings, lang, small["airports"])
     keys = ["day", "airport_name"]
     joined = left_join(left_join(grid, ops, keys), booked, keys)

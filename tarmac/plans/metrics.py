@@ -106,6 +106,7 @@ def bookings_by_day(
     flights: DataFrame,
     airports_data: DataFrame,
     airports_small: bool | None = None,
+    lang: str | None = None,
 ) -> DataFrame:
     """(day DATE, airport_name, bookings) -- see ``daily_bookings``.
 
@@ -123,7 +124,7 @@ def bookings_by_day(
     Row for row the same count as the literal chain; about four stages deep
     instead of one stage per join.
     """
-    names = airport_names(airports_data, small=airports_small)
+    names = airport_names(airports_data, lang, airports_small)
     booked = bookings.select("book_ref", day_of(F.col("book_date")).alias("day"))
     tk = tickets.select("ticket_no", "book_ref")
     seg = ticket_flights.select("ticket_no", "flight_id")

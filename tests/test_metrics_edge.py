@@ -120,3 +120,13 @@ def test_assembled_mart_equals_fused(t):
     fused = daily_airport_mart(*_mart_args(t)).collect()
     assembled = assemble_mart_from_metrics(*_mart_args(t)).collect()
     assert [tuple(r) for r in fused] == [tuple(r) for r in assembled]
+
+
+def test_mart_by_language_uses_one_name_everywhere(t):
+    rows = daily_airport_mart(*_mart_args(t), lang="en").collect()
+    names = {r["airport_name"] for r in rows}
+    assert "Beta" in names and "Бета Аэропорт" not in names
+    # bookings of BBB departures are reported under the English name too
+    assert sum(r["bookings"] for r in rows if r["airport_name"] == "Beta") == sum(
+        r["bookings"] for r in daily_airport_mart(*_mart_args(t)).collect() if r["airport_name"] == "Бета Аэропорт"
+    )
