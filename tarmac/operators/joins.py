@@ -75,3 +75,24 @@ def left_join(
     splits (``spark.sql.adaptive.skewJoin.enabled``).
     """
     return left.join(right, on=on, how="left")
+
+
+def left_join_fanout(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``left LEFT JOIN right USING (key)`` for a right side that may repeat a
+    key many times (one booking's tickets, one ticket's segments).
+
+    AQE can split a skewed key only on the left side of a left outer join, so
+    a hot right-side key would land in one task.  Written instead as
+
+      left INNER JOIN right          -- AQE splits a hot key on either side
+      UNION ALL
+      left LEFT ANTI JOIN distinct(right.key), right columns NULL
+                                     -- partial aggregation collapses hot keys
+
+    which returns exactly the rows of the left outer join.  Both branches
+    shuffle ``left`` identically, so Spark reuses that exchange.
+    """
+    matched = left.join(right, key, "inner")
+    unmatched = left.join(right.select(key).distinct(), key, "left_anti")
+    padding = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != key]
+    return matched.unionByName(unmatched.select(*unmatched.columns, *padding))

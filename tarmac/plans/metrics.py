@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.arith import minutes_from_seconds, percent_of, round2, truncate_to_long
 from tarmac.functions.timeparts import DAY_PERIODS, day_of, day_string, hour_of_day, seconds_between
-from tarmac.operators.joins import broadcast_if, left_join
+from tarmac.operators.joins import broadcast_if, left_join, left_join_fanout
 from tarmac.operators.relational import not_null, range_predicate
 from tarmac.plans.airports import airport_names
 from tarmac.plans.blocks import ARRIVED, FARE_CLASSES, check_dimensions, seat_capacity, segments_by_departure
@@ -110,40 +110,24 @@ def bookings_by_day(
 ) -> DataFrame:
     """(day DATE, airport_name, bookings) -- see ``daily_bookings``.
 
-    The literal chain bookings LEFT JOIN tickets LEFT JOIN segments ... is
-    rewritten so no join can fan out on a hot key inside one task:
-
-    * a left join whose right side may repeat a key (a booking's tickets, a
-      ticket's segments) becomes an INNER join -- AQE splits a skewed key on
-      either side of an inner join -- plus a LEFT ANTI join against the
-      de-duplicated keys (partial aggregation collapses a hot key map-side)
-      for the rows that find no partner and count once under a NULL name;
-    * departures are unique per flight_id, so segments LEFT JOIN departures
-      stays a left join (a hot flight_id sits on the splittable left side).
-
-    Row for row the same count as the literal chain; about four stages deep
-    instead of one stage per join.
+    The chain's two joins whose right side may repeat a key (a booking's
+    tickets, a ticket's segments) use ``left_join_fanout`` (inner join +
+    anti join against the distinct keys), so no join can fan out on a hot key
+    inside one task; departures are unique per flight_id, so segments LEFT
+    JOIN departures stays a plain left join (a hot flight_id sits on the
+    splittable left side).  Row for row the literal chain, then one count.
     """
     names = airport_names(airports_data, lang, airports_small)
     booked = bookings.select("book_ref", day_of(F.col("book_date")).alias("day"))
-    tk = tickets.select("ticket_no", "book_ref")
-    seg = ticket_flights.select("ticket_no", "flight_id")
-
-    ticket_day = tk.join(booked, "book_ref", "inner").select("ticket_no", "day")
-    no_ticket = booked.join(tk.select("book_ref").distinct(), "book_ref", "left_anti")
-
     dep = flights.select("flight_id", "departure_airport")
-    seg_named = left_join(seg, dep, "flight_id")
+    seg_named = left_join(ticket_flights.select("ticket_no", "flight_id"), dep, "flight_id")
     seg_named = seg_named.join(names, seg_named["departure_airport"] == names["airport_code"], "left").select(
         "ticket_no", "airport_name"
     )
-    with_segment = ticket_day.join(seg_named, "ticket_no", "inner").select("day", "airport_name")
-    no_segment = ticket_day.join(seg.select("ticket_no").distinct(), "ticket_no", "left_anti")
-
-    null_name = F.lit(None).cast("string").alias("airport_name")
-    rows = with_segment.unionByName(no_segment.select("day", null_name)).unionByName(
-        no_ticket.select("day", null_name)
+    ticket_day = left_join_fanout(booked, tickets.select("book_ref", "ticket_no"), "book_ref").select(
+        "ticket_no", "day"
     )
+    rows = left_join_fanout(ticket_day, seg_named, "ticket_no")
     return rows.groupBy("day", "airport_name").agg(F.count(F.lit(1)).alias("bookings"))
 
 

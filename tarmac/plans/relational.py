@@ -19,7 +19,7 @@ from tarmac.functions.names import (
     map_values_joined,
 )
 from tarmac.functions.timeparts import DAY_PERIODS, day_period, day_string, hour_of_day, seconds_between
-from tarmac.operators.joins import left_join
+from tarmac.operators.joins import left_join, left_join_fanout
 from tarmac.operators.relational import (
     conditional_counts,
     drop_null_rows,
@@ -126,8 +126,10 @@ def star_join_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """bookings -> tickets -> segments -> departures -> airports, row level."""
     t = _t(spark, sf_dir)
     names = airport_names(t["airports_data"])
-    chain = left_join(t["bookings"].select("book_ref"), t["tickets"].select("book_ref", "ticket_no"), "book_ref")
-    chain = left_join(chain, t["ticket_flights"].select("ticket_no", "flight_id"), "ticket_no")
+    # tickets per booking and segments per ticket may repeat a key: fan-out safe
+    chain = left_join_fanout(t["bookings"].select("book_ref"), t["tickets"].select("book_ref", "ticket_no"), "book_ref")
+    chain = left_join_fanout(chain, t["ticket_flights"].select("ticket_no", "flight_id"), "ticket_no")
+    # departures are unique per flight_id: a plain left join
     chain = left_join(chain, t["flights"].select("flight_id", "departure_airport"), "flight_id")
     chain = chain.join(names, chain["departure_airport"] == names["airport_code"], "left")
     return chain.select("book_ref", "ticket_no", "flight_id", "airport_name")
