@@ -37,3 +37,21 @@ def test_bounded_broadcast_hint_only_when_small(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_left_join_fanout_equals_left_join(spark):
+    import random
+
+    from tarmac.operators.joins import left_join_fanout
+
+    rng = random.Random(7)
+    for _ in range(4):
+        keys = [None, "hot"] + [f"k{i}" for i in range(6)]
+        left = [(rng.choice(keys), i) for i in range(40)]
+        # a hot key holding a third of the right side, plus NULL keys and misses
+        right = [("hot", -i) for i in range(20)] + [(rng.choice(keys + ["zz"]), 100 + i) for i in range(40)]
+        ldf = spark.createDataFrame(left, "k string, a int")
+        rdf = spark.createDataFrame(right, "k string, b int")
+        expected = sorted(map(tuple, ldf.join(rdf, "k", "left").collect()), key=str)
+        got = sorted(map(tuple, left_join_fanout(ldf, rdf, "k").collect()), key=str)
+        assert got == expected
