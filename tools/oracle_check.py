@@ -34,7 +34,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return repr(round(v, 9))
+        return repr(v)
     if hasattr(v, "isoformat"):
         return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
     return repr(v)
