@@ -148,9 +148,11 @@ def run_job(
     sink: TableSource,
     table_name: str = "daily_airport_mart",
     lang: str | None = None,
+    partition_by: list[str] | None = None,
 ) -> DataFrame:
-    """Load the seven tables, compute the mart, overwrite ``table_name``.
-    Returns the written table read back."""
+    """Load the seven tables, compute the mart, overwrite ``table_name``
+    (optionally partitioned, e.g. by ``date``).  Returns the written table
+    read back."""
     t = load_domain_tables(spark, source)
     mart = daily_airport_mart(
         t["aircrafts_data"],
@@ -162,7 +164,7 @@ def run_job(
         t["tickets"],
         lang=lang,
     )
-    overwrite_table(mart, table_name, sink)
+    overwrite_table(mart, table_name, sink, partition_by=partition_by)
     reader = spark.read.format(sink.format).options(**sink.reader_options(table_name))
     path = sink.path(table_name)
     return reader.load(path) if path is not None else reader.load()

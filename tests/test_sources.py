@@ -63,3 +63,16 @@ def test_run_job_writes_the_mart(spark):
     out = run_job(spark, src, TableSource(location=base + "/out/{name}"))
     got = out.orderBy("date", "airport_name").toPandas()
     pd.testing.assert_frame_equal(pd.DataFrame(GOLDEN_EXPECTED), got, check_dtype=True)
+
+
+def test_command_line_job_partitioned_by_date(spark):
+    from tarmac.__main__ import main
+
+    base = _scratch(spark)
+    src = TableSource(location=base + "/in/{name}")
+    for name, df in golden_tables(spark).items():
+        overwrite_table(df, name, src)
+    main(["--source", base + "/in/{name}", "--sink", base + "/out/{name}", "--partition-by", "date"], spark)
+    parts = {d for d in os.listdir(base + "/out/daily_airport_mart") if d.startswith("date=")}
+    assert parts == {"date=2020-01-30", "date=2020-01-31"}
+    assert spark.read.parquet(base + "/out/daily_airport_mart").count() == 8
