@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.timeparts import day_of, day_string
-from tarmac.operators.joins import broadcast_if
+from tarmac.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, has_at_most
 from tarmac.plans.airports import airports_are_small, clean_airports
 
 
@@ -41,7 +41,14 @@ def spine(
     n_parts = min(spark.sparkContext.defaultParallelism, int(setting) if str(setting).isdigit() else 200)
     days = days.repartition(max(1, n_parts), "day")
     small = airports_are_small(airports_data) if airports_small is None else airports_small
-    return days.crossJoin(broadcast_if(names, small))
+    if small:
+        return days.crossJoin(F.broadcast(names))
+    # Too many names to broadcast: broadcast the days instead when they are
+    # provably few (a calendar has at most 366 per year), else let Spark plan
+    # the product -- then the grid itself is that large.
+    if has_at_most(days, DEFAULT_BROADCAST_MAX_ROWS):
+        return names.crossJoin(F.broadcast(days)).select("day", "airport_name")
+    return days.crossJoin(names)
 
 
 def date_airport_spine(

@@ -67,3 +67,16 @@ def test_fused_plan_reads_departures_fewer_times(stored):
     fused = len(_scans(_plan(daily_airport_mart(*(stored[n] for n in ORDER))), "flights"))
     assembled = len(_scans(_plan(assemble_mart_from_metrics(*(stored[n] for n in ORDER))), "flights"))
     assert fused <= 3 < assembled
+
+
+def test_grid_broadcasts_days_when_names_are_not_small(spark, stored):
+    from tarmac.plans.spine import spine
+
+    args = (stored["airports_data"], stored["flights"], stored["bookings"])
+    usual = spine(*args)
+    flipped = spine(*args, airports_small=False)
+    assert sorted(map(tuple, flipped.collect()), key=str) == sorted(map(tuple, usual.collect()), key=str)
+    plan = _plan(flipped)
+    tree = [line for line in plan.split("\n\n")[0].splitlines() if "NestedLoopJoin" in line]
+    assert tree and all("BroadcastNestedLoopJoin" in line for line in tree), tree
+    assert "CartesianProduct" not in plan
