@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DOMAIN_TABLES = (
@@ -65,106 +65,94 @@ def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _letters(key: Column) -> Column:
-    return F.translate(key.cast("string"), "0123456789", "ABCDEFGHIJ")
+# Each projection is written as SQL expressions (one analyzer call per column)
+# so the Spark binding reads line for line like its DuckDB twin.
+_LETTERS = "translate(CAST(n_nationkey AS STRING), '0123456789', 'ABCDEFGHIJ')"
+_DAYS = f"datediff(to_date(l_shipdate), DATE'{_EPOCH_DAY}')"
 
 
-def _airport_code(nationkey: Column) -> Column:
-    return F.concat(F.lit("A"), nationkey.cast("string"))
+def _minutes(expr: str) -> str:
+    return f"make_dt_interval(0, 0, CAST({expr} AS INT), 0)"
 
 
 def airports_data(nation: DataFrame, region: DataFrame) -> DataFrame:
-    x = _letters(F.col("n_nationkey"))
     return (
         nation.filter(F.col("n_nationkey") != _UNMATCHED_NATION)
         .join(region, nation["n_regionkey"] == region["r_regionkey"], "left")
-        .select(
-            _airport_code(F.col("n_nationkey")).alias("airport_code"),
-            F.concat(
-                F.lit('{"en": "Nation '), x, F.lit(' Airport", "ru": "Нация '), x, F.lit('"}')
-            ).alias("airport_name"),
-            F.concat(F.lit('{"en": "'), F.col("r_name"), F.lit(' City", "ru": "Город"}')).alias("city"),
-            F.struct(
-                (F.col("n_nationkey") * F.lit(1.5)).alias("lon"),
-                (F.col("n_regionkey") * F.lit(10.0)).alias("lat"),
-            ).alias("coordinates"),
-            F.lit("UTC").alias("timezone"),
+        .selectExpr(
+            "concat('A', CAST(n_nationkey AS STRING)) AS airport_code",
+            f"""concat('{{"en": "Nation ', {_LETTERS}, ' Airport", "ru": "Нация ', {_LETTERS}, '"}}') AS airport_name""",
+            """concat('{"en": "', r_name, ' City", "ru": "Город"}') AS city""",
+            "named_struct('lon', n_nationkey * 1.5D, 'lat', n_regionkey * 10.0D) AS coordinates",
+            "'UTC' AS timezone",
         )
     )
 
 
 def aircrafts_data(part: DataFrame) -> DataFrame:
-    brands = part.select(F.col("p_brand").alias("aircraft_code")).distinct()
-    return brands.select(
-        "aircraft_code",
-        F.concat(F.lit('{"en": "Model '), F.col("aircraft_code"), F.lit('", "ru": "Модель"}')).alias("model"),
-        (F.length("aircraft_code") * F.lit(1000)).alias("range"),
+    return (
+        part.selectExpr("p_brand AS aircraft_code")
+        .distinct()
+        .selectExpr(
+            "aircraft_code",
+            """concat('{"en": "Model ', aircraft_code, '", "ru": "Модель"}') AS model""",
+            "length(aircraft_code) * 1000 AS range",
+        )
     )
 
 
 def seats(part: DataFrame) -> DataFrame:
-    return part.filter(F.col("p_size") <= 10).select(
-        F.col("p_brand").alias("aircraft_code"),
-        F.col("p_partkey").cast("string").alias("seat_no"),
-        F.when(F.col("p_type") == "LARGE", "Business")
-        .when(F.col("p_type") == "PROMO", "Comfort")
-        .otherwise("Economy")
-        .alias("fare_conditions"),
+    return part.filter(F.col("p_size") <= 10).selectExpr(
+        "p_brand AS aircraft_code",
+        "CAST(p_partkey AS STRING) AS seat_no",
+        "CASE WHEN p_type = 'LARGE' THEN 'Business' WHEN p_type = 'PROMO' THEN 'Comfort' ELSE 'Economy' END"
+        " AS fare_conditions",
     )
 
 
 def bookings(orders: DataFrame) -> DataFrame:
-    return orders.select(
-        F.col("o_orderkey").cast("string").alias("book_ref"),
-        F.col("o_orderdate").alias("book_date"),
-        F.col("o_totalprice").cast("decimal(12,2)").alias("total_amount"),
+    return orders.selectExpr(
+        "CAST(o_orderkey AS STRING) AS book_ref",
+        "o_orderdate AS book_date",
+        "CAST(o_totalprice AS DECIMAL(12,2)) AS total_amount",
     )
 
 
 def tickets(orders: DataFrame) -> DataFrame:
-    return orders.filter(F.col("o_orderkey") % 50 != 0).select(
-        F.col("o_orderkey").cast("string").alias("ticket_no"),
-        F.col("o_orderkey").cast("string").alias("book_ref"),
-        F.col("o_custkey").cast("string").alias("passenger_id"),
-        F.concat(F.lit("PASSENGER "), F.col("o_custkey").cast("string")).alias("passenger_name"),
-        F.concat(F.lit('{"phone": "+7'), F.lpad(F.col("o_custkey").cast("string"), 10, "0"), F.lit('"}')).alias(
-            "contact_data"
-        ),
+    return orders.filter(F.col("o_orderkey") % 50 != 0).selectExpr(
+        "CAST(o_orderkey AS STRING) AS ticket_no",
+        "CAST(o_orderkey AS STRING) AS book_ref",
+        "CAST(o_custkey AS STRING) AS passenger_id",
+        "concat('PASSENGER ', CAST(o_custkey AS STRING)) AS passenger_name",
+        """concat('{"phone": "+7', lpad(CAST(o_custkey AS STRING), 10, '0'), '"}') AS contact_data""",
     )
 
 
 def _segments(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     """lineitem x supplier with the departure key of every segment."""
-    d = F.datediff(F.to_date("l_shipdate"), F.to_date(F.lit(_EPOCH_DAY)))
-    d5 = d - d % 5
     seg = lineitem.join(supplier, lineitem["l_suppkey"] == supplier["s_suppkey"], "inner")
-    return seg.select(
+    return seg.selectExpr(
+        "l_orderkey", "l_linenumber", "l_extendedprice", "l_suppkey", "s_nationkey", f"{_DAYS} - {_DAYS} % 5 AS d5"
+    ).selectExpr(
         "l_orderkey",
         "l_linenumber",
         "l_extendedprice",
         "s_nationkey",
-        d5.alias("d5"),
-        ((F.col("s_nationkey").cast("long") * 10000 + d5) * 3 + F.col("l_suppkey") % 3).alias("flight_id"),
+        "d5",
+        "(CAST(s_nationkey AS BIGINT) * 10000 + d5) * 3 + l_suppkey % 3 AS flight_id",
     )
 
 
 def ticket_flights(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
-    seg = _segments(lineitem, supplier)
-    return seg.select(
-        F.col("l_orderkey").cast("string").alias("ticket_no"),
+    return _segments(lineitem, supplier).selectExpr(
+        "CAST(l_orderkey AS STRING) AS ticket_no",
         "flight_id",
-        F.when(F.col("l_linenumber") <= 4, "Economy")
-        .when(F.col("l_linenumber") <= 6, "Business")
-        .otherwise("Comfort")
-        .alias("fare_conditions"),
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("amount"),
+        "CASE WHEN l_linenumber <= 4 THEN 'Economy' WHEN l_linenumber <= 6 THEN 'Business' ELSE 'Comfort' END"
+        " AS fare_conditions",
+        "CAST(l_extendedprice AS DECIMAL(12,2)) AS amount",
     )
 
 
-def _minutes(m: Column) -> Column:
-    return F.make_dt_interval(F.lit(0), F.lit(0), m.cast("int"), F.lit(0))
-
-
 def flights(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     # One row per departure.  Nation and day are functions of flight_id, so
     # grouping by flight_id alone gives the distinct departures AND leaves
@@ -174,43 +162,36 @@ def flights(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     # whichever columns a consumer prunes, the aggregate and its exchange
     # stay identical, so Spark derives the departures once per query and
     # reuses the stage -- and a bigint keeps the fast hash aggregate.
-    packed = F.col("s_nationkey").cast("long") * _PACK + (F.col("d5") + _PACK // 2)
-    # A departure always has an id.  Stating it here also keeps every consumer's
-    # departures subtree identical (a join would otherwise add its own inferred
-    # IS NOT NULL below the aggregate), which is what lets Spark reuse the stage.
+    # A departure always has an id.  Stating it here also keeps every
+    # consumer's departures subtree identical (a join would otherwise add its
+    # own inferred IS NOT NULL below the aggregate).
+    half = _PACK // 2
     dep = (
         _segments(lineitem, supplier)
         .filter(F.col("flight_id").isNotNull())
         .groupBy("flight_id")
-        .agg(F.min(packed).alias("k"))
-        .select(
+        .agg(F.expr(f"min(CAST(s_nationkey AS BIGINT) * {_PACK} + (d5 + {half}))").alias("k"))
+        .selectExpr(
             "flight_id",
-            (F.col("k") / F.lit(_PACK)).cast("long").cast("int").alias("s_nationkey"),
-            (F.col("k") % _PACK - _PACK // 2).cast("int").alias("d5"),
+            f"CAST(k div {_PACK} AS INT) AS s_nationkey",
+            f"CAST(k % {_PACK} - {half} AS INT) AS d5",
         )
     )
-    fid = F.col("flight_id")
-    sched = F.to_timestamp_ntz(F.lit(f"{_EPOCH_DAY} 00:00:00")) + F.make_dt_interval(
-        F.col("d5"), F.lit(0), (fid * 37 % 1440).cast("int"), F.lit(0)
-    )
-    cancelled = fid % 13 == 0
-    no_arrival = cancelled | (fid % 17 == 0)
-    dep_offset = fid * 13 % 91 - 10
-    return dep.select(
-        fid,
-        F.concat(F.lit("PG"), F.lpad((fid % 10000).cast("string"), 4, "0")).alias("flight_no"),
-        sched.alias("scheduled_departure"),
-        (sched + _minutes(60 + fid * 7 % 400)).alias("scheduled_arrival"),
-        _airport_code(F.col("s_nationkey")).alias("departure_airport"),
-        _airport_code((F.col("s_nationkey") + 1 + fid % 23) % 25).alias("arrival_airport"),
-        F.when(cancelled, "Cancelled")
-        .when(fid % 17 == 0, "Departed")
-        .when(fid % 19 == 0, "Delayed")
-        .otherwise("Arrived")
-        .alias("status"),
-        F.concat(F.lit("Brand#"), (1 + fid % 25).cast("string")).alias("aircraft_code"),
-        F.when(~cancelled, sched + _minutes(dep_offset)).alias("actual_departure"),
-        F.when(~no_arrival, sched + _minutes(dep_offset + 45 + fid * 7 % 400)).alias("actual_arrival"),
+    sched = f"TIMESTAMP_NTZ'{_EPOCH_DAY} 00:00:00' + make_dt_interval(d5, 0, CAST(flight_id * 37 % 1440 AS INT), 0)"
+    dep_offset = "flight_id * 13 % 91 - 10"
+    return dep.selectExpr("flight_id", "s_nationkey", f"{sched} AS sched").selectExpr(
+        "flight_id",
+        "concat('PG', lpad(CAST(flight_id % 10000 AS STRING), 4, '0')) AS flight_no",
+        "sched AS scheduled_departure",
+        f"sched + {_minutes('60 + flight_id * 7 % 400')} AS scheduled_arrival",
+        "concat('A', CAST(s_nationkey AS STRING)) AS departure_airport",
+        "concat('A', CAST((s_nationkey + 1 + flight_id % 23) % 25 AS STRING)) AS arrival_airport",
+        "CASE WHEN flight_id % 13 = 0 THEN 'Cancelled' WHEN flight_id % 17 = 0 THEN 'Departed'"
+        " WHEN flight_id % 19 = 0 THEN 'Delayed' ELSE 'Arrived' END AS status",
+        "concat('Brand#', CAST(1 + flight_id % 25 AS STRING)) AS aircraft_code",
+        f"CASE WHEN flight_id % 13 <> 0 THEN sched + {_minutes(dep_offset)} END AS actual_departure",
+        f"CASE WHEN flight_id % 13 <> 0 AND flight_id % 17 <> 0"
+        f" THEN sched + {_minutes(f'{dep_offset} + 45 + flight_id * 7 % 400')} END AS actual_arrival",
     )
 
 
