@@ -120,23 +120,24 @@ def assemble_mart_from_metrics(
     seats: DataFrame,
     ticket_flights: DataFrame,
     tickets: DataFrame,
+    lang: str | None = None,
 ) -> DataFrame:
     """Same mart built from the seven standalone metrics (eight plans, seven
     joins).  Kept as the cross-check of the fused plan and for callers that
     want one metric family's exact standalone semantics."""
     keys = ["date", "airport_name"]
     parts = [
-        daily_bookings(bookings, tickets, ticket_flights, flights, airports_data).withColumnRenamed(
+        daily_bookings(bookings, tickets, ticket_flights, flights, airports_data, lang).withColumnRenamed(
             "book_date", "date"
         ),
-        daily_revenue(flights, airports_data, ticket_flights),
-        daily_airtime(flights, airports_data),
-        daily_departures_by_day_period(flights, airports_data),
-        daily_departure_delay(flights, airports_data),
-        daily_occupancy(flights, seats, ticket_flights, airports_data),
-        daily_occupancy_by_fare_class(seats, aircrafts_data, ticket_flights, flights, airports_data),
+        daily_revenue(flights, airports_data, ticket_flights, lang),
+        daily_airtime(flights, airports_data, lang),
+        daily_departures_by_day_period(flights, airports_data, lang),
+        daily_departure_delay(flights, airports_data, lang),
+        daily_occupancy(flights, seats, ticket_flights, airports_data, lang),
+        daily_occupancy_by_fare_class(seats, aircrafts_data, ticket_flights, flights, airports_data, lang),
     ]
-    joined = date_airport_spine(airports_data, flights, bookings)
+    joined = date_airport_spine(airports_data, flights, bookings, lang)
     for part in parts:
         joined = left_join(joined, part, keys)
     return _finish(joined)

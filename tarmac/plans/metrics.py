@@ -48,8 +48,10 @@ def completed_departures(flights: DataFrame, require_id: bool, require_arrived:
     return flights.filter(cond)
 
 
-def _named(departures: DataFrame, airports_data: DataFrame, small: bool | None = None) -> DataFrame:
-    names = airport_names(airports_data, small=small)
+def _named(
+    departures: DataFrame, airports_data: DataFrame, small: bool | None = None, lang: str | None = None
+) -> DataFrame:
+    names = airport_names(airports_data, lang, small)
     return departures.join(names, departures["departure_airport"] == names["airport_code"], "left")
 
 
@@ -86,6 +88,7 @@ def daily_bookings(
     ticket_flights: DataFrame,
     flights: DataFrame,
     airports_data: DataFrame,
+    lang: str | None = None,
 ) -> DataFrame:
     """Ticket segments per (booking day, departure airport name).
 
@@ -94,7 +97,7 @@ def daily_bookings(
     booking without ticket or a ticket without segment counts once under a
     NULL name.  Output: (book_date, airport_name, bookings).
     """
-    return bookings_by_day(bookings, tickets, ticket_flights, flights, airports_data).select(
+    return bookings_by_day(bookings, tickets, ticket_flights, flights, airports_data, lang=lang).select(
         day_string(F.col("day")).alias("book_date"), "airport_name", "bookings"
     )
 
@@ -132,12 +135,14 @@ def bookings_by_day(
 
 
 # --------------------------------------------------------------------- C4
-def daily_revenue(flights: DataFrame, airports_data: DataFrame, ticket_flights: DataFrame) -> DataFrame:
+def daily_revenue(
+    flights: DataFrame, airports_data: DataFrame, ticket_flights: DataFrame, lang: str | None = None
+) -> DataFrame:
     """Sum of segment amounts of Arrived departures, truncated to bigint.
     Output: (date, airport_name, revenue)."""
     deps = completed_departures(flights, require_id=True, require_arrived=True)
     per_flight = segments_by_departure(ticket_flights).select("flight_id", "flight_revenue")
-    joined = _named(left_join(deps, per_flight, "flight_id"), airports_data)
+    joined = _named(left_join(deps, per_flight, "flight_id"), airports_data, lang=lang)
     agg = joined.groupBy(_day_key(), "airport_name").agg(
         truncate_to_long(F.sum("flight_revenue")).alias("revenue")
     )
@@ -145,10 +150,10 @@ def daily_revenue(flights: DataFrame, airports_data: DataFrame, ticket_flights:
 
 
 # --------------------------------------------------------------------- C5
-def daily_airtime(flights: DataFrame, airports_data: DataFrame) -> DataFrame:
+def daily_airtime(flights: DataFrame, airports_data: DataFrame, lang: str | None = None) -> DataFrame:
     """Minutes between actual departure and arrival of Arrived departures,
     summed, /60, rounded to 2 dp.  Output: (date, airport_name, airtime_minutes)."""
-    deps = _named(completed_departures(flights, require_id=True, require_arrived=True), airports_data)
+    deps = _named(completed_departures(flights, require_id=True, require_arrived=True), airports_data, lang=lang)
     agg = deps.groupBy(_day_key(), "airport_name").agg(
         round2(
             minutes_from_seconds(F.sum(seconds_between(F.col("actual_arrival"), F.col("actual_departure"))))
@@ -158,22 +163,24 @@ def daily_airtime(flights: DataFrame, airports_data: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------- C6
-def daily_departures_by_day_period(flights: DataFrame, airports_data: DataFrame) -> DataFrame:
+def daily_departures_by_day_period(
+    flights: DataFrame, airports_data: DataFrame, lang: str | None = None
+) -> DataFrame:
     """Arrived departures per part of the day of the scheduled departure.
     Output: (date, airport_name, flights_early_morning, flights_morning,
     flights_afternoon, flights_evening)."""
-    deps = _named(completed_departures(flights, require_id=True, require_arrived=True), airports_data)
+    deps = _named(completed_departures(flights, require_id=True, require_arrived=True), airports_data, lang=lang)
     agg = deps.groupBy(_day_key(), "airport_name").agg(*period_counts(hour_of_day(F.col("scheduled_departure"))))
     return _publish(agg, *PERIOD_COLUMNS.values())
 
 
 # --------------------------------------------------------------------- C7
-def daily_departure_delay(flights: DataFrame, airports_data: DataFrame) -> DataFrame:
+def daily_departure_delay(flights: DataFrame, airports_data: DataFrame, lang: str | None = None) -> DataFrame:
     """Average seconds from scheduled to actual departure of completed
     departures of any status (early departures count negative), 2 dp.
     Grouped by airport name like every other metric, so two codes sharing a
     name give one row.  Output: (date, airport_name, avg_delay_seconds)."""
-    deps = _named(completed_departures(flights, require_id=False, require_arrived=False), airports_data)
+    deps = _named(completed_departures(flights, require_id=False, require_arrived=False), airports_data, lang=lang)
     agg = deps.groupBy(_day_key(), "airport_name").agg(
         round2(F.avg(seconds_between(F.col("actual_departure"), F.col("scheduled_departure")))).alias(
             "avg_delay_seconds"
@@ -184,7 +191,11 @@ def daily_departure_delay(flights: DataFrame, airports_data: DataFrame) -> DataF
 
 # --------------------------------------------------------------------- C8
 def daily_occupancy(
-    flights: DataFrame, seats: DataFrame, ticket_flights: DataFrame, airports_data: DataFrame
+    flights: DataFrame,
+    seats: DataFrame,
+    ticket_flights: DataFrame,
+    airports_data: DataFrame,
+    lang: str | None = None,
 ) -> DataFrame:
     """round(sum(passengers) / sum(seats) * 100, 2) over completed departures
     with an id -- a ratio of sums.  Output: (date, airport_name,
@@ -197,6 +208,7 @@ def daily_occupancy(
         left_join(left_join(deps, pax, "flight_id"), broadcast_if(cap, small["seats"]), "aircraft_code"),
         airports_data,
         small["airports"],
+        lang,
     )
     agg = joined.groupBy(_day_key(), "airport_name").agg(
         F.coalesce(percent_of(F.sum("passengers"), F.sum("seats")), F.lit(0.0)).alias("avg_occupancy_percent")
@@ -211,6 +223,7 @@ def daily_occupancy_by_fare_class(
     ticket_flights: DataFrame,
     flights: DataFrame,
     airports_data: DataFrame,
+    lang: str | None = None,
 ) -> DataFrame:
     """Occupancy per fare class, ratio of sums; seats only of aircraft listed
     in ``aircrafts_data``; a class with no seats gives 0 (no ANSI error).
@@ -224,7 +237,9 @@ def daily_occupancy_by_fare_class(
     cap = seat_capacity(seats, aircrafts_data, small["seats"]).select(
         "aircraft_code", *[f"seats_{c.lower()}" for c in FARE_CLASSES]
     )
-    joined = _named(left_join(left_join(deps, pax, "flight_id"), cap, "aircraft_code"), airports_data, small["airports"])
+    joined = _named(
+        left_join(left_join(deps, pax, "flight_id"), cap, "aircraft_code"), airports_data, small["airports"], lang
+    )
     agg = joined.groupBy(_day_key(), "airport_name").agg(
         *class_occupancy(
             {c: F.sum(f"passengers_{c.lower()}") for c in FARE_CLASSES},

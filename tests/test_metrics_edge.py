@@ -130,3 +130,9 @@ def test_mart_by_language_uses_one_name_everywhere(t):
     assert sum(r["bookings"] for r in rows if r["airport_name"] == "Beta") == sum(
         r["bookings"] for r in daily_airport_mart(*_mart_args(t)).collect() if r["airport_name"] == "Бета Аэропорт"
     )
+
+
+def test_assembled_mart_by_language_equals_fused(t):
+    fused = daily_airport_mart(*_mart_args(t), lang="en").collect()
+    assembled = assemble_mart_from_metrics(*_mart_args(t), lang="en").collect()
+    assert [tuple(r) for r in fused] == [tuple(r) for r in assembled]
