@@ -80,3 +80,13 @@ def test_grid_broadcasts_days_when_names_are_not_small(spark, stored):
     tree = [line for line in plan.split("\n\n")[0].splitlines() if "NestedLoopJoin" in line]
     assert tree and all("BroadcastNestedLoopJoin" in line for line in tree), tree
     assert "CartesianProduct" not in plan
+
+
+def test_null_name_branches_are_pruned_inside_the_mart(stored):
+    from tarmac import daily_bookings
+
+    mart_plan = _plan(daily_airport_mart(*(stored[n] for n in ORDER)))
+    assert "LeftAnti" not in mart_plan  # NULL-name rows can never match the grid
+    alone = _plan(daily_bookings(stored["bookings"], stored["tickets"], stored["ticket_flights"],
+                                 stored["flights"], stored["airports_data"]))
+    assert "LeftAnti" in alone  # standalone, NULL-name groups are part of the answer
