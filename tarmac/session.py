@@ -46,6 +46,9 @@ def large_scale_settings(input_bytes: int, largest_shuffle_fraction: float = 0.1
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * mb),
+        # coalesce to the advisory size rather than to one task per core: no
+        # swarm of tiny tasks on a busy cluster
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * mb),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     }
