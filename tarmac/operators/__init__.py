@@ -1,6 +1,13 @@
 """Relational building blocks: size-checked broadcast, joins, aggregates."""
 
-from tarmac.operators.joins import bounded_broadcast, left_join
+from tarmac.operators.joins import (
+    all_at_most,
+    bounded_broadcast,
+    broadcast_if,
+    has_at_most,
+    left_join,
+    left_join_fanout,
+)
 from tarmac.operators.relational import (
     conditional_counts,
     drop_null_rows,
@@ -11,12 +18,16 @@ from tarmac.operators.relational import (
 )
 
 __all__ = [
+    "all_at_most",
     "bounded_broadcast",
+    "broadcast_if",
+    "has_at_most",
     "conditional_counts",
     "drop_null_rows",
     "fill_null_numeric",
     "filter_equals",
     "left_join",
+    "left_join_fanout",
     "range_predicate",
     "union_distinct",
 ]
