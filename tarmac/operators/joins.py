@@ -92,6 +92,9 @@ def left_join_fanout(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     which returns exactly the rows of the left outer join.  Both branches
     shuffle ``left`` identically, so Spark reuses that exchange.
     """
+    clash = (set(left.columns) & set(right.columns)) - {key}
+    if clash:
+        raise ValueError(f"left_join_fanout: columns on both sides besides {key!r}: {sorted(clash)}")
     matched = left.join(right, key, "inner")
     unmatched = left.join(right.select(key).distinct(), key, "left_anti")
     padding = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != key]

@@ -55,3 +55,13 @@ def test_left_join_fanout_equals_left_join(spark):
         expected = sorted(map(tuple, ldf.join(rdf, "k", "left").collect()), key=str)
         got = sorted(map(tuple, left_join_fanout(ldf, rdf, "k").collect()), key=str)
         assert got == expected
+
+
+def test_left_join_fanout_rejects_ambiguous_columns(spark):
+    import pytest
+
+    from tarmac.operators.joins import left_join_fanout
+
+    with pytest.raises(ValueError):
+        left_join_fanout(spark.range(3).selectExpr("id AS k", "id AS v"),
+                         spark.range(3).selectExpr("id AS k", "id AS v"), "k")
