@@ -9,7 +9,7 @@ import __spark_entry__ as entry_module
 from tarmac.schemas import MART_COLUMNS
 
 from .conftest import SF_SMALL
-from tools.oracle_check import DRIVER_TABLES, rows_multiset
+from tools.oracle_check import DRIVER_TABLES, rows_multiset, type_family
 
 QUERIES = entry_module.queries()
 ORACLE = entry_module.oracle_sql()
@@ -40,6 +40,9 @@ def test_query_matches_oracle(spark, duck, name):
     sdf = QUERIES[name](spark, SF_SMALL)
     rel = duck.sql(ORACLE[name])
     assert sorted(sdf.columns) == sorted(rel.columns)
+    duck_types = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    for field in sdf.schema:
+        assert type_family(field.dataType.simpleString()) == type_family(duck_types[field.name]), field.name
     s_rows = [tuple(r) for r in sdf.collect()]
     d_rows = rel.fetchall()
     assert len(s_rows) == len(d_rows)

@@ -40,6 +40,24 @@ def _norm(v):
     return repr(v)
 
 
+_SPARK_FAMILY = {
+    "bigint": "int64", "int": "int32", "smallint": "int16", "tinyint": "int8", "double": "float64",
+    "float": "float32", "string": "string", "boolean": "bool", "date": "date",
+    "timestamp_ntz": "timestamp", "timestamp": "timestamp",
+}
+_DUCK_FAMILY = {
+    "BIGINT": "int64", "INTEGER": "int32", "SMALLINT": "int16", "TINYINT": "int8", "DOUBLE": "float64",
+    "FLOAT": "float32", "VARCHAR": "string", "BOOLEAN": "bool", "DATE": "date", "TIMESTAMP": "timestamp",
+}
+
+
+def type_family(spark_or_duck: str) -> str:
+    t = spark_or_duck.strip()
+    if t.lower().startswith("decimal"):
+        return "decimal"
+    return _SPARK_FAMILY.get(t, _DUCK_FAMILY.get(t.upper(), t))
+
+
 def rows_multiset(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return Counter(tuple(_norm(r[i]) for i in order) for r in rows)
@@ -98,6 +116,11 @@ def main(argv):
                 diff_b = list((b - a).items())[:3]
                 msgs.append(f"values differ: spark-only {diff_a} duck-only {diff_b}")
         types = dict(zip(s_cols, s_types)), dict(zip(d_cols, d_types))
+        if ok:
+            wrong = {c: (types[0][c], types[1][c]) for c in s_cols if type_family(types[0][c]) != type_family(types[1][c])}
+            if wrong:
+                ok = False
+                msgs.append(f"type families differ: {wrong}")
         status = "OK  " if ok else "FAIL"
         bad += not ok
         print(f"{status} {name}: {len(s_rows)} rows ({ts:.1f}s) types spark={types[0]} duck={types[1]}")
