@@ -76,3 +76,17 @@ def test_command_line_job_partitioned_by_date(spark):
     parts = {d for d in os.listdir(base + "/out/daily_airport_mart") if d.startswith("date=")}
     assert parts == {"date=2020-01-30", "date=2020-01-31"}
     assert spark.read.parquet(base + "/out/daily_airport_mart").count() == 8
+
+
+def test_command_line_source_building():
+    from tarmac.__main__ import _source
+
+    wh = _source("bigquery", None, "proj.flights_database", "stage-bucket")
+    assert wh.format == "bigquery" and wh.reader_options("aggregates") == {
+        "temporaryGcsBucket": "stage-bucket",
+        "table": "proj.flights_database.aggregates",
+    }
+    files = _source("orc", "/data/{name}", None, None)
+    assert files.format == "orc" and files.path("flights") == "/data/flights"
+    with pytest.raises(SystemExit):
+        _source("parquet", None, None, None)
