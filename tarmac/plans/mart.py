@@ -13,8 +13,10 @@ Plan, instead of eight separate scans of departures and seven joins:
   mart       = spine LEFT JOIN ops LEFT JOIN booked on (day, airport_name),
                zero-filled, ordered by (date, airport_name)
 
-Both aggregates come out hash-partitioned on (day, airport_name), so the two
-final joins shuffle only the spine.
+One size-check job (check_dimensions) licenses both broadcasts.  Both
+aggregates come out hash-partitioned on (day, airport_name), so the two final
+joins shuffle only the spine.  Rows with a NULL airport name can never match
+the spine, so Catalyst prunes the NULL-name branches of the bookings chain.
 """
 
 from __future__ import annotations
