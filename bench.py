@@ -44,6 +44,16 @@ HEADLINE = [
 ]
 
 
+def default_driver_memory() -> str:
+    """60% of this machine's RAM, at most 16 GB (local mode: the driver is the executor)."""
+    try:
+        with open("/proc/meminfo") as fh:
+            kb = next(int(line.split()[1]) for line in fh if line.startswith("MemTotal:"))
+        return f"{max(1, min(16, int(kb * 0.6 / 1024**2)))}g"
+    except (OSError, StopIteration, ValueError):
+        return "4g"
+
+
 def run_once(spark, fn, sf_dir) -> float:
     t0 = time.perf_counter()
     fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -85,7 +95,7 @@ def main() -> None:
         master=f"local[{cpus}]",
         app_name="tarmac-bench",
         shuffle_partitions=max(8, 2 * cpus),
-        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
+        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", default_driver_memory())},
     )
     queries = all_queries()
     warmup = int(os.environ.get("BENCH_WARMUP", "4"))
