@@ -76,6 +76,7 @@ def golden_tables(spark):
     return {name: spark.createDataFrame(data, schemas.DOMAIN_SCHEMAS[name]) for name, data in rows.items()}
 
 
+# The expected 8-row output of the reference's end-to-end test.
 GOLDEN_EXPECTED = {
     "date": ["2020-01-30"] * 4 + ["2020-01-31"] * 4,
     "airport_name": [
