@@ -80,8 +80,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     Taken from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir).  Only when neither is set -- local runs and tests -- a
-    scratch folder is created and registered.
+    checkpoint dir).  Only when neither is set AND Spark runs in local mode
+    (tests, local runs) is a scratch folder created and registered; on a
+    cluster an unset folder is an error, never a machine-local path.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -91,6 +92,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local"):
+            # A machine-local folder would scatter written tables across nodes.
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="tarmac-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
