@@ -16,3 +16,27 @@ def test_checkpoint_dir_is_taken_from_the_session(spark):
     first = checkpoint_dir(spark)
     assert first and checkpoint_dir(spark) == first  # set once, then reused
     assert spark.sparkContext.getCheckpointDir() == first
+
+
+def test_checkpoint_dir_never_falls_back_to_a_local_folder_on_a_cluster():
+    import pytest
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Context:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return _Conf()
+
+    class _Session:
+        sparkContext = _Context()
+        conf = _Conf()
+
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(_Session())
