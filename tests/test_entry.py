@@ -6,13 +6,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from tarmac.catalog import all_queries
 from tarmac.schemas import MART_COLUMNS
 
 from .conftest import SF_SMALL
 from tools.oracle_check import DRIVER_TABLES, rows_multiset, type_family
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+QUERIES = all_queries()
+ORACLE = {k: v for k, v in entry_module.oracle_sql().items() if k in QUERIES}
 
 
 def test_entry_smoke(spark):
