@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tarmac.llm.decontaminate import op10_decontamination
 from tarmac.llm.quality_classifier import op5_quality_classifier
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_classifier": op5_quality_classifier,
+    "op10_decontamination": op10_decontamination,
 }
 
 #: DuckDB SQL of the queries that SQL can express.

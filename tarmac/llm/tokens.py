@@ -29,6 +29,7 @@ _LOWER[0x41:0x5B] += 32
 _BYTE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE_LOWER = _BYTE[_LOWER]
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_HASHED_AT_ONCE = 1 << 14
 _powers = np.ones(1, np.uint64)
 
 
@@ -104,11 +105,17 @@ def words(data: np.ndarray, text_start: np.ndarray, table: np.ndarray = SPACE_SE
     first = np.searchsorted(start, text_start)
     if not len(start):
         return Words(data, text_start, start, end, np.zeros(0, np.uint64), first)
-    length = end - start
-    at = np.cumsum(length) - length
-    place = np.arange(at[-1] + length[-1]) - np.repeat(at, length)
-    weighted = (_BYTE_LOWER if lower else _BYTE)[data[inside]] * _power_table(int(length.max()))[place]
-    return Words(data, text_start, start, end, mix(np.add.reduceat(weighted, at)), first)
+    byte_hash = _BYTE_LOWER if lower else _BYTE
+    powers = _power_table(int((end - start).max()))
+    hashes = np.empty(len(start), np.uint64)
+    for lo in range(0, len(start), _HASHED_AT_ONCE):  # bounds the scratch arrays of a very long text
+        s, e = start[lo : lo + _HASHED_AT_ONCE], end[lo : lo + _HASHED_AT_ONCE]
+        length = e - s
+        at = np.cumsum(length) - length
+        place = np.arange(at[-1] + length[-1]) - np.repeat(at, length)
+        letters = data[s[0] : e[-1]][inside[s[0] : e[-1]]]
+        hashes[lo : lo + len(s)] = np.add.reduceat(byte_hash[letters] * powers[place], at)
+    return Words(data, text_start, start, end, mix(hashes), first)
 
 
 def slices(text_start: np.ndarray, max_bytes: int) -> Iterator[tuple[int, int]]:
