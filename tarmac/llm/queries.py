@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.llm.decontaminate import op10_decontamination
+from tarmac.llm.near_duplicates import op4_near_duplicates
 from tarmac.llm.quality_classifier import op5_quality_classifier
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_quality_classifier": op5_quality_classifier,
     "op10_decontamination": op10_decontamination,
 }
