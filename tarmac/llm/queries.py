@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.llm.decontaminate import op10_decontamination
+from tarmac.llm.language_model import op2_language_model
 from tarmac.llm.near_duplicates import op4_near_duplicates
 from tarmac.llm.quality_classifier import op5_quality_classifier
 from tarmac.llm.token_output import op3_token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_model": op2_language_model,
     "op3_token_output": op3_token_output,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_quality_classifier": op5_quality_classifier,
