@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.llm.decontaminate import op10_decontamination
 from tarmac.llm.language_model import op2_language_model
+from tarmac.llm.mixing import SQL as OP8_SQL
+from tarmac.llm.mixing import op8_mixing
 from tarmac.llm.near_duplicates import op4_near_duplicates
 from tarmac.llm.quality_classifier import op5_quality_classifier
 from tarmac.llm.token_output import op3_token_output
@@ -17,8 +19,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_output": op3_token_output,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_quality_classifier": op5_quality_classifier,
+    "op8_mixing": op8_mixing,
     "op10_decontamination": op10_decontamination,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_mixing": OP8_SQL,
+}
