@@ -12,9 +12,12 @@ from tarmac.llm.mixing import SQL as OP8_SQL
 from tarmac.llm.mixing import op8_mixing
 from tarmac.llm.near_duplicates import op4_near_duplicates
 from tarmac.llm.quality_classifier import op5_quality_classifier
+from tarmac.llm.quality_rules import SQL as OP1_SQL
+from tarmac.llm.quality_rules import op1_quality_rules
 from tarmac.llm.token_output import op3_token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_language_model": op2_language_model,
     "op3_token_output": op3_token_output,
     "op4_near_duplicates": op4_near_duplicates,
@@ -25,5 +28,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": OP1_SQL,
     "op8_mixing": OP8_SQL,
 }
