@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.llm.decontaminate import op10_decontamination
+from tarmac.llm.html_text import op6_html_extraction
 from tarmac.llm.language_model import op2_language_model
 from tarmac.llm.mixing import SQL as OP8_SQL
 from tarmac.llm.mixing import op8_mixing
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_output": op3_token_output,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_html_extraction": op6_html_extraction,
     "op8_mixing": op8_mixing,
     "op10_decontamination": op10_decontamination,
 }
