@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tarmac.llm.decontaminate import op10_decontamination
 from tarmac.llm.html_text import op6_html_extraction
 from tarmac.llm.language_model import op2_language_model
+from tarmac.llm.line_dedup import SQL as OP9_SQL
+from tarmac.llm.line_dedup import op9_line_dedup
 from tarmac.llm.mixing import SQL as OP8_SQL
 from tarmac.llm.mixing import op8_mixing
 from tarmac.llm.near_duplicates import op4_near_duplicates
+from tarmac.llm.pseudonyms import op7_pseudonyms
 from tarmac.llm.quality_classifier import op5_quality_classifier
 from tarmac.llm.quality_rules import SQL as OP1_SQL
 from tarmac.llm.quality_rules import op1_quality_rules
@@ -24,7 +27,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_duplicates": op4_near_duplicates,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_html_extraction": op6_html_extraction,
+    "op7_pseudonyms": op7_pseudonyms,
     "op8_mixing": op8_mixing,
+    "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
 }
 
@@ -32,4 +37,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": OP1_SQL,
     "op8_mixing": OP8_SQL,
+    "op9_line_dedup": OP9_SQL,
 }
