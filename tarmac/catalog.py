@@ -1,7 +1,8 @@
 """Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
 
-Every query reads the driver tables under ``sf_dir`` through the binding, so
-its work grows with them.  ``tarmac.oracle.ORACLE_SQL`` holds the DuckDB
+Every query reads the driver tables under ``sf_dir`` through the binding; all
+but the four on airport names alone (``nation`` and ``region``, 25 rows at any
+scale) grow with them.  ``tarmac.oracle.ORACLE_SQL`` holds the DuckDB
 counterpart of each name that is expressible in SQL.
 """
 
@@ -37,9 +38,9 @@ def _mart_args(t: dict[str, DataFrame]) -> tuple[DataFrame, ...]:
         t["aircrafts_data"],
         t["airports_data"],
         t["bookings"],
-        t["flights"],
+        t["departures"],
         t["seats"],
-        t["ticket_flights"],
+        t["segments"],
         t["tickets"],
     )
 
@@ -59,43 +60,50 @@ def q_airports_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_date_airport_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = bind_domain_tables(spark, sf_dir)
-    return date_airport_spine(t["airports_data"], t["flights"], t["bookings"])
+    return date_airport_spine(t["airports_data"], t["departures"], t["bookings"])
+
+
+def q_cross_join_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3, the product itself: every scheduled departure day with every airport code."""
+    t = bind_domain_tables(spark, sf_dir)
+    days = t["departures"].select(F.to_date("scheduled_departure").alias("day")).distinct()
+    return days.crossJoin(t["airports_data"].select("airport_code"))
 
 
 def q_daily_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = bind_domain_tables(spark, sf_dir)
-    return daily_bookings(t["bookings"], t["tickets"], t["ticket_flights"], t["flights"], t["airports_data"])
+    return daily_bookings(t["bookings"], t["tickets"], t["segments"], t["departures"], t["airports_data"])
 
 
 def q_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = bind_domain_tables(spark, sf_dir)
-    return daily_revenue(t["flights"], t["airports_data"], t["ticket_flights"])
+    return daily_revenue(t["departures"], t["airports_data"], t["segments"])
 
 
 def q_daily_airtime(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = bind_domain_tables(spark, sf_dir)
-    return daily_airtime(t["flights"], t["airports_data"])
+    return daily_airtime(t["departures"], t["airports_data"])
 
 
 def q_daily_departures_by_day_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = bind_domain_tables(spark, sf_dir)
-    return daily_departures_by_day_period(t["flights"], t["airports_data"])
+    return daily_departures_by_day_period(t["departures"], t["airports_data"])
 
 
 def q_daily_departure_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = bind_domain_tables(spark, sf_dir)
-    return daily_departure_delay(t["flights"], t["airports_data"])
+    return daily_departure_delay(t["departures"], t["airports_data"])
 
 
 def q_daily_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = bind_domain_tables(spark, sf_dir)
-    return daily_occupancy(t["flights"], t["seats"], t["ticket_flights"], t["airports_data"])
+    return daily_occupancy(t["departures"], t["seats"], t["segments"], t["airports_data"])
 
 
 def q_daily_occupancy_by_fare_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = bind_domain_tables(spark, sf_dir)
     return daily_occupancy_by_fare_class(
-        t["seats"], t["aircrafts_data"], t["ticket_flights"], t["flights"], t["airports_data"]
+        t["seats"], t["aircrafts_data"], t["segments"], t["departures"], t["airports_data"]
     )
 
 
@@ -119,7 +127,7 @@ def q_overwrite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 BUSINESS_QUERIES: dict[str, Query] = {
     "airports_clean": q_airports_clean,
     "date_airport_spine": q_date_airport_spine,
-    "cross_join_spine": q_date_airport_spine,
+    "cross_join_spine": q_cross_join_spine,
     "daily_bookings": q_daily_bookings,
     "daily_revenue": q_daily_revenue,
     "daily_airtime": q_daily_airtime,

@@ -31,7 +31,8 @@ def seconds_between(later: Column, earlier: Column) -> Column:
 
 
 def hour_of_day(ts: Column) -> Column:
-    return F.hour(ts)
+    """Hour of a timestamp, or of its text."""
+    return F.hour(ts.cast("timestamp"))
 
 
 def day_period(hour: Column) -> Column:

@@ -1,12 +1,11 @@
-"""Relational building blocks: size-checked broadcast, joins, aggregates."""
+"""Relational building blocks: joins that spread hot keys, filters, aggregates."""
 
 from tarmac.operators.joins import (
-    all_at_most,
-    bounded_broadcast,
-    broadcast_if,
-    has_at_most,
     left_join,
     left_join_fanout,
+    left_join_few_codes,
+    left_join_unique,
+    split_left_join,
 )
 from tarmac.operators.relational import (
     conditional_counts,
@@ -18,16 +17,15 @@ from tarmac.operators.relational import (
 )
 
 __all__ = [
-    "all_at_most",
-    "bounded_broadcast",
-    "broadcast_if",
-    "has_at_most",
     "conditional_counts",
     "drop_null_rows",
     "fill_null_numeric",
     "filter_equals",
     "left_join",
     "left_join_fanout",
+    "left_join_few_codes",
+    "left_join_unique",
     "range_predicate",
+    "split_left_join",
     "union_distinct",
 ]

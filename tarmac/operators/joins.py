@@ -1,8 +1,8 @@
-"""Joins against dimension-like tables.
+"""Left joins that keep hot and NULL keys out of single tasks.
 
-A broadcast hint is only attached after a bounded row count proves the side is
-small; otherwise the join is left to Catalyst's size statistics and AQE, which
-may still turn it into a broadcast at run time when the real size is known.
+No join here carries a broadcast hint: Catalyst broadcasts a side that its
+statistics bound (``spark.sql.autoBroadcastJoinThreshold``), and AQE one that
+turns out small.  Nothing is counted while a plan is being built.
 """
 
 from __future__ import annotations
@@ -12,90 +12,69 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest row count broadcast on the strength of a count check.  A dimension
-# row here is a few short strings, so this stays in the tens of megabytes.
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+# Groups over which rows without a key, or the copies of a small right side, are spread.
+NULL_SPREAD = 1024
+CODE_SALTS = 16
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``limit`` stops each task after ``max_rows + 1`` rows, so the check reads
-    at most that much per partition however big the table is.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
+def left_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: str | Sequence[str] | Column,
+) -> DataFrame:
+    """Left outer equi-join of a left side whose keys are few rows each."""
+    return left.join(right, on=on, how="left")
 
 
-def all_at_most(tables: dict[str, DataFrame], max_rows: int) -> dict[str, bool]:
-    """``has_at_most`` for several tables in ONE Spark job.
+def left_join_unique(left: DataFrame, right: DataFrame, key: str, spread_by: Sequence[str]) -> DataFrame:
+    """``left LEFT JOIN right USING (key)`` where ``right`` has one row a key.
 
-    Each table contributes at most ``max_rows + 1`` tagged rows; the per-tag
-    counts come back as a handful of rows.
+    Rows without a key match nothing; they are dealt over ``NULL_SPREAD``
+    groups by a hash of ``spread_by`` instead of all to one task.  (The second
+    join key is a function of the first: a constant would be folded away.)
     """
-    if not tables:
-        return {}
-    parts = [
-        df.select(F.lit(tag).alias("tag")).limit(max_rows + 1) for tag, df in tables.items()
-    ]
-    tagged = parts[0]
-    for part in parts[1:]:
-        tagged = tagged.unionByName(part)
-    counts = {row["tag"]: row["n"] for row in tagged.groupBy("tag").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {tag: counts.get(tag, 0) <= max_rows for tag in tables}
-
-
-def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
-    """Attach the broadcast hint only when a size check said ``small``."""
-    return F.broadcast(df) if small else df
-
-
-def bounded_broadcast(
-    df: DataFrame,
-    max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-    bound_by: DataFrame | None = None,
-) -> DataFrame:
-    """``broadcast(df)`` if it provably has at most ``max_rows`` rows, else ``df``.
+    own = F.xxhash64(key) % 2
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SPREAD))).otherwise(own)
+    return left.withColumn("_spread", spread).join(right.withColumn("_spread", own), [key, "_spread"], "left").drop("_spread")
 
-    ``bound_by`` is a cheaper relation whose row count bounds ``df``'s (for an
-    aggregate, its input); the check runs on it instead of ``df``.
-    """
-    probe = df if bound_by is None else bound_by
-    return broadcast_if(df, has_at_most(probe, max_rows))
 
+def left_join_few_codes(left: DataFrame, right: DataFrame, key: str, spread_by: Sequence[str]) -> DataFrame:
+    """``left LEFT JOIN right USING (key)`` where very many rows share few keys.
 
-def left_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: str | Sequence[str] | Column,
-) -> DataFrame:
-    """Left outer equi-join.
-
-    Callers pre-aggregate ``right`` to one row per key where it can fan out,
-    so a hot key only ever sits on the left side, which AQE's skew handling
-    splits (``spark.sql.adaptive.skewJoin.enabled``).
+    ``right`` (one row a key) is copied ``CODE_SALTS`` times and each left row
+    meets one copy, so a code that a third of the rows hold is many tasks' work.
     """
-    return left.join(right, on=on, how="left")
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(CODE_SALTS)).cast("int"))
+    copies = right.withColumn("_salt", F.explode(F.array([F.lit(i) for i in range(CODE_SALTS)])))
+    return salted.join(copies, [key, "_salt"], "left").drop("_salt")
 
 
-def left_join_fanout(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """``left LEFT JOIN right USING (key)`` for a right side that may repeat a
-    key many times (one booking's tickets, one ticket's segments).
+def split_left_join(left: DataFrame, right: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The two parts of ``left LEFT JOIN right USING (key)``: joined rows, and
+    left rows without a match (left columns only), so that the latter can pass
+    by later joins.
 
     AQE can split a skewed key only on the left side of a left outer join, so
     a hot right-side key would land in one task.  Written instead as
 
-      left INNER JOIN right          -- AQE splits a hot key on either side
-      UNION ALL
-      left LEFT ANTI JOIN distinct(right.key), right columns NULL
-                                     -- partial aggregation collapses hot keys
+      left INNER JOIN right                    -- AQE splits a hot key on either side
+      left LEFT ANTI JOIN distinct(right.key)  -- partial aggregation collapses hot keys
 
-    which returns exactly the rows of the left outer join.  Both branches
-    shuffle ``left`` identically, so Spark reuses that exchange.
+    Left rows without a key go to the second part without a join.
     """
     clash = (set(left.columns) & set(right.columns)) - {key}
     if clash:
-        raise ValueError(f"left_join_fanout: columns on both sides besides {key!r}: {sorted(clash)}")
+        raise ValueError(f"columns on both sides besides {key!r}: {sorted(clash)}")
+    keyed = left.filter(F.col(key).isNotNull())
     matched = left.join(right, key, "inner")
-    unmatched = left.join(right.select(key).distinct(), key, "left_anti")
+    unmatched = keyed.join(right.select(key).distinct(), key, "left_anti").select(*left.columns)
+    return matched, unmatched.unionByName(left.filter(F.col(key).isNull()))
+
+
+def left_join_fanout(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``left LEFT JOIN right USING (key)`` for a right side that may repeat a
+    key many times (one booking's tickets, one ticket's segments); exactly the
+    rows of the left outer join, see ``split_left_join``."""
+    matched, unmatched = split_left_join(left, right, key)
     padding = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != key]
     return matched.unionByName(unmatched.select(*unmatched.columns, *padding))

@@ -6,60 +6,68 @@ while Spark re-associates it).
 """
 
 from tarmac.oracle.binding import day_text, epoch_s, r2, with_domain
+from tarmac.schemas import PERIOD_COLUMNS
 
 _COMPLETED = "f.actual_departure IS NOT NULL AND f.actual_arrival IS NOT NULL"
 _ARRIVED = f"f.flight_id IS NOT NULL AND {_COMPLETED} AND f.status = 'Arrived'"
 
+_PERIOD_COUNTS = ", ".join(
+    f"CAST(count_if(hour(f.scheduled_departure) >= {6 * i} AND hour(f.scheduled_departure) < {6 * i + 6}) AS BIGINT) AS {c}"
+    for i, c in enumerate(PERIOD_COLUMNS.values())
+)
+
 # Each metric as (CTE name, SELECT ...) so the mart can reuse them.
 METRIC_CTES = {
     "m_bookings": f"""
 SELECT {day_text('b.book_date')} AS book_date, a.airport_name, count(*) AS bookings
 FROM bookings b
 LEFT JOIN tickets t ON b.book_ref = t.book_ref
-LEFT JOIN ticket_flights tf ON t.ticket_no = tf.ticket_no
-LEFT JOIN flights f ON tf.flight_id = f.flight_id
+LEFT JOIN segments tf ON t.ticket_no = tf.ticket_no
+LEFT JOIN departures f ON tf.flight_id = f.flight_id
 LEFT JOIN names a ON f.departure_airport = a.airport_code
 GROUP BY 1, 2""",
     "m_revenue": f"""
 SELECT {day_text('f.scheduled_departure')} AS date, a.airport_name,
        CAST(trunc(sum(r.flight_revenue)) AS BIGINT) AS revenue
-FROM flights f
+FROM departures f
 LEFT JOIN names a ON f.departure_airport = a.airport_code
-LEFT JOIN (SELECT flight_id, sum(amount) AS flight_revenue FROM ticket_flights GROUP BY flight_id) r
+LEFT JOIN (SELECT flight_id, sum(amount) AS flight_revenue FROM segments GROUP BY flight_id) r
   ON f.flight_id = r.flight_id
 WHERE {_ARRIVED}
 GROUP BY 1, 2""",
     "m_airtime": f"""
 SELECT {day_text('f.scheduled_departure')} AS date, a.airport_name,
        {r2(f"sum({epoch_s('f.actual_arrival')} - {epoch_s('f.actual_departure')}) / 60")} AS airtime_minutes
-FROM flights f LEFT JOIN names a ON f.departure_airport = a.airport_code
+FROM departures f LEFT JOIN names a ON f.departure_airport = a.airport_code
 WHERE {_ARRIVED}
 GROUP BY 1, 2""",
     "m_periods": f"""
 SELECT {day_text('f.scheduled_departure')} AS date, a.airport_name,
-       CAST(count_if(hour(f.scheduled_departure) >= 0 AND hour(f.scheduled_departure) < 6) AS BIGINT)
-         AS flights_early_morning,
-       CAST(count_if(hour(f.scheduled_departure) >= 6 AND hour(f.scheduled_departure) < 12) AS BIGINT)
-         AS flights_morning,
-       CAST(count_if(hour(f.scheduled_departure) >= 12 AND hour(f.scheduled_departure) < 18) AS BIGINT)
-         AS flights_afternoon,
-       CAST(count_if(hour(f.scheduled_departure) >= 18 AND hour(f.scheduled_departure) < 24) AS BIGINT)
-         AS flights_evening
-FROM flights f LEFT JOIN names a ON f.departure_airport = a.airport_code
+       {_PERIOD_COUNTS}
+FROM departures f LEFT JOIN names a ON f.departure_airport = a.airport_code
 WHERE {_ARRIVED}
 GROUP BY 1, 2""",
+    # one row a day and airport code, then the code's name
     "m_delay": f"""
+SELECT d.date, a.airport_name, d.avg_delay_seconds
+FROM (SELECT f.departure_airport, {day_text('f.scheduled_departure')} AS date,
+             {r2(f"CAST(sum({epoch_s('f.actual_departure')} - {epoch_s('f.scheduled_departure')}) AS DOUBLE) / count(*)")}
+               AS avg_delay_seconds
+      FROM departures f WHERE {_COMPLETED} GROUP BY 1, 2) d
+LEFT JOIN names a ON d.departure_airport = a.airport_code""",
+    # the mart's: codes that share a name together
+    "m_delay_by_name": f"""
 SELECT {day_text('f.scheduled_departure')} AS date, a.airport_name,
        {r2(f"CAST(sum({epoch_s('f.actual_departure')} - {epoch_s('f.scheduled_departure')}) AS DOUBLE) / count(*)")}
          AS avg_delay_seconds
-FROM flights f LEFT JOIN names a ON f.departure_airport = a.airport_code
+FROM departures f LEFT JOIN names a ON f.departure_airport = a.airport_code
 WHERE {_COMPLETED}
 GROUP BY 1, 2""",
     "m_occupancy": f"""
 SELECT {day_text('f.scheduled_departure')} AS date, a.airport_name,
        coalesce({r2("sum(p.passengers) / nullif(sum(c.seats), 0) * 100")}, 0.0) AS avg_occupancy_percent
-FROM flights f
-LEFT JOIN (SELECT flight_id, count(*) AS passengers FROM ticket_flights GROUP BY flight_id) p
+FROM departures f
+LEFT JOIN (SELECT flight_id, count(*) AS passengers FROM segments GROUP BY flight_id) p
   ON f.flight_id = p.flight_id
 LEFT JOIN (SELECT aircraft_code, count(*) AS seats FROM seats GROUP BY aircraft_code) c
   ON f.aircraft_code = c.aircraft_code
@@ -71,10 +79,10 @@ SELECT {day_text('f.scheduled_departure')} AS date, a.airport_name,
        coalesce({r2("sum(p.pe) / nullif(sum(c.se), 0) * 100")}, 0.0) AS avg_occupancy_economy,
        coalesce({r2("sum(p.pb) / nullif(sum(c.sb), 0) * 100")}, 0.0) AS avg_occupancy_business,
        coalesce({r2("sum(p.pc) / nullif(sum(c.sc), 0) * 100")}, 0.0) AS avg_occupancy_comfort
-FROM flights f
+FROM departures f
 LEFT JOIN (SELECT flight_id, count_if(fare_conditions = 'Economy') AS pe,
                   count_if(fare_conditions = 'Business') AS pb, count_if(fare_conditions = 'Comfort') AS pc
-           FROM ticket_flights GROUP BY flight_id) p
+           FROM segments GROUP BY flight_id) p
   ON f.flight_id = p.flight_id
 LEFT JOIN (SELECT aircraft_code, count_if(fare_conditions = 'Economy') AS se,
                   count_if(fare_conditions = 'Business') AS sb, count_if(fare_conditions = 'Comfort') AS sc
@@ -89,7 +97,7 @@ GROUP BY 1, 2""",
 SPINE_CTE = """
 spine AS (
   SELECT d.day, n.airport_name
-  FROM (SELECT CAST(scheduled_departure AS DATE) AS day FROM flights
+  FROM (SELECT CAST(scheduled_departure AS DATE) AS day FROM departures
         UNION SELECT CAST(book_date AS DATE) FROM bookings) d
   CROSS JOIN (SELECT DISTINCT airport_name FROM airports_clean) n)"""
 
@@ -100,15 +108,13 @@ def _metric(name: str) -> str:
 
 def _mart_sql() -> str:
     ctes = ",\n".join(f"{name} AS ({body})" for name, body in METRIC_CTES.items()) + "," + SPINE_CTE
-    body = """
+    periods = ", ".join(f"coalesce(p.{c}, 0) AS {c}" for c in PERIOD_COLUMNS.values())
+    body = f"""
 SELECT strftime(s.day, '%Y-%m-%d') AS date, s.airport_name,
        coalesce(b.bookings, 0) AS bookings,
        coalesce(r.revenue, 0) AS revenue,
        coalesce(t.airtime_minutes, 0.0) AS airtime_minutes,
-       coalesce(p.flights_early_morning, 0) AS flights_early_morning,
-       coalesce(p.flights_morning, 0) AS flights_morning,
-       coalesce(p.flights_afternoon, 0) AS flights_afternoon,
-       coalesce(p.flights_evening, 0) AS flights_evening,
+       {periods},
        coalesce(d.avg_delay_seconds, 0.0) AS avg_delay_seconds,
        coalesce(o.avg_occupancy_percent, 0.0) AS avg_occupancy_percent,
        coalesce(c.avg_occupancy_economy, 0.0) AS avg_occupancy_economy,
@@ -119,7 +125,7 @@ LEFT JOIN m_bookings b ON b.book_date = strftime(s.day, '%Y-%m-%d') AND b.airpor
 LEFT JOIN m_revenue r ON r.date = strftime(s.day, '%Y-%m-%d') AND r.airport_name = s.airport_name
 LEFT JOIN m_airtime t ON t.date = strftime(s.day, '%Y-%m-%d') AND t.airport_name = s.airport_name
 LEFT JOIN m_periods p ON p.date = strftime(s.day, '%Y-%m-%d') AND p.airport_name = s.airport_name
-LEFT JOIN m_delay d ON d.date = strftime(s.day, '%Y-%m-%d') AND d.airport_name = s.airport_name
+LEFT JOIN m_delay_by_name d ON d.date = strftime(s.day, '%Y-%m-%d') AND d.airport_name = s.airport_name
 LEFT JOIN m_occupancy o ON o.date = strftime(s.day, '%Y-%m-%d') AND o.airport_name = s.airport_name
 LEFT JOIN m_fare_class c ON c.date = strftime(s.day, '%Y-%m-%d') AND c.airport_name = s.airport_name
 ORDER BY 1 NULLS FIRST, 2 NULLS FIRST"""
@@ -133,7 +139,10 @@ BUSINESS_SQL = {
         "SELECT airport_code, lon, lat, timezone, airport_name, city_name FROM airports_clean"
     ),
     "date_airport_spine": with_domain("SELECT strftime(day, '%Y-%m-%d') AS date, airport_name FROM spine", SPINE_CTE),
-    "cross_join_spine": with_domain("SELECT strftime(day, '%Y-%m-%d') AS date, airport_name FROM spine", SPINE_CTE),
+    "cross_join_spine": with_domain(
+        "SELECT d.day, a.airport_code FROM (SELECT DISTINCT CAST(scheduled_departure AS DATE) AS day FROM departures) d "
+        "CROSS JOIN airports_data a"
+    ),
     "daily_bookings": _metric("m_bookings"),
     "daily_revenue": _metric("m_revenue"),
     "daily_airtime": _metric("m_airtime"),

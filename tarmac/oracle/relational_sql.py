@@ -9,6 +9,7 @@ from tarmac.oracle.binding import (
     r2,
     with_domain,
 )
+from tarmac.schemas import PERIOD_COLUMNS
 
 _COMPLETED = "f.actual_departure IS NOT NULL AND f.actual_arrival IS NOT NULL"
 _WITH_ID = f"f.flight_id IS NOT NULL AND {_COMPLETED}"
@@ -19,14 +20,13 @@ _PERIOD = """CASE WHEN hour(f.scheduled_departure) >= 0 AND hour(f.scheduled_dep
      WHEN hour(f.scheduled_departure) >= 12 AND hour(f.scheduled_departure) < 18 THEN 'Afternoon'
      WHEN hour(f.scheduled_departure) >= 18 AND hour(f.scheduled_departure) < 24 THEN 'Evening' END"""
 
+_PIVOTED = ", ".join(
+    f"CAST(sum(CASE WHEN day_period = '{label}' THEN n END) AS BIGINT) AS {c}" for label, c in PERIOD_COLUMNS.items()
+)
 _PIVOT_BODY = f"""
-SELECT date, airport_name,
-       CAST(sum(CASE WHEN day_period = 'Early Morning' THEN n END) AS BIGINT) AS flights_early_morning,
-       CAST(sum(CASE WHEN day_period = 'Morning' THEN n END) AS BIGINT) AS flights_morning,
-       CAST(sum(CASE WHEN day_period = 'Afternoon' THEN n END) AS BIGINT) AS flights_afternoon,
-       CAST(sum(CASE WHEN day_period = 'Evening' THEN n END) AS BIGINT) AS flights_evening
+SELECT date, airport_name, {_PIVOTED}
 FROM (SELECT {day_text('f.scheduled_departure')} AS date, a.airport_name, {_PERIOD} AS day_period, count(*) AS n
-      FROM flights f LEFT JOIN names a ON f.departure_airport = a.airport_code
+      FROM departures f LEFT JOIN names a ON f.departure_airport = a.airport_code
       WHERE {_ARRIVED}
       GROUP BY 1, 2, 3) c
 GROUP BY 1, 2"""
@@ -34,8 +34,8 @@ GROUP BY 1, 2"""
 _MULTI_SUM = f"""
 SELECT {day_text('f.scheduled_departure')} AS date, a.airport_name,
        CAST(sum(p.passengers) AS BIGINT) AS passengers, CAST(sum(c.seats) AS BIGINT) AS seats_available
-FROM flights f
-LEFT JOIN (SELECT flight_id, count(*) AS passengers FROM ticket_flights GROUP BY flight_id) p
+FROM departures f
+LEFT JOIN (SELECT flight_id, count(*) AS passengers FROM segments GROUP BY flight_id) p
   ON f.flight_id = p.flight_id
 LEFT JOIN (SELECT aircraft_code, count(*) AS seats FROM seats GROUP BY aircraft_code) c
   ON f.aircraft_code = c.aircraft_code
@@ -43,32 +43,30 @@ LEFT JOIN names a ON f.departure_airport = a.airport_code
 WHERE {_WITH_ID}
 GROUP BY 1, 2"""
 
-_REVENUE_CTE = "rev AS (SELECT flight_id, sum(amount) AS flight_revenue FROM ticket_flights GROUP BY flight_id)"
+_REVENUE_CTE = "rev AS (SELECT flight_id, sum(amount) AS flight_revenue FROM segments GROUP BY flight_id)"
 _AIRTIME = f"{epoch_s('f.actual_arrival')} - {epoch_s('f.actual_departure')}"
 
 RELATIONAL_SQL = {
     "scan_table": "SELECT * FROM orders",
     "project_columns": with_domain(
-        "SELECT flight_id, flight_no, departure_airport, arrival_airport, status, aircraft_code FROM flights"
+        "SELECT flight_id, flight_no, departure_airport, arrival_airport, status, aircraft_code FROM departures"
     ),
     "project_expression": with_domain(
         f"SELECT f.flight_id, {day_text('f.scheduled_departure')} AS date, f.departure_airport "
-        f"FROM flights f WHERE {_WITH_ID}"
+        f"FROM departures f WHERE {_WITH_ID}"
     ),
     "derive_column": with_domain(
         f"SELECT f.flight_id, {epoch_s('f.actual_departure')} - {epoch_s('f.scheduled_departure')} AS delay_seconds, "
-        f"{_AIRTIME} AS airtime_seconds FROM flights f"
+        f"{_AIRTIME} AS airtime_seconds FROM departures f"
     ),
     "rename_columns": with_domain("SELECT aircraft_code AS code, seat_no, fare_conditions AS fare_class FROM seats"),
     "drop_columns": with_domain("SELECT ticket_no, book_ref, passenger_id FROM tickets"),
-    "filter_equals": with_domain("SELECT flight_id, status, departure_airport FROM flights WHERE status = 'Arrived'"),
+    "filter_equals": with_domain("SELECT flight_id, status, departure_airport FROM departures WHERE status = 'Arrived'"),
     "drop_null_rows": with_domain(
-        f"SELECT f.flight_id, f.actual_departure, f.actual_arrival FROM flights f WHERE {_COMPLETED}"
+        f"SELECT f.flight_id, f.actual_departure, f.actual_arrival FROM departures f WHERE {_COMPLETED}"
     ),
     "fill_null_all_numeric": with_domain(
-        "SELECT date, airport_name, coalesce(flights_early_morning, 0) AS flights_early_morning, "
-        "coalesce(flights_morning, 0) AS flights_morning, coalesce(flights_afternoon, 0) AS flights_afternoon, "
-        "coalesce(flights_evening, 0) AS flights_evening FROM pv",
+        "SELECT date, airport_name, " + ", ".join(f"coalesce({c}, 0) AS {c}" for c in PERIOD_COLUMNS.values()) + " FROM pv",
         f"pv AS ({_PIVOT_BODY})",
     ),
     "fill_null_subset": with_domain(
@@ -83,12 +81,12 @@ LEFT JOIN (SELECT aircraft_code,
            FROM seats GROUP BY aircraft_code) c ON d.aircraft_code = c.aircraft_code"""
     ),
     "range_predicate": with_domain(
-        "SELECT flight_id, CAST(hour(scheduled_departure) AS BIGINT) AS hour FROM flights "
+        "SELECT flight_id, CAST(hour(scheduled_departure) AS BIGINT) AS hour FROM departures "
         "WHERE hour(scheduled_departure) >= 6 AND hour(scheduled_departure) < 12"
     ),
     "left_join_single_key": with_domain(
         "SELECT tf.flight_id, tf.ticket_no, tf.fare_conditions, f.departure_airport, f.status "
-        "FROM ticket_flights tf LEFT JOIN flights f ON tf.flight_id = f.flight_id"
+        "FROM segments tf LEFT JOIN departures f ON tf.flight_id = f.flight_id"
     ),
     "left_join_composite_key": None,  # filled below from the metric CTEs
     "star_join_chain": with_domain(
@@ -96,18 +94,18 @@ LEFT JOIN (SELECT aircraft_code,
 SELECT b.book_ref, t.ticket_no, tf.flight_id, a.airport_name
 FROM bookings b
 LEFT JOIN tickets t ON b.book_ref = t.book_ref
-LEFT JOIN ticket_flights tf ON t.ticket_no = tf.ticket_no
-LEFT JOIN flights f ON tf.flight_id = f.flight_id
+LEFT JOIN segments tf ON t.ticket_no = tf.ticket_no
+LEFT JOIN departures f ON tf.flight_id = f.flight_id
 LEFT JOIN names a ON f.departure_airport = a.airport_code"""
     ),
     "aggregate_then_join": with_domain(
         f"SELECT f.flight_id, f.departure_airport, CAST(r.flight_revenue AS DOUBLE) AS flight_revenue "
-        f"FROM flights f LEFT JOIN rev r ON f.flight_id = r.flight_id WHERE {_WITH_ID}",
+        f"FROM departures f LEFT JOIN rev r ON f.flight_id = r.flight_id WHERE {_WITH_ID}",
         _REVENUE_CTE,
     ),
     "group_count": with_domain("SELECT aircraft_code, count(*) AS seats FROM seats GROUP BY aircraft_code"),
     "group_sum": with_domain(
-        "SELECT flight_id, CAST(sum(amount) AS DOUBLE) AS flight_revenue FROM ticket_flights GROUP BY flight_id"
+        "SELECT flight_id, CAST(sum(amount) AS DOUBLE) AS flight_revenue FROM segments GROUP BY flight_id"
     ),
     "group_multi_sum": with_domain(_MULTI_SUM),
     "group_avg_rounded": with_domain(
@@ -115,13 +113,13 @@ LEFT JOIN names a ON f.departure_airport = a.airport_code"""
 SELECT f.departure_airport, {day_text('f.scheduled_departure')} AS date,
        {r2(f"CAST(sum({epoch_s('f.actual_departure')} - {epoch_s('f.scheduled_departure')}) AS DOUBLE) / count(*)")}
          AS avg_delay_seconds
-FROM flights f WHERE {_COMPLETED} GROUP BY 1, 2"""
+FROM departures f WHERE {_COMPLETED} GROUP BY 1, 2"""
     ),
     "two_level_sum": with_domain(
         f"""
 SELECT {day_text('f.scheduled_departure')} AS date, f.departure_airport,
        CAST(sum(r.flight_revenue) AS DOUBLE) AS revenue
-FROM flights f LEFT JOIN rev r ON f.flight_id = r.flight_id
+FROM departures f LEFT JOIN rev r ON f.flight_id = r.flight_id
 WHERE {_ARRIVED} GROUP BY 1, 2""",
         _REVENUE_CTE,
     ),
@@ -131,9 +129,9 @@ WHERE {_ARRIVED} GROUP BY 1, 2""",
 SELECT flight_id, CAST(count_if(fare_conditions = 'Economy') AS BIGINT) AS passengers_economy,
        CAST(count_if(fare_conditions = 'Business') AS BIGINT) AS passengers_business,
        CAST(count_if(fare_conditions = 'Comfort') AS BIGINT) AS passengers_comfort
-FROM ticket_flights GROUP BY flight_id"""
+FROM segments GROUP BY flight_id"""
     ),
-    "distinct_rows": with_domain("SELECT DISTINCT departure_airport, aircraft_code FROM flights"),
+    "distinct_rows": with_domain("SELECT DISTINCT departure_airport, aircraft_code FROM departures"),
     "ratio_of_sums_percent": with_domain(
         f"SELECT airport_name, coalesce({r2('sum(passengers) / nullif(sum(seats_available), 0) * 100')}, 0.0) "
         "AS occupancy_percent FROM ms GROUP BY airport_name",
@@ -141,13 +139,13 @@ FROM ticket_flights GROUP BY flight_id"""
     ),
     "order_by_two_keys": None,  # filled below
     "union_distinct": with_domain(
-        f"SELECT {day_text('scheduled_departure')} AS date FROM flights "
+        f"SELECT {day_text('scheduled_departure')} AS date FROM departures "
         f"UNION SELECT {day_text('book_date')} AS date FROM bookings"
     ),
     "json_to_map": with_domain(
-        "SELECT airport_code, CAST(len(json_keys(airport_name)) AS BIGINT) AS n_names, "
-        "json_extract_string(airport_name, '$.en') AS name_en, "
-        "json_extract_string(airport_name, '$.ru') AS name_ru FROM airports_data"
+        "SELECT airport_code, CAST(len(json_keys(j)) AS BIGINT) AS n_names, json_extract_string(j, '$.en') AS name_en, "
+        "json_extract_string(j, '$.ru') AS name_ru "
+        "FROM (SELECT airport_code, CASE WHEN json_valid(airport_name) THEN airport_name END AS j FROM airports_data)"
     ),
     "map_values_joined": with_domain(f"SELECT airport_code, {_joined_values('city')} AS city_names FROM airports_data"),
     "regex_leading_words": with_domain(
@@ -155,27 +153,27 @@ FROM ticket_flights GROUP BY flight_id"""
         f"AS airport_words, regexp_extract({_joined_values('city')}, '{CITY_NAME_RE2}', 1) AS city_words "
         "FROM airports_data"
     ),
-    "day_string": with_domain(f"SELECT flight_id, {day_text('scheduled_departure')} AS date FROM flights"),
+    "day_string": with_domain(f"SELECT flight_id, {day_text('scheduled_departure')} AS date FROM departures"),
     "timestamp_diff_seconds": with_domain(
-        f"SELECT f.flight_id, {_AIRTIME} AS airtime_seconds FROM flights f WHERE {_COMPLETED}"
+        f"SELECT f.flight_id, {_AIRTIME} AS airtime_seconds FROM departures f WHERE {_COMPLETED}"
     ),
-    "hour_of_day": with_domain("SELECT flight_id, CAST(hour(scheduled_departure) AS BIGINT) AS hour FROM flights"),
-    "day_period_bucket": with_domain(f"SELECT f.flight_id, {_PERIOD} AS day_period FROM flights f"),
+    "hour_of_day": with_domain("SELECT flight_id, CAST(hour(scheduled_departure) AS BIGINT) AS hour FROM departures"),
+    "day_period_bucket": with_domain(f"SELECT f.flight_id, {_PERIOD} AS day_period FROM departures f"),
     "cast_truncate_long": with_domain(
-        "SELECT flight_id, CAST(trunc(sum(amount)) AS BIGINT) AS revenue FROM ticket_flights GROUP BY flight_id"
+        "SELECT flight_id, CAST(trunc(sum(amount)) AS BIGINT) AS revenue FROM segments GROUP BY flight_id"
     ),
     "round_half_up": with_domain(
         f"""
 SELECT f.flight_id, {r2('p.passengers / nullif(c.seats, 0) * 100')} AS occupancy_percent
-FROM flights f
-LEFT JOIN (SELECT flight_id, count(*) AS passengers FROM ticket_flights GROUP BY flight_id) p
+FROM departures f
+LEFT JOIN (SELECT flight_id, count(*) AS passengers FROM segments GROUP BY flight_id) p
   ON f.flight_id = p.flight_id
 LEFT JOIN (SELECT aircraft_code, count(*) AS seats FROM seats GROUP BY aircraft_code) c
   ON f.aircraft_code = c.aircraft_code
 WHERE {_WITH_ID}"""
     ),
     "minutes_from_seconds": with_domain(
-        f"SELECT f.flight_id, ({_AIRTIME}) / 60 AS airtime_minutes FROM flights f WHERE {_ARRIVED}"
+        f"SELECT f.flight_id, ({_AIRTIME}) / 60 AS airtime_minutes FROM departures f WHERE {_ARRIVED}"
     ),
 }
 

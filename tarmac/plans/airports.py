@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.names import AIRPORT_NAME_PATTERN, CITY_NAME_PATTERN, localized_name
-from tarmac.operators.joins import broadcast_if, has_at_most
-from tarmac.operators.joins import DEFAULT_BROADCAST_MAX_ROWS
 
 
 def clean_airports(airports_data: DataFrame, lang: str | None = None) -> DataFrame:
@@ -24,14 +22,6 @@ def clean_airports(airports_data: DataFrame, lang: str | None = None) -> DataFra
     )
 
 
-def airports_are_small(airports_data: DataFrame) -> bool:
-    """Row-count check that licenses broadcasting the airport dimension."""
-    return has_at_most(airports_data, DEFAULT_BROADCAST_MAX_ROWS)
-
-
-def airport_names(airports_data: DataFrame, lang: str | None = None, small: bool | None = None) -> DataFrame:
-    """(airport_code, airport_name) for joining departures, broadcast when the
-    airport table is proven small (it is a dimension: one row per airport).
-    ``small`` passes the result of a check already made."""
-    names = clean_airports(airports_data, lang).select("airport_code", "airport_name")
-    return broadcast_if(names, airports_are_small(airports_data) if small is None else small)
+def airport_names(airports_data: DataFrame, lang: str | None = None) -> DataFrame:
+    """(airport_code, airport_name) for joining rows already grouped by airport code."""
+    return clean_airports(airports_data, lang).select("airport_code", "airport_name")

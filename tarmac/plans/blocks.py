@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, all_at_most, broadcast_if, has_at_most
 from tarmac.operators.relational import conditional_counts
 
 # Fixed values -- the three fare classes reported, and the status that marks
@@ -23,32 +22,26 @@ def _per_class(prefix: str) -> dict[str, Column]:
     return {f"{prefix}_{c.lower()}": F.col("fare_conditions") == F.lit(c) for c in FARE_CLASSES}
 
 
-def segments_by_departure(ticket_flights: DataFrame) -> DataFrame:
+def segments_by_departure(segments: DataFrame) -> DataFrame:
     """One row per flight_id: revenue, passengers, passengers per class.
 
     Partial aggregation collapses a hot flight_id map-side, and the result is
     unique on flight_id, so joining it never fans out.
     """
-    return ticket_flights.groupBy("flight_id").agg(
+    return segments.groupBy("flight_id").agg(
         F.sum("amount").alias("flight_revenue"),
         F.count(F.lit(1)).alias("passengers"),
         *conditional_counts(_per_class("passengers")),
     )
 
 
-def check_dimensions(airports_data: DataFrame, seats: DataFrame) -> dict[str, bool]:
-    """Broadcast licences for both dimensions from one size-check job."""
-    return all_at_most({"airports": airports_data, "seats": seats}, DEFAULT_BROADCAST_MAX_ROWS)
-
-
-def seat_capacity(seats: DataFrame, aircrafts_data: DataFrame, small: bool | None = None) -> DataFrame:
+def seat_capacity(seats: DataFrame, aircrafts_data: DataFrame) -> DataFrame:
     """One row per aircraft_code found in ``seats``.
 
     ``seats`` counts every seat; ``seats_<class>`` counts a class only for
     aircraft listed in ``aircrafts_data`` (the per-class metric reports seats
-    of the listed fleet only).  Broadcast when ``seats`` is proven small --
-    it is bounded by it -- because the departures side has only a handful of
-    distinct aircraft codes and a shuffle join on them would be badly skewed.
+    of the listed fleet only).  Callers join it to departures already counted
+    by aircraft code, never to single departures.
     """
     per_aircraft = seats.groupBy("aircraft_code").agg(
         F.count(F.lit(1)).alias("seats"),
@@ -57,7 +50,7 @@ def seat_capacity(seats: DataFrame, aircrafts_data: DataFrame, small: bool | Non
     fleet = aircrafts_data.select("aircraft_code").distinct().withColumn("in_fleet", F.lit(True))
     listed = per_aircraft.join(fleet, "aircraft_code", "left")
     in_fleet = F.coalesce(F.col("in_fleet"), F.lit(False))
-    capacity = listed.select(
+    return listed.select(
         "aircraft_code",
         "seats",
         *[
@@ -65,6 +58,3 @@ def seat_capacity(seats: DataFrame, aircrafts_data: DataFrame, small: bool | Non
             for c in FARE_CLASSES
         ],
     )
-    if small is None:
-        small = has_at_most(seats, DEFAULT_BROADCAST_MAX_ROWS)
-    return broadcast_if(capacity, small)

@@ -2,21 +2,21 @@
 
 Plan, instead of eight separate scans of departures and seven joins:
 
-  per_flight = segments grouped by flight_id (revenue, passengers, per class)
-  capacity   = seats grouped by aircraft_code (broadcast, size-checked)
-  ops        = completed departures  LEFT JOIN per_flight  (shuffle on flight_id)
-                                     LEFT JOIN capacity    (broadcast)
-                                     LEFT JOIN airports    (broadcast)
-               -> one groupBy(day, airport_name) with conditional aggregates
-                  that apply each metric's own row filter
-  booked     = bookings_by_day (see metrics.bookings_by_day)
-  mart       = spine LEFT JOIN ops LEFT JOIN booked on (day, airport_name),
-               zero-filled, ordered by (date, airport_name)
-
-One size-check job (check_dimensions) licenses both broadcasts.  Both
-aggregates come out hash-partitioned on (day, airport_name), so the two final
-joins shuffle only the spine.  Rows with a NULL airport name can never match
-the spine, so Catalyst prunes the NULL-name branches of the bookings chain.
+  per_departure = segments grouped by flight_id (revenue, passengers, per class)
+  coded    = completed departures LEFT JOIN per_departure (shuffle on flight_id)
+             -> one groupBy(day, airport code, aircraft code) whose conditional
+                sums apply each metric's own row filter
+  ops      = coded LEFT JOIN seats by aircraft code (seats x departures)
+             -> sums by (day, airport code) LEFT JOIN names
+             -> sums by (day, airport_name)
+  booked   = bookings_by_day (see metrics.bookings_by_day)
+  mart     = spine LEFT JOIN ops LEFT JOIN booked on (day, airport_name),
+             zero-filled, ordered by (date, airport_name)
+
+Seats and names only meet rows that are already grouped by their keys, so no
+join is on a few hot codes and no size has to be checked while planning.  Rows
+with a NULL airport name can never match the spine, so Catalyst prunes the
+NULL-name branches of the bookings chain.
 """
 
 from __future__ import annotations
@@ -25,66 +25,71 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions.arith import minutes_from_seconds, percent_of, round2, truncate_to_long
-from tarmac.functions.timeparts import day_of, day_string, hour_of_day, seconds_between
-from tarmac.operators.joins import left_join
-from tarmac.plans.airports import airport_names
-from tarmac.plans.blocks import ARRIVED, FARE_CLASSES, check_dimensions, seat_capacity, segments_by_departure
+from tarmac.functions.timeparts import day_string, hour_of_day, seconds_between
+from tarmac.operators.joins import left_join, left_join_unique
+from tarmac.plans.blocks import ARRIVED, FARE_CLASSES, seat_capacity, segments_by_departure
 from tarmac.plans.metrics import (
-    PERIOD_COLUMNS,
+    average_delay,
     bookings_by_day,
+    by_code,
+    by_name,
     class_occupancy,
     completed_departures,
     daily_airtime,
     daily_bookings,
-    daily_departure_delay,
     daily_departures_by_day_period,
     daily_occupancy,
     daily_occupancy_by_fare_class,
     daily_revenue,
+    delay_by_name,
+    delay_sums,
     period_counts,
+    seats_of_departures,
 )
 from tarmac.plans.spine import date_airport_spine, spine
-from tarmac.schemas import MART_COLUMNS
+from tarmac.schemas import MART_COLUMNS, PERIOD_COLUMNS
 from tarmac.sources.tables import TableSource, load_domain_tables, overwrite_table
 
 
 def departure_metrics(
-    flights: DataFrame,
-    ticket_flights: DataFrame,
+    departures: DataFrame,
+    segments: DataFrame,
     seats: DataFrame,
     aircrafts_data: DataFrame,
     airports_data: DataFrame,
     lang: str | None = None,
-    small: dict[str, bool] | None = None,
 ) -> DataFrame:
     """All departure-based metrics per (day DATE, airport_name) in one pass."""
-    small = small or check_dimensions(airports_data, seats)
-    per_flight = segments_by_departure(ticket_flights)
-    capacity = seat_capacity(seats, aircrafts_data, small["seats"])
-    names = airport_names(airports_data, lang, small["airports"])
-    deps = completed_departures(flights, require_id=False, require_arrived=False)
-    ops = left_join(left_join(deps, per_flight, "flight_id"), capacity, "aircraft_code")
-    ops = ops.join(names, ops["departure_airport"] == names["airport_code"], "left")
-
+    deps = completed_departures(departures, require_id=False, require_arrived=False)
+    ops = left_join_unique(
+        deps, segments_by_departure(segments), "flight_id", ["scheduled_departure", "departure_airport", "aircraft_code"]
+    )
     has_id = F.col("flight_id").isNotNull()
     arrived = has_id & (F.col("status") == F.lit(ARRIVED))
-
-    def when_(cond, c):
-        return F.when(cond, F.col(c) if isinstance(c, str) else c)
-
-    airtime = seconds_between(F.col("actual_arrival"), F.col("actual_departure"))
-    delay = seconds_between(F.col("actual_departure"), F.col("scheduled_departure"))
-    return ops.groupBy(day_of(F.col("scheduled_departure")).alias("day"), "airport_name").agg(
-        truncate_to_long(F.sum(when_(arrived, "flight_revenue"))).alias("revenue"),
-        round2(minutes_from_seconds(F.sum(when_(arrived, airtime)))).alias("airtime_minutes"),
+    passengers = ["passengers", *[f"passengers_{c.lower()}" for c in FARE_CLASSES]]
+    offered = ["seats", *[f"seats_{c.lower()}" for c in FARE_CLASSES]]
+    coded = by_code(
+        ops,
+        F.sum(F.when(arrived, F.col("flight_revenue"))).alias("revenue"),
+        F.sum(F.when(arrived, seconds_between(F.col("actual_arrival"), F.col("actual_departure")))).alias("seconds"),
         *period_counts(hour_of_day(F.col("scheduled_departure")), when=arrived),
-        round2(F.avg(delay)).alias("avg_delay_seconds"),
-        F.coalesce(
-            percent_of(F.sum(when_(has_id, "passengers")), F.sum(when_(has_id, "seats"))), F.lit(0.0)
-        ).alias("avg_occupancy_percent"),
+        *delay_sums(deps),
+        *[F.sum(F.when(has_id, F.col(c))).alias(c) for c in passengers],
+        F.count_if(has_id).alias("departures"),
+        more=("aircraft_code",),
+    )
+    sums = by_name(seats_of_departures(coded, seat_capacity(seats, aircrafts_data), offered), airports_data, lang)
+    return sums.select(
+        "day",
+        "airport_name",
+        truncate_to_long(F.col("revenue")).alias("revenue"),
+        round2(minutes_from_seconds(F.col("seconds"))).alias("airtime_minutes"),
+        *PERIOD_COLUMNS.values(),
+        average_delay(),
+        F.coalesce(percent_of(F.col("passengers"), F.col("seats")), F.lit(0.0)).alias("avg_occupancy_percent"),
         *class_occupancy(
-            {c: F.sum(when_(has_id, f"passengers_{c.lower()}")) for c in FARE_CLASSES},
-            {c: F.sum(when_(has_id, f"seats_{c.lower()}")) for c in FARE_CLASSES},
+            {c: F.col(f"passengers_{c.lower()}") for c in FARE_CLASSES},
+            {c: F.col(f"seats_{c.lower()}") for c in FARE_CLASSES},
         ),
     )
 
@@ -98,17 +103,16 @@ def daily_airport_mart(
     aircrafts_data: DataFrame,
     airports_data: DataFrame,
     bookings: DataFrame,
-    flights: DataFrame,
+    departures: DataFrame,
     seats: DataFrame,
-    ticket_flights: DataFrame,
+    segments: DataFrame,
     tickets: DataFrame,
     lang: str | None = None,
 ) -> DataFrame:
     """The 14-column mart, one row per (date, airport_name) of the spine."""
-    small = check_dimensions(airports_data, seats)  # one job licenses every broadcast below
-    ops = departure_metrics(flights, ticket_flights, seats, aircrafts_data, airports_data, lang, small)
-    booked = bookings_by_day(bookings, tickets, ticket_flights, flights, airports_data, small["airports"], lang)
-    grid = spine(airports_data, flights, bookings, lang, small["airports"])
+    ops = departure_metrics(departures, segments, seats, aircrafts_data, airports_data, lang)
+    booked = bookings_by_day(bookings, tickets, segments, departures, airports_data, lang)
+    grid = spine(airports_data, departures, bookings, lang)
     keys = ["day", "airport_name"]
     joined = left_join(left_join(grid, ops, keys), booked, keys)
     return _finish(joined.withColumn("date", day_string(F.col("day"))))
@@ -118,9 +122,9 @@ def assemble_mart_from_metrics(
     aircrafts_data: DataFrame,
     airports_data: DataFrame,
     bookings: DataFrame,
-    flights: DataFrame,
+    departures: DataFrame,
     seats: DataFrame,
-    ticket_flights: DataFrame,
+    segments: DataFrame,
     tickets: DataFrame,
     lang: str | None = None,
 ) -> DataFrame:
@@ -129,17 +133,17 @@ def assemble_mart_from_metrics(
     want one metric family's exact standalone semantics."""
     keys = ["date", "airport_name"]
     parts = [
-        daily_bookings(bookings, tickets, ticket_flights, flights, airports_data, lang).withColumnRenamed(
+        daily_bookings(bookings, tickets, segments, departures, airports_data, lang).withColumnRenamed(
             "book_date", "date"
         ),
-        daily_revenue(flights, airports_data, ticket_flights, lang),
-        daily_airtime(flights, airports_data, lang),
-        daily_departures_by_day_period(flights, airports_data, lang),
-        daily_departure_delay(flights, airports_data, lang),
-        daily_occupancy(flights, seats, ticket_flights, airports_data, lang),
-        daily_occupancy_by_fare_class(seats, aircrafts_data, ticket_flights, flights, airports_data, lang),
+        daily_revenue(departures, airports_data, segments, lang),
+        daily_airtime(departures, airports_data, lang),
+        daily_departures_by_day_period(departures, airports_data, lang),
+        delay_by_name(departures, airports_data, lang),
+        daily_occupancy(departures, seats, segments, airports_data, lang),
+        daily_occupancy_by_fare_class(seats, aircrafts_data, segments, departures, airports_data, lang),
     ]
-    joined = date_airport_spine(airports_data, flights, bookings, lang)
+    joined = date_airport_spine(airports_data, departures, bookings, lang)
     for part in parts:
         joined = left_join(joined, part, keys)
     return _finish(joined)
@@ -161,9 +165,9 @@ def run_job(
         t["aircrafts_data"],
         t["airports_data"],
         t["bookings"],
-        t["flights"],
+        t["departures"],
         t["seats"],
-        t["ticket_flights"],
+        t["segments"],
         t["tickets"],
         lang=lang,
     )

@@ -1,9 +1,14 @@
 """The seven daily per-airport metrics, each usable on its own.
 
 Every metric is grouped by (day of scheduled departure, airport name) -- the
-bookings metric by day of booking -- and returns (date 'yyyy-MM-dd',
-airport_name, value...).  Departures whose airport code has no airport give a
-NULL name group, kept here and dropped by the mart (NULL never joins).
+bookings metric by day of booking, the delay metric by airport code -- and
+returns (date 'yyyy-MM-dd', airport_name, value...).  Departures whose airport
+code has no airport give a NULL name group, kept here and dropped by the mart
+(NULL never joins).
+
+Sums are taken by (day, airport code) first, and where seats count by aircraft
+code as well; only these few rows meet the airport and seat tables, so a busy
+airport or aircraft type is never a hot join key.
 
 Row filters per metric (a departure is "completed" when both actual times are
 present):
@@ -22,22 +27,16 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.arith import minutes_from_seconds, percent_of, round2, truncate_to_long
 from tarmac.functions.timeparts import DAY_PERIODS, day_of, day_string, hour_of_day, seconds_between
-from tarmac.operators.joins import broadcast_if, left_join, left_join_fanout
+from tarmac.operators.joins import left_join, left_join_unique, split_left_join
 from tarmac.operators.relational import not_null, range_predicate
 from tarmac.plans.airports import airport_names
-from tarmac.plans.blocks import ARRIVED, FARE_CLASSES, check_dimensions, seat_capacity, segments_by_departure
+from tarmac.plans.blocks import ARRIVED, FARE_CLASSES, seat_capacity, segments_by_departure
+from tarmac.schemas import PERIOD_COLUMNS
 
 COMPLETED = ("actual_departure", "actual_arrival")
 
-PERIOD_COLUMNS = {
-    "Early Morning": "flights_early_morning",
-    "Morning": "flights_morning",
-    "Afternoon": "flights_afternoon",
-    "Evening": "flights_evening",
-}
-
 
-def completed_departures(flights: DataFrame, require_id: bool, require_arrived: bool) -> DataFrame:
+def completed_departures(departures: DataFrame, require_id: bool, require_arrived: bool) -> DataFrame:
     """Departures with both actual times, optionally with an id and Arrived.
     Written as IS NOT NULL / = predicates so they reach the parquet scan."""
     cond = not_null(COMPLETED)
@@ -45,14 +44,7 @@ def completed_departures(flights: DataFrame, require_id: bool, require_arrived:
         cond = cond & F.col("flight_id").isNotNull()
     if require_arrived:
         cond = cond & (F.col("status") == F.lit(ARRIVED))
-    return flights.filter(cond)
-
-
-def _named(
-    departures: DataFrame, airports_data: DataFrame, small: bool | None = None, lang: str | None = None
-) -> DataFrame:
-    names = airport_names(airports_data, lang, small)
-    return departures.join(names, departures["departure_airport"] == names["airport_code"], "left")
+    return departures.filter(cond)
 
 
 def _day_key() -> Column:
@@ -63,6 +55,38 @@ def _publish(df: DataFrame, *values: str) -> DataFrame:
     return df.select(day_string(F.col("day")).alias("date"), "airport_name", *values)
 
 
+def by_code(departures: DataFrame, *sums: Column, more: tuple[str, ...] = ()) -> DataFrame:
+    """Sums by (day, departure_airport and ``more``)."""
+    return departures.groupBy(_day_key(), "departure_airport", *more).agg(*sums)
+
+
+def by_name(coded: DataFrame, airports_data: DataFrame, lang: str | None = None) -> DataFrame:
+    """Sums by (day, departure_airport) added up by (day, airport_name)."""
+    values = [c for c in coded.columns if c not in ("day", "departure_airport", "airport_code")]
+    names = airport_names(airports_data, lang)
+    named = coded.join(names, coded["departure_airport"] == names["airport_code"], "left")
+    return named.groupBy("day", "airport_name").agg(*[F.sum(c).alias(c) for c in values])
+
+
+def delay_sums(deps: DataFrame) -> list[Column]:
+    """Seconds and number of departures whose delay counts."""
+    delay = seconds_between(F.col("actual_departure"), F.col("scheduled_departure"))
+    return [F.sum(delay).alias("delay_seconds"), F.count(delay).alias("delayed")]
+
+
+def average_delay() -> Column:
+    return round2(F.try_divide(F.col("delay_seconds"), F.col("delayed"))).alias("avg_delay_seconds")
+
+
+def seats_of_departures(coded: DataFrame, capacity: DataFrame, columns: list[str]) -> DataFrame:
+    """Sums by (day, departure_airport, aircraft_code) with ``departures`` turned
+    into offered seats: each seat column times the departures of its aircraft."""
+    joined = left_join(coded, capacity.select("aircraft_code", *columns), "aircraft_code")
+    offered = {c: F.col(c) * F.col("departures") for c in columns}
+    values = [c for c in coded.columns if c not in ("day", "departure_airport", "aircraft_code", "departures")]
+    return joined.withColumns(offered).groupBy("day", "departure_airport").agg(*[F.sum(c).alias(c) for c in [*values, *columns]])
+
+
 def period_counts(hour: Column, when: Column | None = None) -> list[Column]:
     """count_if per part of day (one pass; no pivot shuffle)."""
     cols = []
@@ -85,8 +109,8 @@ def class_occupancy(passengers: dict[str, Column], seats: dict[str, Column]) ->
 def daily_bookings(
     bookings: DataFrame,
     tickets: DataFrame,
-    ticket_flights: DataFrame,
-    flights: DataFrame,
+    segments: DataFrame,
+    departures: DataFrame,
     airports_data: DataFrame,
     lang: str | None = None,
 ) -> DataFrame:
@@ -97,7 +121,7 @@ def daily_bookings(
     booking without ticket or a ticket without segment counts once under a
     NULL name.  Output: (book_date, airport_name, bookings).
     """
-    return bookings_by_day(bookings, tickets, ticket_flights, flights, airports_data, lang=lang).select(
+    return bookings_by_day(bookings, tickets, segments, departures, airports_data, lang=lang).select(
         day_string(F.col("day")).alias("book_date"), "airport_name", "bookings"
     )
 
@@ -105,123 +129,119 @@ def daily_bookings(
 def bookings_by_day(
     bookings: DataFrame,
     tickets: DataFrame,
-    ticket_flights: DataFrame,
-    flights: DataFrame,
+    segments: DataFrame,
+    departures: DataFrame,
     airports_data: DataFrame,
-    airports_small: bool | None = None,
     lang: str | None = None,
 ) -> DataFrame:
     """(day DATE, airport_name, bookings) -- see ``daily_bookings``.
 
-    The chain's two joins whose right side may repeat a key (a booking's
-    tickets, a ticket's segments) use ``left_join_fanout`` (inner join +
-    anti join against the distinct keys), so no join can fan out on a hot key
-    inside one task; departures are unique per flight_id, so segments LEFT
-    JOIN departures stays a plain left join (a hot flight_id sits on the
-    splittable left side).  Row for row the literal chain, then one count.
+    Bookings meet tickets and tickets meet segments by ``split_left_join``, so
+    no hot key can fan out inside one task; rows without a match pass by the
+    later joins under a NULL name.  Segments cross the network once at row
+    grain: they are counted by (flight_id, day) before departures are joined,
+    so a departure's many passengers are one row a day.
     """
-    names = airport_names(airports_data, lang, airports_small)
     booked = bookings.select("book_ref", day_of(F.col("book_date")).alias("day"))
-    dep = flights.select("flight_id", "departure_airport")
-    seg_named = left_join(ticket_flights.select("ticket_no", "flight_id"), dep, "flight_id")
-    seg_named = seg_named.join(names, seg_named["departure_airport"] == names["airport_code"], "left").select(
-        "ticket_no", "airport_name"
-    )
-    ticket_day = left_join_fanout(booked, tickets.select("book_ref", "ticket_no"), "book_ref").select(
-        "ticket_no", "day"
+    ticketed, without_ticket = split_left_join(booked, tickets.select("book_ref", "ticket_no"), "book_ref")
+    carried, without_segment = split_left_join(
+        ticketed.select("ticket_no", "day"), segments.select("ticket_no", "flight_id"), "ticket_no"
     )
-    rows = left_join_fanout(ticket_day, seg_named, "ticket_no")
-    return rows.groupBy("day", "airport_name").agg(F.count(F.lit(1)).alias("bookings"))
+    counted = carried.groupBy("flight_id", "day").agg(F.count(F.lit(1)).alias("bookings"))
+    coded = left_join_unique(counted, departures.select("flight_id", "departure_airport"), "flight_id", ["day"])
+    named = by_name(coded.select("day", "departure_airport", "bookings"), airports_data, lang)
+    unnamed = without_ticket.select("day").unionByName(without_segment.select("day")).groupBy("day").count()
+    unnamed = unnamed.select("day", F.lit(None).cast("string").alias("airport_name"), F.col("count").alias("bookings"))
+    return named.unionByName(unnamed).groupBy("day", "airport_name").agg(F.sum("bookings").alias("bookings"))
 
 
 # --------------------------------------------------------------------- C4
 def daily_revenue(
-    flights: DataFrame, airports_data: DataFrame, ticket_flights: DataFrame, lang: str | None = None
+    departures: DataFrame, airports_data: DataFrame, segments: DataFrame, lang: str | None = None
 ) -> DataFrame:
     """Sum of segment amounts of Arrived departures, truncated to bigint.
     Output: (date, airport_name, revenue)."""
-    deps = completed_departures(flights, require_id=True, require_arrived=True)
-    per_flight = segments_by_departure(ticket_flights).select("flight_id", "flight_revenue")
-    joined = _named(left_join(deps, per_flight, "flight_id"), airports_data, lang=lang)
-    agg = joined.groupBy(_day_key(), "airport_name").agg(
-        truncate_to_long(F.sum("flight_revenue")).alias("revenue")
-    )
-    return _publish(agg, "revenue")
+    deps = completed_departures(departures, require_id=True, require_arrived=True)
+    per_departure = segments_by_departure(segments).select("flight_id", "flight_revenue")
+    joined = left_join(deps, per_departure, "flight_id")
+    agg = by_name(by_code(joined, F.sum("flight_revenue").alias("revenue")), airports_data, lang)
+    return _publish(agg.withColumn("revenue", truncate_to_long(F.col("revenue"))), "revenue")
 
 
 # --------------------------------------------------------------------- C5
-def daily_airtime(flights: DataFrame, airports_data: DataFrame, lang: str | None = None) -> DataFrame:
+def daily_airtime(departures: DataFrame, airports_data: DataFrame, lang: str | None = None) -> DataFrame:
     """Minutes between actual departure and arrival of Arrived departures,
     summed, /60, rounded to 2 dp.  Output: (date, airport_name, airtime_minutes)."""
-    deps = _named(completed_departures(flights, require_id=True, require_arrived=True), airports_data, lang=lang)
-    agg = deps.groupBy(_day_key(), "airport_name").agg(
-        round2(
-            minutes_from_seconds(F.sum(seconds_between(F.col("actual_arrival"), F.col("actual_departure"))))
-        ).alias("airtime_minutes")
-    )
-    return _publish(agg, "airtime_minutes")
+    deps = completed_departures(departures, require_id=True, require_arrived=True)
+    seconds = F.sum(seconds_between(F.col("actual_arrival"), F.col("actual_departure"))).alias("seconds")
+    agg = by_name(by_code(deps, seconds), airports_data, lang)
+    return _publish(agg.withColumn("airtime_minutes", round2(minutes_from_seconds(F.col("seconds")))), "airtime_minutes")
 
 
 # --------------------------------------------------------------------- C6
 def daily_departures_by_day_period(
-    flights: DataFrame, airports_data: DataFrame, lang: str | None = None
+    departures: DataFrame, airports_data: DataFrame, lang: str | None = None
 ) -> DataFrame:
     """Arrived departures per part of the day of the scheduled departure.
-    Output: (date, airport_name, flights_early_morning, flights_morning,
-    flights_afternoon, flights_evening)."""
-    deps = _named(completed_departures(flights, require_id=True, require_arrived=True), airports_data, lang=lang)
-    agg = deps.groupBy(_day_key(), "airport_name").agg(*period_counts(hour_of_day(F.col("scheduled_departure"))))
+    Output: (date, airport_name, one column a part of the day)."""
+    deps = completed_departures(departures, require_id=True, require_arrived=True)
+    agg = by_name(by_code(deps, *period_counts(hour_of_day(F.col("scheduled_departure")))), airports_data, lang)
     return _publish(agg, *PERIOD_COLUMNS.values())
 
 
 # --------------------------------------------------------------------- C7
-def daily_departure_delay(flights: DataFrame, airports_data: DataFrame, lang: str | None = None) -> DataFrame:
+def daily_departure_delay(departures: DataFrame, airports_data: DataFrame, lang: str | None = None) -> DataFrame:
     """Average seconds from scheduled to actual departure of completed
-    departures of any status (early departures count negative), 2 dp.
-    Grouped by airport name like every other metric, so two codes sharing a
-    name give one row.  Output: (date, airport_name, avg_delay_seconds)."""
-    deps = _named(completed_departures(flights, require_id=False, require_arrived=False), airports_data, lang=lang)
-    agg = deps.groupBy(_day_key(), "airport_name").agg(
-        round2(F.avg(seconds_between(F.col("actual_departure"), F.col("scheduled_departure")))).alias(
-            "avg_delay_seconds"
-        )
-    )
-    return _publish(agg, "avg_delay_seconds")
+    departures of any status (early departures count negative), 2 dp, one row
+    a day and airport CODE, with the airport's name: two codes that share a
+    name give two rows, and each unmatched code one with a NULL name.
+    Output: (date, airport_name, avg_delay_seconds)."""
+    deps = completed_departures(departures, require_id=False, require_arrived=False)
+    coded = by_code(deps, *delay_sums(deps))
+    names = airport_names(airports_data, lang)
+    named = coded.join(names, coded["departure_airport"] == names["airport_code"], "left")
+    return _publish(named.withColumn("avg_delay_seconds", average_delay()), "avg_delay_seconds")
+
+
+def delay_by_name(departures: DataFrame, airports_data: DataFrame, lang: str | None = None) -> DataFrame:
+    """The mart's delay: as ``daily_departure_delay``, but the sums and counts of
+    codes that share a name are added up first."""
+    deps = completed_departures(departures, require_id=False, require_arrived=False)
+    agg = by_name(by_code(deps, *delay_sums(deps)), airports_data, lang)
+    return _publish(agg.withColumn("avg_delay_seconds", average_delay()), "avg_delay_seconds")
 
 
 # --------------------------------------------------------------------- C8
 def daily_occupancy(
-    flights: DataFrame,
+    departures: DataFrame,
     seats: DataFrame,
-    ticket_flights: DataFrame,
+    segments: DataFrame,
     airports_data: DataFrame,
     lang: str | None = None,
 ) -> DataFrame:
     """round(sum(passengers) / sum(seats) * 100, 2) over completed departures
     with an id -- a ratio of sums.  Output: (date, airport_name,
     avg_occupancy_percent), NULL -> 0."""
-    small = check_dimensions(airports_data, seats)
-    deps = completed_departures(flights, require_id=True, require_arrived=False)
-    pax = segments_by_departure(ticket_flights).select("flight_id", "passengers")
-    cap = seats.groupBy("aircraft_code").agg(F.count(F.lit(1)).alias("seats"))
-    joined = _named(
-        left_join(left_join(deps, pax, "flight_id"), broadcast_if(cap, small["seats"]), "aircraft_code"),
-        airports_data,
-        small["airports"],
-        lang,
-    )
-    agg = joined.groupBy(_day_key(), "airport_name").agg(
-        F.coalesce(percent_of(F.sum("passengers"), F.sum("seats")), F.lit(0.0)).alias("avg_occupancy_percent")
+    deps = completed_departures(departures, require_id=True, require_arrived=False)
+    pax = segments_by_departure(segments).select("flight_id", "passengers")
+    coded = by_code(
+        left_join(deps, pax, "flight_id"),
+        F.sum("passengers").alias("passengers"),
+        F.count(F.lit(1)).alias("departures"),
+        more=("aircraft_code",),
     )
-    return _publish(agg, "avg_occupancy_percent")
+    capacity = seats.groupBy("aircraft_code").agg(F.count(F.lit(1)).alias("seats"))
+    agg = by_name(seats_of_departures(coded, capacity, ["seats"]), airports_data, lang)
+    percent = F.coalesce(percent_of(F.col("passengers"), F.col("seats")), F.lit(0.0))
+    return _publish(agg.withColumn("avg_occupancy_percent", percent), "avg_occupancy_percent")
 
 
 # --------------------------------------------------------------------- C9
 def daily_occupancy_by_fare_class(
     seats: DataFrame,
     aircrafts_data: DataFrame,
-    ticket_flights: DataFrame,
-    flights: DataFrame,
+    segments: DataFrame,
+    departures: DataFrame,
     airports_data: DataFrame,
     lang: str | None = None,
 ) -> DataFrame:
@@ -229,21 +249,18 @@ def daily_occupancy_by_fare_class(
     in ``aircrafts_data``; a class with no seats gives 0 (no ANSI error).
     Output: (date, airport_name, avg_occupancy_economy,
     avg_occupancy_business, avg_occupancy_comfort)."""
-    deps = completed_departures(flights, require_id=True, require_arrived=False)
-    pax = segments_by_departure(ticket_flights).select(
-        "flight_id", *[f"passengers_{c.lower()}" for c in FARE_CLASSES]
-    )
-    small = check_dimensions(airports_data, seats)
-    cap = seat_capacity(seats, aircrafts_data, small["seats"]).select(
-        "aircraft_code", *[f"seats_{c.lower()}" for c in FARE_CLASSES]
-    )
-    joined = _named(
-        left_join(left_join(deps, pax, "flight_id"), cap, "aircraft_code"), airports_data, small["airports"], lang
-    )
-    agg = joined.groupBy(_day_key(), "airport_name").agg(
-        *class_occupancy(
-            {c: F.sum(f"passengers_{c.lower()}") for c in FARE_CLASSES},
-            {c: F.sum(f"seats_{c.lower()}") for c in FARE_CLASSES},
-        )
+    deps = completed_departures(departures, require_id=True, require_arrived=False)
+    passengers = [f"passengers_{c.lower()}" for c in FARE_CLASSES]
+    offered = [f"seats_{c.lower()}" for c in FARE_CLASSES]
+    pax = segments_by_departure(segments).select("flight_id", *passengers)
+    coded = by_code(
+        left_join(deps, pax, "flight_id"),
+        *[F.sum(c).alias(c) for c in passengers],
+        F.count(F.lit(1)).alias("departures"),
+        more=("aircraft_code",),
     )
-    return _publish(agg, *[f"avg_occupancy_{c.lower()}" for c in FARE_CLASSES])
+    agg = by_name(seats_of_departures(coded, seat_capacity(seats, aircrafts_data), offered), airports_data, lang)
+    named = agg.select("day", "airport_name", *class_occupancy(
+        {c: F.col(f"passengers_{c.lower()}") for c in FARE_CLASSES}, {c: F.col(f"seats_{c.lower()}") for c in FARE_CLASSES}
+    ))
+    return _publish(named, *[f"avg_occupancy_{c.lower()}" for c in FARE_CLASSES])

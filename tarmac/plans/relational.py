@@ -19,7 +19,7 @@ from tarmac.functions.names import (
     map_values_joined,
 )
 from tarmac.functions.timeparts import DAY_PERIODS, day_period, day_string, hour_of_day, seconds_between
-from tarmac.operators.joins import left_join, left_join_fanout
+from tarmac.operators.joins import left_join, left_join_few_codes, left_join_unique, split_left_join
 from tarmac.operators.relational import (
     conditional_counts,
     drop_null_rows,
@@ -30,7 +30,8 @@ from tarmac.operators.relational import (
 )
 from tarmac.plans.airports import airport_names
 from tarmac.plans.blocks import ARRIVED, FARE_CLASSES, segments_by_departure
-from tarmac.plans.metrics import COMPLETED, PERIOD_COLUMNS, completed_departures, daily_airtime, daily_revenue
+from tarmac.plans.metrics import COMPLETED, by_code, by_name, completed_departures, daily_airtime, daily_revenue, seats_of_departures
+from tarmac.schemas import PERIOD_COLUMNS
 from tarmac.sources.binding import bind_domain_tables
 from tarmac.sources.tables import TableSource, load_table
 
@@ -48,19 +49,19 @@ def scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------ projections (P)
 def project_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir)["flights"].select(
+    return _t(spark, sf_dir)["departures"].select(
         "flight_id", "flight_no", "departure_airport", "arrival_airport", "status", "aircraft_code"
     )
 
 
 def project_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    deps = completed_departures(_t(spark, sf_dir)["flights"], require_id=True, require_arrived=False)
+    deps = completed_departures(_t(spark, sf_dir)["departures"], require_id=True, require_arrived=False)
     return deps.select("flight_id", day_string(F.col("scheduled_departure")).alias("date"), "departure_airport")
 
 
 def derive_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flights = _t(spark, sf_dir)["flights"]
-    return flights.withColumns(
+    departures = _t(spark, sf_dir)["departures"]
+    return departures.withColumns(
         {
             "delay_seconds": seconds_between(F.col("actual_departure"), F.col("scheduled_departure")),
             "airtime_seconds": seconds_between(F.col("actual_arrival"), F.col("actual_departure")),
@@ -78,13 +79,13 @@ def drop_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------- filters (F)
 def q_filter_equals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flights = _t(spark, sf_dir)["flights"]
-    return filter_equals(flights, "status", ARRIVED).select("flight_id", "status", "departure_airport")
+    departures = _t(spark, sf_dir)["departures"]
+    return filter_equals(departures, "status", ARRIVED).select("flight_id", "status", "departure_airport")
 
 
 def q_drop_null_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flights = _t(spark, sf_dir)["flights"]
-    return drop_null_rows(flights, COMPLETED).select("flight_id", *COMPLETED)
+    departures = _t(spark, sf_dir)["departures"]
+    return drop_null_rows(departures, COMPLETED).select("flight_id", *COMPLETED)
 
 
 def q_fill_null_all_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,44 +103,50 @@ def q_fill_null_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_range_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flights = _t(spark, sf_dir)["flights"]
+    departures = _t(spark, sf_dir)["departures"]
     hour = hour_of_day(F.col("scheduled_departure"))
-    return flights.filter(range_predicate(hour, 6, 12)).select("flight_id", hour.cast("long").alias("hour"))
+    return departures.filter(range_predicate(hour, 6, 12)).select("flight_id", hour.cast("long").alias("hour"))
 
 
 # ------------------------------------------------------------ joins (J)
 def left_join_single_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
-    seg = t["ticket_flights"].select("ticket_no", "flight_id", "fare_conditions")
-    dep = t["flights"].select("flight_id", "departure_airport", "status")
+    seg = t["segments"].select("ticket_no", "flight_id", "fare_conditions")
+    dep = t["departures"].select("flight_id", "departure_airport", "status")
     return left_join(seg, dep, "flight_id")
 
 
 def left_join_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
-    revenue = daily_revenue(t["flights"], t["airports_data"], t["ticket_flights"])
-    airtime = daily_airtime(t["flights"], t["airports_data"])
+    revenue = daily_revenue(t["departures"], t["airports_data"], t["segments"])
+    airtime = daily_airtime(t["departures"], t["airports_data"])
     return left_join(revenue, airtime, ["date", "airport_name"])
 
 
 def star_join_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """bookings -> tickets -> segments -> departures -> airports, row level."""
     t = _t(spark, sf_dir)
-    names = airport_names(t["airports_data"])
-    # tickets per booking and segments per ticket may repeat a key: fan-out safe
-    chain = left_join_fanout(t["bookings"].select("book_ref"), t["tickets"].select("book_ref", "ticket_no"), "book_ref")
-    chain = left_join_fanout(chain, t["ticket_flights"].select("ticket_no", "flight_id"), "ticket_no")
-    # departures are unique per flight_id: a plain left join
-    chain = left_join(chain, t["flights"].select("flight_id", "departure_airport"), "flight_id")
-    chain = chain.join(names, chain["departure_airport"] == names["airport_code"], "left")
-    return chain.select("book_ref", "ticket_no", "flight_id", "airport_name")
+    ticketed, without_ticket = split_left_join(
+        t["bookings"].select("book_ref"), t["tickets"].select("book_ref", "ticket_no"), "book_ref"
+    )
+    carried, without_segment = split_left_join(ticketed, t["segments"].select("ticket_no", "flight_id"), "ticket_no")
+    # departures are unique per flight_id, names per code; both may be missing
+    coded = left_join_unique(carried, t["departures"].select("flight_id", "departure_airport"), "flight_id", ["ticket_no"])
+    names = airport_names(t["airports_data"]).withColumnRenamed("airport_code", "departure_airport")
+    chain = left_join_few_codes(coded, names, "departure_airport", ["ticket_no"])
+    # rows without a match pass by the later joins
+    none = F.lit(None).cast("string")
+    rest = without_segment.select("book_ref", "ticket_no").unionByName(
+        without_ticket.select("book_ref", none.alias("ticket_no"))
+    ).select("book_ref", "ticket_no", F.lit(None).cast("long").alias("flight_id"), none.alias("airport_name"))
+    return chain.select("book_ref", "ticket_no", "flight_id", "airport_name").unionByName(rest)
 
 
 def aggregate_then_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
-    deps = completed_departures(t["flights"], require_id=True, require_arrived=False)
-    per_flight = segments_by_departure(t["ticket_flights"]).select("flight_id", "flight_revenue")
-    return left_join(deps.select("flight_id", "departure_airport"), per_flight, "flight_id").select(
+    deps = completed_departures(t["departures"], require_id=True, require_arrived=False)
+    per_departure = segments_by_departure(t["segments"]).select("flight_id", "flight_revenue")
+    return left_join(deps.select("flight_id", "departure_airport"), per_departure, "flight_id").select(
         "flight_id", "departure_airport", F.col("flight_revenue").cast("double").alias("flight_revenue")
     )
 
@@ -150,27 +157,31 @@ def group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def group_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seg = _t(spark, sf_dir)["ticket_flights"]
+    seg = _t(spark, sf_dir)["segments"]
     return seg.groupBy("flight_id").agg(F.sum("amount").cast("double").alias("flight_revenue"))
 
 
 def group_multi_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passengers and seats per (date, airport) in one aggregation."""
     t = _t(spark, sf_dir)
-    deps = completed_departures(t["flights"], require_id=True, require_arrived=False)
-    pax = segments_by_departure(t["ticket_flights"]).select("flight_id", "passengers")
+    deps = completed_departures(t["departures"], require_id=True, require_arrived=False)
+    pax = segments_by_departure(t["segments"]).select("flight_id", "passengers")
     cap = t["seats"].groupBy("aircraft_code").agg(F.count(F.lit(1)).alias("seats"))
-    names = airport_names(t["airports_data"])
-    j = left_join(left_join(deps, pax, "flight_id"), cap, "aircraft_code")
-    j = j.join(names, j["departure_airport"] == names["airport_code"], "left")
-    return j.groupBy(day_string(F.col("scheduled_departure")).alias("date"), "airport_name").agg(
-        F.sum("passengers").alias("passengers"), F.sum("seats").alias("seats_available")
+    coded = by_code(
+        left_join(deps, pax, "flight_id"),
+        F.sum("passengers").alias("passengers"),
+        F.count(F.lit(1)).alias("departures"),
+        more=("aircraft_code",),
+    )
+    sums = by_name(seats_of_departures(coded, cap, ["seats"]), t["airports_data"])
+    return sums.select(
+        day_string(F.col("day")).alias("date"), "airport_name", "passengers", F.col("seats").alias("seats_available")
     )
 
 
 def group_avg_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Average departure delay per (airport code, day), 2 dp."""
-    deps = completed_departures(_t(spark, sf_dir)["flights"], require_id=False, require_arrived=False)
+    deps = completed_departures(_t(spark, sf_dir)["departures"], require_id=False, require_arrived=False)
     return deps.groupBy("departure_airport", day_string(F.col("scheduled_departure")).alias("date")).agg(
         round2(F.avg(seconds_between(F.col("actual_departure"), F.col("scheduled_departure")))).alias(
             "avg_delay_seconds"
@@ -181,9 +192,9 @@ def group_avg_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 def two_level_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue summed per departure, then per (day, airport code)."""
     t = _t(spark, sf_dir)
-    deps = completed_departures(t["flights"], require_id=True, require_arrived=True)
-    per_flight = t["ticket_flights"].groupBy("flight_id").agg(F.sum("amount").alias("flight_revenue"))
-    j = left_join(deps, per_flight, "flight_id")
+    deps = completed_departures(t["departures"], require_id=True, require_arrived=True)
+    per_departure = t["segments"].groupBy("flight_id").agg(F.sum("amount").alias("flight_revenue"))
+    j = left_join(deps, per_departure, "flight_id")
     return j.groupBy(day_string(F.col("scheduled_departure")).alias("date"), "departure_airport").agg(
         F.sum("flight_revenue").cast("double").alias("revenue")
     )
@@ -193,27 +204,27 @@ def pivot_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Completed Arrived departures counted per (day, airport, part of day),
     then pivoted on the fixed list of parts with sum (absent cells NULL)."""
     t = _t(spark, sf_dir)
-    names = airport_names(t["airports_data"])
-    deps = completed_departures(t["flights"], require_id=True, require_arrived=True)
-    deps = deps.join(names, deps["departure_airport"] == names["airport_code"], "left")
-    counted = deps.groupBy(
+    deps = completed_departures(t["departures"], require_id=True, require_arrived=True)
+    coded = deps.groupBy(
         day_string(F.col("scheduled_departure")).alias("date"),
-        "airport_name",
+        "departure_airport",
         day_period(hour_of_day(F.col("scheduled_departure"))).alias("day_period"),
     ).count()
+    names = airport_names(t["airports_data"])
+    counted = coded.join(names, coded["departure_airport"] == names["airport_code"], "left")
     labels = [label for label, _, _ in DAY_PERIODS]
     pivoted = counted.groupBy("date", "airport_name").pivot("day_period", labels).sum("count")
     return pivoted.withColumnsRenamed(PERIOD_COLUMNS)
 
 
 def conditional_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seg = _t(spark, sf_dir)["ticket_flights"]
+    seg = _t(spark, sf_dir)["segments"]
     per_class = {f"passengers_{c.lower()}": F.col("fare_conditions") == F.lit(c) for c in FARE_CLASSES}
     return seg.groupBy("flight_id").agg(*conditional_counts(per_class))
 
 
 def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir)["flights"].select("departure_airport", "aircraft_code").distinct()
+    return _t(spark, sf_dir)["departures"].select("departure_airport", "aircraft_code").distinct()
 
 
 def ratio_of_sums_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,14 +240,14 @@ def ratio_of_sums_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -------------------------------------------------- sort and sets (O, U)
 def order_by_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
-    return daily_airtime(t["flights"], t["airports_data"]).orderBy(
+    return daily_airtime(t["departures"], t["airports_data"]).orderBy(
         F.col("date").asc_nulls_first(), F.col("airport_name").asc_nulls_first()
     )
 
 
 def q_union_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
-    flight_days = t["flights"].select(day_string(F.col("scheduled_departure")).alias("date"))
+    flight_days = t["departures"].select(day_string(F.col("scheduled_departure")).alias("date"))
     book_days = t["bookings"].select(day_string(F.col("book_date")).alias("date"))
     return union_distinct(flight_days, book_days)
 
@@ -270,44 +281,44 @@ def q_regex_leading_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_day_string(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = _t(spark, sf_dir)["flights"]
+    f = _t(spark, sf_dir)["departures"]
     return f.select("flight_id", day_string(F.col("scheduled_departure")).alias("date"))
 
 
 def q_timestamp_diff_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    deps = completed_departures(_t(spark, sf_dir)["flights"], require_id=False, require_arrived=False)
+    deps = completed_departures(_t(spark, sf_dir)["departures"], require_id=False, require_arrived=False)
     return deps.select(
         "flight_id", seconds_between(F.col("actual_arrival"), F.col("actual_departure")).alias("airtime_seconds")
     )
 
 
 def q_hour_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = _t(spark, sf_dir)["flights"]
+    f = _t(spark, sf_dir)["departures"]
     return f.select("flight_id", hour_of_day(F.col("scheduled_departure")).cast("long").alias("hour"))
 
 
 def q_day_period_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = _t(spark, sf_dir)["flights"]
+    f = _t(spark, sf_dir)["departures"]
     return f.select("flight_id", day_period(hour_of_day(F.col("scheduled_departure"))).alias("day_period"))
 
 
 def q_cast_truncate_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seg = _t(spark, sf_dir)["ticket_flights"]
+    seg = _t(spark, sf_dir)["segments"]
     return seg.groupBy("flight_id").agg(truncate_to_long(F.sum("amount")).alias("revenue"))
 
 
 def q_round_half_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Occupancy percent of each completed departure, 2 dp."""
     t = _t(spark, sf_dir)
-    deps = completed_departures(t["flights"], require_id=True, require_arrived=False)
-    pax = segments_by_departure(t["ticket_flights"]).select("flight_id", "passengers")
+    deps = completed_departures(t["departures"], require_id=True, require_arrived=False)
+    pax = segments_by_departure(t["segments"]).select("flight_id", "passengers")
     cap = t["seats"].groupBy("aircraft_code").agg(F.count(F.lit(1)).alias("seats"))
-    j = left_join(left_join(deps, pax, "flight_id"), cap, "aircraft_code")
+    j = left_join_few_codes(left_join(deps, pax, "flight_id"), cap, "aircraft_code", ["flight_id"])
     return j.select("flight_id", percent_of(F.col("passengers"), F.col("seats")).alias("occupancy_percent"))
 
 
 def q_minutes_from_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    deps = completed_departures(_t(spark, sf_dir)["flights"], require_id=True, require_arrived=True)
+    deps = completed_departures(_t(spark, sf_dir)["departures"], require_id=True, require_arrived=True)
     secs = seconds_between(F.col("actual_arrival"), F.col("actual_departure"))
     return deps.select("flight_id", minutes_from_seconds(secs).alias("airtime_minutes"))
 

@@ -6,55 +6,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.timeparts import day_of, day_string
-from tarmac.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, has_at_most
-from tarmac.plans.airports import airports_are_small, clean_airports
+from tarmac.plans.airports import clean_airports
 
 
-def spine_days(flights: DataFrame, bookings: DataFrame) -> DataFrame:
+def spine_days(departures: DataFrame, bookings: DataFrame) -> DataFrame:
     """Distinct DATE ``day`` of every scheduled departure (any status) and of
     every booking.  Each side is reduced map-side before the tiny shuffle."""
-    flight_days = flights.select(day_of(F.col("scheduled_departure")).alias("day"))
+    flight_days = departures.select(day_of(F.col("scheduled_departure")).alias("day"))
     book_days = bookings.select(day_of(F.col("book_date")).alias("day"))
     return flight_days.union(book_days).distinct()
 
 
 def spine(
     airports_data: DataFrame,
-    flights: DataFrame,
+    departures: DataFrame,
     bookings: DataFrame,
     lang: str | None = None,
-    airports_small: bool | None = None,
 ) -> DataFrame:
     """(day DATE, airport_name): every reporting day with every distinct name.
 
     This Cartesian product IS the output grid -- every pair becomes one mart
-    row -- so its size is the result size.  The name side is one row per
-    airport name, broadcast only behind a row-count check; the day side is
-    spread over the cores so the grid is generated in parallel.
+    row -- so its size is the result size.  Spark broadcasts the names when
+    their statistics allow it; the day side is spread over the cores so the
+    grid is generated in parallel.
     """
-    spark = flights.sparkSession
+    spark = departures.sparkSession
     names = clean_airports(airports_data, lang).select("airport_name").distinct()
-    days = spine_days(flights, bookings)
+    days = spine_days(departures, bookings)
     # One generator task per core is enough (each emits days/cores x names
     # rows); more would only schedule empty tasks for a few thousand days.
     setting = spark.conf.get("spark.sql.shuffle.partitions", "200")
     n_parts = min(spark.sparkContext.defaultParallelism, int(setting) if str(setting).isdigit() else 200)
     days = days.repartition(max(1, n_parts), "day")
-    small = airports_are_small(airports_data) if airports_small is None else airports_small
-    if small:
-        return days.crossJoin(F.broadcast(names))
-    # Too many names to broadcast: broadcast the days instead when they are
-    # provably few (a calendar has at most 366 per year), else let Spark plan
-    # the product -- then the grid itself is that large.
-    if has_at_most(days, DEFAULT_BROADCAST_MAX_ROWS):
-        return names.crossJoin(F.broadcast(days)).select("day", "airport_name")
     return days.crossJoin(names)
 
 
 def date_airport_spine(
-    airports_data: DataFrame, flights: DataFrame, bookings: DataFrame, lang: str | None = None
+    airports_data: DataFrame, departures: DataFrame, bookings: DataFrame, lang: str | None = None
 ) -> DataFrame:
     """Public form: (date 'yyyy-MM-dd', airport_name)."""
-    return spine(airports_data, flights, bookings, lang).select(
+    return spine(airports_data, departures, bookings, lang).select(
         day_string(F.col("day")).alias("date"), "airport_name"
     )

@@ -41,7 +41,7 @@ BOOKINGS = StructType(
     ]
 )
 
-FLIGHTS = StructType(
+DEPARTURES = StructType(
     [
         StructField("flight_id", LongType()),
         StructField("flight_no", StringType()),
@@ -64,7 +64,7 @@ SEATS = StructType(
     ]
 )
 
-TICKET_FLIGHTS = StructType(
+SEGMENTS = StructType(
     [
         StructField("ticket_no", StringType()),
         StructField("flight_id", LongType()),
@@ -87,23 +87,30 @@ DOMAIN_SCHEMAS = {
     "aircrafts_data": AIRCRAFTS_DATA,
     "airports_data": AIRPORTS_DATA,
     "bookings": BOOKINGS,
-    "flights": FLIGHTS,
+    "departures": DEPARTURES,
     "seats": SEATS,
-    "ticket_flights": TICKET_FLIGHTS,
+    "segments": SEGMENTS,
     "tickets": TICKETS,
 }
 
-# Output of the daily mart, in column order.
+# Fixed values -- stored names of tables that go by another name here, and the
+# output columns of the four parts of a day.
+STORED_NAMES = {"departures": "flights", "segments": "ticket_flights"}
+PERIOD_COLUMNS = {
+    "Early Morning": "flights_early_morning",
+    "Morning": "flights_morning",
+    "Afternoon": "flights_afternoon",
+    "Evening": "flights_evening",
+}
+
+# Output of the daily mart, in column order (fixed values).
 MART_COLUMNS = [
     "date",
     "airport_name",
     "bookings",
     "revenue",
     "airtime_minutes",
-    "flights_early_morning",
-    "flights_morning",
-    "flights_afternoon",
-    "flights_evening",
+    *PERIOD_COLUMNS.values(),
     "avg_delay_seconds",
     "avg_occupancy_percent",
     "avg_occupancy_economy",
@@ -118,10 +125,7 @@ MART = StructType(
         StructField("bookings", LongType()),
         StructField("revenue", LongType()),
         StructField("airtime_minutes", DoubleType()),
-        StructField("flights_early_morning", LongType()),
-        StructField("flights_morning", LongType()),
-        StructField("flights_afternoon", LongType()),
-        StructField("flights_evening", LongType()),
+        *[StructField(c, LongType()) for c in PERIOD_COLUMNS.values()],
         StructField("avg_delay_seconds", DoubleType()),
         StructField("avg_occupancy_percent", DoubleType()),
         StructField("avg_occupancy_economy", DoubleType()),

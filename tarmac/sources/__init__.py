@@ -3,6 +3,8 @@
 from tarmac.sources.binding import DOMAIN_TABLES, bind_domain_tables, read_driver_table
 from tarmac.sources.tables import (
     TableSource,
+    conform,
+    jdbc_partitions,
     jdbc_source,
     load_domain_tables,
     load_table,
@@ -14,6 +16,8 @@ __all__ = [
     "DOMAIN_TABLES",
     "TableSource",
     "bind_domain_tables",
+    "conform",
+    "jdbc_partitions",
     "jdbc_source",
     "load_domain_tables",
     "load_table",

@@ -5,16 +5,22 @@ DataFrame expression over ``nation region part orders lineitem supplier``.
 Every expression has an exact DuckDB counterpart (``tarmac.oracle.binding``),
 which is what lets the oracle check whole-table results.
 
-  airports_data   nation (all but key 24, whose departures then match no
-                  airport) + region for the city
-  aircrafts_data  distinct p_brand
-  seats           part with p_size <= 10; class from p_type
+  airports_data   nation + region for the city
+  aircrafts_data  distinct p_brand (the fleet)
+  seats           part; class from p_type
   bookings        orders
-  tickets         orders whose key is not a multiple of 50 (so some
-                  bookings have no ticket), one ticket per booking
-  ticket_flights  lineitem x supplier; a departure is (supplier nation,
-                  ship day folded to every fifth day, supplier key mod 3)
-  flights         one row per distinct departure of ticket_flights
+  tickets         orders, one ticket per order
+  segments        lineitem x supplier; a departure is (supplier nation, ship
+                  day folded to every fifth day, supplier key mod 3)
+  departures      one row per distinct departure of the segments
+
+Every row of a driver table is kept.  Odd cases are made by value: departures
+of one nation leave from a code that no airport has; two nations share a name,
+others list "ru" first or have a malformed, NULL or half-empty name; every
+50th ticket names a booking that doesn't exist; some seats and departures are
+of an aircraft outside the fleet; one brand has economy seats only, and some
+seats and segments are of a fourth class; some segments have no departure id
+or no amount.
 """
 
 from __future__ import annotations
@@ -28,9 +34,9 @@ DOMAIN_TABLES = (
     "aircrafts_data",
     "airports_data",
     "bookings",
-    "flights",
+    "departures",
     "seats",
-    "ticket_flights",
+    "segments",
     "tickets",
 )
 
@@ -67,7 +73,9 @@ def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # Each projection is written as SQL expressions (one analyzer call per column)
 # so the Spark binding reads line for line like its DuckDB twin.
-_LETTERS = "translate(CAST(n_nationkey AS STRING), '0123456789', 'ABCDEFGHIJ')"
+# Nation 7 carries nation 6's name.
+_LETTERS = "translate(CAST(CASE WHEN n_nationkey = 7 THEN 6 ELSE n_nationkey END AS STRING), '0123456789', 'ABCDEFGHIJ')"
+_EN, _RU = f"concat('\"en\": \"Nation ', {_LETTERS}, ' Airport\"')", f"concat('\"ru\": \"Нация ', {_LETTERS}, '\"')"
 _DAYS = f"datediff(to_date(l_shipdate), DATE'{_EPOCH_DAY}')"
 
 
@@ -77,12 +85,15 @@ def _minutes(expr: str) -> str:
 
 def airports_data(nation: DataFrame, region: DataFrame) -> DataFrame:
     return (
-        nation.filter(F.col("n_nationkey") != _UNMATCHED_NATION)
-        .join(region, nation["n_regionkey"] == region["r_regionkey"], "left")
+        nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "left")
         .selectExpr(
             "concat('A', CAST(n_nationkey AS STRING)) AS airport_code",
-            f"""concat('{{"en": "Nation ', {_LETTERS}, ' Airport", "ru": "Нация ', {_LETTERS}, '"}}') AS airport_name""",
-            """concat('{"en": "', r_name, ' City", "ru": "Город"}') AS city""",
+            f"""CASE WHEN n_nationkey = 11 THEN concat('{{', {_EN})
+                     WHEN n_nationkey = 13 THEN NULL
+                     WHEN n_nationkey = 17 THEN concat('{{"en": null, ', {_RU}, '}}')
+                     WHEN n_nationkey % 5 = 3 THEN concat('{{', {_RU}, ', ', {_EN}, '}}')
+                     ELSE concat('{{', {_EN}, ', ', {_RU}, '}}') END AS airport_name""",
+            """CASE WHEN n_nationkey = 19 THEN 'no json' ELSE concat('{"en": "', r_name, ' City", "ru": "Город"}') END AS city""",
             "named_struct('lon', n_nationkey * 1.5D, 'lat', n_regionkey * 10.0D) AS coordinates",
             "'UTC' AS timezone",
         )
@@ -102,11 +113,11 @@ def aircrafts_data(part: DataFrame) -> DataFrame:
 
 
 def seats(part: DataFrame) -> DataFrame:
-    return part.filter(F.col("p_size") <= 10).selectExpr(
-        "p_brand AS aircraft_code",
+    return part.selectExpr(
+        "CASE WHEN p_size = 50 THEN 'Retired#1' ELSE p_brand END AS aircraft_code",
         "CAST(p_partkey AS STRING) AS seat_no",
-        "CASE WHEN p_type = 'LARGE' THEN 'Business' WHEN p_type = 'PROMO' THEN 'Comfort' ELSE 'Economy' END"
-        " AS fare_conditions",
+        "CASE WHEN p_size = 49 THEN 'First' WHEN p_brand = 'Brand#3' THEN 'Economy' WHEN p_type = 'LARGE' THEN 'Business'"
+        " WHEN p_type = 'PROMO' THEN 'Comfort' ELSE 'Economy' END AS fare_conditions",
     )
 
 
@@ -119,9 +130,9 @@ def bookings(orders: DataFrame) -> DataFrame:
 
 
 def tickets(orders: DataFrame) -> DataFrame:
-    return orders.filter(F.col("o_orderkey") % 50 != 0).selectExpr(
+    return orders.selectExpr(
         "CAST(o_orderkey AS STRING) AS ticket_no",
-        "CAST(o_orderkey AS STRING) AS book_ref",
+        "concat(CASE WHEN o_orderkey % 50 = 0 THEN 'none-' ELSE '' END, CAST(o_orderkey AS STRING)) AS book_ref",
         "CAST(o_custkey AS STRING) AS passenger_id",
         "concat('PASSENGER ', CAST(o_custkey AS STRING)) AS passenger_name",
         """concat('{"phone": "+7', lpad(CAST(o_custkey AS STRING), 10, '0'), '"}') AS contact_data""",
@@ -143,17 +154,17 @@ def _segments(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     )
 
 
-def ticket_flights(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
+def segments(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     return _segments(lineitem, supplier).selectExpr(
         "CAST(l_orderkey AS STRING) AS ticket_no",
-        "flight_id",
-        "CASE WHEN l_linenumber <= 4 THEN 'Economy' WHEN l_linenumber <= 6 THEN 'Business' ELSE 'Comfort' END"
-        " AS fare_conditions",
-        "CAST(l_extendedprice AS DECIMAL(12,2)) AS amount",
+        "CASE WHEN l_orderkey % 97 <> 0 THEN flight_id END AS flight_id",
+        "CASE WHEN l_orderkey % 31 = 0 THEN 'First' WHEN l_linenumber <= 4 THEN 'Economy' WHEN l_linenumber <= 6 THEN 'Business'"
+        " ELSE 'Comfort' END AS fare_conditions",
+        "CASE WHEN l_orderkey % 89 <> 0 THEN CAST(l_extendedprice AS DECIMAL(12,2)) END AS amount",
     )
 
 
-def flights(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
+def departures(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     # One row per departure.  Nation and day are functions of flight_id, so
     # grouping by flight_id alone gives the distinct departures AND leaves
     # them hash-partitioned on flight_id, the key every consumer joins on.
@@ -184,11 +195,12 @@ def flights(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
         "concat('PG', lpad(CAST(flight_id % 10000 AS STRING), 4, '0')) AS flight_no",
         "sched AS scheduled_departure",
         f"sched + {_minutes('60 + flight_id * 7 % 400')} AS scheduled_arrival",
-        "concat('A', CAST(s_nationkey AS STRING)) AS departure_airport",
+        f"concat(CASE WHEN s_nationkey = {_UNMATCHED_NATION} THEN 'X' ELSE 'A' END, CAST(s_nationkey AS STRING)) AS departure_airport",
         "concat('A', CAST((s_nationkey + 1 + flight_id % 23) % 25 AS STRING)) AS arrival_airport",
         "CASE WHEN flight_id % 13 = 0 THEN 'Cancelled' WHEN flight_id % 17 = 0 THEN 'Departed'"
         " WHEN flight_id % 19 = 0 THEN 'Delayed' ELSE 'Arrived' END AS status",
-        "concat('Brand#', CAST(1 + flight_id % 25 AS STRING)) AS aircraft_code",
+        "CASE WHEN flight_id % 29 = 0 THEN 'Retired#1' WHEN flight_id % 31 = 0 THEN 'Unknown#1'"
+        " ELSE concat('Brand#', CAST(1 + flight_id % 25 AS STRING)) END AS aircraft_code",
         f"CASE WHEN flight_id % 13 <> 0 THEN sched + {_minutes(dep_offset)} END AS actual_departure",
         f"CASE WHEN flight_id % 13 <> 0 AND flight_id % 17 <> 0"
         f" THEN sched + {_minutes(f'{dep_offset} + 45 + flight_id * 7 % 400')} END AS actual_arrival",
@@ -206,9 +218,9 @@ class _BoundTables(Mapping):
         "aircrafts_data": (aircrafts_data, ("part",)),
         "airports_data": (airports_data, ("nation", "region")),
         "bookings": (bookings, ("orders",)),
-        "flights": (flights, ("lineitem", "supplier")),
+        "departures": (departures, ("lineitem", "supplier")),
         "seats": (seats, ("part",)),
-        "ticket_flights": (ticket_flights, ("lineitem", "supplier")),
+        "segments": (segments, ("lineitem", "supplier")),
         "tickets": (tickets, ("orders",)),
     }
 

@@ -7,14 +7,14 @@ a partitioned read, ORC, Delta/Iceberg when their jars are on the classpath.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tarmac.schemas import DOMAIN_SCHEMAS
+from tarmac.schemas import DOMAIN_SCHEMAS, STORED_NAMES
 
 
 @dataclass(frozen=True)
@@ -23,7 +23,10 @@ class TableSource:
 
     ``location`` is a path template (``{name}`` is replaced by the table
     name) for path-based formats, or ``None`` when the options alone name
-    the table (warehouse connectors, JDBC).
+    the table (warehouse connectors, JDBC).  ``names`` gives a table's stored
+    name where it is another (``{"segments": "segments_v1"}``), and
+    ``table_options`` options of single tables, e.g. a JDBC read's partition
+    column, which no two tables need share.
     """
 
     format: str = "parquet"
@@ -31,52 +34,71 @@ class TableSource:
     options: Mapping[str, str] = field(default_factory=dict)
     table_option: str | None = None  # option key that carries the table name
     table_template: str = "{name}"
+    names: Mapping[str, str] = field(default_factory=dict)
+    table_options: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
+
+    def stored_name(self, name: str) -> str:
+        return self.names.get(name, STORED_NAMES.get(name, name))
 
     def reader_options(self, name: str) -> dict[str, str]:
-        opts = dict(self.options)
+        opts = {**self.options, **self.table_options.get(name, {})}
         if self.table_option:
-            opts[self.table_option] = self.table_template.format(name=name)
+            opts[self.table_option] = self.table_template.format(name=self.stored_name(name))
         return opts
 
     def path(self, name: str) -> str | None:
-        return None if self.location is None else self.location.format(name=name)
+        return None if self.location is None else self.location.format(name=self.stored_name(name))
 
 
-def warehouse_source(dataset: str, fmt: str = "bigquery", staging_bucket: str | None = None) -> TableSource:
+def warehouse_source(
+    dataset: str, fmt: str = "bigquery", staging_bucket: str | None = None, names: Mapping[str, str] | None = None
+) -> TableSource:
     """Connector-backed tables addressed as ``<dataset>.<table>``.
 
     ``staging_bucket`` is passed through for connectors that stage writes.
     """
     opts = {"temporaryGcsBucket": staging_bucket} if staging_bucket else {}
-    return TableSource(format=fmt, options=opts, table_option="table", table_template=f"{dataset}.{{name}}")
+    return TableSource(format=fmt, options=opts, table_option="table", table_template=f"{dataset}.{{name}}", names=names or {})
+
+
+def jdbc_partitions(column: str, lower_bound: int | str, upper_bound: int | str, num_partitions: int) -> dict[str, str]:
+    """Options that read ONE table in ``num_partitions`` parallel range slices of ``column``."""
+    return {
+        "partitionColumn": column,
+        "lowerBound": str(lower_bound),
+        "upperBound": str(upper_bound),
+        "numPartitions": str(num_partitions),
+    }
 
 
 def jdbc_source(
     url: str,
-    partition_column: str | None = None,
-    lower_bound: int | None = None,
-    upper_bound: int | None = None,
-    num_partitions: int | None = None,
+    partitions: Mapping[str, Mapping[str, str]] | None = None,
+    names: Mapping[str, str] | None = None,
     fetch_size: int = 10_000,
     extra: Mapping[str, str] | None = None,
 ) -> TableSource:
-    """A JDBC database read in ``num_partitions`` parallel range slices.
+    """Tables of a JDBC database.
 
-    Without a partition column Spark reads a JDBC table in ONE task; for a
-    large fact table always give one (a dense numeric key or date).
+    Without partitions Spark reads a JDBC table in ONE task; give each large
+    fact table its own (``{"segments": jdbc_partitions("flight_id", 1, 10**9, 512)}``),
+    since no column is common to all seven.
     """
-    opts: dict[str, str] = {"url": url, "fetchsize": str(fetch_size)}
-    if partition_column is not None:
-        if None in (lower_bound, upper_bound, num_partitions):
-            raise ValueError("partitioned JDBC read needs lower_bound, upper_bound and num_partitions")
-        opts.update(
-            partitionColumn=partition_column,
-            lowerBound=str(lower_bound),
-            upperBound=str(upper_bound),
-            numPartitions=str(num_partitions),
-        )
-    opts.update(extra or {})
-    return TableSource(format="jdbc", options=opts, table_option="dbtable")
+    opts = {"url": url, "fetchsize": str(fetch_size), **(extra or {})}
+    return TableSource(format="jdbc", options=opts, table_option="dbtable", names=names or {}, table_options=partitions or {})
+
+
+def conform(df: DataFrame, schema: StructType) -> DataFrame:
+    """The declared columns of ``df``, cast to their declared types.
+
+    The scan keeps the source's own schema (amounts may be doubles, times
+    text); columns that already fit are not touched, so filters on them still
+    reach the scan.
+    """
+    own = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(
+        *[F.col(f.name) if own.get(f.name) == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
 
 
 def load_table(
@@ -85,17 +107,17 @@ def load_table(
     source: TableSource = TableSource(),
     schema: StructType | None = None,
 ) -> DataFrame:
-    """Scan a named table.  Nothing is read until an action; the scan only
-    materialises the columns and rows the downstream plan asks for."""
+    """Scan a named table, with its columns as ``schema`` declares them if given.
+    Nothing is read until an action; the scan only materialises the columns and
+    rows the downstream plan asks for."""
     reader = spark.read.format(source.format).options(**source.reader_options(name))
-    if schema is not None and source.format not in ("jdbc",):
-        reader = reader.schema(schema)
     path = source.path(name)
-    return reader.load(path) if path is not None else reader.load()
+    df = reader.load(path) if path is not None else reader.load()
+    return df if schema is None else conform(df, schema)
 
 
 def load_domain_tables(spark: SparkSession, source: TableSource) -> dict[str, DataFrame]:
-    """The seven domain tables by name, read with their declared schemas."""
+    """The seven domain tables by name, cast to their declared types."""
     return {name: load_table(spark, name, source, schema) for name, schema in DOMAIN_SCHEMAS.items()}
 
 
@@ -116,7 +138,3 @@ def overwrite_table(
     else:
         writer.save()
 
-
-def scratch_table_source(base_dir: str) -> TableSource:
-    """Parquet tables in a fresh sub-folder of a shared base folder."""
-    return TableSource(location=f"{base_dir.rstrip('/')}/tables-{uuid.uuid4().hex}/{{name}}")

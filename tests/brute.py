@@ -10,9 +10,9 @@ from collections import defaultdict
 from decimal import ROUND_DOWN, ROUND_HALF_UP, Decimal
 
 from tarmac.functions.names import AIRPORT_NAME_PATTERN, CITY_NAME_PATTERN
+from tarmac.schemas import PERIOD_COLUMNS
 
-PERIODS = [("flights_early_morning", 0, 6), ("flights_morning", 6, 12),
-           ("flights_afternoon", 12, 18), ("flights_evening", 18, 24)]
+PERIODS = [(c, 6 * i, 6 * i + 6) for i, c in enumerate(PERIOD_COLUMNS.values())]
 CLASSES = ["Economy", "Business", "Comfort"]
 
 
@@ -52,10 +52,10 @@ class Data:
         self.airports = [(a[0], clean(a[1], AIRPORT_NAME_PATTERN), clean(a[2], CITY_NAME_PATTERN)) for a in
                          rows["airports_data"]]
         self.bookings = rows["bookings"]
-        self.flights = [dict(zip(["flight_id", "flight_no", "sched", "sched_arr", "dep", "arr", "status",
-                                  "aircraft", "act_dep", "act_arr"], f)) for f in rows["flights"]]
+        self.departures = [dict(zip(["flight_id", "flight_no", "sched", "sched_arr", "dep", "arr", "status",
+                                  "aircraft", "act_dep", "act_arr"], f)) for f in rows["departures"]]
         self.seats = rows["seats"]
-        self.segments = rows["ticket_flights"]
+        self.segments = rows["segments"]
         self.tickets = rows["tickets"]
 
     def names_of(self, code):
@@ -63,8 +63,8 @@ class Data:
         return found or [None]
 
     # -- shared row sets ------------------------------------------------
-    def departures(self, require_id, require_arrived):
-        for f in self.flights:
+    def completed(self, require_id, require_arrived):
+        for f in self.departures:
             if f["act_dep"] is None or f["act_arr"] is None:
                 continue
             if require_id and f["flight_id"] is None:
@@ -90,7 +90,7 @@ class Data:
                 if not segs:
                     out[(d, None)] += 1
                 for s in segs:
-                    fl = [f for f in self.flights if s[1] is not None and f["flight_id"] == s[1]]
+                    fl = [f for f in self.departures if s[1] is not None and f["flight_id"] == s[1]]
                     if not fl:
                         out[(d, None)] += 1
                     for f in fl:
@@ -100,7 +100,7 @@ class Data:
 
     def revenue(self):
         groups = defaultdict(list)
-        for key, f in self.departures(True, True):
+        for key, f in self.completed(True, True):
             amounts = [s[3] for s in self.segs_of(f["flight_id"]) if s[3] is not None]
             groups[key].append(sum(amounts) if amounts else None)
         out = {}
@@ -111,13 +111,13 @@ class Data:
 
     def airtime(self):
         groups = defaultdict(list)
-        for key, f in self.departures(True, True):
+        for key, f in self.completed(True, True):
             groups[key].append(epoch(f["act_arr"]) - epoch(f["act_dep"]))
         return {k: r2(sum(v) / 60) for k, v in groups.items()}
 
     def periods(self):
         out = {}
-        for key, f in self.departures(True, True):
+        for key, f in self.completed(True, True):
             row = out.setdefault(key, {p: 0 for p, _, _ in PERIODS})
             h = f["sched"].hour if f["sched"] is not None else None
             for p, lo, hi in PERIODS:
@@ -125,9 +125,21 @@ class Data:
                     row[p] += 1
         return out
 
+    def delay_rows(self):
+        """The standalone metric: one (date, name, average) a day and airport code."""
+        groups = defaultdict(list)
+        for f in self.departures:
+            if f["act_dep"] is not None and f["act_arr"] is not None:
+                own = groups[(day(f["sched"]), f["dep"])]
+                if f["sched"] is not None:
+                    own.append(epoch(f["act_dep"]) - epoch(f["sched"]))
+        return [
+            (d, name, r2(float(sum(v)) / len(v)) if v else None) for (d, code), v in groups.items() for name in self.names_of(code)
+        ]
+
     def delay(self):
         groups = defaultdict(list)
-        for key, f in self.departures(False, False):
+        for key, f in self.completed(False, False):
             if f["sched"] is not None:
                 groups[key].append(epoch(f["act_dep"]) - epoch(f["sched"]))
             else:
@@ -139,7 +151,7 @@ class Data:
         for s in self.seats:
             seats[s[0]] += 1
         groups = defaultdict(lambda: [[], []])
-        for key, f in self.departures(True, False):
+        for key, f in self.completed(True, False):
             n = len(self.segs_of(f["flight_id"]))
             groups[key][0].append(n if n else None)
             groups[key][1].append(seats.get(f["aircraft"]))
@@ -158,7 +170,7 @@ class Data:
             if s[0] in fleet and s[2] in CLASSES:
                 seat_c[(s[0], s[2])] += 1
         groups = defaultdict(lambda: {c: [0, 0] for c in CLASSES})
-        for key, f in self.departures(True, False):
+        for key, f in self.completed(True, False):
             segs = self.segs_of(f["flight_id"])
             for c in CLASSES:
                 groups[key][c][0] += sum(1 for s in segs if s[2] == c)
@@ -170,7 +182,7 @@ class Data:
 
     # -- spine and mart -------------------------------------------------
     def spine(self):
-        days = {day(f["sched"]) for f in self.flights} | {day(b[1]) for b in self.bookings}
+        days = {day(f["sched"]) for f in self.departures} | {day(b[1]) for b in self.bookings}
         names = {a[1] for a in self.airports}
         return [(d, n) for d in days for n in names]
 
@@ -187,8 +199,7 @@ class Data:
             c = get(fc, key) or {}
             rows.append((
                 key[0], key[1], get(bk, key) or 0, get(rv, key) or 0, get(at, key) or 0.0,
-                p.get("flights_early_morning", 0), p.get("flights_morning", 0),
-                p.get("flights_afternoon", 0), p.get("flights_evening", 0),
+                *[p.get(c, 0) for c, _, _ in PERIODS],
                 get(dl, key) or 0.0, get(oc, key) or 0.0,
                 c.get("avg_occupancy_economy", 0.0), c.get("avg_occupancy_business", 0.0),
                 c.get("avg_occupancy_comfort", 0.0),

@@ -48,7 +48,7 @@ BOOKINGS = [
 ]
 
 # flight_id, no, sched_dep, sched_arr, dep_airport, arr_airport, status, aircraft, act_dep, act_arr
-FLIGHTS = [
+DEPARTURES = [
     (1, "F1", dt("2024-03-01 00:10:00"), None, "AAA", "BBB", "Arrived", "A1",
      dt("2024-03-01 00:05:00"), dt("2024-03-01 01:05:00")),
     (2, "F2", dt("2024-03-01 05:59:00"), None, "AAA", "BBB", "Arrived", "A2",
@@ -83,7 +83,7 @@ SEATS = [
     ("A7", "1A", "Economy"), ("A7", "1B", "Economy"), ("A7", "2A", "Business"),
 ]
 
-TICKET_FLIGHTS = [
+SEGMENTS = [
     ("T1", 1, "Economy", Decimal("100.50")),
     ("T1", 2, "Economy", Decimal("200.25")),
     ("T2", 1, "Business", Decimal("300.99")),
@@ -119,9 +119,9 @@ ROWS = {
     "aircrafts_data": AIRCRAFTS,
     "airports_data": AIRPORTS,
     "bookings": BOOKINGS,
-    "flights": FLIGHTS,
+    "departures": DEPARTURES,
     "seats": SEATS,
-    "ticket_flights": TICKET_FLIGHTS,
+    "segments": SEGMENTS,
     "tickets": TICKETS,
 }
 

@@ -1,42 +1,80 @@
-"""Size-checked broadcast and the one-job multi-table check."""
-
-from tarmac.operators.joins import all_at_most, bounded_broadcast, has_at_most
-
-
-def test_has_at_most(spark):
-    df = spark.range(10)
-    assert has_at_most(df, 10) and not has_at_most(df, 9)
-
-
-def test_all_at_most_one_job(spark):
-    got = all_at_most({"small": spark.range(3), "big": spark.range(50), "empty": spark.range(0)}, 10)
-    assert got == {"small": True, "big": False, "empty": True}
-
-
-def _plan(df):
-    import io
-    from contextlib import redirect_stdout
-
-    buf = io.StringIO()
-    with redirect_stdout(buf):
-        df.explain()
-    return buf.getvalue()
-
-
-def test_bounded_broadcast_hint_only_when_small(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+"""Joins that spread hot and missing keys: results, and how rows are dealt."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tarmac.operators.joins import left_join_few_codes, left_join_unique, split_left_join
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Sort-merge joins over 16 partitions, as dealt (no adaptive change)."""
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def _largest_share(df):
+    counts = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    return max(counts) / sum(counts)
+
+
+def _hot(spark, hot):
+    """20,000 rows, 60% of them with the key ``hot``."""
+    return spark.range(20_000).select(F.when(F.col("id") % 10 < 6, F.lit(hot)).otherwise(F.col("id")).cast("long").alias("k"), F.col("id").alias("v"))
+
+
+def test_rows_without_a_key_are_spread(shuffled):
+    left, right = _hot(shuffled, None), shuffled.range(0, 20_000, 3).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    plain = left.join(right, "k", "left")
+    spread = left_join_unique(left, right, "k", ["v"])
+    assert _largest_share(plain) > 0.6 > 0.2 > _largest_share(spread)
+    assert sorted(map(tuple, spread.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_a_hot_code_is_spread(shuffled):
+    left, right = _hot(shuffled, 7), shuffled.range(0, 20_000, 3).select((F.col("id") + 1).alias("k"), F.col("id").alias("w"))
+    plain = left.join(right, "k", "left")
+    spread = left_join_few_codes(left, right, "k", ["v"])
+    assert _largest_share(plain) > 0.6 > 0.3 > _largest_share(spread)
+    assert sorted(map(tuple, spread.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_rows_without_a_key_pass_by_the_join(shuffled):
+    matched, unmatched = split_left_join(_hot(shuffled, None), shuffled.range(100).withColumnRenamed("id", "k"), "k")
+    assert unmatched.filter("k IS NULL").count() == 12_000
+    assert _largest_share(unmatched) < 0.3
+
+
+@pytest.mark.parametrize("side", ["left", "right"])
+def test_aqe_splits_a_hot_key_of_the_inner_join(spark, side, tmp_path):
+    """Over stored tables, broadcast off and thresholds lowered, the inner part of split_left_join is split."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    hot = _hot(spark, 7)
+    few = spark.range(0, 20_000, 3).select((F.col("id") + 1).alias("k"), F.col("id").alias("w"))
+    hot.repartition(8).write.parquet(str(tmp_path / "hot"))
+    few.write.parquet(str(tmp_path / "few"))
+    hot, few = spark.read.parquet(str(tmp_path / "hot")), spark.read.parquet(str(tmp_path / "few"))
+    old = {k: spark.conf.get(k, None) for k in conf}
     try:
-        big = spark.range(1000).withColumnRenamed("id", "k")
-        small = spark.range(5).withColumnRenamed("id", "k")
-        joined = big.join(bounded_broadcast(small, max_rows=10), "k", "left")
-        assert "BroadcastHashJoin" in _plan(joined)
-        not_small = big.join(bounded_broadcast(small, max_rows=2), "k", "left")
-        assert "BroadcastHashJoin" not in _plan(not_small)
-        assert joined.count() == 1000
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        matched, _ = split_left_join(*((hot, few) if side == "left" else (few, hot)), "k")
+        matched.collect()
+        assert "skew=true" in matched._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_left_join_fanout_equals_left_join(spark):

@@ -8,12 +8,13 @@ from contextlib import redirect_stdout
 import pytest
 
 from tarmac import assemble_mart_from_metrics, daily_airport_mart
+from tarmac.schemas import STORED_NAMES
 from tarmac.session import checkpoint_dir
 from tarmac.sources import TableSource, load_domain_tables, overwrite_table
 
 from .edge_fixture import edge_tables
 
-ORDER = ("aircrafts_data", "airports_data", "bookings", "flights", "seats", "ticket_flights", "tickets")
+ORDER = ("aircrafts_data", "airports_data", "bookings", "departures", "seats", "segments", "tickets")
 
 
 @pytest.fixture(scope="module")
@@ -35,12 +36,13 @@ def _plan(df):
 def _scans(plan, table):
     """The formatted-plan blocks of every scan of ``table``."""
     blocks = plan.split("\n\n")
-    return [b for b in blocks if "Scan parquet" in b.split("\n")[0] and f"/{table}]" in b]
+    stored = STORED_NAMES.get(table, table)
+    return [b for b in blocks if "Scan parquet" in b.split("\n")[0] and f"/{stored}]" in b]
 
 
-def test_completed_filter_reaches_the_flights_scan(stored):
+def test_completed_filter_reaches_the_departures_scan(stored):
     plan = _plan(daily_airport_mart(*(stored[n] for n in ORDER)))
-    scans = _scans(plan, "flights")
+    scans = _scans(plan, "departures")
     assert any(
         "IsNotNull(actual_departure)" in s and "IsNotNull(actual_arrival)" in s for s in scans
     ), scans
@@ -48,7 +50,7 @@ def test_completed_filter_reaches_the_flights_scan(stored):
 
 def test_scans_read_only_needed_columns(stored):
     plan = _plan(daily_airport_mart(*(stored[n] for n in ORDER)))
-    for s in _scans(plan, "ticket_flights"):
+    for s in _scans(plan, "segments"):
         assert "amount" in s or "ticket_no" in s
     for s in _scans(plan, "tickets"):
         assert "passenger_name" not in s and "contact_data" not in s
@@ -64,22 +66,30 @@ def test_grid_is_the_only_product_and_it_is_broadcast(stored):
 
 
 def test_fused_plan_reads_departures_fewer_times(stored):
-    fused = len(_scans(_plan(daily_airport_mart(*(stored[n] for n in ORDER))), "flights"))
-    assembled = len(_scans(_plan(assemble_mart_from_metrics(*(stored[n] for n in ORDER))), "flights"))
+    fused = len(_scans(_plan(daily_airport_mart(*(stored[n] for n in ORDER))), "departures"))
+    assembled = len(_scans(_plan(assemble_mart_from_metrics(*(stored[n] for n in ORDER))), "departures"))
     assert fused <= 3 < assembled
 
 
-def test_grid_broadcasts_days_when_names_are_not_small(spark, stored):
-    from tarmac.plans.spine import spine
+def test_planning_runs_no_job(spark, stored):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "no job may start while a plan is built")
+    try:
+        _plan(daily_airport_mart(*(stored[n] for n in ORDER)))
+        assert list(tracker.getJobIdsForGroup("planning")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
-    args = (stored["airports_data"], stored["flights"], stored["bookings"])
-    usual = spine(*args)
-    flipped = spine(*args, airports_small=False)
-    assert sorted(map(tuple, flipped.collect()), key=str) == sorted(map(tuple, usual.collect()), key=str)
-    plan = _plan(flipped)
-    tree = [line for line in plan.split("\n\n")[0].splitlines() if "NestedLoopJoin" in line]
-    assert tree and all("BroadcastNestedLoopJoin" in line for line in tree), tree
-    assert "CartesianProduct" not in plan
+
+def test_seats_and_names_meet_grouped_rows_only(stored):
+    """No join on aircraft or airport code at the grain of departures: each has an aggregate below it."""
+    tree = _plan(daily_airport_mart(*(stored[n] for n in ORDER))).split("\n\n")[0].splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    joins = [i for i, line in enumerate(tree) if "HashJoin LeftOuter" in line or "SortMergeJoin LeftOuter" in line]
+    assert joins
+    for i in joins:
+        below = [line for line in tree[i + 1 :]][: next((j for j, line in enumerate(tree[i + 1 :]) if depth(line) <= depth(tree[i])), None)]
+        assert any("HashAggregate" in line for line in below), tree[i]
 
 
 def test_null_name_branches_are_pruned_inside_the_mart(stored):
@@ -87,6 +97,6 @@ def test_null_name_branches_are_pruned_inside_the_mart(stored):
 
     mart_plan = _plan(daily_airport_mart(*(stored[n] for n in ORDER)))
     assert "LeftAnti" not in mart_plan  # NULL-name rows can never match the grid
-    alone = _plan(daily_bookings(stored["bookings"], stored["tickets"], stored["ticket_flights"],
-                                 stored["flights"], stored["airports_data"]))
+    alone = _plan(daily_bookings(stored["bookings"], stored["tickets"], stored["segments"],
+                                 stored["departures"], stored["airports_data"]))
     assert "LeftAnti" in alone  # standalone, NULL-name groups are part of the answer

@@ -31,13 +31,13 @@ def skewed_rows(seed):
     ]
     aircrafts = [("J1", "{}", 1), ("J2", "{}", 2)]
     seats = [("J1", f"{i}", rng.choice(CLASSES[:4])) for i in range(6)] + [("J2", "1", "Economy"), ("J3", "1", "Business")]
-    flights = []
+    departures = []
     for fid in range(1, 21):
         sched = t0 + timedelta(days=rng.randrange(3), minutes=rng.randrange(1440)) if rng.random() > 0.05 else None
         dep = None if rng.random() < 0.15 else (sched or t0) + timedelta(minutes=rng.randrange(-20, 90))
         arr = None if dep is None or rng.random() < 0.1 else dep + timedelta(minutes=rng.randrange(30, 400))
         code = "HUB" if rng.random() < 0.6 else rng.choice(["SML", "DUP", "BAD", "NOPE"])
-        flights.append((fid if rng.random() > 0.1 else None, f"F{fid}", sched, None, code, "SML",
+        departures.append((fid if rng.random() > 0.1 else None, f"F{fid}", sched, None, code, "SML",
                         rng.choice(STATUSES), rng.choice(["J1", "J2", "J3", "J9"]), dep, arr))
     bookings = [(f"B{i}", t0 + timedelta(days=rng.randrange(-1, 4), hours=rng.randrange(24)) if rng.random() > 0.05 else None,
                  Decimal("1.00")) for i in range(30)]
@@ -51,8 +51,8 @@ def skewed_rows(seed):
         amount = None if rng.random() < 0.03 else Decimal(rng.randrange(-500, 50000)) / 100
         segments.append((f"T{rng.randrange(70)}", fid, rng.choice(CLASSES), amount))
     return {
-        "aircrafts_data": aircrafts, "airports_data": airports, "bookings": bookings, "flights": flights,
-        "seats": seats, "ticket_flights": segments, "tickets": tickets,
+        "aircrafts_data": aircrafts, "airports_data": airports, "bookings": bookings, "departures": departures,
+        "seats": seats, "segments": segments, "tickets": tickets,
     }
 
 
@@ -60,6 +60,6 @@ def skewed_rows(seed):
 def test_fused_mart_on_skewed_data(spark, seed):
     rows = skewed_rows(seed)
     t = {name: spark.createDataFrame(r, DOMAIN_SCHEMAS[name]) for name, r in rows.items()}
-    got = [tuple(r) for r in daily_airport_mart(t["aircrafts_data"], t["airports_data"], t["bookings"], t["flights"],
-                                                t["seats"], t["ticket_flights"], t["tickets"]).collect()]
+    got = [tuple(r) for r in daily_airport_mart(t["aircrafts_data"], t["airports_data"], t["bookings"], t["departures"],
+                                                t["seats"], t["segments"], t["tickets"]).collect()]
     assert got == Data(rows).mart()

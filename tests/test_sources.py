@@ -5,12 +5,14 @@ import uuid
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tarmac import run_job
-from tarmac.schemas import DOMAIN_SCHEMAS
+from tarmac.schemas import DOMAIN_SCHEMAS, STORED_NAMES
 from tarmac.session import checkpoint_dir
 from tarmac.sources import (
     TableSource,
+    jdbc_partitions,
     jdbc_source,
     load_domain_tables,
     load_table,
@@ -26,19 +28,41 @@ def _scratch(spark):
 
 
 def test_warehouse_source_options():
-    src = warehouse_source("proj.flights_database", staging_bucket="bucket-x")
+    src = warehouse_source("proj.airline", staging_bucket="bucket-x")
     assert src.format == "bigquery"
-    assert src.reader_options("flights") == {"temporaryGcsBucket": "bucket-x", "table": "proj.flights_database.flights"}
-    assert src.path("flights") is None
+    assert src.reader_options("departures") == {"temporaryGcsBucket": "bucket-x", "table": f"proj.airline.{STORED_NAMES['departures']}"}
+    assert src.path("departures") is None
 
 
-def test_jdbc_source_partitioned_read_options():
-    src = jdbc_source("jdbc:postgresql://db/demo", "flight_id", 1, 1000, 16)
-    opts = src.reader_options("bookings.flights")
-    assert opts["dbtable"] == "bookings.flights"
-    assert opts["partitionColumn"] == "flight_id" and opts["numPartitions"] == "16"
-    with pytest.raises(ValueError):
-        jdbc_source("jdbc:postgresql://db/demo", "flight_id")
+def test_jdbc_source_partitions_each_table_by_its_own_column():
+    src = jdbc_source(
+        "jdbc:postgresql://db/demo",
+        {"segments": jdbc_partitions("flight_id", 1, 1000, 16), "bookings": jdbc_partitions("book_date", "2020-01-01", "2021-01-01", 4)},
+        names={"departures": "bookings.dep"},
+    )
+    opts = src.reader_options("segments")
+    assert opts["dbtable"] == STORED_NAMES["segments"] and opts["partitionColumn"] == "flight_id" and opts["numPartitions"] == "16"
+    assert src.reader_options("bookings")["partitionColumn"] == "book_date"
+    assert src.reader_options("departures") == {"url": "jdbc:postgresql://db/demo", "fetchsize": "10000", "dbtable": "bookings.dep"}
+
+
+def test_run_job_on_tables_as_they_are(spark):
+    """DOUBLE amounts, times as text, extra columns and a segments table of another name."""
+    base = _scratch(spark)
+    t = golden_tables(spark)
+    src = TableSource(location=base + "/in/{name}", names={"segments": "segments_v1"})
+    for name, df in t.items():
+        if name == "segments":
+            df = df.withColumn("amount", F.col("amount").cast("double")).withColumn("extra", F.lit(1))
+        if name == "departures":
+            df = df.withColumns({c: F.col(c).cast("string") for c, kind in df.dtypes if kind == "timestamp_ntz"})
+        overwrite_table(df, name, src)
+    assert os.path.isdir(base + "/in/segments_v1")
+    out = run_job(spark, src, TableSource(location=base + "/out/{name}"))
+    got = out.orderBy("date", "airport_name").toPandas()
+    pd.testing.assert_frame_equal(pd.DataFrame(GOLDEN_EXPECTED), got, check_dtype=True)
+    back = load_domain_tables(spark, src)
+    assert all(back[name].schema == DOMAIN_SCHEMAS[name] for name in ("segments", "departures"))
 
 
 def test_parquet_round_trip_with_declared_schema(spark):
@@ -74,19 +98,23 @@ def test_command_line_job_partitioned_by_date(spark):
         overwrite_table(df, name, src)
     main(["--source", base + "/in/{name}", "--sink", base + "/out/{name}", "--partition-by", "date"], spark)
     parts = {d for d in os.listdir(base + "/out/daily_airport_mart") if d.startswith("date=")}
-    assert parts == {"date=2020-01-30", "date=2020-01-31"}
-    assert spark.read.parquet(base + "/out/daily_airport_mart").count() == 8
+    assert parts == {"date=2021-05-01", "date=2021-05-02"}
+    assert spark.read.parquet(base + "/out/daily_airport_mart").count() == 4
 
 
 def test_command_line_source_building():
     from tarmac.__main__ import _source
 
-    wh = _source("bigquery", None, "proj.flights_database", "stage-bucket")
+    wh = _source("bigquery", None, "proj.airline", "stage-bucket")
     assert wh.format == "bigquery" and wh.reader_options("aggregates") == {
         "temporaryGcsBucket": "stage-bucket",
-        "table": "proj.flights_database.aggregates",
+        "table": "proj.airline.aggregates",
     }
     files = _source("orc", "/data/{name}", None, None)
-    assert files.format == "orc" and files.path("flights") == "/data/flights"
-    with pytest.raises(SystemExit):
-        _source("parquet", None, None, None)
+    assert files.format == "orc" and files.path("tickets") == "/data/tickets"
+    db = _source("jdbc", None, None, None, ["url=jdbc:x"], ["segments=segments_v1"], ["segments.numPartitions=8"])
+    assert db.reader_options("segments") == {"url": "jdbc:x", "dbtable": "segments_v1", "numPartitions": "8"}
+    assert db.reader_options("seats") == {"url": "jdbc:x", "dbtable": "seats"}
+    for bad in ((None, None, None), ("/x", None, None, ["url"]), ("/x", None, None, None, None, ["numPartitions=8"])):
+        with pytest.raises(SystemExit):
+            _source("parquet", *bad)
