@@ -19,15 +19,7 @@ sys.path.insert(0, os.path.abspath(os.path.join(os.path.dirname(__file__), "..")
 from tarmac.catalog import all_queries  # noqa: E402
 from tarmac.session import build_session  # noqa: E402
 
-HEADLINE = [
-    "daily_airport_mart",
-    "daily_bookings",
-    "daily_revenue",
-    "daily_departure_delay",
-    "daily_occupancy_by_fare_class",
-    "date_airport_spine",
-    "star_join_chain",
-]
+HEADLINE = ["daily_airport_mart"]
 
 
 def main(argv: list[str]) -> None:
