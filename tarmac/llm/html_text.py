@@ -51,12 +51,15 @@ CLOSES = {
 }
 #: Words of a class or id of elements beside the article.
 BESIDE = frozenset(
-    "ad ads adsense advert advertisement adverts advertising banner breadcrumb breadcrumbs combx comment comments consent cookie "
-    "cookies copyright disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices "
-    "notification outbrain overlay pager pagination popup promo promoted promotion recommended related remark replies reply respond "
-    "rss share sharing shoutbox sidebar signup skip skyscraper social sponsor sponsored subscribe subscription taboola teaser toolbar "
-    "widget widgets".split()
+    "ad adbox ads adsense adslot adunit adv advert advertisement advertising adverts advt alert alerts announcement banner breadcrumb "
+    "breadcrumbs colophon combx comment commentarea commentbox commentform commentlist comments consent cookie cookiebanner cookiebar "
+    "cookies copyright disclaimer disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice noticebox "
+    "notices notification outbrain overlay pagefooter pager pagination popup promo promobox promoted promotion recommended related "
+    "relatedlinks relatedposts remark replies reply respond rss share sharebar sharing shoutbox sidebar sidenav signup sitefooter skip "
+    "skyscraper social sponsor sponsored subnav subscribe subscription taboola teaser toast toolbar topbar topnav widget widgets".split()
 )
+#: Those of an article's own head as well; set aside outside of one only.
+HEADS = frozenset("header pageheader siteheader".split())
 BESIDE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 _NOT_A_PART = ("has", "with", "no", "without", "is")
 _NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -68,24 +71,32 @@ SIBLING_SHARE = 0.2
 
 
 class Node:
-    __slots__ = ("aside", "children", "commas", "holds_main", "length", "links", "parent", "score", "tag")
+    __slots__ = ("aside", "children", "commas", "head", "holds_main", "length", "links", "parent", "score", "tag")
 
-    def __init__(self, tag: str, parent: Node | None, aside: bool = False):
-        self.tag, self.parent, self.aside = tag, parent, aside
+    def __init__(self, tag: str, parent: Node | None, aside: bool = False, head: bool = False):
+        self.tag, self.parent, self.aside, self.head = tag, parent, aside, head
         self.children: list[Node | str] = []
         self.holds_main, self.score = tag in ("article", "main"), _START.get(tag, 0.0)
         self.length = self.links = self.commas = 0
 
 
-def _named_beside(attrs: list[tuple[str, str | None]]) -> bool:
+def _named(attrs: list[tuple[str, str | None]], words: frozenset[str]) -> bool:
+    """Whether a class or id is made of one of the words."""
     for name, value in attrs:
-        value = value or ""
         if name in ("class", "id"):
-            for one in value.split():
+            for one in (value or "").split():
                 found = [x.lower() for x in _NAME_WORDS.findall(one)]
-                if found and found[0] not in _NOT_A_PART and not BESIDE.isdisjoint(found):
+                if found and found[0] not in _NOT_A_PART and not words.isdisjoint(found):
                     return True
-        elif (name == "role" and value.lower() in BESIDE_ROLES) or name == "hidden":
+    return False
+
+
+def _named_beside(attrs: list[tuple[str, str | None]]) -> bool:
+    if _named(attrs, BESIDE):
+        return True
+    for name, value in attrs:
+        value = value or ""
+        if (name == "role" and value.lower() in BESIDE_ROLES) or name == "hidden":
             return True
         elif (name == "aria-hidden" and value == "true") or (name == "style" and _HIDDEN.search(value.lower())):
             return True
@@ -114,9 +125,10 @@ class _Tree(HTMLParser):
             self._close(*CLOSES[tag])
         if tag == "a":
             self._close({"a"}, BLOCKS - {"br"})
-        beside = tag not in ("html", "body", "article", "main") and _named_beside(attrs) or tag in ("article",) and _named_beside(attrs)
-        node = Node(tag, self.here, tag in ASIDE or beside)
-        if beside and tag == "article":
+        beside = tag not in ("html", "body", "main") and _named_beside(attrs)
+        head = tag == "header" or (tag not in ("html", "body", "main", "article") and _named(attrs, HEADS))
+        node = Node(tag, self.here, tag in ASIDE or beside, head)
+        if beside:
             node.holds_main = False
         self.here.children.append(node)
         self.nodes.append(node)
@@ -159,7 +171,7 @@ def _mark_aside(nodes: list[Node]) -> None:
         up = node.parent
         if id(up) in inside or up.tag in ("article", "main"):
             inside.add(id(node))
-        own = node.aside or (node.tag == "header" and id(node) not in inside)
+        own = node.aside or (node.head and id(node) not in inside)
         node.aside = up.aside or (own and not node.holds_main)
 
 

@@ -45,6 +45,8 @@ BESIDE = [
     "<footer><p>Copyright, all rights, reserved, by us.</p></footer>",
     '<div style="display: none"><p>Hidden, text, of, no, use, here.</p></div>',
     '<div role="banner">Banner, text</div>',
+    '<ol class="commentlist"><li>First, comment, of, a, reader.</li></ol><div id="userComments"><p>One, more, comment, here.</p></div>',
+    '<div class="site-header"><p>Slogan, of, the, site, again.</p></div><p class="alert">Notice, to, all, readers.</p>',
     "<!-- a comment, <p>with markup</p> -->",
 ]
 
@@ -54,7 +56,7 @@ def test_only_the_article_is_kept(wrap):
     rest = "".join(BESIDE)
     page = f"<html><head><title>T, t</title></head><body>{rest}{wrap.format(PARAGRAPHS)}{rest}</body></html>"
     assert H.main_text(page) == TEXT
-    inside = f"<html><body>{wrap.format(PARAGRAPHS.replace('</p><p>', '</p>' + rest.replace(BESIDE[1], '') + '<p>'))}</body></html>"
+    inside = f"<html><body>{wrap.format(PARAGRAPHS.replace('</p><p>', '</p>' + rest.replace(BESIDE[1], '').replace(BESIDE[-2].split('<p class')[0], '') + '<p>'))}</body></html>"
     assert H.main_text(inside) == TEXT
 
 
@@ -73,6 +75,7 @@ def test_only_the_article_is_kept(wrap):
         ("<form><article><p>Whole page in a form, as some do.</p></article></form>", "Whole page in a form, as some do."),
         ("<article><p>cut off in the mid", "cut off in the mid"),
         ("<article><header><h1>Own title</h1></header><p>Text, text.</p></article>", "Own title Text, text."),
+        ("<article><div class='article-header'><h1>Own title</h1></div><p>Text, text.</p></article>", "Own title Text, text."),
         ("<body class='has-sidebar nav'><p>Body text, here.</p>", "Body text, here."),
         ("<article><p>a</p></b></i></div><p>b</p></article>", "a b"),
     ],
