@@ -7,12 +7,14 @@
    signature of minima; each band of ``ROWS`` minima is a bucket.  Two sets of
    similarity 0.8 miss every shared bucket with a probability of 3e-6.
 3. First pass: each member of a bucket is compared with the bucket's first
-   member only, which is linear in the bucket.  Second pass: in buckets whose
-   members are still in several components, every two members of different
-   components are compared by signature, block by block (a block holds at most
-   ``BLOCK`` rows, so no task grows with the bucket).  A pair goes on if its
-   signatures agree almost as the threshold asks (4.9 standard deviations of
-   slack), and is a link only if the full sets confirm it.
+   member only, which is linear in the bucket.  Second pass, over buckets whose
+   members are still in several components: pairs that share a rare shingle are
+   found by it; for all others the count of common shingles bounds the
+   intersection, and those that these bounds let be similar are compared by
+   signature, block by block (a group of two blocks holds about ``2 * BLOCK``
+   rows, so no task grows with the bucket).  A pair goes on if its signatures
+   agree almost as the threshold asks (4.9 standard deviations of slack), and
+   is a link only if the full sets confirm it.
 4. Links become components by alternating large-star and small-star.
 
 No pairs are emitted between members of one component, and none between copies.
@@ -31,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +46,11 @@ BANDS, ROWS = 32, 5
 PERCENT = 80
 #: Share of equal minima that sends a pair to the exact check (0.8 less 4.9 deviations).
 SIGNATURE_SHARE = 0.645
-BLOCK = 2048
+BLOCK = 1024
+#: Most sets that hold a rare shingle.
+RARE = 8
+#: log2 of the bits of the id filter (8 MB) before full sets are cut.
+ID_BITS = 26
 
 _rng = np.random.default_rng(20240801)
 _MULTIPLIER = _rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -110,9 +117,41 @@ def _sketch(k: int):
     return run
 
 
-def _sets(k: int):
+def _places(ids: np.ndarray) -> np.ndarray:
+    return T.mix(ids.view(np.uint64)) >> np.uint64(64 - ID_BITS)
+
+
+def _id_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, bits): the ids' places in a bit array, by 64-bit word."""
+    for batch in batches:
+        place = _places(batch.column("id").to_numpy())
+        bits = np.uint64(1) << (place & np.uint64(63))
+        yield pa.record_batch({"word": pa.array((place >> np.uint64(6)).view(np.int64)), "bits": pa.array(bits.view(np.int64))})
+
+
+def _id_bits(ids: DataFrame) -> Broadcast:
+    """A bit array of ``2**ID_BITS`` bits in which the hashes of ``ids`` are set.
+
+    Its size is fixed.  It only spares the texts of other documents the shuffle
+    (of a few of them it doesn't); joins by id follow.
+    """
+    words = ids.mapInArrow(_id_words, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    data = np.zeros(1 << (ID_BITS - 6), np.uint64)
+    data[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return ids.sparkSession.sparkContext.broadcast(data)
+
+
+def _may_hold(data: np.ndarray, ids: pa.Array) -> pa.Array:
+    place = _places(ids.fill_null(0).to_numpy(zero_copy_only=False))
+    return pa.array((data[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool))
+
+
+def _sets(k: int, wanted: Broadcast):
+    """(id, shingles) of the rows whose id may be wanted."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(_may_hold(wanted.value, batch.column("id")))
             for lo, hi, w in T.words_by_slice(batch.column("text"), max_bytes=1 << 19):
                 h, first = shingle_sets(w, k)
                 lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(h.view(np.int64), pa.int64()))
@@ -121,6 +160,12 @@ def _sets(k: int):
     return run
 
 
+def _full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """Written (id, shingles) of the documents with these ids (and a few others)."""
+    found = docs.filter("id IS NOT NULL").mapInArrow(_sets(k, _id_bits(ids)), "id long, shingles array<long>")
+    return written(found, "near-sets")
+
+
 def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(bucket, id) for each band of each signature."""
     salt = np.arange(BANDS, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15)
@@ -165,7 +210,7 @@ def _between_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def _pairs_of_groups(rows: pa.Table, cut: np.ndarray) -> Iterator[pa.RecordBatch]:
     if not rows.num_rows:
         return
-    ids, component, n, side, block_j = (rows.column(c).to_numpy() for c in ("id", "component", "n_shingles", "side", "j"))
+    ids, component, n, common, side = (rows.column(c).to_numpy() for c in ("id", "component", "n_shingles", "common", "side"))
     sig = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint32).reshape(rows.num_rows, -1)
     found_a, found_b = [], []
     for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
@@ -173,7 +218,8 @@ def _pairs_of_groups(rows: pa.Table, cut: np.ndarray) -> Iterator[pa.RecordBatch
         for x in range(lo, middle if middle < hi else hi):
             begin = middle if middle < hi else x + 1
             y = np.arange(begin, hi)
-            y = y[(component[y] != component[x]) & (100 * np.minimum(n[y], n[x]) >= PERCENT * np.maximum(n[y], n[x]))]
+            most = np.minimum(common[y], common[x])  # of the intersection, without rare shingles
+            y = y[(component[y] != component[x]) & (100 * most >= PERCENT * (n[y] + n[x] - most))]
             if len(y):
                 y = y[(sig[y] == sig[x]).mean(axis=1) >= SIGNATURE_SHARE]
                 found_a.append(np.minimum(ids[x], ids[y]))
@@ -182,20 +228,40 @@ def _pairs_of_groups(rows: pa.Table, cut: np.ndarray) -> Iterator[pa.RecordBatch
         yield pa.record_batch({"a": pa.array(np.concatenate(found_a)), "b": pa.array(np.concatenate(found_b))})
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough.
 
-    Only texts of the pairs' documents are cut into sets; both joins are on
-    scans, so a document in very many pairs is split by the skew join.
+    Both joins are on scans, so a document in very many pairs is split by the
+    skew join.
     """
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = written(docs.join(needed, "id", "left_semi").mapInArrow(_sets(k), "id long, shingles array<long>"), "near-sets")
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     return both.filter(100 * common >= PERCENT * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
+def _by_rarity(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(id, common)`` and the pairs ``(a, b)`` that share a rare shingle.
+
+    A shingle is rare if at most ``RARE`` of the sets hold it; ``common`` counts
+    an id's other shingles.  Two sets that share no rare shingle have at most
+    the smaller ``common`` in their intersection; all others are in the pairs,
+    of which a shingle gives at most ``RARE * (RARE - 1) / 2``.
+    """
+    each = sets.select("id", F.explode("shingles").alias("shingle"))
+    rare = written(each.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") <= RARE), "near-rare")
+    found = each.join(rare, "shingle")
+    own = found.groupBy("id").agg(F.count("*").alias("rare"))
+    sizes = sets.groupBy("id").agg(F.max(F.size("shingles")).cast("long").alias("size"), F.count("*").alias("rows"))
+    sizes = sizes.join(own, "id", "left")
+    # An id with several sets counts with the whole of its largest.
+    common = F.when(F.col("rows") > 1, F.col("size")).otherwise(F.col("size") - F.coalesce("rare", F.lit(0)))
+    # Sets that share one rare shingle mostly share many: their lists of holders are the same.
+    holders = found.filter("n > 1").groupBy("shingle").agg(F.array_sort(F.collect_set("id")).alias("ids")).select("ids").distinct()
+    pairs = F.transform("ids", lambda x, i: F.transform(F.slice("ids", i + 2, F.lit(RARE)), lambda y: F.struct(x.alias("a"), y.alias("b"))))
+    return sizes.select("id", common.alias("common")), holders.select(F.inline(F.flatten(pairs))).distinct()
+
+
 def _first_members(bands: DataFrame, buckets: DataFrame, classes: DataFrame) -> DataFrame:
     """Similar pairs of a bucket's first member with each other member."""
     pairs = (
@@ -213,19 +279,19 @@ def _first_members(bands: DataFrame, buckets: DataFrame, classes: DataFrame) ->
     return near.select("a", "b", "sig_a", "sig_b").mapInArrow(_similar, "a long, b long")
 
 
-def _rest_of_buckets(bands: DataFrame, buckets: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Similar pairs of different components in buckets that still hold several."""
-    own = bands.join(buckets.select("bucket", "members"), "bucket").join(
-        labels.select(F.col("node").alias("id"), "component"), "id", "left"
-    )
-    own = written(own.withColumn("component", F.coalesce("component", "id")), "near-bucket-components")
-    several = (
-        own.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("bucket")
+def _open(rows: DataFrame) -> DataFrame:
+    """The rows (bucket, id, component) of buckets that hold several components, and each one's members."""
+    several = rows.groupBy("bucket").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members")
     )
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    several = written(several.filter("x < y").select("bucket", "members"), "near-open-buckets")
+    return written(rows.join(several, "bucket"), "near-open")
+
+
+def _rest_of_buckets(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Similar pairs of different components in open buckets (bucket, id, component, common, members)."""
     rows = (
-        own.join(written(several, "near-open-buckets"), "bucket")
-        .withColumn("blocks", blocks)
+        rows.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         .join(classes.select(F.col("rep").alias("id"), "n_shingles", "signature"), "id")
     )
@@ -236,7 +302,7 @@ def _rest_of_buckets(bands: DataFrame, buckets: DataFrame, classes: DataFrame, l
         ),
     )
     spread = rows.withColumn("at", F.explode(every)).select(
-        "bucket", "at.i", "at.j", "at.side", "id", "component", "n_shingles", "signature"
+        "bucket", "at.i", "at.j", "at.side", "id", "component", "n_shingles", "common", "signature"
     )
     dealt = spread.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "side")
     return dealt.mapInArrow(_between_blocks, "a long, b long").distinct()
@@ -264,10 +330,24 @@ def near_duplicate_components(docs: DataFrame, k: int) -> DataFrame:
     own = real.select("id", *prints).join(classes.select(*prints, "rep"), prints).select("id", "rep").distinct()
     lowest = own.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("id", "a")
     same_id = own.join(lowest, "id").filter("a < rep").select("a", F.col("rep").alias("b"))
-    links = written(_confirmed(_first_members(bands, buckets, classes), docs, k).unionByName(same_id), "near-links")
+    first = written(_first_members(bands, buckets, classes), "near-candidates")
+    sets = _full_sets(docs, first.select(F.col("a").alias("id")).unionByName(first.select(F.col("b").alias("id"))), k)
+    links = written(_confirmed(first, sets).unionByName(same_id), "near-links")
     labels = components(links)
-    more = written(_rest_of_buckets(bands, buckets, classes, labels), "near-candidates")
-    links = written(links.unionByName(_confirmed(more, docs, k)), "near-links")
+    rows = bands.join(buckets.select("bucket"), "bucket").join(labels.select(F.col("node").alias("id"), "component"), "id", "left")
+    rows = _open(written(rows.select("bucket", "id", F.coalesce("component", "id").alias("component")), "near-bucket-components"))
+    sets = _full_sets(docs, rows.select("id"), k)
+    common, sharing = _by_rarity(sets)
+    sizes = classes.select(F.col("rep").alias("id"), "n_shingles")
+    possible = written(common.join(sizes, "id").filter(100 * F.col("common") >= PERCENT * F.col("n_shingles")), "near-common")
+    rest = _open(rows.drop("members").join(possible.select("id", "common"), "id"))
+    known = written(rows.select("id", "component").distinct(), "near-open-components")
+    for side in ("a", "b"):
+        mine = known.join(sizes, "id").select(F.col("id").alias(side), F.col("component").alias(f"c_{side}"), F.col("n_shingles").alias(f"n_{side}"))
+        sharing = sharing.join(mine, side)
+    sharing = sharing.filter(F.col("c_a") != F.col("c_b")).filter(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
+    more = written(sharing.select("a", "b").unionByName(_rest_of_buckets(rest, classes)).distinct(), "near-candidates")
+    links = written(links.unionByName(_confirmed(more, sets)), "near-links")
     labels = components(links)
     known = classes.select(*prints, F.col("rep").alias("node")).join(labels, "node", "left")
     known = written(known.select(*prints, F.coalesce("component", "node").alias("component")), "near-labels")
