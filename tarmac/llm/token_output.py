@@ -59,7 +59,24 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.words: dict[bytes, bytes] = {}
+        # How the pre-tokenizer writes each Latin letter (it maps bytes to signs).
+        letters = [chr(c) for c in range(256) if chr(c).isalpha() and chr(c) == chr(c).lower()]
+        self.letters = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}
+
+    def _encode_words(self, words: list[bytes]) -> list[bytes]:
+        """As ``_encode``; a word of Latin letters only is one pre-token, which the model takes as it is."""
+        out, rest = {}, []
+        for word in words:
+            text = word.decode()
+            if text.isalpha() and max(text) <= "\xff":
+                tokens = self.model.tokenize(text.lower().translate(self.letters))
+                out[word] = np.array([x.id for x in tokens], "<u4").tobytes()
+            else:
+                rest.append(word)
+        out.update(zip(rest, self._encode(rest), strict=True))
+        return [out[word] for word in words]
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([x.decode() for x in texts], add_special_tokens=False)
@@ -76,7 +93,7 @@ class WordEncoder:
                 body = word
             parts[word] = (body, word[len(body) :])
         needed = list({x for pair in parts.values() for x in pair if x} - self.words.keys())
-        self.words.update(zip(needed, self._encode(needed), strict=True))
+        self.words.update(zip(needed, self._encode_words(needed), strict=True))
         self.words.update({word: self.words[body] + self.words.get(tail, b"") for word, (body, tail) in parts.items()})
 
     def encode(self, texts: list[bytes]) -> list[bytes]:

@@ -52,6 +52,7 @@ TEXTS = [
     "tab\tnew\nline\x0b\x0c\r\x1c\x1dand\x85nbsp\xa0em x.",
     "a <|endoftext|> b<|startoftext|>c <| d <|ENDOFTEXT|>",
     "1234 12.5% $5.00 +1 (499) 555-6503 a1b2.# ½. ²! ١٢٣؟",
+    "ª º µ ÀÉÎõÿ×÷ ßẞ Ðð Ÿ ſ naïve Ünïcode ÅNGSTRÖM dž",
     "日本語のテキスト。ひらがな! 한국어. ไทย. 👍🏽### 👩‍👩‍👧!!",
     "",
     None,
