@@ -38,7 +38,7 @@ WINDOW = 13
 #: A document is contaminated if at least one word in this many is hit.
 HIT_ONE_IN = 20
 BLOCK_BYTES = 16 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 SHARD_WORDS = 1 << 20
 _OTHER = 1  # symbol of words outside all phrases; 0 ends a shard
 

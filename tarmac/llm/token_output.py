@@ -21,7 +21,9 @@ write no rows; extra columns are ignored.
 from __future__ import annotations
 
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +40,7 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 SEGMENT_IDS = 1 << 16
 #: Words whose ids a worker keeps; beyond that it starts anew.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 500_000
 
 #: Signs that make tokens of their own where they follow a letter or digit at a word's end.
 _TAIL = b"#*$%&|!,.;:?"
@@ -51,6 +53,14 @@ def default_tokenizer() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    out = array("I", ids)
+    if sys.byteorder != "little":
+        out.byteswap()
+    return out.tobytes()
+
+
 class WordEncoder:
     """Encodes texts word by word; ids come as little-endian unsigned 32-bit bytes."""
 
@@ -71,8 +81,7 @@ class WordEncoder:
         for word in words:
             text = word.decode()
             if text.isalpha() and max(text) <= "\xff":
-                tokens = self.model.tokenize(text.lower().translate(self.letters))
-                out[word] = np.array([x.id for x in tokens], "<u4").tobytes()
+                out[word] = _packed([x.id for x in self.model.tokenize(text.lower().translate(self.letters))])
             else:
                 rest.append(word)
         out.update(zip(rest, self._encode(rest), strict=True))
@@ -80,31 +89,34 @@ class WordEncoder:
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([x.decode() for x in texts], add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [_packed(x.ids) for x in found]
 
     def _learn(self, new: set[bytes]) -> None:
-        if len(self.words) + len(new) > CACHED_WORDS:
-            self.words.clear()
-        parts: dict[bytes, tuple[bytes, bytes]] = {}
-        for word in new:
+        """Add the ids of new words; a word that ends in signs is its body and those signs."""
+        ends_in_signs = [word for word in new if word[-1] in _TAIL]
+        parts = {}
+        for word in ends_in_signs:
             body = word.rstrip(_TAIL)
             last = body.decode()[-1:]
-            if not last.isalnum() or len(last.lower()) > 1:
-                body = word
-            parts[word] = (body, word[len(body) :])
-        needed = list({x for pair in parts.values() for x in pair if x} - self.words.keys())
+            if last.isalnum() and len(last.lower()) == 1:
+                parts[word] = (body, word[len(body) :])
+        needed = new.difference(parts).union(*parts.values()).difference(self.words)
+        needed = list(needed)
         self.words.update(zip(needed, self._encode_words(needed), strict=True))
-        self.words.update({word: self.words[body] + self.words.get(tail, b"") for word, (body, tail) in parts.items()})
+        for word, (body, tail) in parts.items():
+            self.words[word] = self.words[body] + self.words[tail]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [None if b"<|" in x else x.lower().split() for x in texts]
-        new = {word for one in split if one for word in one}
-        if len(self.words) + len(new) > CACHED_WORDS or not new <= self.words.keys():
-            self._learn(new if len(self.words) + len(new) > CACHED_WORDS else new - self.words.keys())
-        words = self.words
-        return [
-            self._encode([x])[0] if one is None else b"".join([words[word] for word in one]) for x, one in zip(texts, split, strict=True)
-        ]
+        met = set().union(*filter(None, split))
+        new = met.difference(self.words)
+        if len(self.words) + len(new) > CACHED_WORDS:
+            self.words.clear()
+            new = met
+        if new:
+            self._learn(new)
+        ids = self.words.__getitem__
+        return [self._encode([x])[0] if one is None else b"".join(map(ids, one)) for x, one in zip(texts, split, strict=True)]
 
 
 def _encoder(path: str) -> WordEncoder:
