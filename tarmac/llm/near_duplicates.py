@@ -46,7 +46,7 @@ BANDS, ROWS = 32, 5
 PERCENT = 80
 #: Share of equal minima that sends a pair to the exact check (0.8 less 4.9 deviations).
 SIGNATURE_SHARE = 0.645
-BLOCK = 1024
+BLOCK = 512
 #: Most sets that hold a rare shingle.
 RARE = 8
 #: log2 of the bits of the id filter (8 MB) before full sets are cut.
@@ -167,7 +167,7 @@ def _full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
 
 
 def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, id) for each band of each signature."""
+    """(bucket, band, id) for each band of each signature."""
     salt = np.arange(BANDS, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15)
     for batch in batches:
         rows = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(-1, BANDS, ROWS)
@@ -175,7 +175,8 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for j in range(ROWS):
             h = T.combine(h, rows[:, :, j].astype(np.uint64))
         ids = np.repeat(batch.column("id").to_numpy(zero_copy_only=False), BANDS)
-        yield pa.record_batch({"bucket": pa.array(h.ravel().view(np.int64), pa.int64()), "id": pa.array(ids, pa.int64())})
+        band = np.tile(np.arange(BANDS, dtype=np.int32), len(rows))
+        yield pa.record_batch({"bucket": pa.array(h.ravel().view(np.int64)), "band": pa.array(band), "id": pa.array(ids, pa.int64())})
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +193,8 @@ def _between_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """Similar pairs of different components in each group (bucket, i, j) of sorted rows.
 
     A group holds the rows of block i (side 0) and block j (side 1) of a
-    bucket, or those of one block alone, so at most ``2 * BLOCK`` rows.
+    bucket, or those of one block alone, so about ``2 * BLOCK`` rows at most.  A
+    pair that shares several buckets is given by that of its first band only.
     """
     rest: pa.Table | None = None
     for batch in batches:
@@ -210,7 +212,9 @@ def _between_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def _pairs_of_groups(rows: pa.Table, cut: np.ndarray) -> Iterator[pa.RecordBatch]:
     if not rows.num_rows:
         return
-    ids, component, n, common, side = (rows.column(c).to_numpy() for c in ("id", "component", "n_shingles", "common", "side"))
+    ids, component, n, common, side, band = (
+        rows.column(c).to_numpy() for c in ("id", "component", "n_shingles", "common", "side", "band")
+    )
     sig = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint32).reshape(rows.num_rows, -1)
     found_a, found_b = [], []
     for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
@@ -221,7 +225,9 @@ def _pairs_of_groups(rows: pa.Table, cut: np.ndarray) -> Iterator[pa.RecordBatch
             most = np.minimum(common[y], common[x])  # of the intersection, without rare shingles
             y = y[(component[y] != component[x]) & (100 * most >= PERCENT * (n[y] + n[x] - most))]
             if len(y):
-                y = y[(sig[y] == sig[x]).mean(axis=1) >= SIGNATURE_SHARE]
+                same = sig[y] == sig[x]
+                first_band = same.reshape(len(y), BANDS, ROWS).all(axis=2).argmax(axis=1)
+                y = y[(same.mean(axis=1) >= SIGNATURE_SHARE) & (first_band == band[x])]
                 found_a.append(np.minimum(ids[x], ids[y]))
                 found_b.append(np.maximum(ids[x], ids[y]))
     if found_a:
@@ -280,7 +286,7 @@ def _first_members(bands: DataFrame, buckets: DataFrame, classes: DataFrame) ->
 
 
 def _open(rows: DataFrame) -> DataFrame:
-    """The rows (bucket, id, component) of buckets that hold several components, and each one's members."""
+    """The rows (bucket, band, id, component) of buckets that hold several components, and each one's members."""
     several = rows.groupBy("bucket").agg(
         F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members")
     )
@@ -302,10 +308,10 @@ def _rest_of_buckets(rows: DataFrame, classes: DataFrame) -> DataFrame:
         ),
     )
     spread = rows.withColumn("at", F.explode(every)).select(
-        "bucket", "at.i", "at.j", "at.side", "id", "component", "n_shingles", "common", "signature"
+        "bucket", "band", "at.i", "at.j", "at.side", "id", "component", "n_shingles", "common", "signature"
     )
     dealt = spread.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "side")
-    return dealt.mapInArrow(_between_blocks, "a long, b long").distinct()
+    return dealt.mapInArrow(_between_blocks, "a long, b long")
 
 
 def near_duplicate_components(docs: DataFrame, k: int) -> DataFrame:
@@ -321,7 +327,7 @@ def near_duplicate_components(docs: DataFrame, k: int) -> DataFrame:
         "near-classes",
     )
     bands = written(
-        classes.select(F.col("rep").alias("id"), "signature").mapInArrow(_band_rows, "bucket long, id long"), "near-bands"
+        classes.select(F.col("rep").alias("id"), "signature").mapInArrow(_band_rows, "bucket long, band int, id long"), "near-bands"
     )
     buckets = written(
         bands.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("members")).filter("members > 1"), "near-buckets"
@@ -335,7 +341,7 @@ def near_duplicate_components(docs: DataFrame, k: int) -> DataFrame:
     links = written(_confirmed(first, sets).unionByName(same_id), "near-links")
     labels = components(links)
     rows = bands.join(buckets.select("bucket"), "bucket").join(labels.select(F.col("node").alias("id"), "component"), "id", "left")
-    rows = _open(written(rows.select("bucket", "id", F.coalesce("component", "id").alias("component")), "near-bucket-components"))
+    rows = _open(written(rows.select("bucket", "band", "id", F.coalesce("component", "id").alias("component")), "near-bucket-components"))
     sets = _full_sets(docs, rows.select("id"), k)
     common, sharing = _by_rarity(sets)
     sizes = classes.select(F.col("rep").alias("id"), "n_shingles")
@@ -367,7 +373,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
-    """``docs``, all columns as they are, without the documents of smaller id's components.
+    """Of each component the document of the smallest id, all columns of ``docs`` as they are.
 
     Rows that share an id are one document and stay or go together.
     """
