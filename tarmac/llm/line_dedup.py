@@ -71,6 +71,7 @@ def without_boilerplate(pages: DataFrame, url: str = "url", html: str = "html",
     names = {x: f"{prefix}{x}" for x in ("host", "n_lines", "n_dropped", "text", "lines", "boilerplate", "of")}
     rest = [c for c in pages.columns if c != html]
     lines = pages.select(*rest, host_of(F.col(url)).alias(names["host"]), lines_of(F.col(html)).alias(names["lines"]))
+    lines = written(lines, "lines")  # read twice below; cutting pages into lines is most of the work
     sites = lines.select(F.col(names["host"]).alias("host"), F.col(names["lines"]).alias("lines"))
     lists = written(boilerplate(sites), "lines-boilerplate").select(
         F.col("host").alias(names["of"]), F.col("boilerplate").alias(names["boilerplate"])
