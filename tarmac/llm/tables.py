@@ -17,10 +17,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 SEPARATORS = r"[\x20\x09-\x0D]+"
 
 
+#: Bytes of one Arrow batch between Spark and a Python worker; rows here are whole
+#: texts, and both sides hold a few copies of a batch.
+BATCH_BYTES = 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Give Python workers this package, as ``--py-files`` does (once a session)."""
+    """Give Python workers this package, as ``--py-files`` does (once a session),
+    and bound the Arrow batches they are handed."""
     import tarmac
 
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_tarmac_shipped", False):
         return
