@@ -64,12 +64,11 @@ class CountFilter:
                 bits[place] = True
         return np.packbits(bits, bitorder="little").tobytes()
 
-    def counts(self, h: np.ndarray) -> np.ndarray:
-        """The count that each hash's level stands for, 0 if the filter doesn't hold it."""
-        segment, key = split_key(h, self.segment_bits)
-        base = segment << self.bits
-        level = np.zeros(len(h), np.int64)
-        alive, j = np.arange(len(h)), self.first_level
+    def levels(self, key: np.ndarray, base: np.ndarray | int = 0) -> np.ndarray:
+        """The level of each key of the segment that begins at bit ``base``, 0 if the filter doesn't hold it."""
+        base = np.broadcast_to(base, key.shape)
+        level = np.zeros(len(key), np.int64)
+        alive, j = np.arange(len(key)), self.first_level
         while len(alive) and j < len(MIDDLE):
             held = np.ones(len(alive), bool)
             for place in self._places(key[alive], j):
@@ -78,4 +77,9 @@ class CountFilter:
             alive = alive[held]
             level[alive] = j
             j += 1
-        return MIDDLE[level]
+        return level
+
+    def counts(self, h: np.ndarray) -> np.ndarray:
+        """The count that each hash's level stands for, 0 if the filter doesn't hold it."""
+        segment, key = split_key(h, self.segment_bits)
+        return MIDDLE[self.levels(key, segment << self.bits)]

@@ -1,18 +1,20 @@
-"""Bigram language model in a log-frequency Bloom filter, broadcast to the workers.
+"""Bigram language model in a log-frequency Bloom filter, probed segment by segment.
 
 Tokens are a text's words, A-Z lower-cased, and one end.  Training counts every
 unigram and bigram of all training texts, quantises the counts and holds them
-in one ``CountFilter`` of at most ``MAX_FILTER_BITS`` bits, which bounds the
-broadcast.  The filter's size follows the number of insertions; where the
-bound is reached, the lowest count that is held rises until every insertion has
-``BITS_PER_INSERTION`` bits, and rarer n-grams back off (no text is left out of
-the counts).  A token's probability interpolates the bigram and unigram
-estimates, all counts read by repeated probes; the weight of the bigram is the
-share of training bigrams that were seen more than once (Good-Turing).
-
-The exact unigram counts of the base score never are in one place: each block
-of documents asks for its distinct words, the words are joined with the counts,
-and the answers meet the block's documents.
+in a Bloom filter that is cut into segments by the leading bits of an n-gram's
+hash.  Each segment is a row of a written table and is sized by its own
+insertions; the number of segments follows the bytes of training text, so the
+filter grows with the input and no n-gram is left out.  Scoring brings the
+n-grams to the filter: each block of documents sends its distinct n-grams to
+their segments, they are probed there, and their levels come back.  A token's
+probability interpolates the bigram and unigram estimates, all counts read by
+repeated probes; the weight of the bigram is the share of training bigrams that
+were seen more than once (Good-Turing).
+
+The exact unigram counts of the base score never are in one place either: each
+block of documents asks for its distinct words, the words are joined with the
+counts, and the answers meet the block's documents.
 
 Defined results: a null or empty text is one end token; a row without an id is
 scored but not learned from, and counts as not held out; repeated rows are each
@@ -27,20 +29,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm import pfor
 from tarmac.llm import tokens as T
-from tarmac.llm.count_filter import STARTS, CountFilter, level_of, split_key
+from tarmac.llm.count_filter import MIDDLE, STARTS, CountFilter, level_of, split_key
 from tarmac.llm.tables import fold_of, table, written
 
-#: log2 of the bits of the whole filter: 64 MB at most.
+#: log2 of the bits of one segment, at most (64 MB).  A segment holds the n-grams of
+#: SEGMENT_BYTES of text, at most about 4 Mi insertions or 2**26 bits, so it isn't reached.
 MAX_FILTER_BITS = 29
 BITS_PER_INSERTION = 6
 #: Bytes of text of a block of documents, and of those one segment's n-grams come from.
 BLOCK_BYTES = 16 << 20
+SEGMENT_BYTES = 4 << 20
 FLUSH_TOKENS = 2 << 20
 
 _START, _END, _UNIGRAM = (np.uint64(x) for x in (0x53544152, 0x454E4430, 0x554E4931))
@@ -124,20 +127,25 @@ def _count_ngrams(segment_bits: int):
     return run
 
 
-def _total_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum the counts of each segment's keys (rows sorted by segment) and quantise them."""
+_FILTER = "segment int, bits int, hashes int, first_level int, data binary, sizes array<long>"
+
+
+def _build_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sum the counts of each segment's keys (rows sorted by segment), quantise and hold them."""
     now, keys, counts = None, [], []
 
-    def total() -> pa.RecordBatch:
+    def built() -> pa.RecordBatch:
         key, place = np.unique(np.concatenate(keys), return_inverse=True)
-        n = np.bincount(place, np.concatenate(counts)).astype(np.int64)
-        level = level_of(n)
+        level = level_of(np.bincount(place, np.concatenate(counts)).astype(np.int64))
         sizes = np.bincount(level, minlength=len(STARTS) + 1)
+        plan = _plan_filter(sizes, 0)
         return pa.record_batch(
             {
                 "segment": pa.array([now], pa.int32()),
-                "keys": pa.array([_sorted_to_bytes(key)], pa.binary()),
-                "levels": pa.array([pfor.encode(level.astype(np.uint32))], pa.binary()),
+                "bits": pa.array([plan.bits], pa.int32()),
+                "hashes": pa.array([plan.hashes], pa.int32()),
+                "first_level": pa.array([plan.first_level], pa.int32()),
+                "data": pa.array([plan.segment(key, level)], pa.binary()),
                 "sizes": pa.array([sizes], pa.list_(pa.int64())),
             }
         )
@@ -145,13 +153,13 @@ def _total_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         for segment, k, n in zip(*(batch.column(c).to_pylist() for c in ("segment", "keys", "n")), strict=True):
             if segment != now and keys:
-                yield total()
+                yield built()
                 keys, counts = [], []
             now = segment
             keys.append(_bytes_to_sorted(k))
             counts.append(pfor.Segment(n).all())
     if keys:
-        yield total()
+        yield built()
 
 
 def _plan_filter(sizes: np.ndarray, segment_bits: int) -> CountFilter:
@@ -170,19 +178,21 @@ def _plan_filter(sizes: np.ndarray, segment_bits: int) -> CountFilter:
 
 @dataclass
 class LanguageModel:
-    filter: CountFilter
+    """What all blocks need of the model besides the levels of their own n-grams."""
+
+    segment_bits: int
     tokens: int
     distinct: int
     bigram_weight: float
 
-    def log_probability(self, h: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """log10 probability of each token."""
+    def log_probability(self, h: np.ndarray, first: np.ndarray, known: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """log10 probability of each token, given the counts of the n-grams ``known`` (ascending hashes)."""
         before, pair = _bigrams(h, first)
         single, of_single = np.unique(np.concatenate([h, before]), return_inverse=True)
-        count = self.filter.counts(_unigram_key(single))[of_single]
+        count = counts[np.searchsorted(known, _unigram_key(single))][of_single]
         here, context = count[: len(h)], count[len(h) :]
         double, of_double = np.unique(pair, return_inverse=True)
-        together = np.minimum(self.filter.counts(double)[of_double], context)
+        together = np.minimum(counts[np.searchsorted(known, double)][of_double], context)
         alone = (here + 0.5) / (self.tokens + 0.5 * (self.distinct + 1))
         weight = np.where(context > 0, self.bigram_weight, 0.0)
         return np.log10(weight * together / np.maximum(context, 1) + (1 - weight) * alone)
@@ -193,39 +203,24 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def train(texts: DataFrame, words: DataFrame) -> LanguageModel:
-    """The model of all ``texts`` (column text); ``words`` are their word counts."""
+def train(texts: DataFrame, words: DataFrame) -> tuple[LanguageModel, DataFrame]:
+    """The model of all ``texts`` (column text) and its filter's segments; ``words`` are their word counts."""
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    segment_bits = max(4, int(size // (4 << 20)).bit_length())
+    segment_bits = max(4, int(size // SEGMENT_BYTES).bit_length())
     counted = texts.select("text").mapInArrow(_count_ngrams(segment_bits), _COUNTED)
-    totals = written(
-        counted.repartition(1 << min(segment_bits, 12), "segment")
-        .sortWithinPartitions("segment")
-        .mapInArrow(_total_segments, "segment int, keys binary, levels binary, sizes array<long>"),
-        "lm-levels",
+    filters = written(
+        counted.repartition(1 << min(segment_bits, 12), "segment").sortWithinPartitions("segment").mapInArrow(_build_segments, _FILTER),
+        "lm-filter",
     )
     sizes = np.zeros(len(STARTS) + 1, np.int64)
-    for level, n in totals.select(F.posexplode("sizes")).groupBy("pos").agg(F.sum("col")).collect():
+    for level, n in filters.select(F.posexplode("sizes")).groupBy("pos").agg(F.sum("col")).collect():
         sizes[level] = n
     n_tokens, n_words, single = words.agg(
         F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.count_if(F.col("n") == 1)
     ).first()
     once = max(int(sizes[1]) - int(single), 0)  # bigrams that occur once
-    plan = _plan_filter(sizes, segment_bits)
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = zip(batch.column("keys").to_pylist(), batch.column("levels").to_pylist(), strict=True)
-            bits = [plan.segment(_bytes_to_sorted(k), pfor.Segment(v).all()) for k, v in rows]
-            yield pa.record_batch({"segment": batch.column("segment"), "bits": pa.array(bits, pa.binary())})
-
-    one = 1 << (plan.bits - 3)
-    data = np.zeros(one << segment_bits, np.uint8)
-    built = totals.select("segment", "keys", "levels").mapInArrow(build, "segment int, bits binary")
-    for segment, bits in built.collect():  # at most 2**MAX_FILTER_BITS bits in all
-        data[segment * one : (segment + 1) * one] = np.frombuffer(bits, np.uint8)
-    plan.data = data
-    return LanguageModel(plan, int(n_tokens), int(n_words), 1 - once / n_tokens if n_tokens else 0.0)
+    weight = 1 - once / n_tokens if n_tokens else 0.0
+    return LanguageModel(segment_bits, int(n_tokens), int(n_words), weight), filters.drop("sizes")
 
 
 def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,22 +234,65 @@ def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield pa.record_batch({"block": pa.array(np.full(len(word), block), pa.int32()), "word": pa.array(word.view(np.int64))})
 
 
+def _known(parts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The distinct n-grams of a block, ascending, from its slices' tokens and first indices."""
+    found = [_unigram_key(np.array([_START]))]
+    for h, first in parts:
+        found += [_unigram_key(np.unique(h)), np.unique(_bigrams(h, first)[1])]
+    return np.unique(np.concatenate(found))
+
+
+def _ask(segment_bits: int):
+    """(block, segment, keys): the distinct n-grams of one block by segment."""
+
+    def run(docs: pa.Table) -> pa.Table:
+        known = _known([_tokens(w) for _, _, w in T.words_by_slice(docs.column("text"))])
+        segment, key = split_key(known, segment_bits)
+        asked, at = np.unique(segment, return_index=True)
+        return pa.table(
+            {
+                "block": pa.array(np.full(len(asked), docs.column("block")[0].as_py()), pa.int32()),
+                "segment": pa.array(asked, pa.int32()),
+                "keys": pa.array([_sorted_to_bytes(k) for k in np.split(key, at[1:])], pa.binary()),
+            }
+        )
+
+    return run
+
+
+def _answer(asked: pa.Table, filters: pa.Table) -> pa.Table:
+    """(block, segment, levels) of all that was asked of one segment."""
+    keys = [_bytes_to_sorted(k) for k in asked.column("keys").to_pylist()]
+    level = np.zeros(sum(map(len, keys)), np.int64)
+    if keys and filters.num_rows:
+        f = filters.to_pylist()[0]
+        held = CountFilter(0, f["bits"], f["hashes"], f["first_level"], np.frombuffer(f["data"], np.uint8))
+        level = held.levels(np.concatenate(keys))
+    ends = np.cumsum([len(k) for k in keys], dtype=np.int64)
+    levels = [pfor.encode(x.astype(np.uint32)) for x in np.split(level, ends[:-1])] if keys else []
+    return pa.table({"block": asked.column("block"), "segment": asked.column("segment"), "levels": pa.array(levels, pa.binary())})
+
+
 _SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _score(shared: Broadcast):
-    """Scores of a block's documents, given the exact counts of the block's words."""
+def _score(model: LanguageModel):
+    """Scores of a block's documents, given the exact counts of its words and the levels of its n-grams."""
 
-    def run(docs: pa.Table, counts: pa.Table) -> pa.Table:
-        model: LanguageModel = shared.value
-        word = counts.column("word").to_numpy().view(np.uint64)
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        exact = answers.filter(answers.column("word").is_valid())
+        word = exact.column("word").to_numpy().view(np.uint64)
         by = np.argsort(word)
-        word, n = word[by], counts.column("n").to_numpy()[by]
+        word, n = word[by], exact.column("n").to_numpy()[by]
         if not len(word):
             word, n = np.zeros(1, np.uint64), np.zeros(1, np.int64)
+        parts = [(lo, hi, *_tokens(w)) for lo, hi, w in T.words_by_slice(docs.column("text"))]
+        known = _known([(h, first) for _, _, h, first in parts])
+        # In the order of ``known``: segments are leading bits, and keys ascend in each.
+        by_segment = answers.filter(answers.column("segment").is_valid()).sort_by("segment")
+        counts = MIDDLE[np.concatenate([pfor.Segment(x).all() for x in by_segment.column("levels").to_pylist()])]
         out = []
-        for lo, hi, w in T.words_by_slice(docs.column("text")):
-            h, first = _tokens(w)
+        for lo, hi, h, first in parts:
             at = np.minimum(np.searchsorted(word, h), len(word) - 1)
             c = np.where(word[at] == h, n[at], 0)
             base = np.log10((c + 0.5) / (model.tokens + 0.5 * (model.distinct + 1)))
@@ -268,7 +306,7 @@ def _score(shared: Broadcast):
                         "n_known": pa.array(np.add.reduceat((c > 0).astype(np.int64), begin)),
                         "train_tokens": pa.array(np.full(hi - lo, model.tokens), pa.int64()),
                         "base_score": pa.array(np.add.reduceat(base, begin)),
-                        "score": pa.array(np.add.reduceat(model.log_probability(h, first), begin)),
+                        "score": pa.array(np.add.reduceat(model.log_probability(h, first, known, counts), begin)),
                     }
                 )
             )
@@ -285,14 +323,18 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
     )
     learned = docs.filter("fold <> 1").select("text")
     words = written(word_counts(learned), "lm-words")
-    model = docs.sparkSession.sparkContext.broadcast(train(learned, words))
+    model, filters = train(learned, words)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(16, -(-int(size) // BLOCK_BYTES))
-    # Both uses of ``dealt`` read all its columns, so that it is shuffled once.
+    # All uses of ``dealt`` read all its columns, so that it is shuffled once.
     key = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
     dealt = docs.drop("fold").withColumn("block", F.pmod(key, F.lit(n_blocks)).cast("int")).repartition("block")
     asked = dealt.mapInArrow(_distinct_words, "block int, word long").distinct()
-    answers = asked.join(words, "word").select("block", "word", "n")
+    exact = asked.join(words, "word").select("block", "word", "n")
+    ngrams = dealt.groupBy("block").applyInArrow(_ask(model.segment_bits), "block int, segment int, keys binary")
+    probed = ngrams.groupBy("segment").cogroup(filters.groupBy("segment"))
+    levels = probed.applyInArrow(_answer, "block int, segment int, levels binary")
+    answers = exact.unionByName(levels, allowMissingColumns=True)
     scored = dealt.groupBy("block").cogroup(answers.groupBy("block"))
     return scored.applyInArrow(_score(model), _SCORED)
 

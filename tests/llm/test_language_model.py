@@ -108,3 +108,23 @@ def test_filter_bound_raises_the_first_level(monkeypatch):
     monkeypatch.setattr(L, "MAX_FILTER_BITS", 20)
     plan = L._plan_filter(sizes, 4)
     assert plan.first_level == 2 and plan.bits + 4 <= 20
+
+
+def test_scores_past_the_bound_of_one_filter(spark, monkeypatch):
+    """More insertions than one filter of the bound has places for: still nothing backs off."""
+    docs = [tuple(r) for r in table(spark, SF_SMALL, "documents").select("doc_id", "text").collect()]
+    monkeypatch.setattr(L, "MAX_FILTER_BITS", 16)
+    check(L.op2_language_model(spark, SF_SMALL).collect(), brute_force(docs), 0.12)
+
+
+def test_the_filter_grows_with_the_text(spark, monkeypatch):
+    monkeypatch.setattr(L, "SEGMENT_BYTES", 1 << 12)
+    texts = lambda n: spark.range(n).select(F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(100)), lambda i: F.xxhash64(i, "id").cast("string"))).alias("text"))
+    kept = []
+    for n in (100, 400):
+        some = texts(n)
+        model, filters = L.train(some, L.word_counts(some))
+        kept.append(filters.agg(F.count("*"), F.sum(F.length("data")), F.max("first_level")).first())
+        # Every bigram of these texts is seen once, but for those of a text's end.
+        assert model.bigram_weight < 0.01
+    assert kept[1][0] == 4 * kept[0][0] and kept[1][1] > 3 * kept[0][1] and kept[1][2] == 1
