@@ -9,7 +9,11 @@ numbers below p and q, so domains of the size p * q are permuted exactly and
 nothing has to be tried again:
 
 * card (13 to 19 digits with a valid check digit): all digits but the check
-  digit, which is computed anew;
+  digit, which is computed anew.  In a run of groups of digits, an unbroken
+  number and groups of a card's usual lengths come first, longer ones before
+  shorter ones; then other groups, likewise; what is left over of the run is
+  searched for the kinds above.  Next to other numbers a run can so be read in
+  another way once its card is replaced, and ``back`` then can't undo it;
 * phone (international, or national with an area code): all digits after the
   country code;
 * ssn (with valid groups): 898 * 99 areas and groups by 9999 serials;
@@ -41,13 +45,20 @@ ROUNDS = 8
 # Fixed patterns of candidates, in the order in which they are tried.
 PATTERNS: dict[str, str] = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "secret": r"(?<![A-Za-z0-9])(?:(?:[Pp]assword|[Pp]asswd|[Tt]oken|[Ss]ecret|[Aa]pi_?[Kk]ey)\s?[=:]\s?[\"']?[A-Za-z0-9]{8,}|AKIA[0-9A-Z]{16}(?![A-Za-z0-9]))",
+    "secret": r"(?<![A-Za-z0-9])(?:(?i:password|passwd|token|secret|api_?key)\s?[=:]\s?[\"']?[A-Za-z0-9]{8,}|AKIA[0-9A-Z]{16}(?![A-Za-z0-9]))",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{3}[ .-])\d{3}[ .-]?\d{4}(?!\w)",
     "ip": r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\w]|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "date": r"(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w/-])",
-    "card": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])",
+    # A run of groups, which may hold more than a card; not into an address, a phone or a date with dots or slashes.
+    "card": r"(?<![\w-])(?=\d(?:[ -]?\d){12})\d++(?!\w)(?:[ -](?!\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}"
+    r"|\d{3}(?:\.\d{3}[ .-]?|[ -]\d{3}\.)\d{4}(?!\w))\d++(?!\w|-(?!\d)))*+(?![\w-])",
 }
+#: Cards within such a run at any group: unbroken, and in groups as they are printed.
+_CARDS = [r"(\d{13,19})"] + [
+    "((?:" + "|".join(shape.replace("S", sign) for sign in " -") + "))"
+    for shape in (r"\d{4}(?:S\d{4}){3}S\d{1,3}", r"\d{4}(?:S\d{4}){3}", r"\d{4}S\d{6}S\d{5}", r"\d{4}S\d{6}S\d{4}", r"\d{4}(?:S\d{4}){2}S\d{1,3}")
+]
 ANY = "|".join(PATTERNS.values())
 #: The days of 400 years, as a product.
 _CYCLE_P, _CYCLE_Q = 189, 773
@@ -133,6 +144,45 @@ def _card(m: Column, key: str, back: bool) -> Column:
     return _let(_digits(m), done)
 
 
+def _card_run(m: Column, key: str, back: bool) -> Column:
+    """Struct (kinds, text) of a run of groups of digits."""
+    valid = lambda c: (c != "") & (_luhn_sum(_digits(c), 1) % 10 == 0)
+    part = lambda card, text: F.struct(F.lit(card).alias("card"), text.alias("text"))
+
+    def cut(parts: Column, c: Column) -> Column:
+        def split(s: Column) -> Column:
+            at = F.when(s["card"], 0).otherwise(F.regexp_instr(s["text"], F.concat(F.lit(r"(?<!\d)"), c, F.lit(r"(?!\d)"))))
+            rest = F.substring(s["text"], at + F.length(c), F.length(s["text"]))
+            return F.when(at > 0, F.array(part(False, F.substring(s["text"], F.lit(1), at - 1)), part(True, c), part(False, rest))).otherwise(F.array(s))
+
+        return F.flatten(F.transform(parts, split))
+
+    def other_groups(text: Column) -> Column:
+        """The longest valid beginning or end of each candidate of 13 to 19 digits in any groups."""
+        found = F.regexp_extract_all(text, F.lit(r"(?<!\d)(\d(?:[ -]?\d){12,18})(?!\d)"), F.lit(1))
+        tries = lambda c: F.array(
+            *[F.regexp_extract(c, x, 1) for n in range(18, 11, -1) for x in (rf"^(\d(?:[ -]?\d){{{n}}})(?!\d)", rf"(?<!\d)(\d(?:[ -]?\d){{{n}}})$")]
+        )
+        return F.flatten(F.transform(found, lambda c: F.slice(F.filter(tries(c), valid), 1, 1)))
+
+    printed = F.concat(*[F.regexp_extract_all(m, F.lit(rf"(?<!\d)(?={c}(?!\d))"), F.lit(1)) for c in _CARDS])
+    first = F.aggregate(F.filter(printed, valid), F.array(part(False, m)), cut)
+    others = lambda parts: F.flatten(F.transform(parts, lambda s: F.when(s["card"], F.array().cast("array<string>")).otherwise(other_groups(s["text"]))))
+    parts = _let(first, lambda x: F.aggregate(others(x), x, cut))
+    kinds = {k: _KINDS[k] for k in ("phone", "ssn", "date")}
+    pattern = "|".join(PATTERNS[k] for k in kinds)
+
+    def rest(text: Column) -> Column:
+        found = F.transform(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)), lambda x: _pseudonym(x, key, back, kinds))
+        return _let(found, lambda x: F.struct(F.flatten(x["kinds"]).alias("kinds"), _joined(text, pattern, x).alias("text")))
+
+    done = F.transform(
+        parts,
+        lambda s: F.when(s["card"], F.struct(F.array(F.lit("card")).alias("kinds"), _card(s["text"], key, back).alias("text"))).otherwise(rest(s["text"])),
+    )
+    return _let(done, lambda x: F.struct(F.flatten(x["kinds"]).alias("kinds"), F.array_join(x["text"], "").alias("text")))
+
+
 def _phone(m: Column, key: str, back: bool) -> Column:
     country = F.regexp_extract(m, r"^\+\d{1,3}(?=[ .(-])", 0)
     rest = F.substring(m, F.length(country) + 1, F.length(m))
@@ -201,18 +251,25 @@ def _secret(m: Column, key: str, back: bool) -> Column:
     return F.concat(name, F.when(name == "AKIA", F.upper(new)).otherwise(new))
 
 
-_KINDS = {"email": _email, "secret": _secret, "phone": _phone, "ip": _ip, "ssn": _ssn, "date": _date, "card": _card}
+_KINDS = {"email": _email, "secret": _secret, "phone": _phone, "ip": _ip, "ssn": _ssn, "date": _date}
 
 
-def _pseudonym(m: Column, key: str, back: bool) -> Column:
-    """Struct (kind, text) of one candidate; a null kind leaves it as it is."""
-    tried = None
-    for kind, make in _KINDS.items():
+def _pseudonym(m: Column, key: str, back: bool, kinds: dict = _KINDS) -> Column:
+    """Struct (kinds, text) of one candidate; no kinds leave it as it is."""
+    tried = []
+    for kind, make in kinds.items():
         whole = m.rlike(f"^(?:{PATTERNS[kind]})$")
         made = F.when(whole, make(m, key, back))
-        found = F.when(made.isNotNull(), F.struct(F.lit(kind).alias("kind"), made.alias("text")))
-        tried = found if tried is None else F.coalesce(tried, found)
-    return F.coalesce(tried, F.struct(F.lit(None).cast("string").alias("kind"), m.alias("text")))
+        tried.append(F.when(made.isNotNull(), F.struct(F.array(F.lit(kind)).alias("kinds"), made.alias("text"))))
+    if kinds is _KINDS:
+        tried.append(F.when(m.rlike(f"^(?:{PATTERNS['card']})$"), _card_run(m, key, back)))
+    return F.coalesce(*tried, F.struct(F.array().cast("array<string>").alias("kinds"), m.alias("text")))
+
+
+def _joined(text: Column, pattern: str, found: Column) -> Column:
+    """``text`` with the texts of ``found`` in place of its candidates."""
+    pieces = F.split(text, pattern, -1)  # between the candidates; one more than candidates
+    return F.array_join(F.zip_with(pieces, found["text"], lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
 
 
 def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text", found: str = "pseudonyms", back: bool = False) -> DataFrame:
@@ -221,13 +278,11 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text", found: str
     ``back=True`` undoes the replacement (emails and secrets come back lower-cased).
     """
     new = F.transform(F.regexp_extract_all(F.col(text), F.lit(f"({ANY})"), F.lit(1)), lambda m: _pseudonym(m, key, back))
-    # Between the candidates; one piece more than candidates.
-    pieces = F.split(F.col(text), ANY, -1)
-    joined = F.array_join(F.zip_with(pieces, F.col(found)["text"], lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    joined = _joined(F.col(text), ANY, F.col(found))
     has = F.col(text).rlike("[0-9@]|[=:]")
     out = docs.withColumn(found, F.when(has, new))
     changed = F.when(F.size(F.col(found)) > 0, joined).otherwise(F.col(text))
-    kinds = F.filter(F.col(found)["kind"], F.isnotnull)
+    kinds = F.flatten(F.col(found)["kinds"])
     return out.withColumn(text, changed).withColumn(found, F.coalesce(kinds, F.array().cast("array<string>")))
 
 

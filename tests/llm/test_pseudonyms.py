@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tarmac.llm import pseudonyms as P
 from tarmac.llm.tables import table
 
-from ..conftest import SF_SMALL
+from ..conftest import SF_ORACLE, SF_SMALL
 
 SCHEMA = "doc_id long, text string"
 DIGITS = "0123456789abcdefghijklmnopqrstuvwxyz"
@@ -129,3 +129,36 @@ def test_columns_and_empty_table(spark):
     out = P.pseudonymise(frame, found="found")
     assert out.columns == ["doc_id", "text", "kind", "a", "found"] and len({r.text for r in out.collect()}) == 1
     assert P.pseudonymise(frame.limit(0)).collect() == []
+
+
+def test_secrets_in_any_case(spark):
+    secrets = ["TOKEN = \"9233A8ECF00D11\"", "PASSWORD=ABCDEF123456", "SECRET: ABCDEF123456", "API_KEY=ABCDEF123456", "ApiKey=abcdef123456"]
+    for before, after in zip(secrets, run(spark, secrets), strict=True):
+        name, value = re.match(r"(\w+\W+)(\w+)", before).groups()
+        assert after.startswith(name) and value.lower() not in after.lower()
+
+
+CARD, SPACED = "4111111111111111", "4111 1111 1111 1111"
+BESIDE = [
+    "{} 12 items", "{} 12kg", "12 {} items", "12-{}", "order 1234 {}, paid", "{} 5.203.196.18", "5.203.196.18 {}", "{} 29/02/2024", "{} 212 555 1234", "{} 212.555.1234", "{} 123-45-6789",
+    "{0} {0}", "{} 7 4041 894974 608795", "{}/0925", "1 " * 5000 + "{} 7",
+]
+
+
+def test_cards_next_to_numbers(spark):
+    texts = [b.format(card) for b in BESIDE for card in (CARD, SPACED)]
+    for before, after in zip(texts, run(spark, texts), strict=True):
+        assert CARD not in after.replace(" ", "") and "608795" not in after, before
+        for value in ("5.203.196.18", "29/02/2024", "212 555 1234", "212.555.1234", "123-45-6789"):
+            assert value not in after, (before, after)
+        assert len(after) == len(before) or "5.203" in before
+    assert run(spark, ["{} 12 items".format(CARD)])[0] == plain(CARD) + " 12 items"
+    assert run(spark, ["id 4111-1111-1111-1111-abc", "1234 5678 9012 3456 of 12"]) == ["id 4111-1111-1111-1111-abc", "1234 5678 9012 3456 of 12"]
+
+
+def test_query_leaves_no_named_secret_or_card(spark):
+    docs = {r.doc_id: r.text for r in table(spark, SF_ORACLE, "documents").collect()}
+    for r in P.op7_pseudonyms(spark, SF_ORACLE).collect():
+        values = re.findall(r"(?i)\b(?:password|passwd|token|secret|api_?key)\s?[=:]\s?[\"']?([a-z0-9]{8,})", docs[r.doc_id])
+        values += [x for x in re.findall(r"(?<![\w-])\d{13,19}(?![\w-])", docs[r.doc_id]) if luhn(x)]
+        assert not [x for x in values if x in r.text]
