@@ -4,8 +4,11 @@ A page is parsed into a tree.  Elements that never hold the article (scripts,
 menus, forms ...), or whose class, id or role says so, are set aside unless
 they hold an ``article`` or ``main`` element.  Each paragraph gives points for
 its length and commas to its ancestors, less the farther up; an element's score
-is discounted by the share of its text that is links.  The best container and
-those of its siblings that score enough are kept, and their blocks joined.
+is discounted by the share of its text that is links.  The ``article`` (or else
+``main``) that the best container lies in is kept whole but for parts set aside;
+without one, the container itself, less lists of links.  Siblings that score
+enough are kept as well, and headings and short paragraphs between or directly
+before what is kept; the blocks are joined.
 
 Work is per page: the pages are dealt by Spark and each is read whole by one
 small parser pass.
@@ -66,6 +69,7 @@ _NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 _SCORED = frozenset("p pre td blockquote li dd figcaption".split())
 _START = {"article": 10.0, "main": 10.0, "div": 5.0, "section": 5.0, "blockquote": 3.0, "td": 3.0, "pre": 3.0, "ul": -3.0, "ol": -3.0}
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Share of the best score from which a sibling is kept.
 SIBLING_SHARE = 0.2
 
@@ -211,25 +215,40 @@ def _score(node: Node) -> float:
     return node.score * (1 - node.links / node.length) if node.length else 0.0
 
 
-def _kept(nodes: list[Node]) -> list[Node]:
-    """The best container and the siblings that belong to it, in page order."""
+def _whole(best: Node) -> Node | None:
+    """The outermost article around or at ``best``, or else the outermost main."""
+    found = None
+    at: Node | None = best
+    while at is not None:
+        if at.tag == "article" or (at.tag == "main" and (found is None or found.tag == "main")):
+            found = at
+        at = at.parent
+    return found
+
+
+def _kept(nodes: list[Node]) -> tuple[list[Node], Node | None]:
+    """The best container and the siblings that belong to it, in page order, and the article that is kept whole."""
     usable = [x for x in nodes if not x.aside and x.length and (x.tag in BLOCKS or x.tag == "#root") and x.tag not in _SCORED]
     inner = [x for x in usable if x.tag not in ("html", "#root")]
     if not (inner or usable):
-        return []
+        return [], None
     best = max(inner or usable, key=_score)  # ties: the first
     if best.parent is None or best.tag in ("body", "html"):
-        return [best]
+        return [best], None
     least = SIBLING_SHARE * _score(best)
-    out = []
-    for child in best.parent.children:
-        if isinstance(child, str) or child.aside or not child.length:
-            continue
+    whole = _whole(best)
+    best = whole or best
+    beside = [x for x in best.parent.children if not isinstance(x, str) and not x.aside and x.length]
+    kept, short = [], []
+    for child in beside:
         density = child.links / child.length
         paragraph = child.tag in _SCORED and density < 0.25 and (child.length > 80 or child.commas)
-        if child is best or (child.tag in BLOCKS and _score(child) >= max(least, 5.0) and density < 0.5) or paragraph:
-            out.append(child)
-    return out
+        kept.append(child is best or (child.tag in BLOCKS and _score(child) >= max(least, 5.0) and density < 0.5) or paragraph)
+        short.append(child.tag in _HEADINGS or (child.tag in _SCORED and density < 0.25))
+    first, last = kept.index(True), len(kept) - 1 - kept[::-1].index(True)
+    while first and short[first - 1]:
+        first -= 1
+    return [x for i, x in enumerate(beside) if kept[i] or (short[i] and first <= i <= last)], whole
 
 
 def _is_link_list(node: Node) -> bool:
@@ -238,11 +257,11 @@ def _is_link_list(node: Node) -> bool:
     ) > 2
 
 
-def _blocks(roots: list[Node]) -> Iterator[str]:
-    """Text of each block in page order, white space collapsed."""
+def _blocks(root: Node, whole: bool) -> Iterator[str]:
+    """Text of each block in page order, white space collapsed; without lists of links unless it is kept whole."""
     parts: list[str] = []
     end = object()
-    stack: list = list(reversed(roots))
+    stack: list = [root]
     boundary = True
     while stack:
         at = stack.pop()
@@ -255,7 +274,7 @@ def _blocks(roots: list[Node]) -> Iterator[str]:
             parts.clear()
             if text:
                 yield text
-        if at is end or at.aside or _is_link_list(at):
+        if at is end or at.aside or (not whole and _is_link_list(at)):
             continue
         if boundary:
             stack.append(end)
@@ -274,7 +293,8 @@ def main_text(html: str | None) -> str:
     tree.close()
     _mark_aside(tree.nodes)
     _measure(tree.nodes)
-    return " ".join(_blocks(_kept(tree.nodes)))
+    roots, whole = _kept(tree.nodes)
+    return " ".join(text for root in roots for text in _blocks(root, root is whole))
 
 
 def add_main_text(pages: DataFrame, html: str = "html", text: str = "text", n_chars: str = "n_chars") -> DataFrame:

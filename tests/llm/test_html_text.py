@@ -103,3 +103,24 @@ def test_frame_keeps_columns(spark):
     assert out.columns == ["page_id", "html", "url", "text", "length", "main", "chars"]
     assert sorted((r.main, r.chars, r.text) for r in out.collect()) == [("", 0, "t"), ("", 0, "t"), ("x", 1, "t")]
     assert H.add_main_text(frame.limit(0)).collect() == []
+
+
+BODY = "".join(f"<p>Paragraph {i}, {'of words ' * 20}, with commas, here.</p>" for i in range(5))
+LINKS = "<ul>" + "".join(f"<li><a href='/{i}'>Source {i} of this</a></li>" for i in range(4)) + "</ul>"
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_an_article_around_the_best_container_is_kept_whole(tag):
+    rest = "".join(BESIDE)
+    page = f"<body>{rest}<{tag}><h1>Title</h1><div class='entry'>{BODY}</div><h2>End</h2><p>Short end.</p><table><tr><td>cell</td></tr></table>{LINKS}<nav>No, no</nav></{tag}>{rest}{LINKS}</body>"
+    text = H.main_text(page)
+    assert text.startswith("Title Paragraph 0, of words") and "Paragraph 4, " in text
+    assert text.endswith("here. End Short end. cell " + " ".join(f"Source {i} of this" for i in range(4)))
+
+
+def test_headings_beside_the_best_container_are_kept():
+    page = f"<body><div>{LINKS}<h1>Title</h1><p>By me</p><div>{BODY}</div><h2>Part two</h2><p>Short.</p><div>{BODY}</div>{LINKS}</div></body>"
+    text = H.main_text(page)
+    assert text.startswith("Title By me Paragraph 0") and "here. Part two Short. Paragraph 0" in text and "Source" not in text
+    page = f"<body><main><h1>Title</h1><article>{BODY}</article></main></body>"
+    assert H.main_text(page).startswith("Title Paragraph 0")
