@@ -29,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm import pfor
@@ -315,6 +315,11 @@ def _score(model: LanguageModel):
     return run
 
 
+def _block(n_blocks: int) -> Column:
+    """The block of a document, by id and text: a repeated id is dealt over all blocks."""
+    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int")
+
+
 def language_model_scores(docs: DataFrame) -> DataFrame:
     """Scores of every row of ``docs`` (doc_id, text) by a model of those outside fold 1."""
     fold = fold_of(F.col("doc_id"))
@@ -327,8 +332,7 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(16, -(-int(size) // BLOCK_BYTES))
     # All uses of ``dealt`` read all its columns, so that it is shuffled once.
-    key = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
-    dealt = docs.drop("fold").withColumn("block", F.pmod(key, F.lit(n_blocks)).cast("int")).repartition("block")
+    dealt = docs.drop("fold").withColumn("block", _block(n_blocks)).repartition("block")
     asked = dealt.mapInArrow(_distinct_words, "block int, word long").distinct()
     exact = asked.join(words, "word").select("block", "word", "n")
     ngrams = dealt.groupBy("block").applyInArrow(_ask(model.segment_bits), "block int, segment int, keys binary")

@@ -126,8 +126,9 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> np.ndarray:
     """Weights learned from ``labels`` (id, label) joined to ``docs`` (id, text).
 
-    The sample has at most ``max_rows`` ids, so its broadcast, the training
-    task and the weights have fixed bounds.
+    The sample has at most ``max_rows`` ids, and of each the row whose text has
+    the smallest hash, so its broadcast, the training task and the weights have
+    fixed bounds, and a repeated id counts once.
     """
     sample = (
         labels.filter(F.col("id").isNotNull() & F.col("label").isNotNull())
@@ -139,6 +140,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS)
     )
     vectors = (
         docs.join(F.broadcast(sample), "id")
+        .groupBy("order", "id", "label")
+        .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
         .select("order", "label", "text")
         .mapInArrow(_featurise, "order long, label int, bucket binary, value binary")
         .repartition(1)

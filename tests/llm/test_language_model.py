@@ -128,3 +128,8 @@ def test_the_filter_grows_with_the_text(spark, monkeypatch):
         # Every bigram of these texts is seen once, but for those of a text's end.
         assert model.bigram_weight < 0.01
     assert kept[1][0] == 4 * kept[0][0] and kept[1][1] > 3 * kept[0][1] and kept[1][2] == 1
+
+
+def test_a_repeated_id_is_dealt_over_all_blocks(spark):
+    rows = spark.range(400).select(F.lit(7).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    assert rows.select(L._block(16).alias("block")).distinct().count() == 16

@@ -109,3 +109,10 @@ def test_the_sample_bound_is_kept(spark):
     docs, labels = table(spark, SF_SMALL, "documents"), table(spark, SF_SMALL, "labels")
     few = Q.train(docs.select(F.col("doc_id").alias("id"), "text"), labels.select(F.col("doc_id").alias("id"), F.col("quality").alias("label")), 5)
     assert len(few) == 2**Q.BITS + 1 and np.isfinite(few).all()
+
+
+def test_a_repeated_id_is_learned_once(spark):
+    docs = spark.createDataFrame([(i, f"text number {i} " + ("good words" if i % 2 else "poor thing")) for i in range(40)], "id long, text string")
+    labels = docs.select("id", (F.col("id") % 2).cast("double").alias("label"))
+    again = docs.filter("id = 3").crossJoin(spark.range(50).select(F.lit(1).alias("x"))).drop("x")
+    assert np.array_equal(Q.train(docs.union(again), labels), Q.train(docs, labels))
