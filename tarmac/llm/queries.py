@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.llm.decontaminate import op10_decontamination
+from tarmac.llm.filter_audit import SQL as OP13_SQL
+from tarmac.llm.filter_audit import op13_filter_audit
 from tarmac.llm.html_text import op6_html_extraction
 from tarmac.llm.language_model import op2_language_model
 from tarmac.llm.line_dedup import SQL as OP9_SQL
@@ -31,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
@@ -38,4 +41,5 @@ ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": OP1_SQL,
     "op8_mixing": OP8_SQL,
     "op9_line_dedup": OP9_SQL,
+    "op13_filter_audit": OP13_SQL,
 }
