@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tarmac.llm.byte_bpe import op12_byte_bpe
 from tarmac.llm.decontaminate import op10_decontamination
 from tarmac.llm.filter_audit import SQL as OP13_SQL
 from tarmac.llm.filter_audit import op13_filter_audit
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
+    "op12_byte_bpe": op12_byte_bpe,
     "op13_filter_audit": op13_filter_audit,
 }
 
