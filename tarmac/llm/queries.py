@@ -12,6 +12,8 @@ from tarmac.llm.filter_audit import SQL as OP13_SQL
 from tarmac.llm.filter_audit import op13_filter_audit
 from tarmac.llm.html_text import op6_html_extraction
 from tarmac.llm.language_model import op2_language_model
+from tarmac.llm.lexical_search import SQL as OP11_SQL
+from tarmac.llm.lexical_search import op11_lexical_search
 from tarmac.llm.line_dedup import SQL as OP9_SQL
 from tarmac.llm.line_dedup import op9_line_dedup
 from tarmac.llm.mixing import SQL as OP8_SQL
@@ -34,6 +36,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_lexical_search": op11_lexical_search,
     "op12_byte_bpe": op12_byte_bpe,
     "op13_filter_audit": op13_filter_audit,
 }
@@ -43,5 +46,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": OP1_SQL,
     "op8_mixing": OP8_SQL,
     "op9_line_dedup": OP9_SQL,
+    "op11_lexical_search": OP11_SQL,
     "op13_filter_audit": OP13_SQL,
 }
