@@ -11,9 +11,9 @@
    themselves.  The index is a written table, one row a shard.
 3. ``search_index`` walks an item's posting lists from the shortest on.  A block
    is skipped only if the item's weights times its summary stay below the tenth
-   score found so far; documents of earlier lists are done with, so that the
-   bound counts the present and the later lists only, and the walk ends when no
-   later list can reach the tenth score.  All other documents are scored exactly.
+   score found so far; documents of shorter lists are done with, so a summary
+   needs the coordinates of its own and longer lists only, and the walk ends when
+   no later list can reach the tenth score.  All other documents are scored exactly.
 4. The shards' ten best are ranked together.
 
 Items are worked on in blocks of ``ITEM_BYTES`` of text, each against all
@@ -48,7 +48,7 @@ from tarmac.llm.tables import table, written
 
 TOP = 10
 ITEM_BYTES = 1 << 20
-SHARD_DOCS, SHARD_POSTINGS = 8192, 1 << 20
+SHARD_DOCS, SHARD_POSTINGS = 4096, 1 << 19
 LIST_BLOCK = 64
 LONG_TERMS = 4096
 DIMENSIONS = 8
@@ -138,20 +138,20 @@ class _Rows:
         return np.repeat(self.start[which] - begin, n) + np.arange(n.sum()), begin
 
 
-def _similarity_order(members: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A posting list's documents ordered by cluster, and each one's block."""
-    n = len(members)
+def _similarity_order(position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order by cluster of a posting list's documents (their positions), and each one's block."""
+    n = len(position)
     if n <= LIST_BLOCK:
-        return members, np.zeros(n, np.int64)
+        return np.arange(n), np.zeros(n, np.int64)
     k = -(-n // LIST_BLOCK)
-    centroids = place[members[np.arange(k) * n // k]]
-    cluster = np.concatenate([(place[members[lo : lo + 2048]] @ centroids.T).argmax(axis=1) for lo in range(0, n, 2048)])
+    centroids = position[np.arange(k) * n // k]
+    cluster = np.concatenate([(position[lo : lo + 2048] @ centroids.T).argmax(axis=1) for lo in range(0, n, 2048)])
     order = np.argsort(cluster, kind="stable")
     cluster = cluster[order]
     begins = np.searchsorted(cluster, cluster)
     part = (np.arange(n) - begins) // (2 * LIST_BLOCK)
     new = np.concatenate([[False], (cluster[1:] != cluster[:-1]) | (part[1:] != part[:-1])])
-    return members[order], np.cumsum(new)
+    return order, np.cumsum(new)
 
 
 def _maximum(key: np.ndarray, values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -171,13 +171,17 @@ def _maximum(key: np.ndarray, values: np.ndarray, size: int) -> tuple[np.ndarray
 class Shard:
     """Documents (rows of terms and impacts) and the blocks of their posting lists.
 
-    Block b belongs to the list of ``block_term[b]`` (ascending); its documents
-    are row b of ``block_docs``, its summary row b of (``sum_term``,
-    ``sum_max``).  ``long_docs`` are in no list.
+    Terms are numbered within the shard by the length of their lists, shortest
+    first; ``place`` is each one's place in the vocabulary.  Block b belongs to
+    the list of ``block_term[b]`` (ascending); its documents are row b of
+    ``block_docs``, its summary row b of (``sum_term``, ``sum_max``).  It has
+    the coordinates of this and longer lists only: a search is done with the
+    documents of shorter ones by then.  ``long_docs`` are in no list.
     """
 
     doc_id: np.ndarray
     no_id: np.ndarray
+    place: np.ndarray
     n_terms: np.ndarray
     term: np.ndarray
     impact: np.ndarray
@@ -192,43 +196,52 @@ class Shard:
 
 def build_shard(n: np.ndarray, n_terms: np.ndarray, term: np.ndarray, tf: np.ndarray, weight: np.ndarray, docs: int, length: int) -> dict[str, np.ndarray]:
     """The arrays of the shard of documents that have at least one term of the vocabulary each."""
-    rows = _Rows(n_terms)
+    start = np.cumsum(n_terms) - n_terms
     m = 10 + (90 * n * docs) // length
     tf = tf.astype(np.int64)
     impact = (1_000_000_000 * tf) // (1000 * tf + 8 * np.repeat(m, n_terms))
-    bound = np.maximum(-(-impact // UNIT), 1).astype(np.uint8)
     axes = np.random.default_rng(7).choice(np.array([-1, 1], np.float32), (len(weight), DIMENSIONS))
     strength = (weight[term] * (impact / 1e6)).astype(np.float32)
-    place = np.add.reduceat(axes[term] * strength[:, None], rows.start)
-    place /= np.maximum(np.linalg.norm(place, axis=1, keepdims=True), 1e-9)
+    position = np.add.reduceat(axes[term] * strength[:, None], start)
+    position /= np.maximum(np.linalg.norm(position, axis=1, keepdims=True), 1e-9)
     is_long = n_terms > LONG_TERMS
     owner = np.repeat(np.arange(len(n)), n_terms)
-    listed = ~is_long[owner]
-    by_term = np.argsort(term[listed], kind="stable")
-    names, first = np.unique(term[listed][by_term], return_index=True)
-    members_of = np.split(owner[listed][by_term], first[1:]) if len(names) else []
+    place, local = np.unique(term, return_inverse=True)
+    sizes = np.bincount(local[~is_long[owner]], minlength=len(place))
+    by_size = np.argsort(sizes, kind="stable")
+    rank = np.empty(len(place), np.int64)
+    rank[by_size] = np.arange(len(place))
+    order = np.lexsort((rank[local], owner))  # each document's terms, rarest first
+    term, impact = rank[local][order], impact[order]
+    bound = np.maximum(-(-impact // UNIT), 1).astype(np.uint8)
+    row_end = np.repeat(start + n_terms, n_terms)
+    listed = np.flatnonzero(~is_long[owner])
+    listed = listed[np.argsort(term[listed], kind="stable")]
+    names, first = np.unique(term[listed], return_index=True)
     block_term, block_size, block_docs, sum_size, sum_term, sum_max = [], [], [], [], [], []
-    used, local = np.unique(term, return_inverse=True)
-    for name, members in zip(names.tolist(), members_of, strict=True):
-        members, block = _similarity_order(members, place)
-        blocks = int(block[-1]) + 1
-        at, _ = rows.of(members)
-        key, top = _maximum(np.repeat(block, n_terms[members]) * len(used) + local[at], bound[at], blocks * len(used))
-        block_term.append(np.full(blocks, name))
+    for name, at in zip(names.tolist(), np.split(listed, first[1:]) if len(names) else [], strict=True):
+        by_likeness, block = _similarity_order(position[owner[at]])
+        at = at[by_likeness]
+        blocks, width = int(block[-1]) + 1, len(place) - name
+        rest = row_end[at] - at  # this and the document's more common terms
+        each = np.repeat(at - (np.cumsum(rest) - rest), rest) + np.arange(rest.sum())
+        key, top = _maximum(np.repeat(block, rest) * width + term[each] - name, bound[each], blocks * width)
+        block_term.append(np.full(blocks, name, np.int32))
         block_size.append(np.bincount(block))
-        block_docs.append(members)
-        sum_size.append(np.bincount(key // len(used), minlength=blocks))
-        sum_term.append(used[key % len(used)])
+        block_docs.append(owner[at].astype(np.int32))
+        sum_size.append(np.bincount(key // width, minlength=blocks))
+        sum_term.append((key % width + name).astype(np.int32))
         sum_max.append(top)
 
-    def joined(parts: list[np.ndarray]) -> np.ndarray:
-        return np.concatenate([np.zeros(0, np.int64), *parts]).astype(np.int64)
+    def joined(parts: list[np.ndarray], kind: type = np.int32) -> np.ndarray:
+        return np.concatenate([np.zeros(0, kind), *parts]).astype(kind)
 
-    lists = map(joined, (block_term, block_size, block_docs, sum_size, sum_term, sum_max))
-    return dict(zip(_ARRAYS, (n_terms, term, impact, *lists, np.flatnonzero(is_long)), strict=True))
+    lists = [joined(x) for x in (block_term, block_size, block_docs, sum_size, sum_term)]
+    arrays = (place[by_size], n_terms, term, impact, *lists, joined(sum_max, np.uint8), np.flatnonzero(is_long))
+    return dict(zip(_ARRAYS, arrays, strict=True))
 
 
-_ARRAYS = ("n_terms", "term", "impact", "block_term", "block_size", "block_docs", "sum_size", "sum_term", "sum_max", "long_docs")
+_ARRAYS = ("place", "n_terms", "term", "impact", "block_term", "block_size", "block_docs", "sum_size", "sum_term", "sum_max", "long_docs")
 _INDEX = "shard long, doc_id array<long>, " + ", ".join(f"{c} binary" for c in _ARRAYS)
 
 
@@ -278,12 +291,12 @@ class Searcher:
     """Finds an item's best documents in one shard; ``skipped`` and ``visited`` count blocks."""
 
     def __init__(self, shard: Shard, weight: np.ndarray):
-        self.shard, self.weight = shard, weight
+        self.shard, self.weight = shard, weight[shard.place]
         self.docs, self.blocks, self.summaries = _Rows(shard.n_terms), _Rows(shard.block_size), _Rows(shard.sum_size)
-        own = shard.sum_term == np.repeat(shard.block_term, shard.sum_size)
-        self.own_max = shard.sum_max[own]  # of each block, for its list's term
-        self.wanted = np.zeros(len(weight), np.int64)  # weights of the item's terms
-        self.later = np.zeros(len(weight), np.int64)  # of those whose lists are not done
+        self.own_max = shard.sum_max[self.summaries.start]  # of each block, for its list's term
+        self.number = np.full(len(weight), -1)
+        self.number[shard.place] = np.arange(len(shard.place))
+        self.wanted = np.zeros(len(shard.place), np.int64)  # weights of the item's terms
         self.skipped = self.visited = 0
 
     def scores(self, docs: np.ndarray) -> np.ndarray:
@@ -291,10 +304,10 @@ class Searcher:
         return np.add.reduceat(self.wanted[self.shard.term[at]] * self.shard.impact[at], begin)
 
     def bounds(self, lo: int, hi: int) -> np.ndarray:
-        """Of blocks lo to hi - 1: at least the score of any of their documents that no earlier list holds."""
+        """Of blocks lo to hi - 1: at least the score of any of their documents that no shorter list holds."""
         begin = self.summaries.start[lo:hi]
         end = int(begin[-1] + self.summaries.lengths[hi - 1])
-        parts = self.later[self.shard.sum_term[begin[0] : end]] * self.shard.sum_max[begin[0] : end]
+        parts = self.wanted[self.shard.sum_term[begin[0] : end]] * self.shard.sum_max[begin[0] : end]
         return UNIT * np.add.reduceat(parts, begin - begin[0])
 
     def _better(self, best: tuple[np.ndarray, np.ndarray], docs: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
@@ -309,10 +322,11 @@ class Searcher:
     def best(self, terms: np.ndarray, top: int = TOP) -> tuple[np.ndarray, np.ndarray]:
         """(document, score) of the ``top`` documents, best first; scores above 0 only."""
         s = self.shard
+        terms = np.sort(self.number[terms])
+        terms = terms[terms >= 0]
         first, last = np.searchsorted(s.block_term, terms), np.searchsorted(s.block_term, terms, "right")
-        here = last > first
-        lists = sorted(zip(first[here].tolist(), last[here].tolist(), strict=True), key=lambda x: self.blocks.lengths[x[0] : x[1]].sum())
-        self.wanted[terms] = self.later[terms] = self.weight[terms]
+        lists = [(a, b) for a, b in zip(first.tolist(), last.tolist(), strict=True) if a < b]
+        self.wanted[terms] = self.weight[terms]
         reach = [UNIT * int(self.weight[s.block_term[a]] * self.own_max[a:b].max()) for a, b in lists]
         seen = np.zeros(len(s.doc_id), bool)
         best = self._better((np.zeros(0, np.int64), np.zeros(0, np.int64)), s.long_docs, top)
@@ -338,14 +352,15 @@ class Searcher:
                 done, step = done + len(some), 2 * step
             self.visited += done
             self.skipped += len(order) - done
-            self.later[s.block_term[a]] = 0
-        self.wanted[terms] = self.later[terms] = 0
+        self.wanted[terms] = 0
         return best
 
 
 def read_shard(row: dict) -> Shard:
     ids = row["doc_id"]
-    arrays = {c: pfor.Segment(row[c]).all().astype(np.int64) for c in _ARRAYS}
+    arrays = {c: pfor.Segment(row[c]).all() for c in _ARRAYS}
+    arrays |= {c: arrays[c].astype(np.int64) for c in ("n_terms", "impact", "block_size", "sum_size")}
+    arrays["sum_max"] = arrays["sum_max"].astype(np.uint8)
     return Shard(np.array([x or 0 for x in ids], np.int64), np.array([x is None for x in ids], bool), **arrays)
 
 

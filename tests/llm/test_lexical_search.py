@@ -92,7 +92,7 @@ def test_blocks_are_skipped_only_below_the_tenth_score(monkeypatch):
         n,
         length,
     )
-    searcher = L.Searcher(L.Shard(np.array(keep), np.zeros(len(keep), bool), **{k: np.asarray(v, np.int64) for k, v in arrays.items()}), weight)
+    searcher = L.Searcher(L.Shard(np.array(keep), np.zeros(len(keep), bool), **arrays), weight)
     want = plain_search(docs, items)
     for item, text in items:
         found, scores = searcher.best(np.array(sorted({vocabulary[t] for t in terms(text)})))
