@@ -26,9 +26,11 @@ from tarmac.plans.metrics import (
     daily_revenue,
 )
 from tarmac.plans.spine import date_airport_spine
+from tarmac.schemas import SEGMENTS
 from tarmac.session import checkpoint_dir
 from tarmac.sources.binding import bind_domain_tables
-from tarmac.sources.tables import TableSource, overwrite_table
+from tarmac.sources.dump import dump_source, write_dump
+from tarmac.sources.tables import TableSource, load_table, overwrite_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,11 +117,43 @@ def q_daily_airport_mart_assembled(spark: SparkSession, sf_dir: str) -> DataFram
     return assemble_mart_from_metrics(*_mart_args(bind_domain_tables(spark, sf_dir)))
 
 
+def _new_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+
+
+def q_scan_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: the ticket segments read from a plain-text dump, which is written from
+    the given tables first."""
+    path = _new_folder(spark)
+    write_dump(bind_domain_tables(spark, sf_dir)["segments"], path, "segments")
+    rows = load_table(spark, "segments", dump_source(spark, path), SEGMENTS)
+    return rows.withColumn("amount", F.col("amount").cast("double"))
+
+
+def q_staged_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 and S6: the revenue written by the staged sink, then read back."""
+    folder = _new_folder(spark)
+    sink = TableSource(format="staged", location=folder + "/{name}", options={"staging": folder + "/staging"})
+    overwrite_table(q_daily_revenue(spark, sf_dir), "revenue", sink)
+    return load_table(spark, "revenue", sink)
+
+
+def q_versioned_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5: the airtime by year, of which the even years are then overwritten with
+    their own rows doubled, read from the same table."""
+    sink = TableSource(format="versioned", location=_new_folder(spark) + "/{name}")
+    airtime = q_daily_airtime(spark, sf_dir).withColumn("year", F.substring("date", 1, 4))
+    overwrite_table(airtime, "airtime", sink, ["year"])
+    even = load_table(spark, "airtime", sink).filter("CAST(year AS INT) % 2 = 0").withColumn("airtime_minutes", F.col("airtime_minutes") * 2)
+    overwrite_table(even, "airtime", sink, ["year"], dynamic=True)
+    return load_table(spark, "airtime", sink)
+
+
 def q_overwrite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart written as a parquet table in the shared checkpoint folder,
     then read back (the sink of the batch job)."""
     mart = q_daily_airport_mart(spark, sf_dir)
-    sink = TableSource(location=f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}/{{name}}")
+    sink = TableSource(location=_new_folder(spark) + "/{name}")
     overwrite_table(mart, "daily_airport_mart", sink)
     return spark.read.parquet(sink.path("daily_airport_mart"))
 
@@ -138,6 +172,9 @@ BUSINESS_QUERIES: dict[str, Query] = {
     "daily_airport_mart": q_daily_airport_mart,
     "daily_airport_mart_assembled": q_daily_airport_mart_assembled,
     "overwrite_table": q_overwrite_table,
+    "scan_dump": q_scan_dump,
+    "staged_write": q_staged_write,
+    "versioned_overwrite": q_versioned_overwrite,
 }
 
 

@@ -153,4 +153,11 @@ BUSINESS_SQL = {
     "daily_airport_mart": MART_SQL,
     "daily_airport_mart_assembled": MART_SQL,
     "overwrite_table": MART_SQL,
+    "scan_dump": with_domain("SELECT ticket_no, flight_id, fare_conditions, CAST(amount AS DOUBLE) AS amount FROM segments"),
+    "staged_write": _metric("m_revenue"),
+    "versioned_overwrite": with_domain(
+        "SELECT date, airport_name, substr(date, 1, 4) AS year, "
+        "CASE WHEN CAST(substr(date, 1, 4) AS INT) % 2 = 0 THEN airtime_minutes * 2 ELSE airtime_minutes END AS airtime_minutes "
+        f"FROM ({METRIC_CTES['m_airtime']}) m"
+    ),
 }

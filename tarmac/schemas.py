@@ -93,17 +93,15 @@ DOMAIN_SCHEMAS = {
     "tickets": TICKETS,
 }
 
-# Fixed values -- stored names of tables that go by another name here, and the
-# output columns of the four parts of a day.
-STORED_NAMES = {"departures": "flights", "segments": "ticket_flights"}
+# Output columns of the four parts of a day.
 PERIOD_COLUMNS = {
-    "Early Morning": "flights_early_morning",
-    "Morning": "flights_morning",
-    "Afternoon": "flights_afternoon",
-    "Evening": "flights_evening",
+    "Early Morning": "departures_early_morning",
+    "Morning": "departures_morning",
+    "Afternoon": "departures_afternoon",
+    "Evening": "departures_evening",
 }
 
-# Output of the daily mart, in column order (fixed values).
+# Output of the daily mart, in column order.
 MART_COLUMNS = [
     "date",
     "airport_name",

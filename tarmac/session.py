@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -97,3 +98,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="tarmac-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, as ``--py-files`` does (once a session).
+
+    The archive is served by the driver, so it may lie in the driver's own folder.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tarmac_shipped", False):
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tarmac-py-"), "tarmac.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(home):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(home)))
+    sc.addPyFile(archive)
+    sc._tarmac_shipped = True

@@ -3,6 +3,10 @@
 Parquet is the default.  Any Spark data source works the same way: a
 warehouse connector (``format='bigquery'`` with a ``table`` option), JDBC with
 a partitioned read, ORC, Delta/Iceberg when their jars are on the classpath.
+Three formats are this package's own: ``copy_dump`` (``sources.dump``, reading),
+``versioned`` (``sources.versions``: overwritten in one step, by partition if
+wanted) and ``staged`` (``sources.staged``: files staged by tasks, published by
+one commit).
 """
 
 from __future__ import annotations
@@ -10,11 +14,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StringType, StructField, StructType, TimestampNTZType
 
-from tarmac.schemas import DOMAIN_SCHEMAS, STORED_NAMES
+from tarmac.schemas import COORDINATES, DOMAIN_SCHEMAS
+from tarmac.sources import staged, versions
 
 
 @dataclass(frozen=True)
@@ -38,7 +43,7 @@ class TableSource:
     table_options: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
 
     def stored_name(self, name: str) -> str:
-        return self.names.get(name, STORED_NAMES.get(name, name))
+        return self.names.get(name, name)
 
     def reader_options(self, name: str) -> dict[str, str]:
         opts = {**self.options, **self.table_options.get(name, {})}
@@ -88,6 +93,20 @@ def jdbc_source(
     return TableSource(format="jdbc", options=opts, table_option="dbtable", names=names or {}, table_options=partitions or {})
 
 
+def _as_declared(name: str, own: DataType, declared: DataType) -> Column:
+    """A column as its declared type.  Texts may be a point, ``(lon,lat)``, or a time
+    with an offset from UTC, which is taken to the session's time zone."""
+    if isinstance(own, StringType) and declared == COORDINATES:
+        parts = F.split(F.regexp_replace(name, r"[()\s]", ""), ",")
+        return F.when(F.col(name).isNotNull(), F.struct(*[parts[i].cast("double").alias(f.name) for i, f in enumerate(declared.fields)]))
+    if isinstance(own, StringType) and isinstance(declared, TimestampNTZType):
+        has_offset = F.col(name).rlike(r":\d\d(\.\d+)? ?([+-]\d\d(:?\d\d)?|Z)$")
+        return F.when(has_offset, F.col(name).cast("timestamp").cast(declared)).otherwise(
+            F.when(~has_offset, F.col(name)).cast(declared)
+        )
+    return F.col(name).cast(declared)
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """The declared columns of ``df``, cast to their declared types.
 
@@ -97,7 +116,10 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """
     own = {f.name: f.dataType for f in df.schema.fields}
     return df.select(
-        *[F.col(f.name) if own.get(f.name) == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+        *[
+            F.col(f.name) if own.get(f.name) == f.dataType else _as_declared(f.name, own.get(f.name), f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
     )
 
 
@@ -111,8 +133,13 @@ def load_table(
     Nothing is read until an action; the scan only materialises the columns and
     rows the downstream plan asks for."""
     reader = spark.read.format(source.format).options(**source.reader_options(name))
+    if source.format == "copy_dump" and schema is not None:  # reads the wanted columns only
+        reader = reader.schema(StructType([StructField(f.name, StringType()) for f in schema.fields]))
     path = source.path(name)
-    df = reader.load(path) if path is not None else reader.load()
+    if source.format in (versions.FORMAT, staged.FORMAT):
+        df = versions.read_table(spark, path)
+    else:
+        df = reader.load(path) if path is not None else reader.load()
     return df if schema is None else conform(df, schema)
 
 
@@ -126,15 +153,29 @@ def overwrite_table(
     name: str,
     source: TableSource,
     partition_by: list[str] | None = None,
+    dynamic: bool = False,
 ) -> None:
     """Replace a named table with ``df`` (Spark's commit protocol makes the
-    write task-retry safe)."""
-    writer = df.write.format(source.format).mode("overwrite").options(**source.reader_options(name))
+    write task-retry safe), or with ``dynamic`` the partitions that ``df`` has.
+
+    Path formats are replaced in place: a reader may meet the table half gone,
+    and ``df`` must not read it.  The formats ``versioned`` and ``staged`` change
+    tables in one step.
+    """
+    path, options = source.path(name), source.reader_options(name)
+    if source.format == versions.FORMAT:
+        versions.overwrite(df, path, partition_by, dynamic, options)
+        return
+    writer = df.write.format(source.format).mode("overwrite").options(**options)
+    if source.format == staged.FORMAT:
+        if partition_by:
+            raise ValueError("the staged sink writes tables without partitions")
+        staged.register(df.sparkSession)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    path = source.path(name)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if path is not None:
         writer.save(path)
     else:
         writer.save()
-

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarmac import run_job
-from tarmac.schemas import DOMAIN_SCHEMAS, STORED_NAMES
+from tarmac.schemas import DOMAIN_SCHEMAS
 from tarmac.session import checkpoint_dir
 from tarmac.sources import (
     TableSource,
@@ -30,7 +30,7 @@ def _scratch(spark):
 def test_warehouse_source_options():
     src = warehouse_source("proj.airline", staging_bucket="bucket-x")
     assert src.format == "bigquery"
-    assert src.reader_options("departures") == {"temporaryGcsBucket": "bucket-x", "table": f"proj.airline.{STORED_NAMES['departures']}"}
+    assert src.reader_options("departures") == {"temporaryGcsBucket": "bucket-x", "table": "proj.airline.departures"}
     assert src.path("departures") is None
 
 
@@ -41,7 +41,7 @@ def test_jdbc_source_partitions_each_table_by_its_own_column():
         names={"departures": "bookings.dep"},
     )
     opts = src.reader_options("segments")
-    assert opts["dbtable"] == STORED_NAMES["segments"] and opts["partitionColumn"] == "flight_id" and opts["numPartitions"] == "16"
+    assert opts["dbtable"] == "segments" and opts["partitionColumn"] == "flight_id" and opts["numPartitions"] == "16"
     assert src.reader_options("bookings")["partitionColumn"] == "book_date"
     assert src.reader_options("departures") == {"url": "jdbc:postgresql://db/demo", "fetchsize": "10000", "dbtable": "bookings.dep"}
 
