@@ -61,7 +61,7 @@ tickets AS (
 seg0 AS (
   SELECT l.l_orderkey, l.l_linenumber, l.l_extendedprice, l.l_suppkey, s.s_nationkey,
          date_diff('day', DATE '1995-01-01', CAST(l.l_shipdate AS DATE)) AS d
-  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey),
+  FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey),
 seg AS (
   SELECT *, (CAST(s_nationkey AS BIGINT) * 10000 + (d - d % 5)) * 3 + l_suppkey % 3 AS flight_id,
          d - d % 5 AS d5

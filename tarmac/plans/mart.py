@@ -9,14 +9,14 @@ Plan, instead of eight separate scans of departures and seven joins:
   ops      = coded LEFT JOIN seats by aircraft code (seats x departures)
              -> sums by (day, airport code) LEFT JOIN names
              -> sums by (day, airport_name)
-  booked   = bookings_by_day (see metrics.bookings_by_day)
+  booked   = metrics.bookings_by_day_and_code, then names
   mart     = spine LEFT JOIN ops LEFT JOIN booked on (day, airport_name),
-             zero-filled, ordered by (date, airport_name)
+             zero-filled, ordered by (date, airport_name) through the days' slots
 
 Seats and names only meet rows that are already grouped by their keys, so no
 join is on a few hot codes and no size has to be checked while planning.  Rows
-with a NULL airport name can never match the spine, so Catalyst prunes the
-NULL-name branches of the bookings chain.
+with a NULL airport name can never match the spine, so the bookings chain is of
+inner joins.
 """
 
 from __future__ import annotations
@@ -27,10 +27,11 @@ from pyspark.sql import functions as F
 from tarmac.functions.arith import minutes_from_seconds, percent_of, round2, truncate_to_long
 from tarmac.functions.timeparts import day_string, hour_of_day, seconds_between
 from tarmac.operators.joins import left_join, left_join_unique
+from tarmac.operators.ordering import SLOT, in_day_order, slot_count
 from tarmac.plans.blocks import ARRIVED, FARE_CLASSES, seat_capacity, segments_by_departure
 from tarmac.plans.metrics import (
     average_delay,
-    bookings_by_day,
+    bookings_by_day_and_code,
     by_code,
     by_name,
     class_occupancy,
@@ -46,7 +47,7 @@ from tarmac.plans.metrics import (
     period_counts,
     seats_of_departures,
 )
-from tarmac.plans.spine import date_airport_spine, spine
+from tarmac.plans.spine import spine
 from tarmac.schemas import MART_COLUMNS, PERIOD_COLUMNS
 from tarmac.sources.tables import TableSource, load_domain_tables, overwrite_table
 
@@ -95,8 +96,9 @@ def departure_metrics(
 
 
 def _finish(grid_joined: DataFrame) -> DataFrame:
-    """Zero-fill numeric gaps and order like the reported table."""
-    return grid_joined.select(*MART_COLUMNS).na.fill(0).orderBy(F.col("date").asc(), F.col("airport_name").asc())
+    """Zero-fill numeric gaps and order like the reported table, by the grid's slots."""
+    filled = grid_joined.select(*MART_COLUMNS, SLOT).na.fill(0)
+    return in_day_order(filled, slot_count(grid_joined.sparkSession), "date", "airport_name")
 
 
 def daily_airport_mart(
@@ -111,7 +113,7 @@ def daily_airport_mart(
 ) -> DataFrame:
     """The 14-column mart, one row per (date, airport_name) of the spine."""
     ops = departure_metrics(departures, segments, seats, aircrafts_data, airports_data, lang)
-    booked = bookings_by_day(bookings, tickets, segments, departures, airports_data, lang)
+    booked = by_name(bookings_by_day_and_code(bookings, tickets, segments, departures), airports_data, lang)
     grid = spine(airports_data, departures, bookings, lang)
     keys = ["day", "airport_name"]
     joined = left_join(left_join(grid, ops, keys), booked, keys)
@@ -143,7 +145,8 @@ def assemble_mart_from_metrics(
         daily_occupancy(departures, seats, segments, airports_data, lang),
         daily_occupancy_by_fare_class(seats, aircrafts_data, segments, departures, airports_data, lang),
     ]
-    joined = date_airport_spine(airports_data, departures, bookings, lang)
+    joined = spine(airports_data, departures, bookings, lang)
+    joined = joined.select(day_string(F.col("day")).alias("date"), "airport_name", SLOT)
     for part in parts:
         joined = left_join(joined, part, keys)
     return _finish(joined)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.arith import minutes_from_seconds, percent_of, round2, truncate_to_long
 from tarmac.functions.timeparts import DAY_PERIODS, day_of, day_string, hour_of_day, seconds_between
-from tarmac.operators.joins import left_join, left_join_unique, split_left_join
+from tarmac.operators.joins import left_join
 from tarmac.operators.relational import not_null, range_predicate
 from tarmac.plans.airports import airport_names
 from tarmac.plans.blocks import ARRIVED, FARE_CLASSES, seat_capacity, segments_by_departure
@@ -136,23 +136,42 @@ def bookings_by_day(
 ) -> DataFrame:
     """(day DATE, airport_name, bookings) -- see ``daily_bookings``.
 
-    Bookings meet tickets and tickets meet segments by ``split_left_join``, so
-    no hot key can fan out inside one task; rows without a match pass by the
-    later joins under a NULL name.  Segments cross the network once at row
-    grain: they are counted by (flight_id, day) before departures are joined,
-    so a departure's many passengers are one row a day.
+    Counts travel instead of rows: a ticket stands for the number of its
+    segments by departure airport code, or for 1 without any, and a booking for
+    the sum of its tickets', or for 1.  Each table is read once, every count is
+    summed map-side before it is shuffled, so a hot ticket or booking is a few
+    rows on the right of its join, and no join gives out more rows than its left
+    side times the codes of one ticket or booking.  A hot or missing key on the
+    left is split by AQE.
     """
-    booked = bookings.select("book_ref", day_of(F.col("book_date")).alias("day"))
-    ticketed, without_ticket = split_left_join(booked, tickets.select("book_ref", "ticket_no"), "book_ref")
-    carried, without_segment = split_left_join(
-        ticketed.select("ticket_no", "day"), segments.select("ticket_no", "flight_id"), "ticket_no"
+    one = F.lit(1).cast("long")
+    coded = left_join(
+        segments.filter(F.col("ticket_no").isNotNull()).select("ticket_no", "flight_id"),
+        departures.select("flight_id", "departure_airport"),
+        "flight_id",
     )
+    of_ticket = coded.groupBy("ticket_no", "departure_airport").agg(F.count(F.lit(1)).alias("n"))
+    ticketed = left_join(tickets.filter(F.col("book_ref").isNotNull()).select("book_ref", "ticket_no"), of_ticket, "ticket_no")
+    of_booking = ticketed.groupBy("book_ref", "departure_airport").agg(F.sum(F.coalesce("n", one)).alias("n"))
+    booked = left_join(bookings.select("book_ref", day_of(F.col("book_date")).alias("day")), of_booking, "book_ref")
+    of_day = booked.groupBy("day", "departure_airport").agg(F.sum(F.coalesce("n", one)).alias("bookings"))
+    return by_name(of_day, airports_data, lang)
+
+
+def bookings_by_day_and_code(bookings: DataFrame, tickets: DataFrame, segments: DataFrame, departures: DataFrame) -> DataFrame:
+    """(day DATE, departure_airport, bookings) of the segments that have a booking and a departure.
+
+    For results in which rows without an airport name don't count: inner joins
+    (AQE splits a hot key on either side) and one shuffle of segments as they
+    are; they are counted by (flight_id, day) before departures are joined, so
+    a departure's many passengers are one row a day.
+    """
+    booked = bookings.select("book_ref", day_of(F.col("book_date")).alias("day"))
+    ticketed = booked.join(tickets.select("book_ref", "ticket_no"), "book_ref")
+    carried = ticketed.select("ticket_no", "day").join(segments.select("ticket_no", "flight_id"), "ticket_no")
     counted = carried.groupBy("flight_id", "day").agg(F.count(F.lit(1)).alias("bookings"))
-    coded = left_join_unique(counted, departures.select("flight_id", "departure_airport"), "flight_id", ["day"])
-    named = by_name(coded.select("day", "departure_airport", "bookings"), airports_data, lang)
-    unnamed = without_ticket.select("day").unionByName(without_segment.select("day")).groupBy("day").count()
-    unnamed = unnamed.select("day", F.lit(None).cast("string").alias("airport_name"), F.col("count").alias("bookings"))
-    return named.unionByName(unnamed).groupBy("day", "airport_name").agg(F.sum("bookings").alias("bookings"))
+    coded = counted.join(departures.select("flight_id", "departure_airport"), "flight_id")
+    return coded.groupBy("day", "departure_airport").agg(F.sum("bookings").alias("bookings"))
 
 
 # --------------------------------------------------------------------- C4

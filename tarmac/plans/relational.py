@@ -28,6 +28,7 @@ from tarmac.operators.relational import (
     range_predicate,
     union_distinct,
 )
+from tarmac.operators.ordering import SLOT, in_day_order, slot_count, with_slots
 from tarmac.plans.airports import airport_names
 from tarmac.plans.blocks import ARRIVED, FARE_CLASSES, segments_by_departure
 from tarmac.plans.metrics import COMPLETED, by_code, by_name, completed_departures, daily_airtime, daily_revenue, seats_of_departures
@@ -113,7 +114,7 @@ def left_join_single_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
     seg = t["segments"].select("ticket_no", "flight_id", "fare_conditions")
     dep = t["departures"].select("flight_id", "departure_airport", "status")
-    return left_join(seg, dep, "flight_id")
+    return left_join_unique(seg, dep, "flight_id", ["ticket_no"])
 
 
 def left_join_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,10 +240,12 @@ def ratio_of_sums_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -------------------------------------------------- sort and sets (O, U)
 def order_by_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The airtime in order of date and name, NULL first; the days give the bounds of the ranges."""
     t = _t(spark, sf_dir)
-    return daily_airtime(t["departures"], t["airports_data"]).orderBy(
-        F.col("date").asc_nulls_first(), F.col("airport_name").asc_nulls_first()
-    )
+    slots = slot_count(spark)
+    days = t["departures"].select(day_string(F.col("scheduled_departure")).alias("date")).distinct()
+    dealt = left_join(daily_airtime(t["departures"], t["airports_data"]), with_slots(days, slots, "date"), "date")
+    return in_day_order(dealt.fillna(0, [SLOT]), slots, "date", "airport_name")
 
 
 def q_union_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:

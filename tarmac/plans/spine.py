@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.timeparts import day_of, day_string
+from tarmac.operators.ordering import SLOT, slot_count, with_slots
 from tarmac.plans.airports import clean_airports
 
 
@@ -23,21 +24,17 @@ def spine(
     bookings: DataFrame,
     lang: str | None = None,
 ) -> DataFrame:
-    """(day DATE, airport_name): every reporting day with every distinct name.
+    """(day DATE, airport_name, slot): every reporting day with every distinct name.
 
     This Cartesian product IS the output grid -- every pair becomes one mart
     row -- so its size is the result size.  Spark broadcasts the names when
-    their statistics allow it; the day side is spread over the cores so the
-    grid is generated in parallel.
+    their statistics allow it.  The days are dealt by their slot (the run of
+    days that one partition of the ordered result holds), so the grid is
+    generated in parallel, and its order needs no sample.
     """
-    spark = departures.sparkSession
     names = clean_airports(airports_data, lang).select("airport_name").distinct()
-    days = spine_days(departures, bookings)
-    # One generator task per core is enough (each emits days/cores x names
-    # rows); more would only schedule empty tasks for a few thousand days.
-    setting = spark.conf.get("spark.sql.shuffle.partitions", "200")
-    n_parts = min(spark.sparkContext.defaultParallelism, int(setting) if str(setting).isdigit() else 200)
-    days = days.repartition(max(1, n_parts), "day")
+    slots = slot_count(departures.sparkSession)
+    days = with_slots(spine_days(departures, bookings), slots).repartitionById(slots, SLOT)
     return days.crossJoin(names)
 
 

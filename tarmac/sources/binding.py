@@ -19,8 +19,8 @@ of one nation leave from a code that no airport has; two nations share a name,
 others list "ru" first or have a malformed, NULL or half-empty name; every
 50th ticket names a booking that doesn't exist; some seats and departures are
 of an aircraft outside the fleet; one brand has economy seats only, and some
-seats and segments are of a fourth class; some segments have no departure id
-or no amount.
+seats and segments are of a fourth class; some segments (and those of an unknown
+supplier) have no departure id, some no amount.
 """
 
 from __future__ import annotations
@@ -141,7 +141,7 @@ def tickets(orders: DataFrame) -> DataFrame:
 
 def _segments(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     """lineitem x supplier with the departure key of every segment."""
-    seg = lineitem.join(supplier, lineitem["l_suppkey"] == supplier["s_suppkey"], "inner")
+    seg = lineitem.join(supplier, lineitem["l_suppkey"] == supplier["s_suppkey"], "left")
     return seg.selectExpr(
         "l_orderkey", "l_linenumber", "l_extendedprice", "l_suppkey", "s_nationkey", f"{_DAYS} - {_DAYS} % 5 AS d5"
     ).selectExpr(

@@ -77,6 +77,44 @@ def test_aqe_splits_a_hot_key_of_the_inner_join(spark, side, tmp_path):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_aqe_splits_a_hot_departure_of_the_bookings_chain(spark, tmp_path):
+    """Half of all segments are of one departure, and a third of them of none."""
+    from tarmac import daily_bookings
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    n = F.col("id")
+    flight = F.when(n % 6 < 3, F.lit(7)).when(n % 6 == 3, n % 1000).cast("long")
+    tables = {
+        "segments": spark.range(30_000).select((n % 9000).cast("string").alias("ticket_no"), flight.alias("flight_id")).repartition(8),
+        "tickets": spark.range(10_000).select(n.cast("string").alias("ticket_no"), F.when(n % 3 > 0, n % 4000).cast("string").alias("book_ref")),
+        "bookings": spark.range(5_000).select(n.cast("string").alias("book_ref"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("book_date")),
+        "departures": spark.range(1_000).select(n.alias("flight_id"), F.concat(F.lit("C"), n % 5).alias("departure_airport")),
+        "airports": spark.range(4).select(F.concat(F.lit("C"), n).alias("airport_code"), F.concat(F.lit('{"en": "N'), F.lit('"}')).alias("airport_name"), F.lit(None).cast("string").alias("city")),
+    }
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / name))
+    t = {name: spark.read.parquet(str(tmp_path / name)) for name in tables}
+    chain = t["bookings"].join(t["tickets"], "book_ref", "left").join(t["segments"], "ticket_no", "left").join(t["departures"], "flight_id", "left")
+    want = {r.known: r["count"] for r in chain.groupBy(F.col("departure_airport").isin("C0", "C1", "C2", "C3").alias("known")).count().collect()}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        found = daily_bookings(t["bookings"], t["tickets"], t["segments"], t["departures"], t["airports"])
+        got = {r.airport_name: r.bookings for r in found.collect()}
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == {"N": want[True], None: want.get(False, 0) + want.get(None, 0)}
+
+
 def test_left_join_fanout_equals_left_join(spark):
     import random
 
@@ -103,3 +141,17 @@ def test_left_join_fanout_rejects_ambiguous_columns(spark):
     with pytest.raises(ValueError):
         left_join_fanout(spark.range(3).selectExpr("id AS k", "id AS v"),
                          spark.range(3).selectExpr("id AS k", "id AS v"), "k")
+
+
+def test_slots_are_even_runs_of_days(spark):
+    from tarmac.operators.ordering import SLOT, in_day_order, with_slots
+
+    days = spark.createDataFrame([(f"2024-01-{d:02d}",) for d in range(1, 30)] + [(None,)], "day string")
+    found = {r.day: r[SLOT] for r in with_slots(days, 4).collect()}
+    order = [found[d] for d in sorted(found, key=lambda d: d or "")]
+    assert order == sorted(order) and set(order) == {0, 1, 2, 3} and found[None] == 0
+    rows = with_slots(days, 4).crossJoin(spark.createDataFrame([("b",), ("a",), (None,)], "name string"))
+    got = [tuple(r) for r in in_day_order(rows, 4, "day", "name").collect()]
+    assert got == sorted(got, key=lambda x: (x[0] or "", x[1] or ""))
+    one = with_slots(days.limit(1), 4).collect()
+    assert [r[SLOT] for r in one] == [0]

@@ -35,7 +35,7 @@ def _plan(df):
 def _scans(plan, table):
     """The formatted-plan blocks of every scan of ``table``."""
     blocks = plan.split("\n\n")
-    return [b for b in blocks if "Scan parquet" in b.split("\n")[0] and f"/{table}]" in b]
+    return [b for b in blocks if "Scan parquet" in b.strip().split("\n")[0] and f"/{table}]" in b]
 
 
 def test_completed_filter_reaches_the_departures_scan(stored):
@@ -90,11 +90,25 @@ def test_seats_and_names_meet_grouped_rows_only(stored):
         assert any("HashAggregate" in line for line in below), tree[i]
 
 
-def test_null_name_branches_are_pruned_inside_the_mart(stored):
+def test_bookings_read_each_table_once(stored):
+    """Counts are pushed below the joins: no anti join, and no table is scanned twice."""
     from tarmac import daily_bookings
 
-    mart_plan = _plan(daily_airport_mart(*(stored[n] for n in ORDER)))
-    assert "LeftAnti" not in mart_plan  # NULL-name rows can never match the grid
-    alone = _plan(daily_bookings(stored["bookings"], stored["tickets"], stored["segments"],
-                                 stored["departures"], stored["airports_data"]))
-    assert "LeftAnti" in alone  # standalone, NULL-name groups are part of the answer
+    names = ("bookings", "tickets", "segments", "departures", "airports_data")
+    alone = _plan(daily_bookings(*(stored[n] for n in names)))
+    assert "LeftAnti" not in alone
+    assert {n: len(_scans(alone, n)) for n in names} == dict.fromkeys(names, 1)
+
+
+def test_bookings_of_the_mart_are_inner_joins(stored):
+    """Rows without a name can never match the grid."""
+    plan = _plan(daily_airport_mart(*(stored[n] for n in ORDER)))
+    assert "LeftAnti" not in plan and len(_scans(plan, "tickets")) == 1
+
+
+def test_order_needs_no_sampling_pass(stored):
+    """The days' ranks are the bounds of the ranges: no range partitioning, the same order."""
+    mart = daily_airport_mart(*(stored[n] for n in ORDER))
+    assert "rangepartitioning" not in _plan(mart)
+    got = [(r.date, r.airport_name) for r in mart.collect()]
+    assert got == sorted(got, key=lambda x: (x[0] is not None, x[0] or "", x[1])) and len(set(got)) == len(got)
