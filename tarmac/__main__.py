@@ -5,6 +5,7 @@
                      --sink-format bigquery --staging-bucket my-bucket --name segments=segments_v1
     python -m tarmac --source-format jdbc --source-option url=jdbc:postgresql://db/demo \\
                      --table-option segments.partitionColumn=flight_id ... --sink '/marts/{name}'
+    python -m tarmac --source /dumps/airline.sql --source-format copy_dump --sink '/marts/{name}' --sink-format versioned
 
 Stored table names are substituted for ``{name}``.  Spark settings (master,
 memory, checkpoint folder, ...) come from spark-submit / spark-defaults as usual.
@@ -15,8 +16,10 @@ from __future__ import annotations
 import argparse
 from dataclasses import replace
 
+from tarmac.plans.checks import Checks
 from tarmac.plans.mart import run_job
 from tarmac.session import build_session
+from tarmac.sources.dump import dump_source
 from tarmac.sources.tables import TableSource, warehouse_source
 
 
@@ -71,18 +74,32 @@ def main(argv: list[str] | None = None, spark=None) -> None:
     p.add_argument("--table", default="daily_airport_mart", help="name of the output table")
     p.add_argument("--lang", default=None, help="name language (default: first entry of each name)")
     p.add_argument("--partition-by", nargs="*", default=None, help="output partition columns, e.g. date")
+    p.add_argument("--column", action="append", metavar="COLUMN=PUBLISHED", help="published name of one output column")
     args = p.parse_args(argv)
 
     own_session = spark is None
     if own_session:
         spark = build_session(app_name="daily-airport-mart")
-    source = _source(
-        args.source_format, args.source, args.warehouse_dataset, args.staging_bucket, args.source_option, args.name, args.table_option
-    )
+    if args.source_format == "copy_dump":
+        source = dump_source(spark, args.source, _pairs(args.name))
+    else:
+        source = _source(
+            args.source_format,
+            args.source,
+            args.warehouse_dataset,
+            args.staging_bucket,
+            args.source_option,
+            args.name,
+            args.table_option,
+        )
     dataset = None if args.sink else args.warehouse_dataset
     sink = _source(args.sink_format, args.sink, dataset, args.staging_bucket, args.sink_option)
-    written = run_job(spark, source, sink, table_name=args.table, lang=args.lang, partition_by=args.partition_by)
+    checks = Checks()
+    written = run_job(
+        spark, source, sink, table_name=args.table, lang=args.lang, partition_by=args.partition_by, columns=_pairs(args.column), checks=checks
+    )
     print(f"wrote {args.table}: {len(written.columns)} columns")
+    print("checks: " + ", ".join(f"{k} {v}" for k, v in sorted(checks.report().items())))
     if own_session:
         spark.stop()
 

@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.plans.airports import clean_airports
+from tarmac.plans.incremental import refresh, stored_mart
 from tarmac.plans.mart import assemble_mart_from_metrics, daily_airport_mart
 from tarmac.plans.metrics import (
     daily_airtime,
@@ -149,6 +151,15 @@ def q_versioned_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_table(spark, "airtime", sink)
 
 
+def q_incremental_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C11: the mart of stored sums, which were computed for the days before 1996
+    first and refreshed with the later ones."""
+    t, root = bind_domain_tables(spark, sf_dir), _new_folder(spark)
+    refresh(spark, t, root, [(None, date(1995, 12, 31)), None])
+    refresh(spark, t, root, [(date(1996, 1, 1), None)])
+    return stored_mart(spark, root, t["aircrafts_data"], t["airports_data"], t["seats"])
+
+
 def q_overwrite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart written as a parquet table in the shared checkpoint folder,
     then read back (the sink of the batch job)."""
@@ -171,6 +182,7 @@ BUSINESS_QUERIES: dict[str, Query] = {
     "daily_occupancy_by_fare_class": q_daily_occupancy_by_fare_class,
     "daily_airport_mart": q_daily_airport_mart,
     "daily_airport_mart_assembled": q_daily_airport_mart_assembled,
+    "incremental_mart": q_incremental_mart,
     "overwrite_table": q_overwrite_table,
     "scan_dump": q_scan_dump,
     "staged_write": q_staged_write,

@@ -152,6 +152,7 @@ BUSINESS_SQL = {
     "daily_occupancy_by_fare_class": _metric("m_fare_class"),
     "daily_airport_mart": MART_SQL,
     "daily_airport_mart_assembled": MART_SQL,
+    "incremental_mart": MART_SQL,
     "overwrite_table": MART_SQL,
     "scan_dump": with_domain("SELECT ticket_no, flight_id, fare_conditions, CAST(amount AS DOUBLE) AS amount FROM segments"),
     "staged_write": _metric("m_revenue"),

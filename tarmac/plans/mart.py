@@ -21,6 +21,8 @@ inner joins.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,7 @@ from tarmac.functions.arith import minutes_from_seconds, percent_of, round2, tru
 from tarmac.functions.timeparts import day_string, hour_of_day, seconds_between
 from tarmac.operators.joins import left_join, left_join_unique
 from tarmac.operators.ordering import SLOT, in_day_order, slot_count
+from tarmac.plans.checks import Checks, total
 from tarmac.plans.blocks import ARRIVED, FARE_CLASSES, seat_capacity, segments_by_departure
 from tarmac.plans.metrics import (
     average_delay,
@@ -49,38 +52,53 @@ from tarmac.plans.metrics import (
 )
 from tarmac.plans.spine import spine
 from tarmac.schemas import MART_COLUMNS, PERIOD_COLUMNS
-from tarmac.sources.tables import TableSource, load_domain_tables, overwrite_table
+from tarmac.sources.tables import TableSource, load_domain_tables, load_table, overwrite_table
 
 
-def departure_metrics(
-    departures: DataFrame,
-    segments: DataFrame,
-    seats: DataFrame,
-    aircrafts_data: DataFrame,
-    airports_data: DataFrame,
-    lang: str | None = None,
-) -> DataFrame:
-    """All departure-based metrics per (day DATE, airport_name) in one pass."""
+PASSENGERS = ["passengers", *[f"passengers_{c.lower()}" for c in FARE_CLASSES]]
+OFFERED = ["seats", *[f"seats_{c.lower()}" for c in FARE_CLASSES]]
+
+
+def departure_sums(departures: DataFrame, segments: DataFrame) -> DataFrame:
+    """Sums of every departure-based metric by (day DATE, departure_airport, aircraft_code), in one pass.
+
+    All of them add up, so sums of parts of the departures can be added.
+    """
     deps = completed_departures(departures, require_id=False, require_arrived=False)
     ops = left_join_unique(
         deps, segments_by_departure(segments), "flight_id", ["scheduled_departure", "departure_airport", "aircraft_code"]
     )
     has_id = F.col("flight_id").isNotNull()
     arrived = has_id & (F.col("status") == F.lit(ARRIVED))
-    passengers = ["passengers", *[f"passengers_{c.lower()}" for c in FARE_CLASSES]]
-    offered = ["seats", *[f"seats_{c.lower()}" for c in FARE_CLASSES]]
-    coded = by_code(
+    return by_code(
         ops,
         F.sum(F.when(arrived, F.col("flight_revenue"))).alias("revenue"),
         F.sum(F.when(arrived, seconds_between(F.col("actual_arrival"), F.col("actual_departure")))).alias("seconds"),
         *period_counts(hour_of_day(F.col("scheduled_departure")), when=arrived),
         *delay_sums(deps),
-        *[F.sum(F.when(has_id, F.col(c))).alias(c) for c in passengers],
+        *[F.sum(F.when(has_id, F.col(c))).alias(c) for c in PASSENGERS],
         F.count_if(has_id).alias("departures"),
         more=("aircraft_code",),
     )
-    sums = by_name(seats_of_departures(coded, seat_capacity(seats, aircrafts_data), offered), airports_data, lang)
-    return sums.select(
+
+
+def metrics_of_sums(
+    sums: DataFrame,
+    seats: DataFrame,
+    aircrafts_data: DataFrame,
+    airports_data: DataFrame,
+    lang: str | None = None,
+    checks: Checks | None = None,
+) -> DataFrame:
+    """The departure-based metrics per (day, airport_name) of ``departure_sums``."""
+    offered = seats_of_departures(sums, seat_capacity(seats, aircrafts_data), OFFERED)
+    if checks is not None:
+        offered = checks.watch(offered, completed=total("delayed"))
+    named = by_name(offered, airports_data, lang)
+    if checks is not None:
+        unmatched = F.col("airport_name").isNull()
+        named = checks.watch(named, named=total("delayed"), unmatched=total("delayed", when=unmatched))
+    return named.select(
         "day",
         "airport_name",
         truncate_to_long(F.col("revenue")).alias("revenue"),
@@ -95,7 +113,19 @@ def departure_metrics(
     )
 
 
-def _finish(grid_joined: DataFrame) -> DataFrame:
+def departure_metrics(
+    departures: DataFrame,
+    segments: DataFrame,
+    seats: DataFrame,
+    aircrafts_data: DataFrame,
+    airports_data: DataFrame,
+    lang: str | None = None,
+) -> DataFrame:
+    """All departure-based metrics per (day DATE, airport_name) in one pass."""
+    return metrics_of_sums(departure_sums(departures, segments), seats, aircrafts_data, airports_data, lang)
+
+
+def finish(grid_joined: DataFrame) -> DataFrame:
     """Zero-fill numeric gaps and order like the reported table, by the grid's slots."""
     filled = grid_joined.select(*MART_COLUMNS, SLOT).na.fill(0)
     return in_day_order(filled, slot_count(grid_joined.sparkSession), "date", "airport_name")
@@ -110,14 +140,29 @@ def daily_airport_mart(
     segments: DataFrame,
     tickets: DataFrame,
     lang: str | None = None,
+    checks: Checks | None = None,
+    segments_by_ticket: DataFrame | None = None,
 ) -> DataFrame:
-    """The 14-column mart, one row per (date, airport_name) of the spine."""
-    ops = departure_metrics(departures, segments, seats, aircrafts_data, airports_data, lang)
-    booked = by_name(bookings_by_day_and_code(bookings, tickets, segments, departures), airports_data, lang)
-    grid = spine(airports_data, departures, bookings, lang)
+    """The 14-column mart, one row per (date, airport_name) of the spine.
+
+    ``checks`` counts what passes by.  ``segments_by_ticket`` is a copy of the
+    segments' keys that is stored by ticket_no, if there is one.
+    """
+    sums = departure_sums(departures, segments)
+    ops = metrics_of_sums(sums, seats, aircrafts_data, airports_data, lang, checks)
+    own = segments if segments_by_ticket is None else segments_by_ticket
+    booked = by_name(bookings_by_day_and_code(bookings, tickets, own, departures), airports_data, lang)
     keys = ["day", "airport_name"]
-    joined = left_join(left_join(grid, ops, keys), booked, keys)
-    return _finish(joined.withColumn("date", day_string(F.col("day"))))
+    joined = left_join(left_join(spine(airports_data, departures, bookings, lang), ops, keys), booked, keys)
+    mart = finish(joined.withColumn("date", day_string(F.col("day"))))
+    if checks is None:
+        return mart
+    return checks.watch(
+        mart,
+        rows=F.count(F.lit(1)),
+        without_day=F.count_if(F.col("date").isNull()),
+        without_name=F.count_if(F.col("airport_name") == ""),
+    )
 
 
 def assemble_mart_from_metrics(
@@ -149,7 +194,7 @@ def assemble_mart_from_metrics(
     joined = joined.select(day_string(F.col("day")).alias("date"), "airport_name", SLOT)
     for part in parts:
         joined = left_join(joined, part, keys)
-    return _finish(joined)
+    return finish(joined)
 
 
 def run_job(
@@ -159,10 +204,16 @@ def run_job(
     table_name: str = "daily_airport_mart",
     lang: str | None = None,
     partition_by: list[str] | None = None,
+    columns: Mapping[str, str] | None = None,
+    checks: Checks | None = None,
 ) -> DataFrame:
     """Load the seven tables, compute the mart, overwrite ``table_name``
     (optionally partitioned, e.g. by ``date``).  Returns the written table
-    read back."""
+    read back.
+
+    ``columns`` gives published names of columns that go by another one here;
+    ``checks`` can be asked for its report afterwards.
+    """
     t = load_domain_tables(spark, source)
     mart = daily_airport_mart(
         t["aircrafts_data"],
@@ -173,11 +224,10 @@ def run_job(
         t["segments"],
         t["tickets"],
         lang=lang,
+        checks=checks,
     )
-    overwrite_table(mart, table_name, sink, partition_by=partition_by)
-    reader = spark.read.format(sink.format).options(**sink.reader_options(table_name))
-    path = sink.path(table_name)
-    return reader.load(path) if path is not None else reader.load()
+    overwrite_table(mart.withColumnsRenamed(dict(columns or {})), table_name, sink, partition_by=partition_by)
+    return load_table(spark, table_name, sink)
 
 
 __all__ = [
@@ -185,5 +235,7 @@ __all__ = [
     "assemble_mart_from_metrics",
     "daily_airport_mart",
     "departure_metrics",
+    "departure_sums",
+    "metrics_of_sums",
     "run_job",
 ]

@@ -32,10 +32,14 @@ def spine(
     days that one partition of the ordered result holds), so the grid is
     generated in parallel, and its order needs no sample.
     """
+    return grid(spine_days(departures, bookings), airports_data, lang)
+
+
+def grid(days: DataFrame, airports_data: DataFrame, lang: str | None = None) -> DataFrame:
+    """(day, airport_name, slot): each of the distinct ``days`` with every distinct name."""
     names = clean_airports(airports_data, lang).select("airport_name").distinct()
-    slots = slot_count(departures.sparkSession)
-    days = with_slots(spine_days(departures, bookings), slots).repartitionById(slots, SLOT)
-    return days.crossJoin(names)
+    slots = slot_count(days.sparkSession)
+    return with_slots(days, slots).repartitionById(slots, SLOT).crossJoin(names)
 
 
 def date_airport_spine(

@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -129,12 +129,18 @@ def _partitions(files: _Files, folder: str, depth: int) -> list[str]:
 
 
 def overwrite(
-    df: DataFrame, root: str, partition_by: Sequence[str] | None = None, dynamic: bool = False, options: dict[str, str] | None = None
+    df: DataFrame,
+    root: str,
+    partition_by: Sequence[str] | None = None,
+    dynamic: bool = False,
+    options: dict[str, str] | None = None,
+    remove: Callable[[str], bool] | None = None,
 ) -> Manifest:
     """Make ``df`` the table's contents, or with ``dynamic`` those of the partitions in ``df``.
 
     ``df`` may read the table itself.  With ``dynamic`` a partition of which
-    ``df`` has no row stays as it is.  Two writers at once are not serialised:
+    ``df`` has no row stays as it is, unless ``remove`` says of its name
+    (``date=2024-01-01``) that it goes.  Two writers at once are not serialised:
     the last one to publish wins.
     """
     spark, partition_by = df.sparkSession, list(partition_by or [])
@@ -151,7 +157,8 @@ def overwrite(
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{root.rstrip('/')}/{folder}")
     new = {p: [f"{folder}/{p}".rstrip("/")] for p in _partitions(files, folder, len(partition_by))}
-    parts = {**old.parts, **new} if dynamic and old is not None else new
+    stay = {p: v for p, v in old.parts.items() if remove is None or not remove(p)} if dynamic and old is not None else {}
+    parts = {**stay, **new}
     manifest = Manifest(number, schema.json(), partition_by, parts)
     publish(spark, root, manifest)
     return manifest
