@@ -13,15 +13,17 @@ nothing has to be tried again:
   number and groups of a card's usual lengths come first, longer ones before
   shorter ones; then other groups, likewise; what is left over of the run is
   searched for the kinds above.  Next to other numbers a run can so be read in
-  another way once its card is replaced, and ``back`` then can't undo it;
+  another way once its card is replaced, and ``back`` then can't undo it.  A
+  run ends after 64 groups and another one begins;
 * phone (international, or national with an area code): all digits after the
   country code;
 * ssn (with valid groups): 898 * 99 areas and groups by 9999 serials;
 * ip (four octets): 65536 by 65536;
 * date (a real day as 2024-02-29, 29/02/2024 or 29.02.2024): the day within
   its cycle of 400 years, 189 by 773 days;
-* email: the letters and digits of the local part (A-Z count as a-z), as
-  numbers of base 36; signs and the domain stay;
+* email (of a local part of at most 64 characters; of a longer one its end):
+  the letters and digits of the local part (A-Z count as a-z), as numbers of
+  base 36; signs and the domain stay;
 * secret (a named password, token or key, or a cloud access key): its letters
   and digits, likewise, in pieces of 22.
 
@@ -44,7 +46,8 @@ ROUNDS = 8
 
 # Fixed patterns of candidates, in the order in which they are tried.
 PATTERNS: dict[str, str] = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    # The lengths of real addresses bound it: neither time nor stack grow with a long run of letters or labels.
+    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,126}",
     "secret": r"(?<![A-Za-z0-9])(?:(?i:password|passwd|token|secret|api_?key)\s?[=:]\s?[\"']?[A-Za-z0-9]{8,}|AKIA[0-9A-Z]{16}(?![A-Za-z0-9]))",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{3}[ .-])\d{3}[ .-]?\d{4}(?!\w)",
     "ip": r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\w]|\.\d)",
@@ -52,7 +55,8 @@ PATTERNS: dict[str, str] = {
     "date": r"(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w/-])",
     # A run of groups, which may hold more than a card; not into an address, a phone or a date with dots or slashes.
     "card": r"(?<![\w-])(?=\d(?:[ -]?\d){12})\d++(?!\w)(?:[ -](?!\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}"
-    r"|\d{3}(?:\.\d{3}[ .-]?|[ -]\d{3}\.)\d{4}(?!\w))\d++(?!\w|-(?!\d)))*+(?![\w-])",
+    # At most 64 groups are one run, so that the time for a long table of numbers is linear.
+    r"|\d{3}(?:\.\d{3}[ .-]?|[ -]\d{3}\.)\d{4}(?!\w))\d++(?!\w|-(?!\d))){0,63}+(?![\w-])",
 }
 #: Cards within such a run at any group: unbroken, and in groups as they are printed.
 _CARDS = [r"(\d{13,19})"] + [
@@ -231,17 +235,16 @@ def _date(m: Column, key: str, back: bool) -> Column:
 
 
 def _letters(m: Column, tag: str, key: str, back: bool) -> Column:
-    """Letters and digits of ``m`` permuted as base 36, in pieces of ``_PIECE``."""
+    """The letters and digits of ``m``, permuted as base 36 in pieces of ``_PIECE``."""
     symbols = F.regexp_replace(F.lower(m), "[^a-z0-9]", "")
-    pieces = lambda s: F.transform(
-        F.sequence(F.lit(0), F.floor((F.greatest(F.length(s), F.lit(1)) - 1) / _PIECE).cast("int")),
-        lambda i: permute_symbols(F.substring(s, i * _PIECE + 1, F.lit(_PIECE)), 36, tag, key, back),
-    )
-    return _refill(F.lower(m), _let(symbols, lambda s: F.array_join(pieces(s), "")), "[a-z0-9]")
+    pieces = F.regexp_extract_all(symbols, F.lit(f"(.{{1,{_PIECE}}})"), F.lit(1))
+    return F.array_join(F.transform(pieces, lambda x: permute_symbols(x, 36, tag, key, back)), "")
 
 
 def _email(m: Column, key: str, back: bool) -> Column:
-    return F.concat(_letters(F.substring_index(m, "@", 1), "email", key, back), F.lit("@"), F.substring_index(m, "@", -1))
+    local = F.substring_index(m, "@", 1)
+    new = _refill(F.lower(local), _letters(local, "email", key, back), "[a-z0-9]")
+    return F.concat(new, F.lit("@"), F.substring_index(m, "@", -1))
 
 
 def _secret(m: Column, key: str, back: bool) -> Column:
@@ -290,7 +293,6 @@ def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the text with pseudonyms, and how many of each kind it has."""
     docs = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
-
     def count(kind: str) -> Column:
         return F.size(F.filter("pseudonyms", lambda x: x == kind)).cast("long").alias(f"n_{kind}")
 

@@ -162,3 +162,19 @@ def test_query_leaves_no_named_secret_or_card(spark):
         values = re.findall(r"(?i)\b(?:password|passwd|token|secret|api_?key)\s?[=:]\s?[\"']?([a-z0-9]{8,})", docs[r.doc_id])
         values += [x for x in re.findall(r"(?<![\w-])\d{13,19}(?![\w-])", docs[r.doc_id]) if luhn(x)]
         assert not [x for x in values if x in r.text]
+
+
+def test_very_long_texts_end_in_time_and_leave_the_stack_alone(spark):
+    """Each of these grew with the square of its length, or with the stack."""
+    import random
+    import time
+
+    run = "".join(random.Random(1).choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=1_000_000))
+    texts = ["a@b" + ".c" * 200_000, run, "token=" + run, "a." * 300_000, "a@" * 300_000, "1" * 1_000_000, "12 345 6 " * 50_000, "x@y.org " * 50_000]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(len(texts))
+    began = time.time()
+    rows = {r.doc_id: r for r in P.pseudonymise(frame).collect()}
+    assert time.time() - began < 90
+    assert [len(rows[i].pseudonyms) for i in range(len(texts))] == [1, 0, 1, 0, 0, 0, 0, 50_000]
+    assert rows[1].text == run and rows[2].text.startswith("token=") and len(rows[2].text) == len(texts[2])
+    assert rows[2].text[6:] != run and rows[0].text.endswith(".c" * 100)
