@@ -32,7 +32,34 @@ def test_lines_above_the_ratio_go(spark):
     rows = run(spark, site("Big.example.com", 30) + site("small.example.org", 5, 100))
     assert rows[4].text == "Own text 4, of page 4.\nxxxx" and rows[4].n_dropped == 2 and rows[4].host == "big.example.com"
     assert rows[3].text == "Own text 3, of page 3."  # a third of the pages is above a quarter
-    assert rows[101].n_dropped == 0 and rows[101].text.endswith("© small.example.org")
+    assert rows[101].n_dropped == 2 and rows[101].text == "Own text 1, of page 1.\nx"  # a host of 5 pages is judged too
+
+
+def test_a_line_of_one_page_stays(spark):
+    rows = run(spark, site("one.example.org", 1) + site("two.example.org", 2, 10))
+    assert rows[0].n_dropped == 0 and rows[0].text.endswith("© one.example.org")
+    assert rows[10].text == "Own text 0, of page 0.\nshared by a third" and rows[11].text == "Own text 1, of page 1.\nx"
+
+
+def test_lines_go_at_every_scale(spark):
+    """The given tables have small hosts only; the SQL check would hold without any dropped line too."""
+    assert L.op9_line_dedup(spark, SF_SMALL).agg(F.sum("n_dropped")).first()[0] > 0
+
+
+def test_long_pages_of_unclosed_markup(spark):
+    import time
+
+    pad = "word " * 20_000  # beyond LONG
+    odd = ["<" * 1_000_000, "<script>" * 100_000 + "end", "<!-- " * 200_000 + "end", "<div " * 200_000, "<head>" * 100_000 + "</head>end", "</p" * 300_000]
+    pages = [(i, f"http://e{i}.com", html) for i, html in enumerate(odd)]
+    pages.append((9, "http://e.com", f"{pad}<script>a</script>b<style>c<p>d</STYLE >e<script>f<header>g<!-- h --><!-- i > j <p k"))
+    began = time.time()
+    rows = run(spark, pages)
+    assert time.time() - began < 60
+    assert rows[0].text == odd[0] and rows[1].text == "end" and rows[2].text == ("<!-- " * 200_000 + "end").strip()
+    assert rows[4].text == "end" and rows[3].text == odd[3].strip()
+    short = run(spark, [(9, "http://e.com", pages[-1][2].removeprefix(pad))])
+    assert rows[9].text == pad + short[9].text
 
 
 def test_the_same_line_is_judged_by_host(spark):
