@@ -179,12 +179,21 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"bucket": pa.array(h.ravel().view(np.int64)), "band": pa.array(band), "id": pa.array(ids, pa.int64())})
 
 
+def _shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, n, sig): the lowest byte of each minimum (the highest is 0 for most sets), a quarter of the signature."""
+    for batch in batches:
+        if batch.num_rows:
+            whole = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(batch.num_rows, -1)
+            short = (whole & np.uint32(255)).astype(np.uint8)
+            yield pa.record_batch([batch.column("id"), batch.column("n_shingles"), pa.array([x.tobytes() for x in short], pa.binary())], ["id", "n", "sig"])
+
+
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose signatures agree in SIGNATURE_SHARE of the minima."""
+    """Pairs whose shortened signatures agree in SIGNATURE_SHARE of the minima (at least where the whole ones do)."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(batch.num_rows, -1) for c in ("sig_a", "sig_b"))
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sig_a", "sig_b"))
         good = (a == b).mean(axis=1) >= SIGNATURE_SHARE
         yield batch.select(["a", "b"]).filter(pa.array(good))
 
@@ -277,8 +286,10 @@ def _first_members(bands: DataFrame, buckets: DataFrame, classes: DataFrame) ->
         .distinct()
     )
 
+    short = classes.select(F.col("rep").alias("id"), "n_shingles", "signature").mapInArrow(_shortened, "id long, n long, sig binary")
+
     def side(name: str) -> DataFrame:
-        return classes.select(F.col("rep").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("signature").alias(f"sig_{name}"))
+        return short.select(F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("sig").alias(f"sig_{name}"))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     near = both.filter(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
