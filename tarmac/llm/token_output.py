@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tarmac.llm import pfor
 from tarmac.llm import tokens as T
-from tarmac.llm.tables import shared_path, table
+from tarmac.llm.tables import release_memory, shared_path, table
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -132,6 +132,7 @@ def _to_segments(path: str, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         shard, segment, before = TaskContext.get().partitionId(), 0, 0
         docs: list[int | None] = []
         ids: list[bytes] = []
