@@ -10,6 +10,7 @@ import uuid
 import zipfile
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,8 +47,17 @@ def ship(spark: SparkSession) -> None:
     sc._tarmac_shipped = True
 
 
+_released_for = -1
+
+
 def release_memory() -> None:
-    """Give back what earlier tasks of this (reused) Python worker freed but its allocators keep."""
+    """Give back what earlier stages' tasks of this (reused) Python worker freed but its
+    allocators keep; once a stage."""
+    global _released_for
+    stage = TaskContext.get().stageId()
+    if stage == _released_for:
+        return
+    _released_for = stage
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
