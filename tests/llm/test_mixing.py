@@ -68,3 +68,29 @@ def test_mix_repeats_rows_and_keeps_columns(spark):
     taken = {r.doc_id: r.times for r in M.mixture(frame).collect()}
     got = {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()}
     assert got == {k: v for k, v in taken.items() if v}
+
+
+@pytest.mark.parametrize("same_text", [True, False])
+def test_a_source_of_equal_ids_meets_its_target(spark, same_text):
+    """Rows that share an id, null or not, and even whole texts, are taken one by one."""
+    rows = [(None, "word " * 5 if same_text else f"w{i} " * (1 + i % 9), "a") for i in range(400)]
+    rows += [(7, "word " * 6 if same_text else f"v{i} " * (1 + i % 9), "b") for i in range(400)] + [(i, "word " * 5, "c") for i in range(100)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    out = M.mixture(frame).collect()
+    assert len(out) == len(rows)
+    for s in "abc":
+        own = [r for r in out if r.source == s]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= max(r["size"] for r in own) / 2 + 1e-6
+    again = M.mixture(frame.repartition(7)).collect()
+    assert sorted(map(str, out)) == sorted(map(str, again))
+    mixed = M.mix(frame)
+    words = {r.source: r.n for r in mixed.groupBy("source").agg(F.sum(M._size(F.col("text"))).alias("n")).collect()}
+    assert words == {s: sum(r.taken for r in out if r.source == s) for s in "abc"}
+
+
+def test_only_the_boundary_bucket_is_summed_again(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, "word " * 7, "a" if i % 3 else "b") for i in range(20_000)], SCHEMA)
+    sizes, plain = [], M._in_boundary
+    monkeypatch.setattr(M, "_in_boundary", lambda *a: (sizes.append((r := plain(*a)).count()), r)[1])
+    M.mixture(rows).collect()
+    assert len(sizes) == M.LEVELS - 1 and sizes[0] < 100 and sizes == sorted(sizes, reverse=True)
