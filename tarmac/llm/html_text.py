@@ -2,7 +2,10 @@
 
 A page is parsed into a tree.  Elements that never hold the article (scripts,
 menus, forms ...), or whose class, id or role says so, are set aside unless
-they hold an ``article`` or ``main`` element.  Each paragraph gives points for
+they hold an ``article`` or ``main`` element.  A form that holds most of the
+page's prose is a wrapper and stays; of a name of several words the last one
+decides, but for words of layout, and the others count only for elements
+without prose.  Each paragraph gives points for
 its length and commas to its ancestors, less the farther up; an element's score
 is discounted by the share of its text that is links.  The ``article`` (or else
 ``main``) that the best container lies in is kept whole but for parts set aside;
@@ -11,7 +14,8 @@ enough are kept as well, and headings and short paragraphs between or directly
 before what is kept; the blocks are joined.
 
 Work is per page: the pages are dealt by Spark and each is read whole by one
-small parser pass.
+small parser pass, in time that grows with the page's length and not with the
+depth of its elements.
 
 Defined results: a null, empty or textless page has the text ''; unclosed and
 misnested elements are closed where the next block begins; repeated pages are
@@ -22,7 +26,8 @@ read alike; an empty table gives no rows; extra columns are ignored or, by
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -61,6 +66,12 @@ BESIDE = frozenset(
     "relatedlinks relatedposts remark replies reply respond rss share sharebar sharing shoutbox sidebar sidenav signup sitefooter skip "
     "skyscraper social sponsor sponsored subnav subscribe subscription taboola teaser toast toolbar topbar topnav widget widgets".split()
 )
+#: Words of layout, passed over at the end of a name of several words.
+LAYOUT = frozenset(
+    "area bar block body bottom box button buttons col column container content element entry form frame group holder icons id "
+    "inline inner item items left link links list main message node outer panel part post posts region right row section slot space "
+    "text thread title top unit wrap wrapper zone".split()
+)
 #: Those of an article's own head as well; set aside outside of one only.
 HEADS = frozenset("header pageheader siteheader".split())
 BESIDE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
@@ -70,34 +81,44 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 _SCORED = frozenset("p pre td blockquote li dd figcaption".split())
 _START = {"article": 10.0, "main": 10.0, "div": 5.0, "section": 5.0, "blockquote": 3.0, "td": 3.0, "pre": 3.0, "ul": -3.0, "ol": -3.0}
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Characters from which the text of a block, few of them links, is prose.
+PROSE = 25
 #: Share of the best score from which a sibling is kept.
 SIBLING_SHARE = 0.2
 
 
 class Node:
-    __slots__ = ("aside", "children", "commas", "head", "holds_main", "length", "links", "parent", "score", "tag")
+    __slots__ = ("aside", "beside", "children", "commas", "depth", "head", "hinted", "holds_main", "length", "links", "parent", "prose", "score", "tag")
 
-    def __init__(self, tag: str, parent: Node | None, aside: bool = False, head: bool = False):
-        self.tag, self.parent, self.aside, self.head = tag, parent, aside, head
+    def __init__(self, tag: str, parent: Node | None, aside: bool = False, head: bool = False, hinted: bool = False):
+        self.tag, self.parent, self.aside, self.head, self.hinted = tag, parent, aside, head, hinted
+        self.beside = False
+        self.depth, self.prose = 0 if parent is None else parent.depth + 1, 0
         self.children: list[Node | str] = []
         self.holds_main, self.score = tag in ("article", "main"), _START.get(tag, 0.0)
         self.length = self.links = self.commas = 0
 
 
-def _named(attrs: list[tuple[str, str | None]], words: frozenset[str]) -> bool:
-    """Whether a class or id is made of one of the words."""
+def _names(attrs: list[tuple[str, str | None]]) -> Iterator[list[str]]:
+    """The words of each class and id, lower-cased."""
     for name, value in attrs:
         if name in ("class", "id"):
             for one in (value or "").split():
                 found = [x.lower() for x in _NAME_WORDS.findall(one)]
-                if found and found[0] not in _NOT_A_PART and not words.isdisjoint(found):
-                    return True
-    return False
+                if found and found[0] not in _NOT_A_PART:
+                    yield found
+
+
+def _named(attrs: list[tuple[str, str | None]], words: frozenset[str]) -> bool:
+    """Whether one of the words is in a class or id."""
+    return any(not words.isdisjoint(found) for found in _names(attrs))
 
 
 def _named_beside(attrs: list[tuple[str, str | None]]) -> bool:
-    if _named(attrs, BESIDE):
-        return True
+    for found in _names(attrs):
+        last = next((x for x in reversed(found) if x not in LAYOUT or x in BESIDE), "")
+        if last in BESIDE:
+            return True
     for name, value in attrs:
         value = value or ""
         if (name == "role" and value.lower() in BESIDE_ROLES) or name == "hidden":
@@ -108,63 +129,115 @@ def _named_beside(attrs: list[tuple[str, str | None]]) -> bool:
 
 
 class _Tree(HTMLParser):
+    """Builds the tree; the open elements are indexed by tag, so that no step walks up them."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.here = self.root = Node("#root", None)
         self.nodes: list[Node] = [self.root]
-
-    def _close(self, tags: set[str], stop: set[str]) -> None:
-        at = self.here
-        while at.parent is not None and at.tag not in stop:
-            if at.tag in tags:
-                self.here = at.parent
-            at = at.parent
+        self.open: dict[str, list[Node]] = {}
+        self.open_blocks: list[Node] = []
+
+    def _deepest(self, tags: Iterable[str]) -> int:
+        """Depth of the deepest open element of these tags, 0 if there is none."""
+        return max((self.open[x][-1].depth for x in tags if self.open.get(x)), default=0)
+
+    def _leave(self, node: Node) -> None:
+        """Close ``node`` and all that is open in it."""
+        while self.here is not node.parent:
+            self.open[self.here.tag].pop()
+            if self.here.tag in BLOCKS:
+                self.open_blocks.pop()
+            self.here = self.here.parent
+
+    def _close(self, tags: set[str], stop: Iterable[str]) -> None:
+        """Close the outermost open element of ``tags`` that no element of ``stop`` stands in."""
+        if not any(self.open.get(x) for x in tags):
+            return
+        least, found = self._deepest(stop), None
+        for tag in tags:
+            held = self.open.get(tag, [])
+            at = bisect_right(held, least, key=lambda x: x.depth)
+            if at < len(held) and (found is None or held[at].depth < found.depth):
+                found = held[at]
+        if found is not None:
+            self._leave(found)
 
     def handle_starttag(self, tag, attrs):
-        if tag in ("html", "body") and any(x.tag == tag for x in self._open()):
+        if tag in ("html", "body") and self.open.get(tag):
             return
         if tag in BLOCKS and tag != "br":
-            self._close({"p"}, {"td", "th", "table", "button", "object"})
+            self._close({"p"}, ("td", "th", "table", "button", "object"))
         if tag in CLOSES:
             self._close(*CLOSES[tag])
         if tag == "a":
             self._close({"a"}, BLOCKS - {"br"})
-        beside = tag not in ("html", "body", "main") and _named_beside(attrs)
-        head = tag == "header" or (tag not in ("html", "body", "main", "article") and _named(attrs, HEADS))
-        node = Node(tag, self.here, tag in ASIDE or beside, head)
+        named = tag not in ("html", "body", "main")
+        beside = named and _named_beside(attrs)
+        head = tag == "header" or (named and tag != "article" and _named(attrs, HEADS))
+        node = Node(tag, self.here, tag in ASIDE or beside, head, named and not beside and _named(attrs, BESIDE))
+        node.beside = beside
         if beside:
             node.holds_main = False
         self.here.children.append(node)
         self.nodes.append(node)
         if tag not in VOID:
             self.here = node
+            self.open.setdefault(tag, []).append(node)
+            if tag in BLOCKS:
+                self.open_blocks.append(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID and tag in ("svg", "path", "script", "iframe"):
             self.handle_endtag(tag)
 
-    def _open(self) -> Iterator[Node]:
-        at = self.here
-        while at is not None:
-            yield at
-            at = at.parent
-
     def handle_endtag(self, tag):
-        if tag in ("html", "body"):
+        if tag in ("html", "body") or not self.open.get(tag):
+            return
+        node = self.open[tag][-1]
+        # an inline end tag doesn't reach out of its block, nor a block's out of its cell
+        if tag not in BLOCKS and self.open_blocks and self.open_blocks[-1].depth > node.depth:
+            return
+        if tag not in ("tr", "table", "tbody", "thead", "tfoot") and self._deepest(("td", "th")) > node.depth:
             return
-        for at in self._open():
-            if at.tag == tag:
-                self.here = at.parent
-                return
-            # an inline end tag doesn't reach out of its block, nor a block's out of its cell
-            if (tag not in BLOCKS and at.tag in BLOCKS) or (at.tag in ("td", "th") and tag not in ("tr", "table", "tbody", "thead", "tfoot")):
-                return
+        self._leave(node)
 
     def handle_data(self, data):
         self.here.children.append(data)
 
 
+def _find_prose(nodes: list[Node]) -> None:
+    """Prose (characters) in each element, without that of elements set aside, but for forms."""
+    for node in reversed(nodes):
+        if node.aside and node.tag != "form" and not node.holds_main:
+            node.prose = 0
+            continue
+        run = links = 0
+        for child in node.children:
+            if isinstance(child, str):
+                run += len(child.strip())
+            else:
+                node.prose += child.prose
+                if child.tag not in BLOCKS and not child.aside:
+                    run, links = run + child.length, links + child.links
+        node.length, node.links = run, run if node.tag == "a" else links
+        if run >= PROSE and links < 0.25 * run and (node.tag in BLOCKS or node.parent is None):
+            node.prose += run
+    for node in nodes:
+        node.length = node.links = 0
+
+
+def _settle_hints(nodes: list[Node]) -> None:
+    """Forms that wrap the page's prose stay; elements with a hint in their name and no prose go."""
+    most = nodes[0].prose / 2
+    for node in nodes:
+        if node.tag == "form" and node.prose > most and not node.beside:
+            node.aside = False
+        elif node.hinted and not node.prose and node.tag not in _SCORED and node.tag not in _HEADINGS:
+            node.aside, node.holds_main = True, False
+
+
 def _mark_aside(nodes: list[Node]) -> None:
     """Settle which elements are set aside; nodes come in page order."""
     for node in reversed(nodes):
@@ -291,6 +364,8 @@ def main_text(html: str | None) -> str:
     tree = _Tree()
     tree.feed(html)
     tree.close()
+    _find_prose(tree.nodes)
+    _settle_hints(tree.nodes)
     _mark_aside(tree.nodes)
     _measure(tree.nodes)
     roots, whole = _kept(tree.nodes)

@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -124,3 +125,42 @@ def test_headings_beside_the_best_container_are_kept():
     assert text.startswith("Title By me Paragraph 0") and "here. Part two Short. Paragraph 0" in text and "Source" not in text
     page = f"<body><main><h1>Title</h1><article>{BODY}</article></main></body>"
     assert H.main_text(page).startswith("Title Paragraph 0")
+
+
+@pytest.mark.parametrize("form", ["<form id='aspnetForm' method='post'>{}</form>", "<form><div class='content'>{}</div></form>"])
+def test_a_form_around_the_page_is_no_form_beside_it(form):
+    rest = "".join(BESIDE)
+    text = H.main_text(f"<body>{form.format(rest + '<div>' + BODY + '</div>' + rest)}</body>")
+    assert text == " ".join(f"Paragraph {i}, {'of words ' * 20}, with commas, here.".replace("  ", " ") for i in range(5))
+
+
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<div class='content'>{}</div>"])
+def test_names_are_read_by_their_last_word(wrap):
+    share = "<section class='share-prices'><p>The share prices fell, as they had the day before, by a tenth.</p></section>"
+    notice = "<p class='notice-period'>The notice period is three months, or more.</p>"
+    beside = [
+        "<div class='sidebar-left'><p>Side story, of no use here, with some length.</p></div>",
+        "<div class='comment-body'><p>A long comment, by a reader, who liked it a lot.</p></div>",
+        "<div class='social-media-icons'><a href='/f'>Follow us</a></div>",
+        "<div id='ad-container-2'><p>Buy this thing, now, before it is gone, really.</p></div>",
+    ]
+    text = H.main_text(f"<body>{wrap.format(BODY + share + ''.join(beside) + notice)}</body>")
+    assert text.endswith("here. The share prices fell, as they had the day before, by a tenth. The notice period is three months, or more.")
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<div>" * 100_000 + "deep text, here" + "</div>" * 100_000, "deep text, here"),
+        ("<b>" * 100_000 + "<p>one, two.</p>" * 3, "one, two. one, two. one, two."),
+        ("<b>" * 50_000 + "<p>x" * 50_000, " ".join(["x"] * 50_000)),
+        ("<div><span>" * 50_000 + "</i>" * 50_000 + "text, here", "text, here"),
+        ("<table><tr><td>" * 30_000 + "cell, here" + "</div>" * 30_000, "cell, here"),
+        ("<a><p>" * 30_000 + "text, here", None),
+    ],
+)
+def test_time_does_not_grow_with_depth(page, text):
+    began = time.perf_counter()
+    found = H.main_text(page)
+    assert text is None or found == text
+    assert time.perf_counter() - began < 20
