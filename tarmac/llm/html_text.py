@@ -18,7 +18,8 @@ small parser pass, in time that grows with the page's length and not with the
 depth of its elements.
 
 Defined results: a null, empty or textless page has the text ''; unclosed and
-misnested elements are closed where the next block begins; repeated pages are
+misnested elements are closed where the next block begins; a comment without
+an end is closed by the next ``>``, a tag cut off by the page's end is left out; repeated pages are
 read alike; an empty table gives no rows; extra columns are ignored or, by
 ``add_main_text``, kept.
 """
@@ -77,6 +78,7 @@ HEADS = frozenset("header pageheader siteheader".split())
 BESIDE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 _NOT_A_PART = ("has", "with", "no", "without", "is")
 _NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_TAG_START = re.compile(r"<[A-Za-z/!?]")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 _SCORED = frozenset("p pre td blockquote li dd figcaption".split())
 _START = {"article": 10.0, "main": 10.0, "div": 5.0, "section": 5.0, "blockquote": 3.0, "td": 3.0, "pre": 3.0, "ul": -3.0, "ol": -3.0}
@@ -137,6 +139,28 @@ class _Tree(HTMLParser):
         self.nodes: list[Node] = [self.root]
         self.open: dict[str, list[Node]] = {}
         self.open_blocks: list[Node] = []
+        self.no_comment_ends = False
+
+    def read(self, html: str) -> None:
+        """Read a whole page; a tag that the page's end cuts off is left out."""
+        last = html.rfind(">") + 1
+        cut = _TAG_START.search(html, last)
+        self.feed(html[: cut.start()] if cut else html)
+        self.close()
+
+    def _skip(self, i: int) -> int:
+        end = self.rawdata.find(">", i)
+        return len(self.rawdata) if end < 0 else end + 1
+
+    def parse_comment(self, i, report=1):
+        """A comment that nothing closes ends at the next ``>``; that nothing does is looked up once."""
+        end = -1 if self.no_comment_ends else super().parse_comment(i, report)
+        self.no_comment_ends = end < 0
+        return self._skip(i + 4) if end < 0 else end
+
+    def parse_marked_section(self, i, report=1):
+        """``<![`` begins a comment up to the next ``>``, whatever follows."""
+        return self._skip(i + 3)
 
     def _deepest(self, tags: Iterable[str]) -> int:
         """Depth of the deepest open element of these tags, 0 if there is none."""
@@ -362,8 +386,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     tree = _Tree()
-    tree.feed(html)
-    tree.close()
+    tree.read(html)
     _find_prose(tree.nodes)
     _settle_hints(tree.nodes)
     _mark_aside(tree.nodes)

@@ -79,6 +79,8 @@ def test_only_the_article_is_kept(wrap):
         ("<article><div class='article-header'><h1>Own title</h1></div><p>Text, text.</p></article>", "Own title Text, text."),
         ("<body class='has-sidebar nav'><p>Body text, here.</p>", "Body text, here."),
         ("<article><p>a</p></b></i></div><p>b</p></article>", "a b"),
+        ("<article><p>a <![foo[x]]>b <![if !IE]>c<![endif]> <![>d <!-- open</p><p>e", "a b c d e"),
+        ("<article><p>one <a href='cut of", "one"),
     ],
 )
 def test_cases(page, text):
@@ -157,6 +159,13 @@ def test_names_are_read_by_their_last_word(wrap):
         ("<div><span>" * 50_000 + "</i>" * 50_000 + "text, here", "text, here"),
         ("<table><tr><td>" * 30_000 + "cell, here" + "</div>" * 30_000, "cell, here"),
         ("<a><p>" * 30_000 + "text, here", None),
+        ("text, here" + "<!--" * 100_000, "text, here"),
+        ("text, here" + "<!--x>" * 100_000, "text, here"),
+        ("text, here" + "<a " * 100_000, "text, here"),
+        ("text, here" + "</" * 100_000, "text, here"),
+        ("text, here" + "<![" * 100_000, "text, here"),
+        ("text, here<p " + "a=b " * 100_000 + ">more", "text, here more"),
+        ("text, here" + "<script>" * 100_000, "text, here"),
     ],
 )
 def test_time_does_not_grow_with_depth(page, text):
