@@ -5,8 +5,11 @@ with those usual for its language and source.  The usual rates come from
 sketches: histograms whose buckets keep the leading ``SKETCH_BITS`` bits of a
 value (a relative error of at most 1/32), so that sketches merge by adding
 counts.  The sketches of a language and source merge into those of the language
-and of the whole table, which stand in where fewer than ``MIN_DOCS`` documents
-passed the base rules.  A rate is unusual if it lies further outside the
+and of the whole table.  A group's limits are the mean of its own, weighed by
+its documents that passed the base rules, and of its language's, weighed as
+``PRIOR_DOCS`` documents; a language's likewise of its own and the table's.  So
+limits move from the table's to the group's own as a group grows, without a
+size at which they change over.  A rate is unusual if it lies further outside the
 quartiles than ``SPREAD`` times their distance, and than a margin that keeps
 uniform groups from rejecting small differences.
 
@@ -31,7 +34,8 @@ from tarmac.llm.tables import SEPARATORS, WORD, table, written
 MIN_WORDS, REPEATED_PERCENT, REPEAT_WINDOW = 10, 20, 5
 SYMBOLS = "#*$%&|<>"
 SKETCH_BITS = 6
-MIN_DOCS = 100
+#: Documents that the limits of the larger group count for beside a group's own.
+PRIOR_DOCS = 50
 SPREAD = 6
 
 #: Rate: (value, margin below or None, margin above or None), integers.
@@ -147,11 +151,16 @@ def _limit_names() -> list[str]:
     return [f"{name}_{end}" for name, (_, *ends) in RATES.items() for end, margin in zip(("min", "max"), ends) if margin is not None]
 
 
+def _blended(docs: Column, own: Column, prior: Column) -> Column:
+    """The mean of a group's own limit and its larger group's; integers, rounded towards zero."""
+    mean = F.call_function("div", docs * own + PRIOR_DOCS * prior, docs + PRIOR_DOCS)
+    return F.coalesce(mean, prior)
+
+
 def thresholds(features: DataFrame) -> DataFrame:
     """lang, source and the limits of each rate, from the rows that pass the base rules.
 
-    A group with fewer than ``MIN_DOCS`` such rows takes its language's limits,
-    or else those of all rows.
+    A group without such rows takes its language's limits, or else those of all rows.
     """
     passed = features.filter(~_base_failed())
     own = written(sketches(_with_rates(passed), ["lang", "source"]), "rules-sketch")
@@ -164,10 +173,10 @@ def thresholds(features: DataFrame) -> DataFrame:
         .join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang")), "left")
         .join(F.broadcast(whole), F.lit(True), "left")  # one row
     )
-    pick = [
-        F.when(F.col("s_docs") >= MIN_DOCS, F.col(f"s_{c}")).when(F.col("l_docs") >= MIN_DOCS, F.col(f"l_{c}")).otherwise(F.col(f"w_{c}")).alias(c)
-        for c in _limit_names()
-    ]
+    pick = []
+    for c in _limit_names():
+        lang = _blended(F.col("l_docs"), F.col(f"l_{c}"), F.col(f"w_{c}"))
+        pick.append(_blended(F.col("s_docs"), F.col(f"s_{c}"), lang).alias(c))
     return joined.select("lang", "source", *pick)
 
 
@@ -236,7 +245,8 @@ def _sql() -> str:
     picks, tests = [], []
     for limit in _limit_names():
         rate, end = limit.rsplit("_", 1)
-        picks.append(f"(CASE WHEN s.docs >= {MIN_DOCS} THEN s.{limit} WHEN l.docs >= {MIN_DOCS} THEN l.{limit} ELSE w.{limit} END)::BIGINT AS {limit}")
+        lang = f"coalesce((l.docs * l.{limit} + {PRIOR_DOCS} * w.{limit})::BIGINT // (l.docs + {PRIOR_DOCS})::BIGINT, w.{limit})::BIGINT"
+        picks.append(f"coalesce((s.docs * s.{limit} + {PRIOR_DOCS} * {lang})::BIGINT // (s.docs + {PRIOR_DOCS})::BIGINT, {lang})::BIGINT AS {limit}")
         tests.append(f"coalesce({rate} {'>=' if end == 'min' else '<='} {limit}, true)")
     word = r"[^\x20\x09-\x0D]"
     return f"""

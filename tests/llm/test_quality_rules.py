@@ -78,3 +78,16 @@ def test_keep_by_rules_keeps_columns(spark):
     verdicts = {r.doc_id for r in Q.quality_verdicts(frame).filter("kept").collect()}
     assert {r.doc_id for r in kept.collect()} == verdicts
     assert Q.quality_verdicts(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_limits_move_with_the_size_of_a_group(spark):
+    """Between the language's limits and the group's own, by the group's documents; no size changes them over."""
+    plain = [(i, " ".join(f"word{i}{j}" for j in range(20 + i % 30)), "en", "plain") for i in range(400)]
+    found = []
+    for n in (0, 1, 10, 99, 100, 101, 400):
+        signs = [(1000 + i, " ".join(f"word{i}{j}##" for j in range(20 + i % 30)), "en", "signs") for i in range(n)]
+        signs.append((5000, "too short", "en", "signs"))  # fails the base rules
+        limits = Q.thresholds(Q.with_features(spark.createDataFrame(plain + signs, SCHEMA)))
+        found.append(limits.filter("source = 'signs'").first().symbol_rate_max)
+    assert found[0] == 200 and found == sorted(found)
+    assert found[5] - found[3] < 20 and found[-1] > 1500
