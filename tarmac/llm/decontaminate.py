@@ -9,8 +9,9 @@ their occurrences by sampled suffix positions and merges them into spans.
 Words that no phrase holds share one symbol, which no phrase contains.
 
 The phrases are broadcast in blocks of at most ``block_bytes`` of item text; a
-larger benchmark makes further blocks, each one more pass over the documents
-in the same stage, so that no task ever holds more than one block.
+larger benchmark makes further blocks, each one more pass over the documents.
+The passes follow one another in one stage, each with a Python worker of its
+own: a worker holds one block, but a task's workers together hold all of them.
 
 Defined results: a null or empty text has no words, no spans and is clean; a
 null or wordless item has no phrase; items that share an id count once; an item
