@@ -47,34 +47,38 @@ class CountFilter:
     segment_bits: int  # log2 of the number of segments
     bits: int  # log2 of the bits of one segment
     hashes: int
-    first_level: int  # the lowest level that is held
     data: np.ndarray | None = None  # all segments' bytes
 
-    def _places(self, key: np.ndarray, level: int) -> list[np.ndarray]:
+    def _places(self, key: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """The first place of each key at a level, and the step to its next ones."""
         g = mix(key * np.uint64(0x9E3779B97F4A7C15) + np.uint64(level))
-        step = (g >> np.uint64(32)) | np.uint64(1)
-        mask = np.uint64((1 << self.bits) - 1)
-        return [((g + np.uint64(i) * step) & mask).astype(np.int64) for i in range(self.hashes)]
+        return g, (g >> np.uint64(32)) | np.uint64(1)
 
     def segment(self, key: np.ndarray, level: np.ndarray) -> bytes:
-        """The bytes of a segment that holds the keys at their levels."""
+        """The bytes of a segment that holds the keys at their levels (0: not at all)."""
         bits = np.zeros(1 << self.bits, bool)
-        for j in range(self.first_level, int(level.max(initial=0)) + 1):
-            for place in self._places(key[level >= j], j):
-                bits[place] = True
+        mask = np.uint64((1 << self.bits) - 1)
+        for j in range(1, int(level.max(initial=0)) + 1):
+            key, level = key[level >= j], level[level >= j]
+            place, step = self._places(key, j)
+            for _ in range(self.hashes):
+                bits[place & mask] = True
+                place += step
         return np.packbits(bits, bitorder="little").tobytes()
 
     def levels(self, key: np.ndarray, base: np.ndarray | int = 0) -> np.ndarray:
         """The level of each key of the segment that begins at bit ``base``, 0 if the filter doesn't hold it."""
-        base = np.broadcast_to(base, key.shape)
+        base = np.broadcast_to(np.asarray(base, np.uint64), key.shape)
         level = np.zeros(len(key), np.int64)
-        alive, j = np.arange(len(key)), self.first_level
+        mask = np.uint64((1 << self.bits) - 1)
+        alive, j = np.arange(len(key)), 1
         while len(alive) and j < len(MIDDLE):
-            held = np.ones(len(alive), bool)
-            for place in self._places(key[alive], j):
-                at = base[alive] + place
-                held &= (self.data[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-            alive = alive[held]
+            place, step = self._places(key[alive], j)
+            for _ in range(self.hashes):  # a key that one probe misses isn't probed on
+                at = base[alive] + (place & mask)
+                held = (self.data[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+                alive, place, step = alive[held], place[held], step[held]
+                place += step
             level[alive] = j
             j += 1
         return level

@@ -1,20 +1,26 @@
 """Bigram language model in a log-frequency Bloom filter, probed segment by segment.
 
-Tokens are a text's words, A-Z lower-cased, and one end.  Training counts every
-unigram and bigram of all training texts, quantises the counts and holds them
-in a Bloom filter that is cut into segments by the leading bits of an n-gram's
-hash.  Each segment is a row of a written table and is sized by its own
-insertions; the number of segments follows the bytes of training text, so the
-filter grows with the input and no n-gram is left out.  Scoring brings the
-n-grams to the filter: each block of documents sends its distinct n-grams to
-their segments, they are probed there, and their levels come back.  A token's
-probability interpolates the bigram and unigram estimates, all counts read by
-repeated probes; the weight of the bigram is the share of training bigrams that
-were seen more than once (Good-Turing).
-
-The exact unigram counts of the base score never are in one place either: each
-block of documents asks for its distinct words, the words are joined with the
-counts, and the answers meet the block's documents.
+Tokens are a text's words, A-Z lower-cased, and one end.  Texts are cut into
+tokens once: each task writes blocks of some megabytes of text, which hold the
+hashes of their distinct words and every token as a place among these.  All
+later steps read these blocks.
+
+Training counts every unigram and bigram of the training texts, quantises the
+counts and holds them in a Bloom filter that is cut into segments by the
+leading bits of an n-gram's hash.  A segment is sized by its own insertions and
+the number of segments follows the bytes of text, so the filter grows with the
+input and no n-gram is left out.  The filter isn't broadcast: each block sends
+its distinct n-grams, with their training counts, to their segments.  There the
+counts are summed, the segment is built and written, and each distinct n-gram
+that any block sent is probed level after level; the levels go back to the
+blocks.  A token's probability interpolates the bigram and unigram estimates,
+all counts as the probes read them; the weight of the bigram is the share of
+training bigrams that were seen more than once (Good-Turing).
+
+The exact unigram counts of the base score take the same way: they are summed
+in the segments, by the whole 64-bit hash of a word, and never are in one
+place.  In a segment's filter an n-gram is known by 32 bits after its leading
+ones; what that confuses only ever raises a count, as other false positives do.
 
 Defined results: a null or empty text is one end token; a row without an id is
 scored but not learned from, and counts as not held out; repeated rows are each
@@ -29,7 +35,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm import pfor
@@ -37,50 +44,94 @@ from tarmac.llm import tokens as T
 from tarmac.llm.count_filter import MIDDLE, STARTS, CountFilter, level_of, split_key
 from tarmac.llm.tables import fold_of, table, written
 
-#: log2 of the bits of one segment, at most (64 MB).  A segment holds the n-grams of
-#: SEGMENT_BYTES of text, at most about 4 Mi insertions or 2**26 bits, so it isn't reached.
-MAX_FILTER_BITS = 29
-BITS_PER_INSERTION = 6
-#: Bytes of text of a block of documents, and of those one segment's n-grams come from.
+BITS_PER_INSERTION = 12
+#: Bytes of text of a block of documents (or one longer text; a row counts as
+#: ROW_BYTES more; the last Arrow batch isn't cut for these), and of those one segment's n-grams come from.
 BLOCK_BYTES = 16 << 20
+ROW_BYTES = 32
 SEGMENT_BYTES = 4 << 20
-FLUSH_TOKENS = 2 << 20
+#: Rows are megabytes long: Parquet is to look at its buffers after each of them.
+_LONG_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1"}
 
-_START, _END, _UNIGRAM = (np.uint64(x) for x in (0x53544152, 0x454E4430, 0x554E4931))
+_START, _END = (np.uint64(x) for x in (0x8E5A1C7F53544152, 0x3B60D2F9454E4430))
 
+_BLOCKS = (
+    "block long, size long, doc_id array<bigint>, held_out array<boolean>, learn array<boolean>,"
+    " n array<bigint>, words binary, tokens binary"
+)
 
-def _tokens(w: T.Words) -> tuple[np.ndarray, np.ndarray]:
-    """Token hashes with each text's end, and each text's first index."""
-    return np.insert(w.hash, w.first[1:], _END), w.first + np.arange(len(w.first))
 
+def _one_list(values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-def _bigrams(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the token before each token (a start before a text's first), and of the pair."""
-    before = np.concatenate([[_START], h[:-1]])
-    before[first[:-1]] = _START
-    return before, T.combine(before, h)
 
+def _cut(block_bytes: int, row_bytes: int):
+    """Blocks of rows (doc_id, text, held_out, learn); block numbers are unique in what one run writes."""
 
-def _unigram_key(h: np.ndarray) -> np.ndarray:
-    return T.mix(h + _UNIGRAM)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        hashes: list[np.ndarray] = []
+        rows: list[pa.RecordBatch] = []
+        lengths: list[np.ndarray] = []
+        size = 0
 
+        def flush() -> pa.RecordBatch:
+            word, token = np.unique(np.concatenate(hashes), return_inverse=True)
+            docs = pa.Table.from_batches(rows).combine_chunks()
+            lists = {c: _one_list(docs.column(c).combine_chunks()) for c in ("doc_id", "held_out", "learn")}
+            out = pa.record_batch(
+                {
+                    "block": pa.array([number], pa.int64()),
+                    "size": pa.array([size], pa.int64()),
+                    **lists,
+                    "n": _one_list(pa.array(np.concatenate(lengths), pa.int64())),
+                    "words": pa.array([word.tobytes()], pa.binary()),
+                    "tokens": pa.array([token.astype(np.uint32).tobytes()], pa.binary()),
+                }
+            )
+            for held in (hashes, rows, lengths):
+                held.clear()
+            return out
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, n): exact counts of the tokens of a few million tokens at a time."""
-    held: list[np.ndarray] = []
+        for batch in batches:
+            docs = batch.select(["doc_id", "held_out", "learn"])
+            for lo, hi, w in T.words_by_slice(batch.column("text"), max_bytes=min(block_bytes, 1 << 20)):
+                hashes.append(np.insert(w.hash, w.first[1:], _END))
+                rows.append(docs.slice(lo, hi - lo))
+                lengths.append(w.counts + 1)
+                size += len(w.data) + row_bytes * (hi - lo)
+                if size >= block_bytes:
+                    yield flush()
+                    number, size = number + 1, 0
+        if hashes:
+            yield flush()
+
+    return run
 
-    def flush() -> pa.RecordBatch:
-        word, n = np.unique(np.concatenate(held), return_counts=True)
-        held.clear()
-        return pa.record_batch({"word": pa.array(word.view(np.int64)), "n": pa.array(n, pa.int64())})
 
-    for batch in batches:
-        for _, _, w in T.words_by_slice(batch.column("text")):
-            held.append(_tokens(w)[0])
-            if sum(map(len, held)) >= FLUSH_TOKENS:
-                yield flush()
-    if held:
-        yield flush()
+@dataclass
+class _Block:
+    """One row of the blocks' table."""
+
+    words: np.ndarray  # distinct words' hashes, ascending
+    tokens: np.ndarray  # each token's place among them
+    n: np.ndarray  # tokens of each text
+    first: np.ndarray  # each text's first token
+
+    def bigrams(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct bigrams and the start, ascending; the place there of the start and of each token with the one before."""
+        h = self.words[self.tokens]
+        before = np.concatenate([[_START], h[:-1]])
+        before[self.first] = _START
+        return np.unique(np.concatenate([[_START], T.combine(before, h)]), return_inverse=True)
+
+
+def _read(rows: pa.Table | pa.RecordBatch, i: int) -> _Block:
+    n = rows.column("n")[i].values.to_numpy()
+    words, tokens = (
+        np.frombuffer(rows.column(c)[i].as_py(), t) for c, t in (("words", np.uint64), ("tokens", np.uint32))
+    )
+    return _Block(words, tokens, n, np.cumsum(n) - n)
 
 
 def _sorted_to_bytes(keys: np.ndarray) -> bytes:
@@ -92,255 +143,204 @@ def _bytes_to_sorted(raw: bytes) -> np.ndarray:
     return np.cumsum(pfor.Segment(raw).all().astype(np.uint64), dtype=np.uint64)
 
 
-_COUNTED = "segment int, keys binary, n binary"
+_COUNTED = "segment int, block long, words binary, word_n binary, pairs binary, pair_n binary"
 
 
 def _count_ngrams(segment_bits: int):
-    """(segment, keys, counts) of all unigrams and bigrams of a few million tokens at a time."""
+    """(segment, block, words, counts, keys of bigrams, counts): a block's distinct n-grams by segment."""
+
+    def counted(rows: pa.RecordBatch, i: int) -> pa.RecordBatch:
+        block = _read(rows, i)
+        learn = rows.column("learn")[i].values.to_numpy(zero_copy_only=False).astype(bool)
+        learned = np.repeat(learn, block.n)
+        pair, place = block.bigrams()
+        word_n = np.bincount(block.tokens[learned], minlength=len(block.words))
+        pair_n = np.bincount(place[1:][learned], minlength=len(pair))
+        pair_n[place[0]] += learn.sum()
+        of_word, _ = split_key(block.words, segment_bits)
+        of_pair, key = split_key(pair, segment_bits)
+        segment = np.union1d(of_word, of_pair)
+        w = np.append(np.searchsorted(of_word, segment), len(of_word)).tolist()
+        p = np.append(np.searchsorted(of_pair, segment), len(of_pair)).tolist()
+        packed = lambda x, cut, f: pa.array([f(x[a:b]) for a, b in zip(cut, cut[1:])], pa.binary())
+        return pa.record_batch(
+            {
+                "segment": pa.array(segment, pa.int32()),
+                "block": pa.array([rows.column("block")[i].as_py()] * len(segment), pa.int64()),
+                "words": packed(block.words, w, np.ndarray.tobytes),
+                "word_n": packed(word_n, w, pfor.encode),
+                "pairs": packed(key, p, _sorted_to_bytes),
+                "pair_n": packed(pair_n, p, pfor.encode),
+            }
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-
-        def flush() -> pa.RecordBatch:
-            h, n = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            segment, key = split_key(h, segment_bits)
-            cut = np.searchsorted(segment, np.arange((1 << segment_bits) + 1))
-            rows = [(s, a, b) for s, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if a < b]
-            return pa.record_batch(
-                {
-                    "segment": pa.array([r[0] for r in rows], pa.int32()),
-                    "keys": pa.array([_sorted_to_bytes(key[a:b]) for _, a, b in rows], pa.binary()),
-                    "n": pa.array([pfor.encode(n[a:b].astype(np.uint32)) for _, a, b in rows], pa.binary()),
-                }
-            )
-
         for batch in batches:
-            for lo, hi, w in T.words_by_slice(batch.column("text")):
-                h, first = _tokens(w)
-                held += [_unigram_key(h), _unigram_key(np.full(hi - lo, _START)), _bigrams(h, first)[1]]
-                if sum(map(len, held)) >= 2 * FLUSH_TOKENS:
-                    yield flush()
-        if held:
-            yield flush()
+            for i in range(batch.num_rows):
+                yield counted(batch, i)
 
     return run
 
 
-_FILTER = "segment int, bits int, hashes int, first_level int, data binary, sizes array<long>"
+def _plan_filter(sizes: np.ndarray) -> CountFilter:
+    """The filter of a segment with so many keys at each level: a key is inserted at its level and all below."""
+    insertions = int((sizes * np.arange(len(sizes))).sum())
+    bits = max((max(insertions, 1) * BITS_PER_INSERTION - 1).bit_length(), 10)  # a very small one would fill unevenly
+    load = (1 << bits) / max(insertions, 1)
+    return CountFilter(0, bits, int(np.clip(round(load * np.log(2)), 1, 8)))
+
+
+def _summed(keys: list[np.ndarray], counts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct keys of all blocks, their total counts, and each block's keys' places among them."""
+    key, place = np.unique(np.concatenate(keys), return_inverse=True)
+    n = np.concatenate([pfor.Segment(x).all() for x in counts])
+    total = np.bincount(place, n, minlength=len(key)).astype(np.int64)
+    return key, total, np.split(place, np.cumsum([len(k) for k in keys])[:-1])
 
 
-def _build_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum the counts of each segment's keys (rows sorted by segment), quantise and hold them."""
-    now, keys, counts = None, [], []
+_SEGMENTS = (
+    "segment int, block long, word_n binary, word_level binary, pair_level binary,"
+    " bits int, hashes int, data binary, sizes array<bigint>, tokens long, words long, single long"
+)
 
-    def built() -> pa.RecordBatch:
-        key, place = np.unique(np.concatenate(keys), return_inverse=True)
-        level = level_of(np.bincount(place, np.concatenate(counts)).astype(np.int64))
+
+def _segment(segment_bits: int):
+    """A segment's filter (a row without a block), and a row for each block with what it asked for:
+    the exact counts of its words, and the levels that probes of the filter read."""
+
+    def run(counted: pa.Table) -> pa.Table:
+        columns = {c: counted.column(c).to_pylist() for c in ("words", "word_n", "pairs", "pair_n")}
+        word, exact, word_places = _summed([np.frombuffer(x, np.uint64) for x in columns["words"]], columns["word_n"])
+        pair, together, pair_places = _summed([_bytes_to_sorted(x) for x in columns["pairs"]], columns["pair_n"])
+        key = np.concatenate([split_key(word, segment_bits)[1], pair])
+        level = level_of(np.concatenate([exact, together]))
         sizes = np.bincount(level, minlength=len(STARTS) + 1)
-        plan = _plan_filter(sizes, 0)
-        return pa.record_batch(
+        held = _plan_filter(sizes)
+        data = held.segment(key, level)
+        held.data = np.frombuffer(data, np.uint8)
+        read = held.levels(key).astype(np.uint32)
+        of_word, of_pair = read[: len(word)], read[len(word) :]
+        segment = counted.column("segment")[0].as_py()
+        answers = pa.table(
             {
-                "segment": pa.array([now], pa.int32()),
-                "bits": pa.array([plan.bits], pa.int32()),
-                "hashes": pa.array([plan.hashes], pa.int32()),
-                "first_level": pa.array([plan.first_level], pa.int32()),
-                "data": pa.array([plan.segment(key, level)], pa.binary()),
+                "segment": counted.column("segment"),
+                "block": counted.column("block"),
+                "word_n": pa.array([exact[x].tobytes() for x in word_places], pa.binary()),
+                "word_level": pa.array([pfor.encode(of_word[x]) for x in word_places], pa.binary()),
+                "pair_level": pa.array([pfor.encode(of_pair[x]) for x in pair_places], pa.binary()),
+            }
+        )
+        built = pa.table(
+            {
+                "segment": pa.array([segment], pa.int32()),
+                "bits": pa.array([held.bits], pa.int32()),
+                "hashes": pa.array([held.hashes], pa.int32()),
+                "data": pa.array([data], pa.binary()),
                 "sizes": pa.array([sizes], pa.list_(pa.int64())),
+                "tokens": pa.array([exact.sum()], pa.int64()),
+                "words": pa.array([np.count_nonzero(exact)], pa.int64()),
+                "single": pa.array([np.count_nonzero(exact == 1)], pa.int64()),
             }
         )
+        both = pa.concat_tables([built, answers], promote_options="default")
+        return both.select([x.split()[0] for x in _SEGMENTS.split(", ")])
 
-    for batch in batches:
-        for segment, k, n in zip(*(batch.column(c).to_pylist() for c in ("segment", "keys", "n")), strict=True):
-            if segment != now and keys:
-                yield built()
-                keys, counts = [], []
-            now = segment
-            keys.append(_bytes_to_sorted(k))
-            counts.append(pfor.Segment(n).all())
-    if keys:
-        yield built()
-
-
-def _plan_filter(sizes: np.ndarray, segment_bits: int) -> CountFilter:
-    """The filter for so many keys at each level: its size, first level and hashes."""
-    at_least = np.cumsum(sizes[::-1])[::-1]  # keys of this level or a higher one
-    first = 1
-    insertions = at_least[1:].sum()
-    while insertions * BITS_PER_INSERTION > 1 << MAX_FILTER_BITS:
-        insertions -= at_least[first]
-        first += 1
-    total = int(max(insertions, 1) * 12 - 1).bit_length()
-    bits = max(min(total, MAX_FILTER_BITS) - segment_bits, 10)  # a very small segment would fill unevenly
-    load = (1 << (bits + segment_bits)) / max(insertions, 1)
-    return CountFilter(segment_bits, bits, int(np.clip(round(load * np.log(2)), 1, 8)), first)
+    return run
 
 
 @dataclass
 class LanguageModel:
-    """What all blocks need of the model besides the levels of their own n-grams."""
+    """What all blocks need of the model besides the counts of their own n-grams."""
 
-    segment_bits: int
     tokens: int
     distinct: int
     bigram_weight: float
 
-    def log_probability(self, h: np.ndarray, first: np.ndarray, known: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """log10 probability of each token, given the counts of the n-grams ``known`` (ascending hashes)."""
-        before, pair = _bigrams(h, first)
-        single, of_single = np.unique(np.concatenate([h, before]), return_inverse=True)
-        count = counts[np.searchsorted(known, _unigram_key(single))][of_single]
-        here, context = count[: len(h)], count[len(h) :]
-        double, of_double = np.unique(pair, return_inverse=True)
-        together = np.minimum(counts[np.searchsorted(known, double)][of_double], context)
-        alone = (here + 0.5) / (self.tokens + 0.5 * (self.distinct + 1))
+    def unigram(self, count: np.ndarray) -> np.ndarray:
+        return (count + 0.5) / (self.tokens + 0.5 * (self.distinct + 1))
+
+    def log_probability(self, alone: np.ndarray, context: np.ndarray, together: np.ndarray) -> np.ndarray:
+        """log10 probability of each token, by its unigram probability and the counts of
+        the token before it and of both."""
         weight = np.where(context > 0, self.bigram_weight, 0.0)
-        return np.log10(weight * together / np.maximum(context, 1) + (1 - weight) * alone)
+        return np.log10(weight * np.minimum(together, context) / np.maximum(context, 1) + (1 - weight) * alone)
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, n): exact count of every token (by hash) of the column ``text``."""
-    return texts.select("text").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def blocks_of(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text, held_out, learn) as tokens, in written blocks."""
+    cut = docs.select("doc_id", "text", "held_out", "learn").mapInArrow(_cut(BLOCK_BYTES, ROW_BYTES), _BLOCKS)
+    return written(cut, "lm-blocks", _LONG_ROWS)
 
 
-def train(texts: DataFrame, words: DataFrame) -> tuple[LanguageModel, DataFrame]:
-    """The model of all ``texts`` (column text) and its filter's segments; ``words`` are their word counts."""
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def train(blocks: DataFrame) -> tuple[LanguageModel, DataFrame]:
+    """The model of the blocks' rows to learn from, and the written segments of its filter
+    with their answers to every block."""
+    size = blocks.agg(F.sum("size")).first()[0] or 0
     segment_bits = max(4, int(size // SEGMENT_BYTES).bit_length())
-    counted = texts.select("text").mapInArrow(_count_ngrams(segment_bits), _COUNTED)
-    filters = written(
-        counted.repartition(1 << min(segment_bits, 12), "segment").sortWithinPartitions("segment").mapInArrow(_build_segments, _FILTER),
-        "lm-filter",
+    counted = blocks.select("block", "learn", "n", "words", "tokens").mapInArrow(_count_ngrams(segment_bits), _COUNTED)
+    segments = written(counted.groupBy("segment").applyInArrow(_segment(segment_bits), _SEGMENTS), "lm-segments", _LONG_ROWS)
+    tokens, words, single, once = (
+        x or 0
+        for x in segments.filter("block IS NULL")
+        .agg(F.sum("tokens"), F.sum("words"), F.sum("single"), F.sum(F.col("sizes")[1]))
+        .first()
     )
-    sizes = np.zeros(len(STARTS) + 1, np.int64)
-    for level, n in filters.select(F.posexplode("sizes")).groupBy("pos").agg(F.sum("col")).collect():
-        sizes[level] = n
-    n_tokens, n_words, single = words.agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.count_if(F.col("n") == 1)
-    ).first()
-    once = max(int(sizes[1]) - int(single), 0)  # bigrams that occur once
-    weight = 1 - once / n_tokens if n_tokens else 0.0
-    return LanguageModel(segment_bits, int(n_tokens), int(n_words), weight), filters.drop("sizes")
-
-
-def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, word): the distinct words of each block (and part of a batch)."""
-    for batch in batches:
-        blocks = batch.column("block").to_numpy()
-        for block in np.unique(blocks):
-            part = batch.filter(pa.array(blocks == block))
-            found = [np.unique(w.hash) for _, _, w in T.words_by_slice(part.column("text"))]
-            word = np.unique(np.concatenate([*found, [_END]]))
-            yield pa.record_batch({"block": pa.array(np.full(len(word), block), pa.int32()), "word": pa.array(word.view(np.int64))})
-
-
-def _known(parts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """The distinct n-grams of a block, ascending, from its slices' tokens and first indices."""
-    found = [_unigram_key(np.array([_START]))]
-    for h, first in parts:
-        found += [_unigram_key(np.unique(h)), np.unique(_bigrams(h, first)[1])]
-    return np.unique(np.concatenate(found))
-
-
-def _ask(segment_bits: int):
-    """(block, segment, keys): the distinct n-grams of one block by segment."""
-
-    def run(docs: pa.Table) -> pa.Table:
-        known = _known([_tokens(w) for _, _, w in T.words_by_slice(docs.column("text"))])
-        segment, key = split_key(known, segment_bits)
-        asked, at = np.unique(segment, return_index=True)
-        return pa.table(
-            {
-                "block": pa.array(np.full(len(asked), docs.column("block")[0].as_py()), pa.int32()),
-                "segment": pa.array(asked, pa.int32()),
-                "keys": pa.array([_sorted_to_bytes(k) for k in np.split(key, at[1:])], pa.binary()),
-            }
-        )
-
-    return run
-
-
-def _answer(asked: pa.Table, filters: pa.Table) -> pa.Table:
-    """(block, segment, levels) of all that was asked of one segment."""
-    keys = [_bytes_to_sorted(k) for k in asked.column("keys").to_pylist()]
-    level = np.zeros(sum(map(len, keys)), np.int64)
-    if keys and filters.num_rows:
-        f = filters.to_pylist()[0]
-        held = CountFilter(0, f["bits"], f["hashes"], f["first_level"], np.frombuffer(f["data"], np.uint8))
-        level = held.levels(np.concatenate(keys))
-    ends = np.cumsum([len(k) for k in keys], dtype=np.int64)
-    levels = [pfor.encode(x.astype(np.uint32)) for x in np.split(level, ends[:-1])] if keys else []
-    return pa.table({"block": asked.column("block"), "segment": asked.column("segment"), "levels": pa.array(levels, pa.binary())})
+    weight = 1 - max(once - single, 0) / tokens if tokens else 0.0  # once - single: bigrams that occur once
+    return LanguageModel(int(tokens), int(words), weight), segments
 
 
 _SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 def _score(model: LanguageModel):
-    """Scores of a block's documents, given the exact counts of its words and the levels of its n-grams."""
-
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        exact = answers.filter(answers.column("word").is_valid())
-        word = exact.column("word").to_numpy().view(np.uint64)
-        by = np.argsort(word)
-        word, n = word[by], exact.column("n").to_numpy()[by]
-        if not len(word):
-            word, n = np.zeros(1, np.uint64), np.zeros(1, np.int64)
-        parts = [(lo, hi, *_tokens(w)) for lo, hi, w in T.words_by_slice(docs.column("text"))]
-        known = _known([(h, first) for _, _, h, first in parts])
-        # In the order of ``known``: segments are leading bits, and keys ascend in each.
-        by_segment = answers.filter(answers.column("segment").is_valid()).sort_by("segment")
-        counts = MIDDLE[np.concatenate([pfor.Segment(x).all() for x in by_segment.column("levels").to_pylist()])]
-        out = []
-        for lo, hi, h, first in parts:
-            at = np.minimum(np.searchsorted(word, h), len(word) - 1)
-            c = np.where(word[at] == h, n[at], 0)
-            base = np.log10((c + 0.5) / (model.tokens + 0.5 * (model.distinct + 1)))
-            begin = first[:-1]
-            out.append(
-                pa.table(
-                    {
-                        "doc_id": docs.column("doc_id")[lo:hi],
-                        "held_out": docs.column("held_out")[lo:hi],
-                        "n_tokens": pa.array(np.diff(first), pa.int64()),
-                        "n_known": pa.array(np.add.reduceat((c > 0).astype(np.int64), begin)),
-                        "train_tokens": pa.array(np.full(hi - lo, model.tokens), pa.int64()),
-                        "base_score": pa.array(np.add.reduceat(base, begin)),
-                        "score": pa.array(np.add.reduceat(model.log_probability(h, first, known, counts), begin)),
-                    }
-                )
-            )
-        return pa.concat_tables(out)
+    """Scores of a block's documents, given its answers from all segments."""
+
+    def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        block = _read(rows, 0)
+        # In the order of the block's n-grams: segments are leading bits, and keys ascend in each.
+        answers = answers.sort_by("segment")
+        exact = np.concatenate([np.frombuffer(x, np.int64) for x in answers.column("word_n").to_pylist()])
+        word, pair = (
+            MIDDLE[np.concatenate([pfor.Segment(x).all() for x in answers.column(c).to_pylist()])]
+            for c in ("word_level", "pair_level")
+        )
+        place = block.bigrams()[1]
+        context = np.concatenate([[0.0], word[block.tokens[:-1]]])
+        context[block.first] = pair[place[0]]
+        score = model.log_probability(model.unigram(word)[block.tokens], context, pair[place[1:]])
+        del context, place
+        base = np.log10(model.unigram(exact))[block.tokens]
+        known = (exact > 0)[block.tokens].astype(np.int64)
+        return pa.table(
+            {
+                "doc_id": rows.column("doc_id")[0].values,
+                "held_out": rows.column("held_out")[0].values,
+                "n_tokens": pa.array(block.n, pa.int64()),
+                "n_known": pa.array(np.add.reduceat(known, block.first), pa.int64()),
+                "train_tokens": pa.array(np.full(len(block.n), model.tokens), pa.int64()),
+                "base_score": pa.array(np.add.reduceat(base, block.first)),
+                "score": pa.array(np.add.reduceat(score, block.first)),
+            }
+        )
 
     return run
 
 
-def _block(n_blocks: int) -> Column:
-    """The block of a document, by id and text: a repeated id is dealt over all blocks."""
-    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int")
-
-
 def language_model_scores(docs: DataFrame) -> DataFrame:
     """Scores of every row of ``docs`` (doc_id, text) by a model of those outside fold 1."""
     fold = fold_of(F.col("doc_id"))
-    docs = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), fold.alias("fold")
+    blocks = blocks_of(
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"),
+            "text",
+            F.coalesce(fold == 1, F.lit(False)).alias("held_out"),
+            F.coalesce(fold != 1, F.lit(False)).alias("learn"),
+        )
     )
-    learned = docs.filter("fold <> 1").select("text")
-    words = written(word_counts(learned), "lm-words")
-    model, filters = train(learned, words)
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = max(16, -(-int(size) // BLOCK_BYTES))
-    # All uses of ``dealt`` read all its columns, so that it is shuffled once.
-    dealt = docs.drop("fold").withColumn("block", _block(n_blocks)).repartition("block")
-    asked = dealt.mapInArrow(_distinct_words, "block int, word long").distinct()
-    exact = asked.join(words, "word").select("block", "word", "n")
-    ngrams = dealt.groupBy("block").applyInArrow(_ask(model.segment_bits), "block int, segment int, keys binary")
-    probed = ngrams.groupBy("segment").cogroup(filters.groupBy("segment"))
-    levels = probed.applyInArrow(_answer, "block int, segment int, levels binary")
-    answers = exact.unionByName(levels, allowMissingColumns=True)
-    scored = dealt.groupBy("block").cogroup(answers.groupBy("block"))
-    return scored.applyInArrow(_score(model), _SCORED)
+    model, segments = train(blocks)
+    answers = segments.filter("block IS NOT NULL").select("block", "segment", "word_n", "word_level", "pair_level")
+    rows = blocks.select("block", "doc_id", "held_out", "n", "words", "tokens")
+    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(model), _SCORED)
 
 
 def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

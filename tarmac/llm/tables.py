@@ -75,13 +75,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again.
+def written(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
+    """``df`` written as Parquet (with the writer's ``options``) in the shared folder and read again.
 
     Cuts the lineage: a lost executor costs only a reread of these files.
     """
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -6,7 +6,6 @@ import zlib
 from collections import Counter
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from tarmac.llm import count_filter as C
@@ -84,16 +83,15 @@ def test_without_training_text(spark):
     assert L.language_model_scores(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
-@pytest.mark.parametrize("first", [1, 3])
-def test_filter_reads_back_levels(first):
+def test_filter_reads_back_levels():
     rng = np.random.default_rng(1)
     h = np.unique(rng.integers(0, 2**63, 20000, dtype=np.uint64) * np.uint64(2))
     n = rng.zipf(1.4, len(h)).clip(1, 10**9)
-    f = C.CountFilter(3, 18, 4, first)
+    f = C.CountFilter(3, 18, 4)
     segment, key = C.split_key(h, 3)
     level = C.level_of(n)
     f.data = np.frombuffer(b"".join(f.segment(key[segment == s], level[segment == s]) for s in range(8)), np.uint8)
-    want = np.where(level >= first, C.MIDDLE[level], 0)
+    want = C.MIDDLE[level]
     got = f.counts(h)
     assert (got >= want).all()  # errors are overestimates only
     assert (got == want).mean() > 0.8
@@ -101,35 +99,45 @@ def test_filter_reads_back_levels(first):
     assert (absent == 0).mean() > 0.8
 
 
-def test_filter_bound_raises_the_first_level(monkeypatch):
+def test_filter_size_follows_insertions():
     sizes = np.zeros(len(C.STARTS) + 1, np.int64)
-    sizes[1:5] = [1_000_000, 100_000, 10_000, 1000]
-    assert L._plan_filter(sizes, 4).first_level == 1
-    monkeypatch.setattr(L, "MAX_FILTER_BITS", 20)
-    plan = L._plan_filter(sizes, 4)
-    assert plan.first_level == 2 and plan.bits + 4 <= 20
+    sizes[:5] = [5_000_000, 1_000_000, 100_000, 10_000, 1000]  # level 0: asked for, never learned
+    inserted = 1_000_000 + 2 * 100_000 + 3 * 10_000 + 4 * 1000
+    for times in (1, 1000):
+        plan = L._plan_filter(sizes * times)
+        assert 12 * inserted * times <= 1 << plan.bits < 24 * inserted * times
 
 
-def test_scores_past_the_bound_of_one_filter(spark, monkeypatch):
-    """More insertions than one filter of the bound has places for: still nothing backs off."""
+def test_many_blocks_and_segments(spark, monkeypatch):
+    """Documents of many small blocks, n-grams of many segments: the same scores."""
     docs = [tuple(r) for r in table(spark, SF_SMALL, "documents").select("doc_id", "text").collect()]
-    monkeypatch.setattr(L, "MAX_FILTER_BITS", 16)
+    monkeypatch.setattr(L, "BLOCK_BYTES", 1 << 14)
+    monkeypatch.setattr(L, "SEGMENT_BYTES", 1 << 13)
     check(L.op2_language_model(spark, SF_SMALL).collect(), brute_force(docs), 0.12)
+    assert _blocks(table(spark, SF_SMALL, "documents")).count() > 10
+
+
+def _blocks(frame):
+    return L.blocks_of(frame.withColumns({"held_out": F.lit(False), "learn": F.lit(True)}))
 
 
 def test_the_filter_grows_with_the_text(spark, monkeypatch):
     monkeypatch.setattr(L, "SEGMENT_BYTES", 1 << 12)
-    texts = lambda n: spark.range(n).select(F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(100)), lambda i: F.xxhash64(i, "id").cast("string"))).alias("text"))
+    words = F.transform(F.sequence(F.lit(1), F.lit(100)), lambda i: F.xxhash64(i, "id").cast("string"))
     kept = []
     for n in (100, 400):
-        some = texts(n)
-        model, filters = L.train(some, L.word_counts(some))
-        kept.append(filters.agg(F.count("*"), F.sum(F.length("data")), F.max("first_level")).first())
+        model, segments = L.train(_blocks(spark.range(n).select(F.col("id").alias("doc_id"), F.concat_ws(" ", words).alias("text"))))
+        kept.append(segments.filter("block IS NULL").agg(F.count("*"), F.sum(F.length("data"))).first())
         # Every bigram of these texts is seen once, but for those of a text's end.
-        assert model.bigram_weight < 0.01
-    assert kept[1][0] == 4 * kept[0][0] and kept[1][1] > 3 * kept[0][1] and kept[1][2] == 1
-
-
-def test_a_repeated_id_is_dealt_over_all_blocks(spark):
-    rows = spark.range(400).select(F.lit(7).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
-    assert rows.select(L._block(16).alias("block")).distinct().count() == 16
+        assert model.bigram_weight < 0.01 and model.tokens == 101 * n and model.distinct == 100 * n + 1
+    assert kept[1][0] == 4 * kept[0][0] and kept[1][1] > 3 * kept[0][1]
+
+
+def test_a_repeated_id_and_empty_texts_are_cut_into_blocks(spark, monkeypatch):
+    """Blocks are bounded by text and by rows, whatever the ids."""
+    monkeypatch.setattr(L, "BLOCK_BYTES", 1 << 12)
+    rows = spark.range(60_000).coalesce(1).select(F.lit(7).cast("long").alias("doc_id"), F.lit("").alias("text"))
+    blocks = _blocks(rows.withColumn("text", F.when(F.rand(1) < 0.5, F.lit("a b c")).otherwise("")))
+    assert blocks.select(F.explode("n").alias("n")).agg(F.count("*"), F.min("n"), F.max("n")).first() == (60_000, 1, 4)
+    sizes = [r[0] for r in blocks.select("size").collect()]
+    assert len(sizes) == blocks.select("block").distinct().count() > 5
