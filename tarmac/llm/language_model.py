@@ -42,12 +42,12 @@ from pyspark.sql import functions as F
 from tarmac.llm import pfor
 from tarmac.llm import tokens as T
 from tarmac.llm.count_filter import MIDDLE, STARTS, CountFilter, level_of, split_key
-from tarmac.llm.tables import fold_of, table, written
+from tarmac.llm.tables import fold_of, release_memory, table, written
 
 BITS_PER_INSERTION = 12
 #: Bytes of text of a block of documents (or one longer text; a row counts as
 #: ROW_BYTES more; the last Arrow batch isn't cut for these), and of those one segment's n-grams come from.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 ROW_BYTES = 32
 SEGMENT_BYTES = 4 << 20
 #: Rows are megabytes long: Parquet is to look at its buffers after each of them.
@@ -69,6 +69,7 @@ def _cut(block_bytes: int, row_bytes: int):
     """Blocks of rows (doc_id, text, held_out, learn); block numbers are unique in what one run writes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         number = TaskContext.get().partitionId() << 32
         hashes: list[np.ndarray] = []
         rows: list[pa.RecordBatch] = []
@@ -175,6 +176,7 @@ def _count_ngrams(segment_bits: int):
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             for i in range(batch.num_rows):
                 yield counted(batch, i)
@@ -209,6 +211,7 @@ def _segment(segment_bits: int):
     the exact counts of its words, and the levels that probes of the filter read."""
 
     def run(counted: pa.Table) -> pa.Table:
+        release_memory()
         columns = {c: counted.column(c).to_pylist() for c in ("words", "word_n", "pairs", "pair_n")}
         word, exact, word_places = _summed([np.frombuffer(x, np.uint64) for x in columns["words"]], columns["word_n"])
         pair, together, pair_places = _summed([_bytes_to_sorted(x) for x in columns["pairs"]], columns["pair_n"])
@@ -296,6 +299,7 @@ def _score(model: LanguageModel):
     """Scores of a block's documents, given its answers from all segments."""
 
     def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        release_memory()
         block = _read(rows, 0)
         # In the order of the block's n-grams: segments are leading bits, and keys ascend in each.
         answers = answers.sort_by("segment")
