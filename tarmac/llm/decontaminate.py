@@ -8,10 +8,11 @@ an FM-index over each shard's words, searches all phrases backward, locates
 their occurrences by sampled suffix positions and merges them into spans.
 Words that no phrase holds share one symbol, which no phrase contains.
 
-The phrases are broadcast in blocks of at most ``block_bytes`` of item text; a
-larger benchmark makes further blocks, each one more pass over the documents.
-The passes follow one another in one stage, each with a Python worker of its
-own: a worker holds one block, but a task's workers together hold all of them.
+The phrases are broadcast in blocks of about ``block_bytes`` of item text: the
+items' symbols once, and where each distinct phrase begins.  A larger benchmark
+makes further blocks, each one more pass over the documents.  What a pass finds
+is written with the documents before the next one, so that no task holds more
+than one block; phrases of a block are told apart by 64-bit hashes.
 
 Defined results: a null or empty text has no words, no spans and is clean; a
 null or wordless item has no phrase; items that share an id count once; an item
@@ -33,7 +34,7 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 
 from tarmac.llm import tokens as T
 from tarmac.llm.fm_index import FMIndex
-from tarmac.llm.tables import table
+from tarmac.llm.tables import table, written
 
 WINDOW = 13
 #: A document is contaminated if at least one word in this many is hit.
@@ -45,7 +46,7 @@ _OTHER = 1  # symbol of words outside all phrases; 0 ends a shard
 
 
 class Phrases:
-    """Phrases of a block of items: matrices of symbols by length, and their items."""
+    """Phrases of a block of items: the items' symbols, where distinct phrases begin in them, and whose they are."""
 
     def __init__(self, items: list[tuple[str | None, str | None]], window: int = WINDOW):
         text = pa.array([x[1] for x in items], pa.large_string())
@@ -53,22 +54,30 @@ class Phrases:
         self.window = window
         self.vocabulary = np.unique(w.hash)
         self.symbols = len(self.vocabulary) + 2
-        symbol = np.searchsorted(self.vocabulary, w.hash) + 2
+        self.text = (np.searchsorted(self.vocabulary, w.hash) + 2).astype(np.int32)
         self.ids = sorted({x[0] for x in items if x[0] is not None})
         number = {x: i for i, x in enumerate(self.ids)}
-        owner = np.array([number.get(x[0], -1) for x in items], np.int64)
-        #: (matrix of distinct phrases, offsets, items): phrase i is of items[offsets[i]:offsets[i + 1]]
-        self.groups: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        owner = np.array([number.get(x[0], -1) for x in items], np.int32)
+        #: (length, starts in ``text``, offsets, items): phrase i is of items[offsets[i]:offsets[i + 1]]
+        self.groups: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+        item_of = w.text_of.astype(np.int32)
         for n in range(1, window + 1):
-            of = np.flatnonzero((w.counts >= n) if n == window else (w.counts == n))
-            spans = w.counts[of] - n + 1
-            at = np.repeat(w.first[:-1][of], spans) + np.arange(spans.sum()) - np.repeat(np.cumsum(spans) - spans, spans)
+            phrase, at = T.ngrams(w, n)
+            if n < window:  # an item of fewer words is one phrase
+                short = (w.counts == n)[item_of[at]]
+                phrase, at = phrase[short], at[short]
             if not len(at):
                 continue
-            phrases, which = np.unique(symbol[at[:, None] + np.arange(n)], axis=0, return_inverse=True)
-            pairs = np.unique(np.stack([which.ravel(), np.repeat(owner[of], spans)], 1), axis=0)
-            pairs = pairs[pairs[:, 1] >= 0]
-            self.groups.append((phrases, np.searchsorted(pairs[:, 0], np.arange(len(phrases) + 1)), pairs[:, 1]))
+            _, first, which = np.unique(phrase, return_index=True, return_inverse=True)
+            del phrase
+            pairs = which * (len(self.ids) + 1) + owner[item_of[at]] + 1
+            starts = at[first].astype(np.int32)
+            del which, at, first
+            pairs = np.unique(pairs)
+            pairs = pairs[pairs % (len(self.ids) + 1) > 0]
+            of_phrase, of_item = np.divmod(pairs, len(self.ids) + 1)
+            cut = np.searchsorted(of_phrase, np.arange(len(starts) + 1)).astype(np.int32)
+            self.groups.append((n, starts, cut, (of_item - 1).astype(np.int32)))
 
     def find(self, w: T.Words) -> tuple[np.ndarray, list[set[str]]]:
         """Which words any phrase covers, and each text's items."""
@@ -92,15 +101,15 @@ class Phrases:
         index = FMIndex(text, self.symbols)
         word_at = np.zeros(len(text), np.int64)
         word_at[np.arange(len(symbol)) + shift] = np.arange(len(symbol))
-        for phrases, cut, owners in self.groups:
-            found, first, end = index.search(phrases)
+        for length, starts, cut, owners in self.groups:
+            found, first, end = index.search(self.text, starts, length)
             n = end - first
             rows = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             word = word_at[index.locate(rows)]
             np.add.at(covered, lo + word, 1)
-            np.add.at(covered, lo + word + phrases.shape[1], -1)
-            pairs = np.unique(of[word] * len(phrases) + np.repeat(found, n))
-            for text_no, phrase in zip((pairs // len(phrases)).tolist(), (pairs % len(phrases)).tolist(), strict=True):
+            np.add.at(covered, lo + word + length, -1)
+            pairs = np.unique(of[word] * len(starts) + np.repeat(found, n))
+            for text_no, phrase in zip((pairs // len(starts)).tolist(), (pairs % len(starts)).tolist(), strict=True):
                 items[text_no].update(self.ids[i] for i in owners[cut[phrase] : cut[phrase + 1]])
 
 
@@ -136,7 +145,10 @@ def find_spans(
     base, at = docs.columns, docs.columns.index(text)
     schema = StructType([*docs.schema.fields, *found])
     sc, out = docs.sparkSession.sparkContext, docs
-    for block in _blocks(items, block_bytes):
+    for number, block in enumerate(_blocks(items, block_bytes)):
+        if number:  # the pass before is done and its phrases are given back
+            out = written(out, "decontamination")
+            shared.unpersist()
         shared = sc.broadcast(Phrases(block, window))
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

@@ -75,12 +75,12 @@ class FMIndex:
             i = np.where(symbol >> bit & 1, zeros + seen, i - seen)
         return i - self.start_of[symbol]
 
-    def search(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``(phrase, first row, end row)`` of the phrases (rows of a matrix) that occur."""
-        alive = np.arange(len(phrases))
-        lo, hi = np.zeros(len(phrases), np.int64), np.full(len(phrases), self.n)
-        for j in range(phrases.shape[1] - 1, -1, -1):
-            c = phrases[alive, j]
+    def search(self, symbols: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(phrase, first row, end row)`` of the phrases that occur; phrase i is the ``n`` symbols from ``starts[i]``."""
+        alive = np.arange(len(starts))
+        lo, hi = np.zeros(len(starts), np.int64), np.full(len(starts), self.n)
+        for j in range(n - 1, -1, -1):
+            c = symbols[starts[alive] + j]
             lo, hi = self.before[c] + self.rank(c, lo), self.before[c] + self.rank(c, hi)
             found = lo < hi
             alive, lo, hi = alive[found], lo[found], hi[found]

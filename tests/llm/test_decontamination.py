@@ -61,7 +61,7 @@ def test_index_finds_every_occurrence(n, symbols):
         if n < length:
             continue
         phrases = np.unique(np.stack([text[i : i + length] for i in rng.integers(0, n - length + 1, 30)]), axis=0)
-        which, lo, hi = index.search(phrases)
+        which, lo, hi = index.search(phrases.ravel(), np.arange(len(phrases)) * length, length)
         assert which.tolist() == list(range(len(phrases)))
         for p, a, b in zip(phrases, lo, hi):
             expected = [i for i in range(n - length + 1) if (text[i : i + length] == p).all()]
