@@ -264,29 +264,48 @@ def _by_rarity(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     of which a shingle gives at most ``RARE * (RARE - 1) / 2``.
     """
     each = sets.select("id", F.explode("shingles").alias("shingle"))
-    rare = written(each.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") <= RARE), "near-rare")
-    found = each.join(rare, "shingle")
-    own = found.groupBy("id").agg(F.count("*").alias("rare"))
+    rare = each.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") <= RARE).select("shingle")
+    found = each.join(written(rare, "near-rare"), "shingle")
+    # Sets that share one rare shingle mostly share many: their lists of holders are the same.
+    lists = found.groupBy("shingle").agg(F.array_sort(F.collect_set("id")).alias("ids"))
+    holders = written(lists.groupBy("ids").agg(F.count("*").alias("shingles")), "near-holders")
+    own = holders.select(F.explode("ids").alias("id"), "shingles").groupBy("id").agg(F.sum("shingles").alias("rare"))
     sizes = sets.groupBy("id").agg(F.max(F.size("shingles")).cast("long").alias("size"), F.count("*").alias("rows"))
     sizes = sizes.join(own, "id", "left")
     # An id with several sets counts with the whole of its largest.
     common = F.when(F.col("rows") > 1, F.col("size")).otherwise(F.col("size") - F.coalesce("rare", F.lit(0)))
-    # Sets that share one rare shingle mostly share many: their lists of holders are the same.
-    holders = found.filter("n > 1").groupBy("shingle").agg(F.array_sort(F.collect_set("id")).alias("ids")).select("ids").distinct()
     pairs = F.transform("ids", lambda x, i: F.transform(F.slice("ids", i + 2, F.lit(RARE)), lambda y: F.struct(x.alias("a"), y.alias("b"))))
-    return sizes.select("id", common.alias("common")), holders.select(F.inline(F.flatten(pairs))).distinct()
+    sharing = holders.filter(F.size("ids") > 1).select(F.inline(F.flatten(pairs)))
+    return sizes.select("id", common.alias("common")), sharing.distinct()
 
 
-def _first_members(bands: DataFrame, buckets: DataFrame, classes: DataFrame) -> DataFrame:
-    """Similar pairs of a bucket's first member with each other member."""
-    pairs = (
-        bands.join(buckets.select("bucket", "first"), "bucket")
-        .filter("first < id")
-        .select(F.col("first").alias("a"), F.col("id").alias("b"))
-        .distinct()
-    )
+def _those_of(wanted: Broadcast):
+    """The rows whose id may be wanted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(_may_hold(wanted.value, batch.column("id")))
+
+    return run
+
+
+def _in_shared_buckets(bands: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Written (bucket, band, id, first) of buckets with several members, and
+    (id, n_shingles, signature) of the classes in them (and of a few others).
+
+    All later work is on these; a class that shares no bucket is in no pair.
+    """
+    buckets = bands.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("members")).filter("members > 1")
+    shared = written(bands.join(written(buckets.select("bucket", "first"), "near-buckets"), "bucket"), "near-shared")
+    classes = classes.select(F.col("rep").alias("id"), "n_shingles", "signature")
+    members = classes.mapInArrow(_those_of(_id_bits(shared.select("id"))), classes.schema)
+    return shared.select("bucket", "band", "id", "first"), written(members, "near-members")
+
 
-    short = classes.select(F.col("rep").alias("id"), "n_shingles", "signature").mapInArrow(_shortened, "id long, n long, sig binary")
+def _first_members(shared: DataFrame, members: DataFrame) -> DataFrame:
+    """Similar pairs of a bucket's first member with each other member."""
+    pairs = shared.filter("first < id").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+    short = members.mapInArrow(_shortened, "id long, n long, sig binary")
 
     def side(name: str) -> DataFrame:
         return short.select(F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("sig").alias(f"sig_{name}"))
@@ -305,12 +324,12 @@ def _open(rows: DataFrame) -> DataFrame:
     return written(rows.join(several, "bucket"), "near-open")
 
 
-def _rest_of_buckets(rows: DataFrame, classes: DataFrame) -> DataFrame:
+def _rest_of_buckets(rows: DataFrame, members: DataFrame) -> DataFrame:
     """Similar pairs of different components in open buckets (bucket, id, component, common, members)."""
     rows = (
         rows.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        .join(classes.select(F.col("rep").alias("id"), "n_shingles", "signature"), "id")
+        .join(members, "id")
     )
     every = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
@@ -340,22 +359,20 @@ def near_duplicate_components(docs: DataFrame, k: int) -> DataFrame:
     bands = written(
         classes.select(F.col("rep").alias("id"), "signature").mapInArrow(_band_rows, "bucket long, band int, id long"), "near-bands"
     )
-    buckets = written(
-        bands.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("members")).filter("members > 1"), "near-buckets"
-    )
+    shared, members = _in_shared_buckets(bands, classes)
     # Rows that share an id but not a set: their classes belong together.
     own = real.select("id", *prints).join(classes.select(*prints, "rep"), prints).select("id", "rep").distinct()
     lowest = own.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("id", "a")
     same_id = own.join(lowest, "id").filter("a < rep").select("a", F.col("rep").alias("b"))
-    first = written(_first_members(bands, buckets, classes), "near-candidates")
+    first = written(_first_members(shared, members), "near-candidates")
     sets = _full_sets(docs, first.select(F.col("a").alias("id")).unionByName(first.select(F.col("b").alias("id"))), k)
     links = written(_confirmed(first, sets).unionByName(same_id), "near-links")
     labels = components(links)
-    rows = bands.join(buckets.select("bucket"), "bucket").join(labels.select(F.col("node").alias("id"), "component"), "id", "left")
+    rows = shared.join(labels.select(F.col("node").alias("id"), "component"), "id", "left")
     rows = _open(written(rows.select("bucket", "band", "id", F.coalesce("component", "id").alias("component")), "near-bucket-components"))
     sets = _full_sets(docs, rows.select("id"), k)
     common, sharing = _by_rarity(sets)
-    sizes = classes.select(F.col("rep").alias("id"), "n_shingles")
+    sizes = members.select("id", "n_shingles")
     possible = written(common.join(sizes, "id").filter(100 * F.col("common") >= PERCENT * F.col("n_shingles")), "near-common")
     rest = _open(rows.drop("members").join(possible.select("id", "common"), "id"))
     known = written(rows.select("id", "component").distinct(), "near-open-components")
@@ -363,7 +380,7 @@ def near_duplicate_components(docs: DataFrame, k: int) -> DataFrame:
         mine = known.join(sizes, "id").select(F.col("id").alias(side), F.col("component").alias(f"c_{side}"), F.col("n_shingles").alias(f"n_{side}"))
         sharing = sharing.join(mine, side)
     sharing = sharing.filter(F.col("c_a") != F.col("c_b")).filter(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
-    more = written(sharing.select("a", "b").unionByName(_rest_of_buckets(rest, classes)).distinct(), "near-candidates")
+    more = written(sharing.select("a", "b").unionByName(_rest_of_buckets(rest, members)).distinct(), "near-candidates")
     links = written(links.unionByName(_confirmed(more, sets)), "near-links")
     labels = components(links)
     known = classes.select(*prints, F.col("rep").alias("node")).join(labels, "node", "left")

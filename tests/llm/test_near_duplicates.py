@@ -82,6 +82,29 @@ def test_families_of_near_copies(spark, monkeypatch, small):
     assert 2 < len({r[2] for r in got}) < len(docs)
 
 
+def test_signatures_of_classes_alone_in_their_buckets_are_not_dealt(spark, monkeypatch):
+    texts = family(3, 20) + [" ".join(f"single{i}n{j}" for j in range(40)) for i in range(200)]
+    dealt, bands_read = [], []
+    for name in ("_first_members", "_rest_of_buckets"):
+
+        def counted(rows, *others, call=getattr(N, name)):
+            dealt.append(others[-1].count())
+            return call(rows, *others)
+
+        monkeypatch.setattr(N, name, counted)
+    written = N.written
+
+    def noted(df, name, *options):
+        bands_read.extend([name] * any("/near-bands-" in x for x in df.inputFiles()))
+        return written(df, name, *options)
+
+    monkeypatch.setattr(N, "written", noted)
+    docs = list(enumerate(texts))
+    assert run(spark, docs) == brute_force(docs, 5)
+    assert len(dealt) == 2 and max(dealt) < 40  # before: 220, all classes
+    assert len(bands_read) == 2  # before: 3
+
+
 EDGES = [
     (1, None),
     (2, ""),
