@@ -34,7 +34,7 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 
 from tarmac.llm import tokens as T
 from tarmac.llm.fm_index import FMIndex
-from tarmac.llm.tables import table, written
+from tarmac.llm.tables import giving_back, table, written
 
 WINDOW = 13
 #: A document is contaminated if at least one word in this many is hit.
@@ -173,7 +173,7 @@ def find_spans(
                     ]
                     yield pa.RecordBatch.from_arrays([*part.columns[: len(base)], *new], names=[*base, *names])
 
-        out = out.mapInArrow(search, schema)
+        out = out.mapInArrow(giving_back(search), schema)
     return out
 
 

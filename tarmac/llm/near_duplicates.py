@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tarmac.llm import tokens as T
 from tarmac.llm.components import components
-from tarmac.llm.tables import table, written
+from tarmac.llm.tables import giving_back, table, written
 
 BANDS, ROWS = 32, 5
 #: Links: 100 * intersection >= PERCENT * union.
@@ -114,7 +114,7 @@ def _sketch(k: int):
                     }
                 )
 
-    return run
+    return giving_back(run)
 
 
 def _places(ids: np.ndarray) -> np.ndarray:
@@ -135,7 +135,7 @@ def _id_bits(ids: DataFrame) -> Broadcast:
     Its size is fixed.  It only spares the texts of other documents the shuffle
     (of a few of them it doesn't); joins by id follow.
     """
-    words = ids.mapInArrow(_id_words, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = ids.mapInArrow(giving_back(_id_words), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     data = np.zeros(1 << (ID_BITS - 6), np.uint64)
     data[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
     return ids.sparkSession.sparkContext.broadcast(data)
@@ -157,7 +157,7 @@ def _sets(k: int, wanted: Broadcast):
                 lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(h.view(np.int64), pa.int64()))
                 yield pa.record_batch({"id": batch.column("id")[lo:hi], "shingles": lists})
 
-    return run
+    return giving_back(run)
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
@@ -286,7 +286,7 @@ def _those_of(wanted: Broadcast):
         for batch in batches:
             yield batch.filter(_may_hold(wanted.value, batch.column("id")))
 
-    return run
+    return giving_back(run)
 
 
 def _in_shared_buckets(bands: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -305,14 +305,14 @@ def _in_shared_buckets(bands: DataFrame, classes: DataFrame) -> tuple[DataFrame,
 def _first_members(shared: DataFrame, members: DataFrame) -> DataFrame:
     """Similar pairs of a bucket's first member with each other member."""
     pairs = shared.filter("first < id").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    short = members.mapInArrow(_shortened, "id long, n long, sig binary")
+    short = members.mapInArrow(giving_back(_shortened), "id long, n long, sig binary")
 
     def side(name: str) -> DataFrame:
         return short.select(F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("sig").alias(f"sig_{name}"))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     near = both.filter(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
-    return near.select("a", "b", "sig_a", "sig_b").mapInArrow(_similar, "a long, b long")
+    return near.select("a", "b", "sig_a", "sig_b").mapInArrow(giving_back(_similar), "a long, b long")
 
 
 def _open(rows: DataFrame) -> DataFrame:
@@ -341,7 +341,7 @@ def _rest_of_buckets(rows: DataFrame, members: DataFrame) -> DataFrame:
         "bucket", "band", "at.i", "at.j", "at.side", "id", "component", "n_shingles", "common", "signature"
     )
     dealt = spread.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "side")
-    return dealt.mapInArrow(_between_blocks, "a long, b long")
+    return dealt.mapInArrow(giving_back(_between_blocks), "a long, b long")
 
 
 def near_duplicate_components(docs: DataFrame, k: int) -> DataFrame:
@@ -357,7 +357,7 @@ def near_duplicate_components(docs: DataFrame, k: int) -> DataFrame:
         "near-classes",
     )
     bands = written(
-        classes.select(F.col("rep").alias("id"), "signature").mapInArrow(_band_rows, "bucket long, band int, id long"), "near-bands"
+        classes.select(F.col("rep").alias("id"), "signature").mapInArrow(giving_back(_band_rows), "bucket long, band int, id long"), "near-bands"
     )
     shared, members = _in_shared_buckets(bands, classes)
     # Rows that share an id but not a set: their classes belong together.

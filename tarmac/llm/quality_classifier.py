@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tarmac.llm import tokens as T
-from tarmac.llm.tables import fold_of, table
+from tarmac.llm.tables import fold_of, giving_back, table
 
 BITS = 18
 #: Labelled rows that training reads at most (a bounded sample by hashed id).
@@ -143,11 +143,11 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS)
         .groupBy("order", "id", "label")
         .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
         .select("order", "label", "text")
-        .mapInArrow(_featurise, "order long, label int, bucket binary, value binary")
+        .mapInArrow(giving_back(_featurise), "order long, label int, bucket binary, value binary")
         .repartition(1)
         .sortWithinPartitions("order", "bucket")
     )
-    row = vectors.mapInArrow(_train, "weights binary").first()
+    row = vectors.mapInArrow(giving_back(_train), "weights binary").first()
     return np.frombuffer(row[0], np.float32) if row else np.zeros(2**BITS + 1, np.float32)
 
 
@@ -172,7 +172,7 @@ def add_scores(df: DataFrame, weights: np.ndarray, text: str = "text", score: st
             found = pa.array(scores(batch.column(at), shared.value), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*columns, score])
 
-    return df.mapInArrow(score_batches, StructType([*df.schema.fields, StructField(score, DoubleType())]))
+    return df.mapInArrow(giving_back(score_batches), StructType([*df.schema.fields, StructField(score, DoubleType())]))
 
 
 def _learned(docs: DataFrame, labels: DataFrame, max_rows: int) -> np.ndarray:

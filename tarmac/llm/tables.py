@@ -8,6 +8,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -48,23 +50,51 @@ def ship(spark: SparkSession) -> None:
 
 
 _released_for = -1
+#: What this Python worker keeps between tasks; tasks of stages that don't use it drop it.
+caches: list[dict] = []
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
-def release_memory() -> None:
-    """Give back what earlier stages' tasks of this (reused) Python worker freed but its
-    allocators keep; once a stage."""
-    global _released_for
-    stage = TaskContext.get().stageId()
-    if stage == _released_for:
-        return
-    _released_for = stage
-    gc.collect()
+def _trim() -> None:
+    """Give back what is freed but kept by Arrow's and the C library's allocators."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
     if trim is not None:
         trim(0)
 
 
+def release_memory(keep: dict | None = None) -> None:
+    """Give back what earlier stages' tasks of this (reused) Python worker left, their
+    caches but ``keep`` included; once a stage."""
+    global _released_for
+    context = TaskContext.get()
+    if context is None or context.stageId() == _released_for:
+        return
+    _released_for = context.stageId()
+    for cache in caches:
+        if cache is not keep:
+            cache.clear()
+    gc.collect()
+    _trim()
+
+
+def giving_back(run: Run, keep: dict | None = None) -> Run:
+    """``run`` for ``mapInArrow``, by workers that hold nothing of it once a task is done.
+
+    An idle worker counts to its executor's memory as a busy one does.
+    """
+
+    @wraps(run)
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory(keep)
+        try:
+            yield from run(batches)
+        finally:
+            _trim()
+
+    return held
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tarmac.llm import pfor
 from tarmac.llm import tokens as T
-from tarmac.llm.tables import release_memory, shared_path, table
+from tarmac.llm.tables import caches, giving_back, shared_path, table
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -45,6 +45,7 @@ CACHED_WORDS = 500_000
 #: Signs that make tokens of their own where they follow a letter or digit at a word's end.
 _TAIL = b"#*$%&|!,.;:?"
 _encoders: dict[str, WordEncoder] = {}
+caches.append(_encoders)
 
 
 def default_tokenizer() -> str:
@@ -132,7 +133,6 @@ def _to_segments(path: str, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_memory()
         shard, segment, before = TaskContext.get().partitionId(), 0, 0
         docs: list[int | None] = []
         ids: list[bytes] = []
@@ -168,7 +168,7 @@ def _to_segments(path: str, end_id: int):
         if ids:
             yield flush()
 
-    return run
+    return giving_back(run, keep=_encoders)
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID) -> None:
@@ -222,7 +222,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                     }
                 )
 
-    return _segments(spark, path).mapInArrow(run, "doc_id long, start long, ids array<long>")
+    return _segments(spark, path).mapInArrow(giving_back(run, keep=_encoders), "doc_id long, start long, ids array<long>")
 
 
 def token_digests(spark: SparkSession, path: str) -> DataFrame:
@@ -234,7 +234,9 @@ def token_digests(spark: SparkSession, path: str) -> DataFrame:
             names = ("doc_id", "start", "n_tokens", "ids_crc32")
             yield pa.record_batch({c: pa.array([x[i] for x in found], pa.int64()) for i, c in enumerate(names)})
 
-    return _segments(spark, path).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return _segments(spark, path).mapInArrow(
+        giving_back(run, keep=_encoders), "doc_id long, start long, n_tokens long, ids_crc32 long"
+    )
 
 
 def tokenised(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:

@@ -1,9 +1,12 @@
 """Each pipeline stage on its own input against brute force."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as C
+from tarmac.llm import tables
 from tarmac.llm.mixing import mixture
 from tarmac.llm.quality_classifier import quality_scores
 from tarmac.llm.tables import table, written
@@ -74,3 +77,34 @@ def test_odd_tables(spark, empty, monkeypatch):
             assert docs.filter(F.col("doc_id") == 3).count() == 0
     assert docs.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
     assert (docs.count() == 0) == empty
+
+
+def test_workers_hold_nothing_between_tasks(monkeypatch):
+    given, stage = [], SimpleNamespace(stageId=lambda: 10**9)
+    monkeypatch.setattr(tables, "_trim", lambda: given.append(1))
+    monkeypatch.setattr(tables, "_released_for", -1)
+    monkeypatch.setattr(tables, "TaskContext", SimpleNamespace(get=lambda: stage))
+    mine, other = {"a": 1}, {"b": 2}
+    monkeypatch.setattr(tables, "caches", [mine, other])
+    assert list(tables.giving_back(lambda batches: (2 * x for x in batches), keep=mine)(iter([1, 2]))) == [2, 4]
+    assert mine and not other and len(given) == 2  # at the stage's first task's start, at the task's end
+
+    def broken(batches):
+        yield next(batches)
+        raise ValueError
+
+    with pytest.raises(ValueError):
+        list(tables.giving_back(broken)(iter([1])))
+    assert mine and len(given) == 3  # same stage: only the task's end
+
+
+def test_all_python_of_the_stages_gives_memory_back(spark, monkeypatch):
+    functions, frame = [], type(spark.range(0))
+    as_is = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, f, *a, **b: functions.append(f) or as_is(self, f, *a, **b))
+    docs = spark.createDataFrame([(i, f"words of text {i} and more") for i in range(3)], "doc_id long, text string")
+    docs = docs.withColumns({"source": F.lit("a"), "lang": F.lit("en")})
+    for name, stage in C.STAGES:
+        docs = written(stage(spark, docs, SF_SMALL), f"test-given-{name}")
+    assert len(functions) >= 10
+    assert all(f.__code__.co_filename.endswith("tables.py") and hasattr(f, "__wrapped__") for f in functions)
