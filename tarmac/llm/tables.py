@@ -24,8 +24,9 @@ SEPARATORS = r"[\x20\x09-\x0D]+"
 
 
 #: Bytes of one Arrow batch between Spark and a Python worker; rows here are whole
-#: texts, and both sides hold a few copies of a batch.
-BATCH_BYTES = 8 << 20
+#: texts, both sides hold a few copies of a batch, and the JVM's C library keeps
+#: what larger buffers took.
+BATCH_BYTES = 2 << 20
 
 
 def ship(spark: SparkSession) -> None:

@@ -25,6 +25,7 @@ import sys
 import zlib
 from array import array
 from collections.abc import Iterator
+from string import ascii_lowercase
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +40,10 @@ from tarmac.llm.tables import caches, giving_back, shared_path, table
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 SEGMENT_IDS = 1 << 16
-#: Words whose ids a worker keeps; beyond that it starts anew.
-CACHED_WORDS = 500_000
+#: Words whose ids a worker keeps; beyond that it goes on with those of the texts at hand.
+CACHED_WORDS = 250_000
+#: Bytes of text that a worker encodes at once; words and new ids of it are Python objects.
+ENCODED_AT_ONCE = 1 << 18
 
 #: Signs that make tokens of their own where they follow a letter or digit at a word's end.
 _TAIL = b"#*$%&|!,.;:?"
@@ -72,16 +75,21 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.words: dict[bytes, bytes] = {}
-        # How the pre-tokenizer writes each Latin letter (it maps bytes to signs).
+        # How the pre-tokenizer writes each Latin letter (it maps bytes to signs; a to z stay as they are).
         letters = [chr(c) for c in range(256) if chr(c).isalpha() and chr(c) == chr(c).lower()]
         self.letters = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}
+        self.plain = all(self.letters[ord(c)] == c for c in ascii_lowercase)
 
     def _encode_words(self, words: list[bytes]) -> list[bytes]:
         """As ``_encode``; a word of Latin letters only is one pre-token, which the model takes as it is."""
         out, rest = {}, []
         for word in words:
             text = word.decode()
-            if text.isalpha() and max(text) <= "\xff":
+            if not text.isalpha():
+                rest.append(word)
+            elif self.plain and text.isascii() and text.islower():
+                out[word] = _packed([x.id for x in self.model.tokenize(text)])
+            elif max(text) <= "\xff":
                 out[word] = _packed([x.id for x in self.model.tokenize(text.lower().translate(self.letters))])
             else:
                 rest.append(word)
@@ -98,7 +106,7 @@ class WordEncoder:
         parts = {}
         for word in ends_in_signs:
             body = word.rstrip(_TAIL)
-            last = body.decode()[-1:]
+            last = body[-1:].decode() if body[-1:].isascii() else body.decode()[-1:]
             if last.isalnum() and len(last.lower()) == 1:
                 parts[word] = (body, word[len(body) :])
         needed = new.difference(parts).union(*parts.values()).difference(self.words)
@@ -112,8 +120,7 @@ class WordEncoder:
         met = set().union(*filter(None, split))
         new = met.difference(self.words)
         if len(self.words) + len(new) > CACHED_WORDS:
-            self.words.clear()
-            new = met
+            self.words = {x: self.words[x] for x in met.difference(new)}
         if new:
             self._learn(new)
         ids = self.words.__getitem__
@@ -157,7 +164,7 @@ def _to_segments(path: str, end_id: int):
         for batch in batches:
             data, start = T.text_bytes(batch.column("text"))
             names = batch.column("doc_id")
-            for lo, hi in T.slices(start, 1 << 20):
+            for lo, hi in T.slices(start, ENCODED_AT_ONCE):
                 raw = [data[a:b].tobytes() for a, b in zip(start[lo:hi], start[lo + 1 : hi + 1], strict=True)]
                 for name, found in zip(names[lo:hi].to_pylist(), encoder.encode(raw), strict=True):
                     docs.append(name)

@@ -1,14 +1,16 @@
 """Token files: exact round trip, and the query against encoding each text whole."""
 
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tarmac.llm import pfor
+from tarmac.llm import pfor, tables
 from tarmac.llm import token_output as O
 from tarmac.llm.tables import shared_path, table
 
@@ -83,6 +85,42 @@ def test_a_full_cache_starts_anew(monkeypatch):
         assert encoder.encode(raw) == encoder._encode(raw)
 
 
+def test_a_full_cache_keeps_the_words_at_hand(monkeypatch):
+    monkeypatch.setattr(O, "CACHED_WORDS", 5)
+    encoder = O.WordEncoder(O.default_tokenizer())
+    encoder.encode([b"a b c d"])
+    learned, learn = [], encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda new: learned.append(set(new)) or learn(new))
+    assert encoder.encode([b"c d", b"e f c"]) == encoder._encode([b"c d", b"e f c"])
+    assert learned == [{b"e", b"f"}] and set(encoder.words) == {b"c", b"d", b"e", b"f"}
+
+
+def test_a_worker_encodes_little_text_at_once(monkeypatch):
+    class Recorder:
+        sizes: list[int] = []
+
+        def encode(self, texts):
+            self.sizes.append(sum(map(len, texts)))
+            return [bytes(4) for _ in texts]
+
+    task = SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0, stageId=lambda: -2))
+    monkeypatch.setattr(O, "TaskContext", task)
+    monkeypatch.setattr(tables, "TaskContext", task)
+    monkeypatch.setattr(tables, "caches", [])
+    monkeypatch.setattr(O, "_encoder", lambda path: Recorder())
+    texts = ["x" * 1000] * 3000 + ["y" * 2_000_000]
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts)})
+    rows = list(O._to_segments("", O.END_ID)(iter([batch])))
+    assert sum(len(x["doc_id"][0]) for x in rows) == len(texts) and sum(Recorder.sizes) == sum(map(len, texts))
+    assert sorted(Recorder.sizes)[-2] <= O.ENCODED_AT_ONCE <= 1 << 18  # one longer text is encoded alone
+    assert Recorder.sizes[-1] == 2_000_000
+
+
+def test_arrow_batches_are_small(spark):
+    tables.ship(spark)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 2 << 20
+
+
 def test_query_equals_whole_texts(spark):
     docs = sorted(tuple(r) for r in table(spark, SF_SMALL, "documents").select("doc_id", "text").collect())
     got = sorted(tuple(r) for r in O.op3_token_output(spark, SF_SMALL).collect())
